@@ -46,21 +46,26 @@ g AS (SELECT gxt.row_id, gxt.y, gxt.x, gxt.g AS gx, gyt.g AS gy
       FROM gxt JOIN gyt ON gyt.row_id = gxt.row_id AND gyt.y = gxt.y AND gyt.x = gxt.x)"""
 
 
-def hog_sql(cell: int, bins: int, signed: bool, border: str) -> str:
+def hog_sql(cell: int, bins: int, signed: bool, border: str, raw: bool = False) -> str:
+    """HOG rows ``(row_id, cell, bin, value)``; ``raw`` leaves the CTE ``hogv`` open and unrounded."""
     cells = S // cell
     if signed:
         b = f"floor(least(greatest(round((atan2(gy, gx) + pi()) * ({bins} / (2 * pi())), 9), 0), {bins - 1}))"
     else:
         ang = "((degrees(atan2(gy, gx)) % 180) + 180) % 180"
         b = f"least(greatest(floor(round({ang}, 9) / (180.0::DOUBLE / {bins})), 0), {bins - 1})"
-    return grad_sql(border) + f""",
+    body = grad_sql(border) + f""",
 o AS (SELECT row_id, (y // {cell}) * {cells} + (x // {cell}) AS cell, {b} AS bin,
              sqrt(gx * gx + gy * gy) AS mag FROM g WHERE y < {cells * cell} AND x < {cells * cell}),
 grid AS (SELECT ids.row_id, c.cell, b.bin FROM (SELECT DISTINCT row_id FROM px) ids,
-         (SELECT range AS cell FROM range({cells * cells})) c, (SELECT range AS bin FROM range({bins})) b)
-SELECT grid.row_id, grid.cell::BIGINT AS cell, grid.bin::BIGINT AS bin, {r("coalesce(sum(o.mag), 0)")} AS value
-FROM grid LEFT JOIN o ON o.row_id = grid.row_id AND o.cell = grid.cell AND o.bin = grid.bin
-GROUP BY 1, 2, 3"""
+         (SELECT range AS cell FROM range({cells * cells})) c, (SELECT range AS bin FROM range({bins})) b),
+hogv AS (SELECT grid.row_id, grid.cell, grid.bin, coalesce(sum(o.mag), 0) AS value
+         FROM grid LEFT JOIN o ON o.row_id = grid.row_id AND o.cell = grid.cell AND o.bin = grid.bin
+         GROUP BY 1, 2, 3)"""
+    if raw:
+        return body
+    return body + f"""
+SELECT row_id, cell::BIGINT AS cell, bin::BIGINT AS bin, {r("value")} AS value FROM hogv"""
 
 
 def _hog_out(df, col, bins):
