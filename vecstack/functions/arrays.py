@@ -1,9 +1,12 @@
 """Array and scalar column functions over labelled vectors.
 
 Everything here is a Catalyst expression (no Python UDF).  Functions that need
-a per-row statistic before an element-wise step (norm, max, sum) are written as
-DataFrame transforms that stage the statistic in a temporary column, so the
-statistic is computed once per row instead of once per element.
+a per-row statistic before an element-wise step (norm, max, sum) pass it to the
+lambda as a second array argument (``zip_with(x, array_repeat(stat, size(x)))``)
+instead of referencing an outer column inside the lambda: Catalyst's
+CollapseProject may inline an outer column into a lambda body, which would
+re-evaluate the statistic once per element (and compound when nested).  As a
+lambda argument it is evaluated once per row whatever the optimizer inlines.
 """
 
 from __future__ import annotations
@@ -56,12 +59,17 @@ def array_sum(c) -> Column:
     return F.aggregate(col_of(c), F.lit(0.0), lambda acc, x: acc + x)
 
 
+def per_element(arr: Column, stat: Column, fn) -> Column:
+    """``fn(x, stat)`` for every element, ``stat`` evaluated once per row."""
+    return F.zip_with(arr, F.array_repeat(stat, F.size(arr)), fn)
+
+
 def l2_normalize(df: DataFrame, c: str, out: str | None = None, eps: float = NORM_EPS) -> DataFrame:
-    """X / (‖x‖₂ + eps), norm staged once per row."""
+    """X / (‖x‖₂ + eps)."""
     out = out or c
-    tmp = f"__norm_{out}"
-    df = df.withColumn(tmp, F.sqrt(F.aggregate(F.col(c), F.lit(0.0), lambda a, x: a + x * x)) + F.lit(eps))
-    return df.withColumn(out, F.transform(F.col(c), lambda x: x / F.col(tmp))).drop(tmp)
+    x = F.col(c)
+    norm = F.sqrt(F.aggregate(x, F.lit(0.0), lambda a, v: a + v * v)) + F.lit(eps)
+    return df.withColumn(out, per_element(x, norm, lambda v, n: v / n))
 
 
 def one_hot(label, classes: Sequence[int]) -> Column:
@@ -83,11 +91,9 @@ def label_binarize(label, positive: Sequence[int]) -> Column:
 def softmax(df: DataFrame, c: str, out: str | None = None, eps: float = NORM_EPS) -> DataFrame:
     """exp(z - max z) / (Σ + eps) per row."""
     out = out or c
-    m, e, s = f"__m_{out}", f"__e_{out}", f"__s_{out}"
-    df = df.withColumn(m, F.array_max(c))
-    df = df.withColumn(e, F.transform(F.col(c), lambda z: F.exp(z - F.col(m))))
-    df = df.withColumn(s, array_sum(e) + F.lit(eps))
-    return df.withColumn(out, F.transform(F.col(e), lambda x: x / F.col(s))).drop(m, e, s)
+    e = f"__e_{out}"
+    df = df.withColumn(e, per_element(F.col(c), F.array_max(c), lambda z, m: F.exp(z - m)))
+    return df.withColumn(out, per_element(F.col(e), array_sum(e) + F.lit(eps), lambda x, s: x / s)).drop(e)
 
 
 def clip(x, lo: float, hi: float) -> Column:
@@ -109,10 +115,8 @@ def sigmoid(z) -> Column:
 def renormalize(df: DataFrame, c: str, out: str | None = None, eps: float | None = NORM_EPS) -> DataFrame:
     """Row / (Σ row + eps); ``eps=None`` divides by the plain sum."""
     out = out or c
-    s = f"__sum_{out}"
     total = array_sum(c) if eps is None else array_sum(c) + F.lit(eps)
-    df = df.withColumn(s, total)
-    return df.withColumn(out, F.transform(F.col(c), lambda x: x / F.col(s))).drop(s)
+    return df.withColumn(out, per_element(F.col(c), total, lambda x, s: x / s))
 
 
 def temperature_scale(df: DataFrame, c: str, out: str | None = None, t: float = TEMPERATURE) -> DataFrame:

@@ -1,4 +1,4 @@
 """Imports every query module so that the registry is complete."""
 
-from vecstack.plans import q_arrays, q_features, q_image, q_neighbors, q_sources  # noqa: F401
+from vecstack.plans import q_arrays, q_features, q_image, q_linear, q_neighbors, q_sources  # noqa: F401
 from vecstack.plans.registry import ORACLES, QUERIES  # noqa: F401
