@@ -88,12 +88,13 @@ def label_binarize(label, positive: Sequence[int]) -> Column:
     return col_of(label).isin([int(m) for m in positive]).cast("int")
 
 
-def softmax(df: DataFrame, c: str, out: str | None = None, eps: float = NORM_EPS) -> DataFrame:
-    """exp(z - max z) / (Σ + eps) per row."""
+def softmax(df: DataFrame, c: str, out: str | None = None, eps: float | None = NORM_EPS) -> DataFrame:
+    """exp(z - max z) / (Σ + eps) per row (``eps=None``: plain sum)."""
     out = out or c
     e = f"__e_{out}"
     df = df.withColumn(e, per_element(F.col(c), F.array_max(c), lambda z, m: F.exp(z - m)))
-    return df.withColumn(out, per_element(F.col(e), array_sum(e) + F.lit(eps), lambda x, s: x / s)).drop(e)
+    tot = array_sum(e) if eps is None else array_sum(e) + F.lit(eps)
+    return df.withColumn(out, per_element(F.col(e), tot, lambda x, s: x / s)).drop(e)
 
 
 def clip(x, lo: float, hi: float) -> Column:
