@@ -165,6 +165,8 @@ class GBTOvR:
         out = out.withColumn("pred", argmax_class("proba", self.classes))
         return out.drop("_v", "_s", *[f"_m{k}" for k in range(K)])
 
+    predict = predict_proba
+
 
 def fit_gbt_ovr(df: DataFrame, max_iter: int = 250, step_size: float = 0.05, max_depth: int = 4,
                 subsampling_rate: float = 0.9, feature_subset: str = "0.8", seed: int = 42,

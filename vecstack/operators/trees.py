@@ -34,7 +34,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vecstack.operators.sampling import feature_subset, n_features
+from vecstack.operators.sampling import n_features
 
 MIN_GAIN = 1e-12
 GAIN_DECIMALS = 12           # gains are compared after rounding (stable tie order)
@@ -185,23 +185,35 @@ def _node_summaries(stats: pd.DataFrame, depth: int, p: TreeParams):
 
 def _best_splits(spark, cur: DataFrame, stats: pd.DataFrame, open_nodes, p: TreeParams, fr, dec, d, m):
     """A4 for every open node at once → ``{(tree, node): (feature, threshold, gain)}``."""
-    g = split_gains(spark, cur, stats, open_nodes, p, fr, dec, d, m)
-    w = Window.partitionBy("tree", "node").orderBy(F.col("gain").desc(), F.col("frank"), F.col("t"))
-    best = g.withColumn("_r", F.row_number().over(w)).where((F.col("_r") == 1) & (F.col("gain") > MIN_GAIN))
+    best = split_gains(spark, cur, open_nodes, p, fr, dec, d, m, best_only=True)
     return {(int(r["tree"]), int(r["node"])): (int(r["feature"]), float(r["t"]), float(r["gain"]))
-            for r in best.select("tree", "node", "feature", "t", "gain").collect()}
+            for r in best.collect() if r["gain"] > MIN_GAIN}
 
 
-def split_gains(spark, cur: DataFrame, stats: pd.DataFrame, open_nodes, p: TreeParams, fr, dec, d, m) -> DataFrame:
-    """A3 + A4: every admissible ``(tree, node, feature, frank, j, t, nl, nr, gain)`` of the open nodes."""
-    open_df = spark.createDataFrame(open_nodes, "tree long, node long")
-    n_open = len(open_nodes)
+def candidate_features(open_df: DataFrame, d: int, m: int, seed: int) -> DataFrame:
+    """R5 per open node without a shuffle: the m features of smallest hash, via a per-node sort."""
+    from vecstack.functions.hashing import portable_hash
     if m >= d:
-        cand = open_df.withColumn("feature", F.explode(F.sequence(F.lit(0), F.lit(d - 1)).cast("array<long>"))) \
+        return open_df.withColumn("feature", F.explode(F.sequence(F.lit(0), F.lit(d - 1)).cast("array<long>"))) \
                       .withColumn("frank", F.col("feature") + 1)
-    else:
-        cand = feature_subset(open_df, d, p.max_features, seed=p.seed).select(
-            "tree", "node", F.col("feature").cast("long"), F.col("frank").cast("long"))
+    keyed = F.transform(F.sequence(F.lit(0), F.lit(d - 1)), lambda f: F.struct(
+        portable_hash(F.lit(seed), F.lit("feat"), F.col("tree"), F.col("node"), f).alias("h"), f.alias("f")))
+    top = F.slice(F.array_sort(keyed), 1, m)
+    return open_df.select("tree", "node", F.posexplode(top).alias("pos", "s")) \
+                  .select("tree", "node", F.col("s.f").cast("long").alias("feature"),
+                          (F.col("pos") + 1).cast("long").alias("frank"))
+
+
+GAIN_SCHEMA = "tree long, node long, feature long, frank long, j long, t double, nl double, nr double, gain double"
+
+
+def split_gains(spark, cur: DataFrame, open_nodes, p: TreeParams, fr, dec, d, m,
+                best_only: bool = False) -> DataFrame:
+    """A3 + A4 for the open nodes: admissible ``(tree, node, feature, frank, j, t, nl, nr, gain)``
+    candidates, or only the best one per node (gain desc, feature rank, threshold asc)."""
+    open_df = spark.createDataFrame(open_nodes, "tree long, node long")
+    n_open = len(open_nodes)
+    cand = candidate_features(open_df, d, m, p.seed)
     ex = (cur.join(_bc(cand, n_open * m), ["tree", "node"])
              .select("tree", "node", "feature", "frank", "label", "w",
                      _value(F.element_at("_x", (F.col("feature") + 1).cast("int")), dec).alias("x")))
@@ -214,32 +226,42 @@ def split_gains(spark, cur: DataFrame, stats: pd.DataFrame, open_nodes, p: TreeP
         ths = ex.groupBy("tree", "node", "feature").agg(F.percentile("x", fr, F.col("w")).alias("q"))
     q = F.col("q") if dec is None else F.transform("q", lambda v: F.round(v, dec))
     ths = ths.select("tree", "node", "feature", F.array_sort(F.array_distinct(q)).alias("ths"))
-    n_ths = n_open * m
-    # A4: histogram of buckets (bucket = #thresholds < x) per class
-    hist = (ex.join(_bc(ths, n_ths), ["tree", "node", "feature"])
+    # A4: histogram of buckets (bucket = #thresholds < x) per class, map-side combined
+    hist = (ex.join(_bc(ths, n_open * m), ["tree", "node", "feature"])
               .withColumn("b", F.size(F.filter("ths", lambda t: t < F.col("x"))))
-              .groupBy("tree", "node", "feature", "frank", "b", "label").agg(F.sum("w").alias("c")))
-    th_long = ths.select("tree", "node", "feature", F.posexplode("ths").alias("j", "t"))
-    left = (hist.join(th_long, ["tree", "node", "feature"]).where(F.col("b") <= F.col("j"))
-                .groupBy("tree", "node", "feature", "frank", "j", "t", "label").agg(F.sum("c").alias("lk")))
-    parent = spark.createDataFrame(stats[["tree", "node", "label", "cnt"]].astype("int64"),
-                                   "tree long, node long, label long, cnt long")
-    frank = hist.select("tree", "node", "feature", "frank").distinct()
-    grid = (th_long.join(frank, ["tree", "node", "feature"])
-                   .join(_bc(parent, len(stats)), ["tree", "node"]))
-    full = grid.join(left, ["tree", "node", "feature", "frank", "j", "t", "label"], "left") \
-               .withColumn("lk", F.coalesce("lk", F.lit(0)).cast("double")) \
-               .withColumn("rk", F.col("cnt").cast("double") - F.col("lk"))
-    g = full.groupBy("tree", "node", "feature", "frank", "j", "t").agg(
-        F.sum("lk").alias("nl"), F.sum("rk").alias("nr"),
-        F.sum(F.col("lk") * F.col("lk")).alias("sl"), F.sum(F.col("rk") * F.col("rk")).alias("sr"),
-        F.sum(F.col("cnt").cast("double") * F.col("cnt")).alias("sp"))
-    n = F.col("nl") + F.col("nr")
-    gini_l = F.when(F.col("nl") > 0, 1 - F.col("sl") / (F.col("nl") * F.col("nl"))).otherwise(F.lit(0.0))
-    gini_r = F.when(F.col("nr") > 0, 1 - F.col("sr") / (F.col("nr") * F.col("nr"))).otherwise(F.lit(0.0))
-    gain = (1 - F.col("sp") / (n * n)) - F.col("nl") / n * gini_l - F.col("nr") / n * gini_r
-    return g.where((F.col("nl") >= p.min_samples_leaf) & (F.col("nr") >= p.min_samples_leaf)) \
-            .withColumn("gain", F.round(gain, GAIN_DECIMALS))
+              .groupBy("tree", "node", "feature", "frank", "ths", "b", "label").agg(F.sum("w").alias("c")))
+    min_leaf = float(p.min_samples_leaf)
+
+    def gains(pdf: pd.DataFrame) -> pd.DataFrame:
+        outs = []
+        for (feat, frank), g in pdf.groupby(["feature", "frank"], sort=False):
+            ths_v = np.asarray(g["ths"].iloc[0], dtype=np.float64)
+            labels, li = np.unique(g["label"].to_numpy(), return_inverse=True)
+            cnt = np.zeros((len(ths_v) + 1, len(labels)))
+            np.add.at(cnt, (g["b"].to_numpy(), li), g["c"].to_numpy(dtype=np.float64))
+            left = np.cumsum(cnt, axis=0)[:len(ths_v)]             # x <= t_j  <=>  bucket <= j
+            par = cnt.sum(axis=0)
+            right = par[None, :] - left
+            nl, nr = left.sum(axis=1), right.sum(axis=1)
+            sl, sr, sp = (left * left).sum(axis=1), (right * right).sum(axis=1), float((par * par).sum())
+            n = nl + nr
+            with np.errstate(divide="ignore", invalid="ignore"):
+                gl = np.where(nl > 0, 1 - sl / (nl * nl), 0.0)
+                gr = np.where(nr > 0, 1 - sr / (nr * nr), 0.0)
+                gain = (1 - sp / (n * n)) - nl / n * gl - nr / n * gr
+            j = np.flatnonzero((nl >= min_leaf) & (nr >= min_leaf))
+            outs.append(pd.DataFrame({"feature": feat, "frank": frank, "j": j, "t": ths_v[j],
+                                      "nl": nl[j], "nr": nr[j], "gain": np.round(gain[j], GAIN_DECIMALS)}))
+        res = pd.concat(outs, ignore_index=True) if outs else pd.DataFrame(
+            {"feature": [], "frank": [], "j": [], "t": [], "nl": [], "nr": [], "gain": []})
+        if best_only and len(res):
+            res = res.sort_values(["gain", "frank", "t"], ascending=[False, True, True], kind="mergesort").head(1)
+        res.insert(0, "node", pdf["node"].iloc[0])
+        res.insert(0, "tree", pdf["tree"].iloc[0])
+        return res.astype({"tree": "int64", "node": "int64", "feature": "int64", "frank": "int64", "j": "int64"})
+
+    # one bounded group per node: m features × (q + 1) buckets × classes
+    return hist.groupBy("tree", "node").applyInPandas(gains, GAIN_SCHEMA)
 
 
 def root_split_table(df: DataFrame, params: TreeParams, label: str = "label", features: str = "features",
@@ -250,9 +272,8 @@ def root_split_table(df: DataFrame, params: TreeParams, label: str = "label", fe
     w = F.col(weight) if weight else F.lit(1)
     cur = df.select(F.lit(0).cast("long").alias("tree"), F.lit(1).cast("long").alias("node"),
                     F.col(label).cast("long").alias("label"), w.cast("long").alias("w"), F.col(features).alias("_x"))
-    stats = cur.groupBy("tree", "node", "label").agg(F.sum("w").alias("cnt")).toPandas()
     m = n_features(params.max_features, d)
-    return split_gains(spark, cur, stats, [(0, 1)], params, quantile_fractions(params.n_thresholds),
+    return split_gains(spark, cur, [(0, 1)], params, quantile_fractions(params.n_thresholds),
                        params.decimals, d, m)
 
 
