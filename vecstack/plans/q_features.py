@@ -13,7 +13,11 @@ from vecstack.plans.registry import EMB, big, explode_long, long_sql, r, registe
 from vecstack.sources.tables import LINEITEM_FEATURES, labelled_vectors, lineitem_vectors, with_split
 
 S = 8
-IS_TRAIN = F.col("row_id") % 5 != 0
+
+
+def is_train():
+    """Train split: row_id % 5 != 0 (built lazily: a Column needs an active session)."""
+    return F.col("row_id") % 5 != 0
 
 
 def _lineitem_stats_sql():
@@ -38,7 +42,7 @@ st AS (SELECT dim, avg(v) AS m, stddev_pop(v) + 1e-12 AS s FROM l WHERE row_id %
 SELECT l.row_id, l.dim, {r("(l.v - st.m) / st.s")} AS value FROM l JOIN st USING (dim)""")
 def q_scaler_transform(spark, sf):
     df = labelled_vectors(spark, sf)
-    model = SC.fit_scaler(df.where(IS_TRAIN))
+    model = SC.fit_scaler(df.where(is_train()))
     return explode_long(model.transform(df, "features", "z"), "z")
 
 
@@ -81,7 +85,7 @@ def family_frame(spark, sf):
 @register("scale_groups", _groups_sql())
 def q_scale_groups(spark, sf):
     fam = family_frame(spark, sf)
-    out, _ = SC.scale_groups(fam, ["hog", "dir", "zon"], IS_TRAIN)
+    out, _ = SC.scale_groups(fam, ["hog", "dir", "zon"], is_train())
     return explode_long(out, "features")
 
 
