@@ -214,9 +214,21 @@ def split_gains(spark, cur: DataFrame, open_nodes, p: TreeParams, fr, dec, d, m,
     open_df = spark.createDataFrame(open_nodes, "tree long, node long")
     n_open = len(open_nodes)
     cand = candidate_features(open_df, d, m, p.seed)
-    ex = (cur.join(_bc(cand, n_open * m), ["tree", "node"])
-             .select("tree", "node", "feature", "frank", "label", "w",
-                     _value(F.element_at("_x", (F.col("feature") + 1).cast("int")), dec).alias("x")))
+    if n_open == 1:
+        # one node: its candidate list is a literal exploded per row (no join; a join on
+        # constant-folded keys would be planned as a nested loop)
+        fl = [(int(r["feature"]), int(r["frank"])) for r in cand.select("feature", "frank").collect()]
+        lit = F.array(*[F.struct(F.lit(f).cast("long").alias("feature"), F.lit(k).cast("long").alias("frank"))
+                        for f, k in fl])
+        t0, n0 = open_nodes[0]
+        rows = cur.where((F.col("tree") == t0) & (F.col("node") == n0))
+        ex = rows.select("tree", "node", "label", "w", "_x", F.explode(lit).alias("_c")).select(
+            "tree", "node", F.col("_c.feature").alias("feature"), F.col("_c.frank").alias("frank"), "label", "w",
+            _value(F.element_at("_x", (F.col("_c.feature") + 1).cast("int")), dec).alias("x"))
+    else:
+        ex = (cur.join(_bc(cand, n_open * m), ["tree", "node"])
+                 .select("tree", "node", "feature", "frank", "label", "w",
+                         _value(F.element_at("_x", (F.col("feature") + 1).cast("int")), dec).alias("x")))
     # A3: split candidates per (tree, node, feature)
     if p.thresholds == "approx":
         ths = (ex.select("tree", "node", "feature", F.explode(F.array_repeat("x", F.col("w").cast("int"))).alias("x"))
