@@ -65,7 +65,7 @@ class BoostedOvR:
 def fit_boosting(df: DataFrame, n_estimators: int = 35, lr: float = 0.15, max_depth: int = 4,
                  min_samples_split: int = 10, min_samples_leaf: int = 5, n_thresholds: int = 8,
                  subsample_rate: float = 0.6, early_stop: bool = True, max_features="sqrt", seed: int = 42,
-                 decimals: int | None = None, thresholds: str = "exact", label: str = "label",
+                 decimals: int | None = None, thresholds: str = "auto", label: str = "label",
                  features: str = "features", key: str = "row_id") -> BoostedOvR:
     """Every (round, class) tree grown in one level-wise job, early stop chosen afterwards."""
     from vecstack.operators.evaluate import distinct_labels

@@ -62,7 +62,7 @@ def classification_report(df: DataFrame, label: str = "label", pred: str = "pred
     Schema ``(row STRING, precision DOUBLE, recall DOUBLE, f1 DOUBLE, support BIGINT)``;
     the accuracy row carries the accuracy in ``f1`` and null precision / recall.
     """
-    per = per_class_table(df, label, pred).cache()
+    per = per_class_table(df, label, pred)          # read twice: the exchange is reused
     classes = per.select(F.col("cls").cast("string").alias("row"), "precision", "recall", "f1", "support")
     tot = per.agg(
         F.sum("support").alias("n"), F.sum("tp").alias("tp"), F.count("*").alias("k"),

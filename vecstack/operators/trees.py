@@ -9,8 +9,11 @@ with heap numbering (children of ``i`` are ``2i`` and ``2i+1``).  Fitting grows
 2. candidate features per open node (R5 hash ranking, or all);
 3. split candidates — per ``(tree, node, feature)`` the distinct interpolated
    percentiles at ``linspace(0, 1, q + 2)[1:-1]`` (``percentile`` with the
-   bootstrap multiplicity as frequency; ``thresholds='approx'`` uses the
-   bounded-memory ``percentile_approx`` sketch instead);
+   bootstrap multiplicity as frequency).  An exact percentile merges every
+   distinct value of a node into one task, so with ``thresholds='auto'`` (the
+   default) only nodes of at most ``exact_max_rows`` weighted rows use it and
+   larger nodes use the mergeable, bounded-memory ``percentile_approx`` sketch
+   over all their rows; ``'exact'`` / ``'approx'`` force one method;
 4. histogram — every row is bucketed once per candidate feature (bucket = number
    of thresholds below the value) and counted per ``(tree, node, feature,
    bucket, label)`` with map-side combine: the shuffle is bounded by
@@ -48,7 +51,8 @@ class TreeParams:
     min_samples_leaf: int = 5
     max_features: object = "sqrt"
     n_thresholds: int = 16
-    thresholds: str = "exact"          # 'exact' percentile | 'approx' percentile_approx sketch
+    thresholds: str = "auto"           # 'auto' | 'exact' percentile | 'approx' percentile_approx sketch
+    exact_max_rows: int = 1_000_000    # 'auto': largest node (weighted rows) given exact percentiles
     decimals: int | None = None        # round values and thresholds (engine-stable comparisons)
     seed: int = 42
     approx_accuracy: int = 10_000
@@ -185,7 +189,9 @@ def _node_summaries(stats: pd.DataFrame, depth: int, p: TreeParams):
 
 def _best_splits(spark, cur: DataFrame, stats: pd.DataFrame, open_nodes, p: TreeParams, fr, dec, d, m):
     """A4 for every open node at once → ``{(tree, node): (feature, threshold, gain)}``."""
-    best = split_gains(spark, cur, open_nodes, p, fr, dec, d, m, best_only=True)
+    sizes = stats.groupby(["tree", "node"])["cnt"].sum()
+    node_sizes = {(int(t), int(n)): float(v) for (t, n), v in sizes.items()}
+    best = split_gains(spark, cur, open_nodes, p, fr, dec, d, m, best_only=True, node_sizes=node_sizes)
     return {(int(r["tree"]), int(r["node"])): (int(r["feature"]), float(r["t"]), float(r["gain"]))
             for r in best.collect() if r["gain"] > MIN_GAIN}
 
@@ -207,8 +213,30 @@ def candidate_features(open_df: DataFrame, d: int, m: int, seed: int) -> DataFra
 GAIN_SCHEMA = "tree long, node long, feature long, frank long, j long, t double, nl double, nr double, gain double"
 
 
+def _thresholds(ex: DataFrame, p: TreeParams, fr, open_nodes, node_sizes) -> DataFrame:
+    """A3 per ``(tree, node, feature)``: exact percentiles for bounded nodes, sketch for large ones."""
+    def exact(src):
+        return src.groupBy("tree", "node", "feature").agg(F.percentile("x", fr, F.col("w")).alias("q"))
+
+    def approx(src):
+        rep = src.select("tree", "node", "feature", F.explode(F.array_repeat("x", F.col("w").cast("int"))).alias("x"))
+        return rep.groupBy("tree", "node", "feature").agg(F.percentile_approx("x", fr, p.approx_accuracy).alias("q"))
+
+    if p.thresholds == "approx":
+        return approx(ex)
+    if p.thresholds == "exact" or node_sizes is None:
+        return exact(ex)
+    big = [f"{t}:{n}" for (t, n) in open_nodes if node_sizes.get((t, n), 0) > p.exact_max_rows]
+    if not big:
+        return exact(ex)
+    if len(big) == len(open_nodes):
+        return approx(ex)
+    is_big = F.concat_ws(":", F.col("tree"), F.col("node")).isin(big)     # few: each holds > exact_max_rows
+    return exact(ex.where(~is_big)).unionByName(approx(ex.where(is_big)))
+
+
 def split_gains(spark, cur: DataFrame, open_nodes, p: TreeParams, fr, dec, d, m,
-                best_only: bool = False) -> DataFrame:
+                best_only: bool = False, node_sizes: dict | None = None) -> DataFrame:
     """A3 + A4 for the open nodes: admissible ``(tree, node, feature, frank, j, t, nl, nr, gain)``
     candidates, or only the best one per node (gain desc, feature rank, threshold asc)."""
     open_df = spark.createDataFrame(open_nodes, "tree long, node long")
@@ -230,12 +258,7 @@ def split_gains(spark, cur: DataFrame, open_nodes, p: TreeParams, fr, dec, d, m,
                  .select("tree", "node", "feature", "frank", "label", "w",
                          _value(F.element_at("_x", (F.col("feature") + 1).cast("int")), dec).alias("x")))
     # A3: split candidates per (tree, node, feature)
-    if p.thresholds == "approx":
-        ths = (ex.select("tree", "node", "feature", F.explode(F.array_repeat("x", F.col("w").cast("int"))).alias("x"))
-                 .groupBy("tree", "node", "feature")
-                 .agg(F.percentile_approx("x", fr, p.approx_accuracy).alias("q")))
-    else:
-        ths = ex.groupBy("tree", "node", "feature").agg(F.percentile("x", fr, F.col("w")).alias("q"))
+    ths = _thresholds(ex, p, fr, open_nodes, node_sizes)
     q = F.col("q") if dec is None else F.transform("q", lambda v: F.round(v, dec))
     ths = ths.select("tree", "node", "feature", F.array_sort(F.array_distinct(q)).alias("ths"))
     # A4: histogram of buckets (bucket = #thresholds < x) per class, map-side combined
@@ -285,8 +308,11 @@ def root_split_table(df: DataFrame, params: TreeParams, label: str = "label", fe
     cur = df.select(F.lit(0).cast("long").alias("tree"), F.lit(1).cast("long").alias("node"),
                     F.col(label).cast("long").alias("label"), w.cast("long").alias("w"), F.col(features).alias("_x"))
     m = n_features(params.max_features, d)
+    sizes = None
+    if params.thresholds == "auto":
+        sizes = {(0, 1): float(cur.agg(F.sum("w")).first()[0] or 0)}
     return split_gains(spark, cur, [(0, 1)], params, quantile_fractions(params.n_thresholds),
-                       params.decimals, d, m)
+                       params.decimals, d, m, node_sizes=sizes)
 
 
 def split_candidates(df: DataFrame, params: TreeParams, features: str = "features") -> DataFrame:
@@ -295,8 +321,9 @@ def split_candidates(df: DataFrame, params: TreeParams, features: str = "feature
     l = df.select(F.posexplode(features).alias("feature", "x"))
     if params.decimals is not None:
         l = l.withColumn("x", F.round("x", params.decimals))
-    agg = F.percentile_approx("x", fr, params.approx_accuracy) if params.thresholds == "approx" \
-        else F.percentile("x", fr)
+    use_approx = params.thresholds == "approx" or (
+        params.thresholds == "auto" and df.count() > params.exact_max_rows)
+    agg = F.percentile_approx("x", fr, params.approx_accuracy) if use_approx else F.percentile("x", fr)
     q = l.groupBy("feature").agg(agg.alias("q"))
     if params.decimals is not None:
         q = q.withColumn("q", F.transform("q", lambda v: F.round(v, params.decimals)))
