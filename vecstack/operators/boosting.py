@@ -101,6 +101,18 @@ def stop_round(model: BoostedOvR, df: DataFrame, label: str = "label", features:
     uniform = np.mean(np.abs(np.eye(K)[0] - 1.0 / K))
     if uniform < EARLY_STOP_MAR:
         return 0
+    # Scores are lr·votes with at most m votes per class before round m, so
+    # p_true ≤ e^{lr·m} / (e^{lr·m} + K − 1) and mean|Y − P_m| ≥ (2/K)(K − 1) / (e^{lr·m} + K − 1).
+    # If that bound stays above the threshold for every checked round, no stop is possible.
+    if K > 1 and (2.0 / K) * (K - 1) / (np.exp(lr * (R - 1)) + K - 1) >= EARLY_STOP_MAR + 1e-9:
+        return R
+    return stop_round_from_votes(model, df, label, features, key)
+
+
+def stop_round_from_votes(model: BoostedOvR, df: DataFrame, label: str = "label", features: str = "features",
+                          key: str = "row_id") -> int:
+    """The stop round from running vote sums over all training rows (one distributed job)."""
+    K, R, lr = len(model.classes), model.n_rounds, model.lr
     v = model.ensemble.apply(df, features, key)
     per = v.groupBy(key, (F.col("tree") / K).cast("long").alias("round"), (F.col("tree") % K).alias("k")) \
            .agg(F.sum("vote").alias("vote"))
