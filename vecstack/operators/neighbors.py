@@ -36,10 +36,17 @@ def _prep(mat: np.ndarray, metric: str) -> np.ndarray:
     return mat
 
 
-def _local_topk(q_ids, q_mat, t_ids, t_lab, t_mat, t_sq, k, metric, chunk=2048):
-    """Top-k of one query block against one train block → DataFrame rows."""
+SIM_BLOCK_ELEMENTS = 1 << 24      # ≤ 128 MiB of similarities per task at a time
+
+
+def _local_topk(q_ids, q_mat, t_ids, t_lab, t_mat, t_sq, k, metric):
+    """Top-k of one query block against one train block → DataFrame rows.
+
+    Queries are processed in chunks so that the chunk × train similarity block
+    stays under ``SIM_BLOCK_ELEMENTS`` whatever the train size."""
     out = []
     kk = min(k, len(t_ids))
+    chunk = max(1, min(4096, SIM_BLOCK_ELEMENTS // max(len(t_ids), 1)))
     if kk == 0 or len(q_ids) == 0:
         return pd.DataFrame({"q_id": [], "t_id": [], "t_label": [], "score": [], "rank": []})
     for s in range(0, len(q_ids), chunk):
