@@ -121,8 +121,6 @@ class TreeEnsemble:
 def fit_trees(work: DataFrame, params: TreeParams, d: int, classes=None, label: str = "label",
               weight: str = "weight", features: str = "features", key: str = "row_id") -> TreeEnsemble:
     """M5 / M7 core: grow every tree of ``work`` (columns tree, key, label, weight, features)."""
-    if params.n_thresholds <= 0:
-        raise NotImplementedError("n_thresholds <= 0 (every distinct value) is not supported; use q > 0")
     spark = work.sparkSession
     fr = quantile_fractions(params.n_thresholds)
     dec = params.decimals
@@ -222,6 +220,13 @@ def _thresholds(ex: DataFrame, p: TreeParams, fr, open_nodes, node_sizes) -> Dat
         rep = src.select("tree", "node", "feature", F.explode(F.array_repeat("x", F.col("w").cast("int"))).alias("x"))
         return rep.groupBy("tree", "node", "feature").agg(F.percentile_approx("x", fr, p.approx_accuracy).alias("q"))
 
+    if p.n_thresholds <= 0:
+        # every distinct value of the node is a candidate: only for bounded nodes
+        too_big = [k for k in open_nodes if (node_sizes or {}).get(k, 0) > p.exact_max_rows]
+        if too_big or node_sizes is None:
+            raise ValueError("n_thresholds <= 0 (all distinct values) needs every node within exact_max_rows "
+                             f"({p.exact_max_rows}); use n_thresholds > 0 for larger nodes")
+        return ex.groupBy("tree", "node", "feature").agg(F.collect_set("x").alias("q"))
     if p.thresholds == "approx":
         return approx(ex)
     if p.thresholds == "exact" or node_sizes is None:
@@ -309,7 +314,7 @@ def root_split_table(df: DataFrame, params: TreeParams, label: str = "label", fe
                     F.col(label).cast("long").alias("label"), w.cast("long").alias("w"), F.col(features).alias("_x"))
     m = n_features(params.max_features, d)
     sizes = None
-    if params.thresholds == "auto":
+    if params.thresholds == "auto" or params.n_thresholds <= 0:
         sizes = {(0, 1): float(cur.agg(F.sum("w")).first()[0] or 0)}
     return split_gains(spark, cur, [(0, 1)], params, quantile_fractions(params.n_thresholds),
                        params.decimals, d, m, node_sizes=sizes)
