@@ -19,8 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vecstack.functions.arrays import NORM_EPS, argmax_class, softmax
-from vecstack.operators.sampling import subsample
-from vecstack.operators.trees import TreeEnsemble, TreeParams, fit_trees
+from vecstack.operators.trees import TreeEnsemble, TreeParams, grow
 
 EARLY_STOP_MAR = 0.05
 
@@ -67,27 +66,35 @@ def fit_boosting(df: DataFrame, n_estimators: int = 35, lr: float = 0.15, max_de
                  subsample_rate: float = 0.6, early_stop: bool = True, max_features="sqrt", seed: int = 42,
                  decimals: int | None = None, thresholds: str = "auto", label: str = "label",
                  features: str = "features", key: str = "row_id") -> BoostedOvR:
-    """Every (round, class) tree grown in one level-wise job, early stop chosen afterwards."""
+    """Every (round, class) tree grown in one level-wise job over one row per data row
+    (tree ``round·K + k``: weight = membership in the round's exact subsample, target =
+    ``1{y = c_k}``); the early-stop round is chosen afterwards."""
     from vecstack.operators.evaluate import distinct_labels
+    from vecstack.operators.sampling import subsample_membership
     classes = distinct_labels(df, label)
     K = len(classes)
     d = len(df.select(features).first()[0])
-    sub = subsample(df.select(key, label, features), subsample_rate, n_estimators, seed=seed, exact=True)
+    n = df.count()
+    base = df.select(key, label, features)
+    mem = subsample_membership(base, subsample_rate, n_estimators, seed=seed, key=key, n=n)   # per round
+    w = F.flatten(F.transform(mem, lambda x: F.array_repeat(x, K)))                         # per tree
+    # a class whose subsample holds one target value gets no tree that round (bounded: rounds × classes)
+    m = int(subsample_rate * n)
+    counts = (base.select(F.col(label).alias("_l"), F.posexplode(mem).alias("round", "in"))
+                  .where(F.col("in") == 1).groupBy("round", "_l").count().collect())
+    per = {(int(r["round"]), int(r["_l"])): int(r["count"]) for r in counts}
+    active = [r * K + k for r in range(n_estimators) for k, c in enumerate(classes)
+              if 0 < per.get((r, int(c)), 0) < m]
     cls = F.array(*[F.lit(int(c)) for c in classes])
-    work = (sub.select(key, features, "round", F.posexplode(cls).alias("k", "_c"), label)
-               .withColumn("target", (F.col(label) == F.col("_c")).cast("int"))
-               .withColumn("tree", F.col("round") * K + F.col("k"))
-               .withColumn("weight", F.lit(1)))
-    work = work.persist(StorageLevel.MEMORY_AND_DISK)
-    # a class whose subsample holds one target value gets no tree that round
-    both = (work.groupBy("tree").agg(F.countDistinct("target").alias("nv"))
-                .where(F.col("nv") == 2).select("tree"))
-    work2 = work.join(F.broadcast(both), "tree")        # ≤ rounds × classes rows
+
+    def target(lab, t):
+        return (lab == F.element_at(cls, (t % K + 1).cast("int"))).cast("long")
+
     params = TreeParams(max_depth=max_depth, min_samples_split=min_samples_split,
                         min_samples_leaf=min_samples_leaf, max_features=max_features,
                         n_thresholds=n_thresholds, decimals=decimals, seed=seed, thresholds=thresholds)
-    ens = fit_trees(work2, params, d, [0, 1], label="target", features=features, key=key)
-    work.unpersist()
+    ens = grow(base, n_estimators * K, params, d, [0, 1], weights=w, target=target, active=active,
+               label=label, features=features, key=key)
     model = BoostedOvR(ens, classes, lr, n_estimators, n_estimators)
     if early_stop and len(ens.nodes):
         model.rounds_used = stop_round(model, df, label, features, key)

@@ -110,6 +110,46 @@ def bootstrap_weights(df: DataFrame, n_trees: int, ratio: float, seed: int = 42,
     return t if keep_zero else t.where(F.col("weight") > 0)
 
 
+def bootstrap_weight_array(n_trees: int, lam: float, seed: int = 42, key: str = "row_id") -> Column:
+    """R3 as one ``array<int>`` per row: multiplicity of the row in every tree (same draws as
+    :func:`bootstrap_weights`), so a forest never copies rows per tree."""
+    def draw(t):
+        u = portable_hash(F.lit(seed), F.lit("boot"), t, F.col(key)) / F.lit(HASH_RANGE)
+        return poisson_draw(u, lam)
+    return F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)), draw)
+
+
+def subsample_cutoffs(df: DataFrame, frac: float, rounds: int, seed: int = 42, key: str = "row_id",
+                      n: int | None = None) -> list:
+    """Per round the last member ``(hash, key)`` of the exact int(frac·n) subsample (None: empty)."""
+    n = df.count() if n is None else n
+    m = int(frac * n)
+    if m <= 0:
+        return [None] * rounds
+    t = df.select(key).withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))))
+    t = t.withColumn("_hh", portable_hash(F.lit(seed), F.lit("sub"), F.col("round"), F.col(key)))
+    last = hash_rank(t, "_hh", tie=key, groups=["round"], out="_r").where(F.col("_r") == m - 1)
+    got = {int(r["round"]): (int(r["_hh"]), int(r[key])) for r in last.collect()}      # one row per round
+    return [got.get(r) for r in range(rounds)]
+
+
+def subsample_membership(df: DataFrame, frac: float, rounds: int, seed: int = 42, key: str = "row_id",
+                         n: int | None = None, per: int = 1) -> Column:
+    """R4 as one ``array<int>`` per row: 1 where the row is in round ``t // per``'s exact
+    subsample (same rows as :func:`subsample`), for ``t`` in ``0 … rounds·per − 1``."""
+    cuts = subsample_cutoffs(df, frac, rounds, seed, key, n)
+    ch = F.array(*[F.lit(c[0] if c else -1).cast("long") for c in cuts])
+    ck = F.array(*[F.lit(c[1] if c else -1).cast("long") for c in cuts])
+
+    def member(t):
+        r = (t / per).cast("int") if per > 1 else t
+        h = portable_hash(F.lit(seed), F.lit("sub"), r, F.col(key))
+        hc, kc = F.element_at(ch, r + 1), F.element_at(ck, r + 1)
+        inside = (h < hc) | ((h == hc) & (F.col(key).cast("long") <= kc))
+        return F.when((hc >= 0) & inside, F.lit(1)).otherwise(F.lit(0))
+    return F.transform(F.sequence(F.lit(0), F.lit(rounds * per - 1)), member)
+
+
 def subsample(df: DataFrame, frac: float, rounds: int, seed: int = 42, exact: bool = True,
               key: str = "row_id") -> DataFrame:
     """Per round, int(frac · n) rows without replacement (``exact``) or each row

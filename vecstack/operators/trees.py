@@ -2,10 +2,15 @@
 
 A tree is a **table** ``(tree, node, is_leaf, feature, threshold, pred, n, depth)``
 with heap numbering (children of ``i`` are ``2i`` and ``2i+1``).  Fitting grows
-*all* trees of an ensemble together, one level per round of Spark jobs:
-
-1. node statistics — ``groupBy(tree, node, label)`` weighted counts (bounded by
-   trees × 2^depth × classes) decide leaves (depth, size, purity) and majorities;
+*all* trees of an ensemble together, one level per round of Spark jobs, over a
+**wide** working frame: one row per data row holding its features once, a
+per-tree multiplicity array ``w[t]`` (bootstrap / subsample) and a per-tree
+node array ``nd[t]`` (0 = not in tree ``t`` any more).  Per-tree targets are
+computed on the fly from the label.  Nothing is copied per tree.
+
+1. node statistics — the (tree, node) pairs are exploded inside a
+   ``groupBy(tree, node, label)`` of weighted counts (bounded by trees ×
+   2^depth × classes) that decides leaves (depth, size, purity) and majorities;
 2. candidate features per open node (R5 hash ranking, or all);
 3. split candidates — per ``(tree, node, feature)`` the distinct interpolated
    percentiles at ``linspace(0, 1, q + 2)[1:-1]`` (``percentile`` with the
@@ -14,17 +19,18 @@ with heap numbering (children of ``i`` are ``2i`` and ``2i+1``).  Fitting grows
    default) only nodes of at most ``exact_max_rows`` weighted rows use it and
    larger nodes use the mergeable, bounded-memory ``percentile_approx`` sketch
    over all their rows; ``'exact'`` / ``'approx'`` force one method;
-4. histogram — every row is bucketed once per candidate feature (bucket = number
-   of thresholds below the value) and counted per ``(tree, node, feature,
-   bucket, label)`` with map-side combine: the shuffle is bounded by
+4. histogram — every (row, tree) is bucketed once per candidate feature (bucket
+   = number of thresholds below the value) and counted per ``(tree, node,
+   feature, bucket, label)`` with map-side combine: the shuffle is bounded by
    nodes × features × (q+1) × classes, not by rows;
 5. split choice — left counts are cumulative bucket counts, right = parent −
    left, weighted Gini gain, ``min_samples_leaf`` on both sides; best per node by
    (gain desc, feature rank, threshold asc); gain ≤ 1e-12 makes a leaf;
-6. rows move to children through a broadcast join with the (bounded) split table.
+6. rows move to children by a narrow array transform of ``nd`` that reads the
+   level's splits from dense constant arrays indexed by ``t·2^L + (node − 2^L)``
+   (size trees × 2^level, checked) — no join, no shuffle.
 
-Rows of a node only ever meet in aggregations; no per-node collect, no
-recursion.  Prediction walks all trees with one broadcast join per level.
+Prediction walks all trees the same way (one array transform per level).
 """
 
 from __future__ import annotations
@@ -42,6 +48,7 @@ from vecstack.operators.sampling import n_features
 MIN_GAIN = 1e-12
 GAIN_DECIMALS = 12           # gains are compared after rounding (stable tie order)
 BROADCAST_ROWS = 4_000_000   # node / split tables above this size are shuffled, not broadcast
+DENSE_MAX = 4_000_000        # largest per-level lookup array (trees × 2^level) held as a constant
 
 
 @dataclass
@@ -72,6 +79,47 @@ def _value(x, decimals):
     return F.round(x, decimals) if decimals is not None else x
 
 
+def _lit_array(vals, kind: str):
+    """A constant array built from one SQL literal (one JVM call; folded by the optimizer)."""
+    if len(vals) == 0:
+        return F.array().cast(f"array<{kind}>")
+    if kind == "double":
+        body = ",".join("%.17e" % float(v) for v in vals)
+    else:
+        body = ",".join(str(int(v)) for v in vals)
+    return F.expr(f"array({body})").cast(f"array<{kind}>")
+
+
+def _dense(n_trees: int, width: int, entries, fill, kind: str):
+    """Dense constant array over ``tree × width`` slots from ``{(tree, slot): value}``."""
+    size = n_trees * width
+    if size > DENSE_MAX:
+        raise ValueError(f"{n_trees} trees × {width} nodes per level exceed the lookup bound {DENSE_MAX}; "
+                         "grow fewer trees at once or use a smaller max_depth")
+    arr = np.full(size, fill, dtype=np.float64 if kind == "double" else np.int64)
+    for (t, slot), v in entries.items():
+        arr[t * width + slot] = v
+    return _lit_array(arr.tolist(), kind)
+
+
+def _walk(nd, x, feats, thrs, level: int, dec, keep_leaves: bool):
+    """One level of every tree: nodes at depth ``level`` with a split move to a child;
+    other nodes stay (prediction) or leave the tree (fitting, ``keep_leaves=False``)."""
+    base = 1 << level
+
+    def step(node, t):
+        idx = (t * base + node - base + 1).cast("int")
+        fe = F.element_at(feats, idx)
+        go = (_value(F.element_at(x, (fe + 1).cast("int")), dec) > F.element_at(thrs, idx)).cast("long")
+        stay = node if keep_leaves else F.lit(0).cast("long")
+        return (F.when(node <= 0, F.lit(0).cast("long"))
+                 .when(node < base, stay)
+                 .when(fe < 0, stay)
+                 .otherwise(node * 2 + go))
+
+    return F.transform(nd, step)
+
+
 @dataclass
 class TreeEnsemble:
     nodes: pd.DataFrame                  # tree, node, is_leaf, feature, threshold, pred, n, depth
@@ -89,27 +137,31 @@ class TreeEnsemble:
 
     def apply(self, df: DataFrame, features: str = "features", key: str = "row_id",
               trees: list[int] | None = None) -> DataFrame:
-        """``(key, tree, node, vote)`` — the leaf of every row in every tree."""
-        spark = df.sparkSession
-        trees = trees if trees is not None else self.tree_ids
+        """``(key, tree, node, vote)`` — the leaf of every row in every tree.
+
+        One narrow array transform per level over all trees at once."""
+        trees = sorted(trees if trees is not None else self.tree_ids)
         nd = self.nodes[self.nodes["tree"].isin(trees)]
-        internal = nd[~nd["is_leaf"]][["tree", "node", "feature", "threshold"]]
-        leaves = nd[nd["is_leaf"]][["tree", "node", "pred"]]
-        split_t = spark.createDataFrame(internal.rename(columns={"feature": "_f", "threshold": "_t"}),
-                                        "tree long, node long, _f long, _t double")
-        leaf_t = spark.createDataFrame(leaves.rename(columns={"pred": "vote"}), "tree long, node long, vote long")
-        cur = df.select(F.col(key), F.col(features).alias("_x"),
-                        F.explode(F.array(*[F.lit(int(t)) for t in trees]).cast("array<long>")).alias("tree"),
-                        F.lit(1).cast("long").alias("node"))
+        T = (max(trees) + 1) if trees else 1
         depth = int(nd["depth"].max()) if len(nd) else 0
         dec = self.params.decimals
-        split_b = _bc(split_t, len(internal))
-        for _ in range(depth):
-            cur = cur.join(split_b, ["tree", "node"], "left")
-            go_right = (_value(F.element_at("_x", (F.col("_f") + 1).cast("int")), dec) > F.col("_t")).cast("long")
-            cur = cur.withColumn("node", F.when(F.col("_f").isNull(), F.col("node"))
-                                 .otherwise(F.col("node") * 2 + go_right)).drop("_f", "_t")
-        return cur.join(_bc(leaf_t, len(leaves)), ["tree", "node"]).select(key, "tree", "node", "vote")
+        cur = df.select(F.col(key), F.col(features).alias("_x"),
+                        _lit_array([1 if t in set(trees) else 0 for t in range(T)], "bigint").alias("_nd"))
+        internal = nd[~nd["is_leaf"]]
+        for level in range(depth):
+            lv = internal[internal["depth"] == level]
+            base = 1 << level
+            feats = _dense(T, base, {(int(r.tree), int(r.node) - base): int(r.feature) for r in lv.itertuples()},
+                           -1, "bigint")
+            thrs = _dense(T, base, {(int(r.tree), int(r.node) - base): float(r.threshold) for r in lv.itertuples()},
+                          0.0, "double")
+            cur = cur.withColumn("_nd", _walk(F.col("_nd"), F.col("_x"), feats, thrs, level, dec, True))
+        width = 1 << (depth + 1)
+        preds = _dense(T, width, {(int(r.tree), int(r.node)): int(r.pred)
+                                  for r in nd[nd["is_leaf"]].itertuples()}, -1, "bigint")
+        out = cur.select(F.col(key), F.posexplode("_nd").alias("tree", "node")).where(F.col("node") > 0)
+        vote = F.element_at(preds, (F.col("tree") * width + F.col("node") + 1).cast("int"))
+        return out.select(key, F.col("tree").cast("long").alias("tree"), "node", vote.alias("vote"))
 
     def predict(self, df: DataFrame, features: str = "features", key: str = "row_id") -> DataFrame:
         """M6 / M8: hard majority over trees, ties → the vote of the lowest tree id (``(key, pred)``)."""
@@ -118,49 +170,65 @@ class TreeEnsemble:
         return majority_vote(v, key=key, vote="vote", order="tree").select(key, F.col("pred").cast("int"))
 
 
-def fit_trees(work: DataFrame, params: TreeParams, d: int, classes=None, label: str = "label",
-              weight: str = "weight", features: str = "features", key: str = "row_id") -> TreeEnsemble:
-    """M5 / M7 core: grow every tree of ``work`` (columns tree, key, label, weight, features)."""
-    spark = work.sparkSession
+def _tree_view(cur: DataFrame, target) -> DataFrame:
+    """``(_k, _x, tree, node, w, label)`` for every (row, tree) still in a node with weight > 0."""
+    v = cur.select("_k", "_x", "_lab", F.posexplode(F.arrays_zip("_nd", "_w")).alias("tree", "s"))
+    v = v.where((F.col("s._nd") > 0) & (F.col("s._w") > 0))
+    lab = target(F.col("_lab"), F.col("tree")) if target is not None else F.col("_lab")
+    return v.select("_k", "_x", F.col("tree").cast("long").alias("tree"), F.col("s._nd").alias("node"),
+                    F.col("s._w").cast("long").alias("w"), lab.cast("long").alias("label"))
+
+
+def grow(rows: DataFrame, n_trees: int, params: TreeParams, d: int, classes=None, weights=None, target=None,
+         active=None, label: str = "label", features: str = "features", key: str = "row_id") -> TreeEnsemble:
+    """M5 / M7 core: grow trees ``0 … n_trees−1`` together over one row per data row.
+
+    ``weights``: ``array<int>`` column of per-tree multiplicities (default 1);
+    ``target(label_col, tree_col)``: per-tree target (default the label);
+    ``active``: tree ids to grow (default all)."""
+    spark = rows.sparkSession
     fr = quantile_fractions(params.n_thresholds)
     dec = params.decimals
     m = n_features(params.max_features, d)
-    cur = work.select(F.col("tree").cast("long").alias("tree"), F.col(key).alias("_k"),
-                      F.col(label).cast("long").alias("label"), F.col(weight).cast("long").alias("w"),
-                      F.col(features).alias("_x"), F.lit(1).cast("long").alias("node"))
+    act = set(range(n_trees)) if active is None else set(int(t) for t in active)
+    w = weights if weights is not None else F.array_repeat(F.lit(1), n_trees)
+    nd0 = _lit_array([1 if t in act else 0 for t in range(n_trees)], "bigint")
+    cur = rows.select(F.col(key).alias("_k"), F.col(label).cast("long").alias("_lab"),
+                      F.col(features).alias("_x"), w.cast("array<int>").alias("_w"))
+    cur = cur.withColumn("_nd", F.zip_with(nd0, "_w", lambda n, ww: F.when(ww > 0, n).otherwise(F.lit(0).cast("long"))))
     cur = cur.persist(StorageLevel.MEMORY_AND_DISK)
     out_rows = []
     prev = None
     for depth in range(params.max_depth + 1):
-        stats = (cur.groupBy("tree", "node", "label")
-                    .agg(F.sum("w").alias("cnt"), F.min("_k").alias("first")).toPandas())
+        view = _tree_view(cur, target)
+        stats = (view.groupBy("tree", "node", "label")
+                     .agg(F.sum("w").alias("cnt"), F.min("_k").alias("first")).toPandas())
+        if prev is not None:                          # the child level is materialised now
+            prev.unpersist()
+            prev = None
         if stats.empty:
             break
         node_rows, open_nodes = _node_summaries(stats, depth, params)
         if not open_nodes:
             out_rows += node_rows
             break
-        best = _best_splits(spark, cur, stats, open_nodes, params, fr, dec, d, m)
-        splits = []
+        best = _best_splits(spark, view, stats, open_nodes, params, fr, dec, d, m)
+        splits = {}
         for r in node_rows:
             b = best.get((r["tree"], r["node"])) if not r["is_leaf"] else None
             if b is None:
                 r["is_leaf"] = True
             else:
                 r["feature"], r["threshold"] = int(b[0]), float(b[1])
-                splits.append((r["tree"], r["node"], int(b[0]), float(b[1])))
+                splits[(r["tree"], r["node"])] = (int(b[0]), float(b[1]))
         out_rows += node_rows
         if not splits or depth == params.max_depth:
             break
-        st = spark.createDataFrame(splits, "tree long, node long, _f long, _t double")
-        nxt = cur.join(_bc(st, len(splits)), ["tree", "node"])
-        go_right = (_value(F.element_at("_x", (F.col("_f") + 1).cast("int")), dec) > F.col("_t")).cast("long")
-        nxt = nxt.withColumn("node", F.col("node") * 2 + go_right).drop("_f", "_t")
-        nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-        if prev is not None:
-            prev.unpersist()
-        prev = cur
-        cur = nxt
+        base = 1 << depth
+        feats = _dense(n_trees, base, {(t, n - base): v[0] for (t, n), v in splits.items()}, -1, "bigint")
+        thrs = _dense(n_trees, base, {(t, n - base): v[1] for (t, n), v in splits.items()}, 0.0, "double")
+        nxt = cur.withColumn("_nd", _walk(F.col("_nd"), F.col("_x"), feats, thrs, depth, dec, False))
+        prev, cur = cur, nxt.persist(StorageLevel.MEMORY_AND_DISK)
     cur.unpersist()
     if prev is not None:
         prev.unpersist()
@@ -185,11 +253,16 @@ def _node_summaries(stats: pd.DataFrame, depth: int, p: TreeParams):
     return rows, open_nodes
 
 
-def _best_splits(spark, cur: DataFrame, stats: pd.DataFrame, open_nodes, p: TreeParams, fr, dec, d, m):
+def _best_splits(spark, view: DataFrame, stats: pd.DataFrame, open_nodes, p: TreeParams, fr, dec, d, m):
     """A4 for every open node at once → ``{(tree, node): (feature, threshold, gain)}``."""
     sizes = stats.groupby(["tree", "node"])["cnt"].sum()
     node_sizes = {(int(t), int(n)): float(v) for (t, n), v in sizes.items()}
-    best = split_gains(spark, cur, open_nodes, p, fr, dec, d, m, best_only=True, node_sizes=node_sizes)
+    open_df = spark.createDataFrame(open_nodes, "tree long, node long")
+    cand = candidate_features(open_df, d, m, p.seed)
+    ex = (view.join(_bc(cand, len(open_nodes) * m), ["tree", "node"])
+              .select("tree", "node", "feature", "frank", "label", "w",
+                      _value(F.element_at("_x", (F.col("feature") + 1).cast("int")), dec).alias("x")))
+    best = split_gains(ex, open_nodes, p, fr, dec, m, best_only=True, node_sizes=node_sizes)
     return {(int(r["tree"]), int(r["node"])): (int(r["feature"]), float(r["t"]), float(r["gain"]))
             for r in best.collect() if r["gain"] > MIN_GAIN}
 
@@ -240,28 +313,12 @@ def _thresholds(ex: DataFrame, p: TreeParams, fr, open_nodes, node_sizes) -> Dat
     return exact(ex.where(~is_big)).unionByName(approx(ex.where(is_big)))
 
 
-def split_gains(spark, cur: DataFrame, open_nodes, p: TreeParams, fr, dec, d, m,
+def split_gains(ex: DataFrame, open_nodes, p: TreeParams, fr, dec, m,
                 best_only: bool = False, node_sizes: dict | None = None) -> DataFrame:
-    """A3 + A4 for the open nodes: admissible ``(tree, node, feature, frank, j, t, nl, nr, gain)``
-    candidates, or only the best one per node (gain desc, feature rank, threshold asc)."""
-    open_df = spark.createDataFrame(open_nodes, "tree long, node long")
+    """A3 + A4 from ``ex(tree, node, feature, frank, label, w, x)``: admissible
+    ``(tree, node, feature, frank, j, t, nl, nr, gain)`` candidates, or only the
+    best one per node (gain desc, feature rank, threshold asc)."""
     n_open = len(open_nodes)
-    cand = candidate_features(open_df, d, m, p.seed)
-    if n_open == 1:
-        # one node: its candidate list is a literal exploded per row (no join; a join on
-        # constant-folded keys would be planned as a nested loop)
-        fl = [(int(r["feature"]), int(r["frank"])) for r in cand.select("feature", "frank").collect()]
-        lit = F.array(*[F.struct(F.lit(f).cast("long").alias("feature"), F.lit(k).cast("long").alias("frank"))
-                        for f, k in fl])
-        t0, n0 = open_nodes[0]
-        rows = cur.where((F.col("tree") == t0) & (F.col("node") == n0))
-        ex = rows.select("tree", "node", "label", "w", "_x", F.explode(lit).alias("_c")).select(
-            "tree", "node", F.col("_c.feature").alias("feature"), F.col("_c.frank").alias("frank"), "label", "w",
-            _value(F.element_at("_x", (F.col("_c.feature") + 1).cast("int")), dec).alias("x"))
-    else:
-        ex = (cur.join(_bc(cand, n_open * m), ["tree", "node"])
-                 .select("tree", "node", "feature", "frank", "label", "w",
-                         _value(F.element_at("_x", (F.col("feature") + 1).cast("int")), dec).alias("x")))
     # A3: split candidates per (tree, node, feature)
     ths = _thresholds(ex, p, fr, open_nodes, node_sizes)
     q = F.col("q") if dec is None else F.transform("q", lambda v: F.round(v, dec))
@@ -309,15 +366,24 @@ def root_split_table(df: DataFrame, params: TreeParams, label: str = "label", fe
     """A3/A4 on one node (all rows): every admissible ``(feature, t, nl, nr, gain)`` candidate."""
     spark = df.sparkSession
     d = len(df.select(features).first()[0])
-    w = F.col(weight) if weight else F.lit(1)
-    cur = df.select(F.lit(0).cast("long").alias("tree"), F.lit(1).cast("long").alias("node"),
-                    F.col(label).cast("long").alias("label"), w.cast("long").alias("w"), F.col(features).alias("_x"))
     m = n_features(params.max_features, d)
+    w = F.col(weight) if weight else F.lit(1)
+    cand = candidate_features(spark.createDataFrame([(0, 1)], "tree long, node long"), d, m, params.seed)
+    fl = [(int(r["feature"]), int(r["frank"])) for r in cand.select("feature", "frank").collect()]
+    lit = F.array(*[F.struct(F.lit(f).cast("long").alias("feature"), F.lit(k).cast("long").alias("frank"))
+                    for f, k in fl])
+    base = df.select(F.col(label).cast("long").alias("label"), w.cast("long").alias("w"),
+                     F.col(features).alias("_x"))
+    # one node: its candidate list is a literal exploded per row (no join)
+    ex = base.select("label", "w", "_x", F.explode(lit).alias("_c")).select(
+        F.lit(0).cast("long").alias("tree"), F.lit(1).cast("long").alias("node"),
+        F.col("_c.feature").alias("feature"), F.col("_c.frank").alias("frank"), "label", "w",
+        _value(F.element_at("_x", (F.col("_c.feature") + 1).cast("int")), params.decimals).alias("x"))
     sizes = None
     if params.thresholds == "auto" or params.n_thresholds <= 0:
-        sizes = {(0, 1): float(cur.agg(F.sum("w")).first()[0] or 0)}
-    return split_gains(spark, cur, [(0, 1)], params, quantile_fractions(params.n_thresholds),
-                       params.decimals, d, m, node_sizes=sizes)
+        sizes = {(0, 1): float(base.agg(F.sum("w")).first()[0] or 0)}
+    return split_gains(ex, [(0, 1)], params, quantile_fractions(params.n_thresholds), params.decimals, m,
+                       node_sizes=sizes)
 
 
 def split_candidates(df: DataFrame, params: TreeParams, features: str = "features") -> DataFrame:
@@ -335,33 +401,28 @@ def split_candidates(df: DataFrame, params: TreeParams, features: str = "feature
     return q.select("feature", F.explode(F.array_distinct("q")).alias("threshold"))
 
 
-def single_tree_work(df: DataFrame, tree: int = 0) -> DataFrame:
-    return df.withColumn("tree", F.lit(tree)).withColumn("weight", F.lit(1))
-
-
 def fit_tree(df: DataFrame, params: TreeParams | None = None, label: str = "label",
              features: str = "features") -> TreeEnsemble:
     """M5: one tree on all rows (weight 1)."""
+    from vecstack.operators.evaluate import distinct_labels
     params = params or TreeParams()
     d = len(df.select(features).first()[0])
-    from vecstack.operators.evaluate import distinct_labels
-    return fit_trees(single_tree_work(df), params, d, distinct_labels(df, label), label=label, features=features)
+    return grow(df, 1, params, d, distinct_labels(df, label), label=label, features=features)
 
 
 def fit_forest(df: DataFrame, n_estimators: int = 60, sample_ratio: float = 0.30, bootstrap: bool = True,
                min_rows: int = 1000, params: TreeParams | None = None, label: str = "label",
                features: str = "features") -> TreeEnsemble:
-    """M7: bagged trees grown together; per-tree multiplicities from R3 (or, without
-    replacement, an exact hash subsample of min(n, max(min_rows, ratio·n)) rows)."""
+    """M7: bagged trees grown together; per-tree multiplicities from R3 (Poisson from the hash),
+    or, without replacement, an exact hash subsample of min(n, max(min_rows, ratio·n)) rows."""
     from vecstack.operators.evaluate import distinct_labels
-    from vecstack.operators.sampling import bootstrap_weights, subsample
+    from vecstack.operators.sampling import bootstrap_rate, bootstrap_weight_array, subsample_membership
     params = params or TreeParams()
     d = len(df.select(features).first()[0])
     n = df.count()
     if bootstrap:
-        work = bootstrap_weights(df, n_estimators, sample_ratio, seed=params.seed, min_rows=min_rows, n=n)
+        w = bootstrap_weight_array(n_estimators, bootstrap_rate(n, sample_ratio, min_rows), params.seed)
     else:
         frac = min(1.0, max(min_rows, int(sample_ratio * n)) / max(n, 1))
-        work = subsample(df, frac, n_estimators, seed=params.seed).withColumnRenamed("round", "tree") \
-            .withColumn("weight", F.lit(1))
-    return fit_trees(work, params, d, distinct_labels(df, label), label=label, features=features)
+        w = subsample_membership(df, frac, n_estimators, seed=params.seed, n=n)
+    return grow(df, n_estimators, params, d, distinct_labels(df, label), weights=w, label=label, features=features)
