@@ -36,29 +36,26 @@ class BoostedOvR:
         K = len(self.classes)
         return [t for t in self.ensemble.tree_ids if t // K < self.rounds_used]
 
-    def scores(self, df: DataFrame, features: str = "features", key: str = "row_id") -> DataFrame:
-        """``(key, cls_index, score)`` with score = lr · Σ votes of the used rounds (0 if no tree)."""
-        K = len(self.classes)
-        trees = self.used_trees()
-        if not trees:
-            return df.select(key, F.explode(F.sequence(F.lit(0), F.lit(K - 1))).alias("k"),
-                             F.lit(0.0).alias("score"))
-        v = self.ensemble.apply(df, features, key, trees)
-        return v.groupBy(key, (F.col("tree") % K).alias("k")).agg(
-            (F.lit(self.lr) * F.sum("vote").cast("double")).alias("score"))
-
     def predict_proba(self, df: DataFrame, features: str = "features", key: str = "row_id",
                       proba: str = "proba", pred: str = "pred") -> DataFrame:
-        """Softmax over class scores (÷ Σ + 1e-12), ``pred`` = class of the first max."""
+        """Class scores lr · Σ votes of the used rounds, softmax (÷ Σ + 1e-12), first-max class.
+
+        Narrow per row: the tree walk yields every tree's 0/1 vote in one array; the K class
+        scores are one fold over it (tree t votes for class t mod K)."""
         K = len(self.classes)
-        s = self.scores(df, features, key)
-        wide = s.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("k", "score"))).alias("_m"))
-        sc = F.array(*[F.coalesce(F.col("_m")[k], F.lit(0.0)) for k in range(K)])
-        out = df.join(wide, key, "left").withColumn("_s", F.when(F.col("_m").isNull(),
-                                                                 F.array(*[F.lit(0.0)] * K)).otherwise(sc))
+        trees = self.used_trees()
+        if trees:
+            v = self.ensemble.vote_array(df, features, trees, out="_votes")
+            zero = F.array_repeat(F.lit(0.0), K)
+            idx = F.arrays_zip(F.sequence(F.lit(0), F.size("_votes") - 1).alias("t"), F.col("_votes").alias("v"))
+            acc = F.aggregate(idx, zero, lambda a, e: F.transform(
+                a, lambda s, k: s + F.when((e["t"] % K == k) & (e["v"] > 0), F.lit(self.lr) * e["v"])
+                .otherwise(F.lit(0.0))))
+            out = v.withColumn("_s", acc).drop("_votes")
+        else:
+            out = df.withColumn("_s", F.array_repeat(F.lit(0.0), K))
         out = softmax(out, "_s", proba, eps=NORM_EPS)
-        out = out.withColumn(pred, argmax_class(proba, self.classes))
-        return out.drop("_m", "_s")
+        return out.withColumn(pred, argmax_class(proba, self.classes)).drop("_s")
 
 
 def fit_boosting(df: DataFrame, n_estimators: int = 35, lr: float = 0.15, max_depth: int = 4,

@@ -107,17 +107,20 @@ def _walk(nd, x, feats, thrs, level: int, dec, keep_leaves: bool):
     other nodes stay (prediction) or leave the tree (fitting, ``keep_leaves=False``)."""
     base = 1 << level
 
-    def step(node, t):
+    def step(s, t):
+        node, xv = s["n"], s["x"]
         idx = (t * base + node - base + 1).cast("int")
         fe = F.element_at(feats, idx)
-        go = (_value(F.element_at(x, (fe + 1).cast("int")), dec) > F.element_at(thrs, idx)).cast("long")
+        go = (_value(F.element_at(xv, (fe + 1).cast("int")), dec) > F.element_at(thrs, idx)).cast("long")
         stay = node if keep_leaves else F.lit(0).cast("long")
         return (F.when(node <= 0, F.lit(0).cast("long"))
                  .when(node < base, stay)
                  .when(fe < 0, stay)
                  .otherwise(node * 2 + go))
 
-    return F.transform(nd, step)
+    # the features travel as a lambda argument (array_repeat keeps one reference per tree), so an
+    # upstream expression for them is evaluated once per row even if the optimizer inlines it
+    return F.transform(F.arrays_zip(nd.alias("n"), F.array_repeat(x, F.size(nd)).alias("x")), step)
 
 
 @dataclass
@@ -135,6 +138,37 @@ class TreeEnsemble:
         return spark.createDataFrame(pdf, "tree long, node long, is_leaf boolean, feature long, threshold double, "
                                           "pred long, n double, depth long")
 
+    def vote_array(self, df: DataFrame, features: str = "features", trees: list[int] | None = None,
+                   out: str = "votes") -> DataFrame:
+        """Appends ``out`` = ``array<long>`` of every tree's vote (index = tree id, -1 = tree not
+        used) — narrow: one array transform per level plus one leaf lookup, no shuffle."""
+        walked, preds, width = self._walk_frame(df, features, trees)
+        votes = F.transform("_nd", lambda node, t: F.when(node > 0, F.element_at(
+            preds, (t * width + node + 1).cast("int"))).otherwise(F.lit(-1).cast("long")))
+        return walked.withColumn(out, votes).drop("_nd", "_x")
+
+    def _walk_frame(self, df: DataFrame, features: str, trees):
+        trees = sorted(trees if trees is not None else self.tree_ids)
+        nd = self.nodes[self.nodes["tree"].isin(trees)]
+        T = (max(trees) + 1) if trees else 1
+        depth = int(nd["depth"].max()) if len(nd) else 0
+        dec = self.params.decimals
+        cur = df.withColumn("_x", F.col(features)).withColumn(
+            "_nd", _lit_array([1 if t in set(trees) else 0 for t in range(T)], "bigint"))
+        internal = nd[~nd["is_leaf"]]
+        for level in range(depth):
+            lv = internal[internal["depth"] == level]
+            base = 1 << level
+            feats = _dense(T, base, {(int(r.tree), int(r.node) - base): int(r.feature) for r in lv.itertuples()},
+                           -1, "bigint")
+            thrs = _dense(T, base, {(int(r.tree), int(r.node) - base): float(r.threshold) for r in lv.itertuples()},
+                          0.0, "double")
+            cur = cur.withColumn("_nd", _walk(F.col("_nd"), F.col("_x"), feats, thrs, level, dec, True))
+        width = 1 << (depth + 1)
+        preds = _dense(T, width, {(int(r.tree), int(r.node)): int(r.pred)
+                                  for r in nd[nd["is_leaf"]].itertuples()}, -1, "bigint")
+        return cur, preds, width
+
     def apply(self, df: DataFrame, features: str = "features", key: str = "row_id",
               trees: list[int] | None = None) -> DataFrame:
         """``(key, tree, node, vote)`` — the leaf of every row in every tree.
@@ -164,10 +198,23 @@ class TreeEnsemble:
         return out.select(key, F.col("tree").cast("long").alias("tree"), "node", vote.alias("vote"))
 
     def predict(self, df: DataFrame, features: str = "features", key: str = "row_id") -> DataFrame:
-        """M6 / M8: hard majority over trees, ties → the vote of the lowest tree id (``(key, pred)``)."""
-        from vecstack.operators.neighbors import majority_vote
-        v = self.apply(df, features, key)
-        return majority_vote(v, key=key, vote="vote", order="tree").select(key, F.col("pred").cast("int"))
+        """M6 / M8: hard majority over trees, ties → the vote of the lowest tree id (``(key, pred)``).
+
+        Narrow: per row, every class gets (count of its votes, −first tree voting for it) and
+        the largest pair wins."""
+        classes = sorted(set(int(v) for v in self.nodes["pred"].unique()))
+        v = self.vote_array(df.select(key, features), features)
+        cls = F.array(*[F.lit(c).cast("long") for c in classes])
+        big = F.lit(1 << 40)
+
+        def score(c, vs):
+            cnt = F.size(F.filter(vs, lambda x: x == c))
+            first = F.array_position(vs, c)                # 1-based position = tree id + 1
+            return F.struct(cnt.alias("n"), (big - first).alias("f"), c.alias("c"))
+
+        per_class = F.zip_with(cls, F.array_repeat(F.col("votes"), len(classes)), score)
+        best = F.array_max(F.filter(per_class, lambda s: s["n"] > 0))
+        return v.select(key, best["c"].cast("int").alias("pred"))
 
 
 def _tree_view(cur: DataFrame, target) -> DataFrame:
