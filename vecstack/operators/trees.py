@@ -377,27 +377,36 @@ def split_gains(ex: DataFrame, open_nodes, p: TreeParams, fr, dec, m,
     min_leaf = float(p.min_samples_leaf)
 
     def gains(pdf: pd.DataFrame) -> pd.DataFrame:
-        outs = []
-        for (feat, frank), g in pdf.groupby(["feature", "frank"], sort=False):
-            ths_v = np.asarray(g["ths"].iloc[0], dtype=np.float64)
-            labels, li = np.unique(g["label"].to_numpy(), return_inverse=True)
-            cnt = np.zeros((len(ths_v) + 1, len(labels)))
-            np.add.at(cnt, (g["b"].to_numpy(), li), g["c"].to_numpy(dtype=np.float64))
-            left = np.cumsum(cnt, axis=0)[:len(ths_v)]             # x <= t_j  <=>  bucket <= j
-            par = cnt.sum(axis=0)
-            right = par[None, :] - left
-            nl, nr = left.sum(axis=1), right.sum(axis=1)
-            sl, sr, sp = (left * left).sum(axis=1), (right * right).sum(axis=1), float((par * par).sum())
-            n = nl + nr
-            with np.errstate(divide="ignore", invalid="ignore"):
-                gl = np.where(nl > 0, 1 - sl / (nl * nl), 0.0)
-                gr = np.where(nr > 0, 1 - sr / (nr * nr), 0.0)
-                gain = (1 - sp / (n * n)) - nl / n * gl - nr / n * gr
-            j = np.flatnonzero((nl >= min_leaf) & (nr >= min_leaf))
-            outs.append(pd.DataFrame({"feature": feat, "frank": frank, "j": j, "t": ths_v[j],
-                                      "nl": nl[j], "nr": nr[j], "gain": np.round(gain[j], GAIN_DECIMALS)}))
-        res = pd.concat(outs, ignore_index=True) if outs else pd.DataFrame(
-            {"feature": [], "frank": [], "j": [], "t": [], "nl": [], "nr": [], "gain": []})
+        # one node: every candidate feature at once on a padded (feature, bucket, class) tensor
+        firsts = pdf.drop_duplicates("feature")
+        feats = firsts["feature"].to_numpy(np.int64)
+        franks = firsts["frank"].to_numpy(np.int64)
+        ths_list = [np.asarray(t, dtype=np.float64) for t in firsts["ths"]]
+        nth = np.array([len(t) for t in ths_list])
+        qmax = int(nth.max()) if len(nth) else 0
+        ths_mat = np.full((len(feats), max(qmax, 1)), np.inf)
+        for i, t in enumerate(ths_list):
+            ths_mat[i, :len(t)] = t
+        fi = np.searchsorted(feats, pdf["feature"].to_numpy(np.int64), sorter=np.argsort(feats))
+        fi = np.argsort(feats)[fi]
+        labels, li = np.unique(pdf["label"].to_numpy(), return_inverse=True)
+        cnt = np.zeros((len(feats), qmax + 1, len(labels)))
+        np.add.at(cnt, (fi, pdf["b"].to_numpy(), li), pdf["c"].to_numpy(dtype=np.float64))
+        left = np.cumsum(cnt, axis=1)[:, :qmax]                   # x <= t_j  <=>  bucket <= j
+        par = cnt.sum(axis=1)                                     # (features, classes)
+        right = par[:, None, :] - left
+        nl, nr = left.sum(axis=2), right.sum(axis=2)
+        sl, sr = (left * left).sum(axis=2), (right * right).sum(axis=2)
+        sp = (par * par).sum(axis=1)[:, None]
+        n = nl + nr
+        with np.errstate(divide="ignore", invalid="ignore"):
+            gl = np.where(nl > 0, 1 - sl / (nl * nl), 0.0)
+            gr = np.where(nr > 0, 1 - sr / (nr * nr), 0.0)
+            gain = (1 - sp / (n * n)) - nl / n * gl - nr / n * gr
+        ok = (np.arange(qmax)[None, :] < nth[:, None]) & (nl >= min_leaf) & (nr >= min_leaf)
+        f_i, j = np.nonzero(ok)
+        res = pd.DataFrame({"feature": feats[f_i], "frank": franks[f_i], "j": j, "t": ths_mat[f_i, j],
+                            "nl": nl[f_i, j], "nr": nr[f_i, j], "gain": np.round(gain[f_i, j], GAIN_DECIMALS)})
         if best_only and len(res):
             res = res.sort_values(["gain", "frank", "t"], ascending=[False, True, True], kind="mergesort").head(1)
         res.insert(0, "node", pdf["node"].iloc[0])
