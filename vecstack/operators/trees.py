@@ -333,8 +333,28 @@ GAIN_SCHEMA = "tree long, node long, feature long, frank long, j long, t double,
 
 def _thresholds(ex: DataFrame, p: TreeParams, fr, open_nodes, node_sizes) -> DataFrame:
     """A3 per ``(tree, node, feature)``: exact percentiles for bounded nodes, sketch for large ones."""
+    fr_arr = np.asarray(fr, dtype=np.float64)
+
+    def pct(pdf: pd.DataFrame) -> pd.DataFrame:
+        # one (tree, node, chunk of ≤ 16 features) group of a bounded node: linear-interpolated
+        # percentiles of each feature's values repeated by their multiplicity, vectorised
+        w = pdf["w"].to_numpy(np.int64)
+        f = np.repeat(pdf["feature"].to_numpy(np.int64), w)
+        x = np.repeat(pdf["x"].to_numpy(np.float64), w)
+        order = np.lexsort((x, f))
+        f, x = f[order], x[order]
+        feats, start, cnt = np.unique(f, return_index=True, return_counts=True)
+        pos = (cnt[:, None] - 1) * fr_arr[None, :]
+        lo, hi = np.floor(pos).astype(np.int64), np.ceil(pos).astype(np.int64)
+        xl, xh = x[start[:, None] + lo], x[start[:, None] + hi]
+        q = xl + (xh - xl) * (pos - lo)
+        return pd.DataFrame({"tree": int(pdf["tree"].iloc[0]), "node": int(pdf["node"].iloc[0]),
+                             "feature": feats, "q": list(q)})
+
     def exact(src):
-        return src.groupBy("tree", "node", "feature").agg(F.percentile("x", fr, F.col("w")).alias("q"))
+        return (src.select("tree", "node", "feature", "x", "w", (F.col("frank") / 16).cast("long").alias("_chunk"))
+                   .groupBy("tree", "node", "_chunk")
+                   .applyInPandas(pct, "tree long, node long, feature long, q array<double>"))
 
     def approx(src):
         rep = src.select("tree", "node", "feature", F.explode(F.array_repeat("x", F.col("w").cast("int"))).alias("x"))
@@ -371,8 +391,12 @@ def split_gains(ex: DataFrame, open_nodes, p: TreeParams, fr, dec, m,
     q = F.col("q") if dec is None else F.transform("q", lambda v: F.round(v, dec))
     ths = ths.select("tree", "node", "feature", F.array_sort(F.array_distinct(q)).alias("ths"))
     # A4: histogram of buckets (bucket = #thresholds < x) per class, map-side combined
+    # bucket = #thresholds < x, unrolled over the at most q thresholds (codegen, no lambda)
+    q_max = max(len(fr), 1) if p.n_thresholds > 0 else None
+    bucket = (sum((F.coalesce(F.get(F.col("ths"), j) < F.col("x"), F.lit(False)).cast("int") for j in range(q_max)),
+                  F.lit(0)) if q_max is not None else F.size(F.filter("ths", lambda t: t < F.col("x"))))
     hist = (ex.join(_bc(ths, n_open * m), ["tree", "node", "feature"])
-              .withColumn("b", F.size(F.filter("ths", lambda t: t < F.col("x"))))
+              .withColumn("b", bucket)
               .groupBy("tree", "node", "feature", "frank", "ths", "b", "label").agg(F.sum("w").alias("c")))
     min_leaf = float(p.min_samples_leaf)
 
