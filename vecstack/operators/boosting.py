@@ -14,6 +14,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -115,24 +116,34 @@ def stop_round(model: BoostedOvR, df: DataFrame, label: str = "label", features:
 
 def stop_round_from_votes(model: BoostedOvR, df: DataFrame, label: str = "label", features: str = "features",
                           key: str = "row_id") -> int:
-    """The stop round from running vote sums over all training rows (one distributed job)."""
+    """The stop round from running vote sums over all training rows.
+
+    Narrow: the walk gives every row's vote array; each partition scores it per round with
+    NumPy (cumulative lr·votes → softmax → mean|Y − P|) and emits R partial sums; one
+    ``groupBy(round)`` finishes.  Nothing per (row, round, class) is shuffled."""
     K, R, lr = len(model.classes), model.n_rounds, model.lr
-    v = model.ensemble.apply(df, features, key)
-    per = v.groupBy(key, (F.col("tree") / K).cast("long").alias("round"), (F.col("tree") % K).alias("k")) \
-           .agg(F.sum("vote").alias("vote"))
-    # dense (row, round, class) grid of votes, running score over rounds
-    grid = (df.select(key, label)
-              .withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(R - 1)).cast("array<long>")))
-              .withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(K - 1)))))
-    g = grid.join(per, [key, "round", "k"], "left").fillna(0, ["vote"])
-    w = Window.partitionBy(key, "k").orderBy("round").rowsBetween(Window.unboundedPreceding, 0)
-    g = g.withColumn("s", F.lit(lr) * F.sum("vote").over(w))          # score after round m → P_{m+1}
-    mx = F.max("s").over(Window.partitionBy(key, "round"))
-    g = g.withColumn("e", F.exp(F.col("s") - mx))
-    g = g.withColumn("p", F.col("e") / (F.sum("e").over(Window.partitionBy(key, "round")) + F.lit(NORM_EPS)))
-    cls = F.array(*[F.lit(int(c)) for c in model.classes])
-    g = g.withColumn("y", (F.element_at(cls, (F.col("k") + 1).cast("int")) == F.col(label)).cast("double"))
-    mar = g.groupBy("round").agg(F.avg(F.abs(F.col("y") - F.col("p"))).alias("mar")).orderBy("round").collect()
+    cls = np.asarray(model.classes)
+    v = model.ensemble.vote_array(df.select(label, features), features, out="_votes").select(label, "_votes")
+
+    def partial(batches):
+        tot, n = np.zeros(R), 0
+        for b in batches:
+            if len(b) == 0:
+                continue
+            raw = np.vstack(b["_votes"].to_numpy())[:, :R * K]            # equal lengths: one per tree id
+            V = np.zeros((len(b), R * K))
+            V[:, :raw.shape[1]] = raw == 1
+            S = lr * np.cumsum(V.reshape(len(b), R, K), axis=1)          # scores after round r
+            E = np.exp(S - S.max(axis=2, keepdims=True))
+            P = E / (E.sum(axis=2, keepdims=True) + NORM_EPS)
+            Y = (b[label].to_numpy()[:, None] == cls[None, :]).astype(np.float64)
+            tot += np.abs(Y[:, None, :] - P).mean(axis=2).sum(axis=0)
+            n += len(b)
+        if n:
+            yield pd.DataFrame({"round": np.arange(R), "s": tot, "n": np.full(R, n)})
+
+    parts = v.mapInPandas(partial, "round long, s double, n long")
+    mar = parts.groupBy("round").agg((F.sum("s") / F.sum("n")).alias("mar")).orderBy("round").collect()
     for r in mar:                                  # P after round r is P_{r+1}
         if r["mar"] < EARLY_STOP_MAR:
             return int(r["round"]) + 1
