@@ -67,6 +67,30 @@ def build_feature_table(df: DataFrame, cfg: FeatureConfig, is_train) -> tuple[Da
     return l2_normalize(out, "features", "features_norm"), models
 
 
+def write_feature_cache(spark, table: DataFrame, path: str, cfg: FeatureConfig, sources: dict,
+                        build_seconds: float) -> None:
+    """S3 + S5: the feature table (float32, partitioned by ``split``) and its manifest
+    (source fingerprints, parameters, build time) under ``path``."""
+    from vecstack.sources import files as io
+    io.write_feature_table(table.drop("features_norm"), f"{path.rstrip('/')}/features")
+    io.write_manifest(io.manifest_frame(spark, sources, cfg.manifest_params(), build_seconds),
+                      f"{path.rstrip('/')}/manifest")
+
+
+def read_feature_cache(spark, path: str, sources: dict | None = None):
+    """S4 (+ S7 when ``sources`` is given): ``(train, val, manifest)``; a stale cache raises."""
+    from vecstack.sources import files as io
+    manifest = io.read_manifest(spark, f"{path.rstrip('/')}/manifest")
+    if sources is not None:
+        stale = io.stale_check(spark, manifest, sources).where("stale").count()
+        if stale:
+            raise RuntimeError(f"feature cache at {path} is stale for {stale} source(s); rebuild it")
+    cols = ("row_id", "label", "features", "features_norm")
+    base = f"{path.rstrip('/')}/features"
+    return (io.read_feature_table(spark, base, "train", cols), io.read_feature_table(spark, base, "val", cols),
+            manifest)
+
+
 # ---------------------------------------------------------------- M21
 @dataclass
 class Phase3Config:
@@ -87,12 +111,14 @@ class Phase3Config:
     platt_iter: int = 200
     platt_lr: float = 0.05
     temperature: float = 1.15
+    calibrate_on: str = "train"      # 'train': in-sample stack probabilities (faithful); 'oof': out-of-fold
     seed: int = 42
 
 
 def oof_calibrated_stack(train: DataFrame, val: DataFrame, cfg: Phase3Config):
     """stack(rf, knn, lr | boosted meta, cv, passthrough) → Platt fitted on the
-    stack's in-sample train probabilities → temperature → argmax.  Returns
+    stack's train probabilities (in-sample as the reference does, or out-of-fold with
+    ``calibrate_on='oof'``) → temperature → argmax.  Returns
     ``(predictions (row_id, label, pred, proba), report)``."""
     rf = E.ForestLearner(cfg.rf_trees, cfg.rf_ratio,
                          T.TreeParams(max_depth=cfg.rf_depth, n_thresholds=cfg.rf_thresholds, seed=cfg.seed))
@@ -101,7 +127,21 @@ def oof_calibrated_stack(train: DataFrame, val: DataFrame, cfg: Phase3Config):
     meta = E.BoostLearner(cfg.meta_rounds, cfg.meta_lr, cfg.meta_depth, n_thresholds=cfg.meta_thresholds,
                           subsample_rate=cfg.meta_subsample, seed=cfg.seed)
     stack, _ = fit_stacking(train, bases, meta, cv=cfg.cv, passthrough=True, seed=cfg.seed)
-    p_train = cut_lineage(stack.predict_proba(train).select("row_id", "label", "proba"))
+    if cfg.calibrate_on == "oof":
+        # calibration rows predicted by stacks that never saw them: cv stacks on the other folds
+        from vecstack.operators.sampling import kfold_assign
+        from vecstack.operators.stacking import run_parallel
+        folded = cut_lineage(kfold_assign(train, cfg.cv, seed=cfg.seed + 1))
+        stacks = run_parallel({f: (lambda f=f: fit_stacking(folded.where(F.col("fold") != f).drop("fold"), bases, meta,
+                                                             cv=cfg.cv, passthrough=True, seed=cfg.seed)[0])
+                               for f in range(cfg.cv)}, max_workers=cfg.cv)
+        parts = [stacks[f].predict_proba(folded.where(F.col("fold") == f).drop("fold")) for f in range(cfg.cv)]
+        p_cal = parts[0]
+        for q in parts[1:]:
+            p_cal = p_cal.unionByName(q)
+        p_train = cut_lineage(p_cal.select("row_id", "label", "proba"))
+    else:
+        p_train = cut_lineage(stack.predict_proba(train).select("row_id", "label", "proba"))
     cal = C.fit_platt(p_train, stack.classes, "proba", "label", cfg.platt_iter, cfg.platt_lr)
     pv = cal.transform(stack.predict_proba(val), "proba")
     pv = temperature_scale(pv, "proba", "proba", cfg.temperature)
