@@ -37,9 +37,14 @@ def get_spark(master: str | None = None, app: str = "vecstack",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.driver.memory": "16g",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions or 8),
     }
+    local = (master or os.environ.get("SPARK_MASTER", "")).startswith("local")
+    if local:
+        # sizes for one machine; on a cluster they come from spark-submit / the cluster defaults
+        conf["spark.driver.memory"] = "16g"
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
+    elif shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
