@@ -206,11 +206,15 @@ def fit_gbt_ovr(df: DataFrame, max_iter: int = 250, step_size: float = 0.05, max
     classes = distinct_labels(df, label)
     base = df.select(array_to_vector(features).alias("v"), F.col(label).alias("_l")) \
              .persist(StorageLevel.MEMORY_AND_DISK)
-    models = []
-    for c in classes:
+    from vecstack.operators.stacking import run_parallel
+
+    def fit_one(c):
         data = base.withColumn("y", (F.col("_l") == int(c)).cast("double"))
-        models.append(GBTClassifier(featuresCol="v", labelCol="y", maxIter=max_iter, stepSize=step_size,
-                                    maxDepth=max_depth, subsamplingRate=subsampling_rate,
-                                    featureSubsetStrategy=feature_subset, seed=seed).fit(data))
+        return GBTClassifier(featuresCol="v", labelCol="y", maxIter=max_iter, stepSize=step_size,
+                             maxDepth=max_depth, subsamplingRate=subsampling_rate,
+                             featureSubsetStrategy=feature_subset, seed=seed).fit(data)
+
+    fitted = run_parallel({i: (lambda c=c: fit_one(c)) for i, c in enumerate(classes)})   # independent
+    models = [fitted[i] for i in range(len(classes))]
     base.unpersist()
     return GBTOvR(models, classes)
