@@ -176,7 +176,7 @@ def hybrid_stack_eval(train: DataFrame, val: DataFrame, cfg: HybridConfig):
 
     def fit_fn(d):
         return fit_stacking(d, bases, meta, cv=cfg.stack_cv, passthrough=True, seed=cfg.seed,
-                            stack_method="proba")[0]
+                            stack_method="proba", folds="stratified")[0]
 
     def predict_fn(m, d):
         return m.predict_proba(d)
