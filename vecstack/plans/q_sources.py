@@ -194,9 +194,13 @@ def oof_knn(df, cv=2, k=5, seed=SEED):
 _H_FOLD2 = sql_hash("'42:fold:' || row_id::VARCHAR")
 
 
-@register("oof_align", f"""
+def oof_knn_sql(src: str) -> str:
+    """CTEs ``k(row_id, label, f, fold)`` (2 hash folds of ``src``) and ``mv(q_id, pred)``: the
+    out-of-fold cosine 5-NN label of every row."""
+    return f"""
 WITH e AS ({EMB}),
-k AS (SELECT row_id, label, f, ntile(2) OVER (ORDER BY {_H_FOLD2}, row_id) - 1 AS fold FROM e),
+src AS ({src}),
+k AS (SELECT row_id, label, f, ntile(2) OVER (ORDER BY {_H_FOLD2}, row_id) - 1 AS fold FROM src),
 l AS ({long_sql("SELECT * FROM k", "f", "row_id, fold")}),
 nr AS (SELECT row_id, sqrt(sum(v * v)) + 1e-12 AS nrm FROM l GROUP BY row_id),
 ln AS (SELECT l.row_id, l.fold, l.dim, l.v / nr.nrm AS v FROM l JOIN nr USING (row_id)),
@@ -206,7 +210,10 @@ nb AS (SELECT s.q_id, s.t_id, k.label AS t_label,
               row_number() OVER (PARTITION BY s.q_id ORDER BY s.score DESC, s.t_id) AS rank
        FROM s JOIN k ON k.row_id = s.t_id QUALIFY rank <= 5),
 v AS (SELECT q_id, t_label AS pred, count(*) AS votes, min(rank) AS first FROM nb GROUP BY 1, 2),
-mv AS (SELECT q_id, pred FROM v QUALIFY row_number() OVER (PARTITION BY q_id ORDER BY votes DESC, first) = 1)
+mv AS (SELECT q_id, pred FROM v QUALIFY row_number() OVER (PARTITION BY q_id ORDER BY votes DESC, first) = 1)"""
+
+
+@register("oof_align", oof_knn_sql("SELECT * FROM e") + """
 SELECT k.row_id, k.label::BIGINT AS label, k.fold::BIGINT AS fold, mv.pred::BIGINT AS oof_pred
 FROM k JOIN mv ON mv.q_id = k.row_id""")
 def q_oof_align(spark, sf):
