@@ -105,15 +105,47 @@ def knn_topk(query: DataFrame, train: DataFrame, k: int = 5, metric: str = "cosi
     spark = query.sparkSession
     t = train.select(F.col(id_col).cast("long").alias("t_id"), F.col(label).cast("int").alias("t_label"),
                      F.col(features).alias("tf"))
-    stats = t.agg(F.count("*").alias("n"), F.max(F.size("tf")).alias("d")).first()
-    n_t, d = int(stats["n"]), int(stats["d"] or 0)
     q = query.select(F.col(id_col).cast("long").alias("q_id"), F.col(features).alias("qf"))
-    if n_t * max(d, 1) * 8 <= broadcast_limit_bytes:
+    if _fits_broadcast(t, broadcast_limit_bytes):
         return _knn_broadcast(spark, q, t, k, metric)
-    return _knn_blocks(q, t, k, metric, n_t, block_rows)
+    return _knn_blocks(q, t, k, metric, t.count(), block_rows)
+
+
+def _sides(query, train, id_col, features, label):
+    t = train.select(F.col(id_col).cast("long").alias("t_id"), F.col(label).cast("int").alias("t_label"),
+                     F.col(features).alias("tf"))
+    q = query.select(F.col(id_col).cast("long").alias("q_id"), F.col(features).alias("qf"))
+    return q, t
+
+
+def _fits_broadcast(t: DataFrame, broadcast_limit_bytes: int) -> bool:
+    stats = t.agg(F.count("*").alias("n"), F.max(F.size("tf")).alias("d")).first()
+    return int(stats["n"]) * max(int(stats["d"] or 0), 1) * 8 <= broadcast_limit_bytes
+
+
+def _vote_rows(top: pd.DataFrame, k: int) -> pd.DataFrame:
+    """Vectorised majority of each query's k ranked labels; ties → the nearest (first) one."""
+    if len(top) == 0:
+        return pd.DataFrame({"q_id": [], "pred": [], "votes": []})
+    kk = int(top["rank"].max())
+    lab = top["t_label"].to_numpy().reshape(-1, kk)            # rows are (query, rank)-ordered
+    counts = (lab[:, :, None] == lab[:, None, :]).sum(axis=2)   # votes for the label at each rank
+    j = np.argmax(counts, axis=1)                               # first maximum = nearest on ties
+    return pd.DataFrame({"q_id": top["q_id"].to_numpy()[::kk], "pred": lab[np.arange(len(lab)), j],
+                         "votes": counts[np.arange(len(lab)), j]})
 
 
-def _knn_broadcast(spark, q, t, k, metric):
+def _class_fractions(top: pd.DataFrame, classes) -> pd.DataFrame:
+    """Vectorised neighbour-class fractions per query, in ``classes`` order."""
+    if len(top) == 0:
+        return pd.DataFrame({"q_id": [], "proba": []})
+    kk = int(top["rank"].max())
+    lab = top["t_label"].to_numpy().reshape(-1, kk)
+    fr = (lab[:, :, None] == np.asarray(classes)[None, None, :]).mean(axis=1)
+    return pd.DataFrame({"q_id": top["q_id"].to_numpy()[::kk], "proba": list(fr)})
+
+
+def _knn_broadcast(spark, q, t, k, metric, reduce=None, schema=NEIGHBOR_SCHEMA):
     pdf = t.toPandas()                      # bounded by the size check of the caller
     t_ids = pdf["t_id"].to_numpy(np.int64)
     t_lab = pdf["t_label"].to_numpy(np.int32)
@@ -127,9 +159,10 @@ def _knn_broadcast(spark, q, t, k, metric):
             if len(b) == 0:
                 continue
             qm = _prep(_stack(b["qf"]), metric)
-            yield _local_topk(b["q_id"].to_numpy(np.int64), qm, ids, lab, mat, sq, k, metric)
+            top = _local_topk(b["q_id"].to_numpy(np.int64), qm, ids, lab, mat, sq, k, metric)
+            yield top if reduce is None else reduce(top)
 
-    return q.mapInPandas(run, NEIGHBOR_SCHEMA)
+    return q.mapInPandas(run, schema)
 
 
 def _knn_blocks(q, t, k, metric, n_t, block_rows):
@@ -189,16 +222,31 @@ def majority_vote(neigh: DataFrame, key: str = "q_id", vote: str = "t_label",
 
 
 def knn_classify(query: DataFrame, train: DataFrame, k: int = 5, metric: str = "cosine",
-                 id_col: str = "row_id", **kw) -> DataFrame:
-    """M3: ``(row_id, pred)`` — majority label among the k nearest."""
-    nb = knn_topk(query, train, k=k, metric=metric, id_col=id_col, **kw)
-    return majority_vote(nb).select(F.col("q_id").alias(id_col), "pred")
+                 id_col: str = "row_id", features: str = "features", label: str = "label",
+                 broadcast_limit_bytes: int = 256 << 20, block_rows: int = 8192) -> DataFrame:
+    """M3: ``(row_id, pred)`` — majority label among the k nearest (ties → nearest).
+
+    With a broadcastable train side the vote happens inside the top-k task (one narrow
+    stage); otherwise the block top-k is merged and voted relationally (A5)."""
+    q, t = _sides(query, train, id_col, features, label)
+    if _fits_broadcast(t, broadcast_limit_bytes):
+        out = _knn_broadcast(query.sparkSession, q, t, k, metric, lambda top: _vote_rows(top, k),
+                             "q_id long, pred int, votes long")
+    else:
+        out = majority_vote(_knn_blocks(q, t, k, metric, t.count(), block_rows))
+    return out.select(F.col("q_id").alias(id_col), F.col("pred").cast("int").alias("pred"))
 
 
 def knn_proba(query: DataFrame, train: DataFrame, classes, k: int = 5, metric: str = "euclidean",
-              id_col: str = "row_id", **kw) -> DataFrame:
+              id_col: str = "row_id", features: str = "features", label: str = "label",
+              broadcast_limit_bytes: int = 256 << 20, block_rows: int = 8192) -> DataFrame:
     """M4: neighbour-class fractions ``(row_id, proba array<double>)`` in class order."""
-    nb = knn_topk(query, train, k=k, metric=metric, id_col=id_col, **kw)
+    q, t = _sides(query, train, id_col, features, label)
+    if _fits_broadcast(t, broadcast_limit_bytes):
+        out = _knn_broadcast(query.sparkSession, q, t, k, metric, lambda top: _class_fractions(top, classes),
+                             "q_id long, proba array<double>")
+        return out.select(F.col("q_id").alias(id_col), "proba")
+    nb = _knn_blocks(q, t, k, metric, t.count(), block_rows)
     cnt = F.count("*")
     agg = nb.groupBy("q_id").agg(
         *[(F.sum((F.col("t_label") == int(c)).cast("double")) / cnt).alias(f"_p{i}")
