@@ -18,7 +18,9 @@ computed on the fly from the label.  Nothing is copied per tree.
    distinct value of a node into one task, so with ``thresholds='auto'`` (the
    default) only nodes of at most ``exact_max_rows`` weighted rows use it and
    larger nodes use the mergeable, bounded-memory ``percentile_approx`` sketch
-   over all their rows; ``'exact'`` / ``'approx'`` force one method;
+   over all their rows; ``'exact'`` / ``'approx'`` force one method; ``'global'``
+   computes the candidates once per feature over all training rows (sketch) and
+   reuses them at every node, like MLlib's bins — one percentile pass per fit;
 4. histogram — every (row, tree) is bucketed once per candidate feature (bucket
    = number of thresholds below the value) and counted per ``(tree, node,
    feature, bucket, label)`` with map-side combine: the shuffle is bounded by
@@ -58,7 +60,7 @@ class TreeParams:
     min_samples_leaf: int = 5
     max_features: object = "sqrt"
     n_thresholds: int = 16
-    thresholds: str = "auto"           # 'auto' | 'exact' percentile | 'approx' percentile_approx sketch
+    thresholds: str = "auto"           # 'auto' | 'exact' | 'approx' (per node) | 'global' (once per feature)
     exact_max_rows: int = 1_000_000    # 'auto': largest node (weighted rows) given exact percentiles
     decimals: int | None = None        # round values and thresholds (engine-stable comparisons)
     seed: int = 42
@@ -244,6 +246,12 @@ def grow(rows: DataFrame, n_trees: int, params: TreeParams, d: int, classes=None
                       F.col(features).alias("_x"), w.cast("array<int>").alias("_w"))
     cur = cur.withColumn("_nd", F.zip_with(nd0, "_w", lambda n, ww: F.when(ww > 0, n).otherwise(F.lit(0).cast("long"))))
     cur = cur.persist(StorageLevel.MEMORY_AND_DISK)
+    global_ths = None
+    if params.thresholds == "global":
+        gp = TreeParams(**{**params.__dict__, "thresholds": "approx"})
+        global_ths = (split_candidates(cur.select(F.col("_x").alias("f")), gp, "f")
+                      .groupBy("feature").agg(F.array_sort(F.collect_set("threshold")).alias("ths"))
+                      .select(F.col("feature").cast("long").alias("feature"), "ths")).persist()
     out_rows = []
     prev = None
     for depth in range(params.max_depth + 1):
@@ -259,7 +267,7 @@ def grow(rows: DataFrame, n_trees: int, params: TreeParams, d: int, classes=None
         if not open_nodes:
             out_rows += node_rows
             break
-        best = _best_splits(spark, view, stats, open_nodes, params, fr, dec, d, m)
+        best = _best_splits(spark, view, stats, open_nodes, params, fr, dec, d, m, global_ths)
         splits = {}
         for r in node_rows:
             b = best.get((r["tree"], r["node"])) if not r["is_leaf"] else None
@@ -279,6 +287,8 @@ def grow(rows: DataFrame, n_trees: int, params: TreeParams, d: int, classes=None
     cur.unpersist()
     if prev is not None:
         prev.unpersist()
+    if global_ths is not None:
+        global_ths.unpersist()
     nodes = pd.DataFrame(out_rows, columns=["tree", "node", "is_leaf", "feature", "threshold", "pred", "n", "depth"])
     return TreeEnsemble(nodes.sort_values(["tree", "node"]).reset_index(drop=True), params,
                         list(classes) if classes is not None else [])
@@ -300,7 +310,8 @@ def _node_summaries(stats: pd.DataFrame, depth: int, p: TreeParams):
     return rows, open_nodes
 
 
-def _best_splits(spark, view: DataFrame, stats: pd.DataFrame, open_nodes, p: TreeParams, fr, dec, d, m):
+def _best_splits(spark, view: DataFrame, stats: pd.DataFrame, open_nodes, p: TreeParams, fr, dec, d, m,
+                 global_ths: DataFrame | None = None):
     """A4 for every open node at once → ``{(tree, node): (feature, threshold, gain)}``."""
     sizes = stats.groupby(["tree", "node"])["cnt"].sum()
     node_sizes = {(int(t), int(n)): float(v) for (t, n), v in sizes.items()}
@@ -309,7 +320,10 @@ def _best_splits(spark, view: DataFrame, stats: pd.DataFrame, open_nodes, p: Tre
     ex = (view.join(_bc(cand, len(open_nodes) * m), ["tree", "node"])
               .select("tree", "node", "feature", "frank", "label", "w",
                       _value(F.element_at("_x", (F.col("feature") + 1).cast("int")), dec).alias("x")))
-    best = split_gains(ex, open_nodes, p, fr, dec, m, best_only=True, node_sizes=node_sizes)
+    pre = None
+    if global_ths is not None:                      # bounded: open nodes × candidate features
+        pre = cand.select("tree", "node", "feature").join(F.broadcast(global_ths), "feature")
+    best = split_gains(ex, open_nodes, p, fr, dec, m, best_only=True, node_sizes=node_sizes, ths=pre)
     return {(int(r["tree"]), int(r["node"])): (int(r["feature"]), float(r["t"]), float(r["gain"]))
             for r in best.collect() if r["gain"] > MIN_GAIN}
 
@@ -381,15 +395,16 @@ def _thresholds(ex: DataFrame, p: TreeParams, fr, open_nodes, node_sizes) -> Dat
 
 
 def split_gains(ex: DataFrame, open_nodes, p: TreeParams, fr, dec, m,
-                best_only: bool = False, node_sizes: dict | None = None) -> DataFrame:
+                best_only: bool = False, node_sizes: dict | None = None, ths: DataFrame | None = None) -> DataFrame:
     """A3 + A4 from ``ex(tree, node, feature, frank, label, w, x)``: admissible
     ``(tree, node, feature, frank, j, t, nl, nr, gain)`` candidates, or only the
     best one per node (gain desc, feature rank, threshold asc)."""
     n_open = len(open_nodes)
-    # A3: split candidates per (tree, node, feature)
-    ths = _thresholds(ex, p, fr, open_nodes, node_sizes)
-    q = F.col("q") if dec is None else F.transform("q", lambda v: F.round(v, dec))
-    ths = ths.select("tree", "node", "feature", F.array_sort(F.array_distinct(q)).alias("ths"))
+    # A3: split candidates per (tree, node, feature) (or given, e.g. global per feature)
+    if ths is None:
+        ths = _thresholds(ex, p, fr, open_nodes, node_sizes)
+        q = F.col("q") if dec is None else F.transform("q", lambda v: F.round(v, dec))
+        ths = ths.select("tree", "node", "feature", F.array_sort(F.array_distinct(q)).alias("ths"))
     # A4: histogram of buckets (bucket = #thresholds < x) per class, map-side combined
     # bucket = #thresholds < x, unrolled over the at most q thresholds (codegen, no lambda)
     q_max = max(len(fr), 1) if p.n_thresholds > 0 else None
