@@ -10,7 +10,7 @@ from vecstack.operators import scale as SC
 from vecstack.operators.image import Directional, Hog, Zonal, image_features
 from vecstack.plans import q_image as QI
 from vecstack.plans.registry import EMB, big, explode_long, long_sql, r, register, rnd
-from vecstack.sources.tables import LINEITEM_FEATURES, labelled_vectors, lineitem_vectors, with_split
+from vecstack.sources.tables import LINEITEM_FEATURES, labelled_vectors, lineitem_vectors
 
 S = 8
 

@@ -11,7 +11,7 @@ from vecstack.operators import evaluate as ev
 from vecstack.operators import linear as L
 from vecstack.operators import specialists as SP
 from vecstack.plans.q_arrays import PROBA_SQL, with_proba
-from vecstack.plans.registry import EMB, EMB_TRAIN, EMB_VAL, big, explode_long, long_sql, r, register, rnd
+from vecstack.plans.registry import EMB_TRAIN, EMB_VAL, big, explode_long, long_sql, r, register, rnd
 from vecstack.sources.tables import labelled_vectors, train_val
 
 LR, REG, STEPS = 0.3, 1e-4, 3

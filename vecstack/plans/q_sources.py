@@ -8,9 +8,8 @@ from vecstack.functions.hashing import sql_hash
 from vecstack.operators import neighbors as nb
 from vecstack.operators import sampling as R
 from vecstack.plans.registry import EMB, big, long_sql, r, register, rnd
-from vecstack.plans.q_neighbors import knn_sql
 from vecstack.sources import files as io
-from vecstack.sources.tables import labelled_vectors, read_table, with_split
+from vecstack.sources.tables import labelled_vectors, with_split
 
 D = 64
 SEED = 42
