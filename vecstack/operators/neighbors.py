@@ -187,6 +187,46 @@ def _knn_blocks(q, t, k, metric, n_t, block_rows):
     return (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
 
 
+def knn_append(df: DataFrame, train: DataFrame, k: int = 5, metric: str = "cosine", classes=None,
+               features: str = "features", label: str = "label", id_col: str = "row_id",
+               broadcast_limit_bytes: int = 256 << 20) -> DataFrame | None:
+    """``df`` with ``pred`` (majority label, ties → nearest) or, when ``classes`` is given,
+    ``proba`` (neighbour-class fractions) and ``pred`` = its first maximal class, appended in place — one narrow stage, every input
+    column passed through, no join back.  ``None`` when the train side is too large to ship
+    (callers then use the relational block path)."""
+    t = train.select(F.col(id_col).cast("long").alias("t_id"), F.col(label).cast("int").alias("t_label"),
+                     F.col(features).alias("tf"))
+    if not _fits_broadcast(t, broadcast_limit_bytes):
+        return None
+    pdf = t.toPandas()                      # bounded by the size check above
+    t_ids = pdf["t_id"].to_numpy(np.int64)
+    t_lab = pdf["t_label"].to_numpy(np.int32)
+    t_mat = _prep(_stack(pdf["tf"]), metric)
+    t_sq = (t_mat * t_mat).sum(axis=1) if len(t_mat) else np.zeros(0)
+    bc = df.sparkSession.sparkContext.broadcast((t_ids, t_lab, t_mat, t_sq))
+    from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField
+    fields = list(df.schema.fields) + [StructField("pred", IntegerType(), True)]
+    if classes is not None:
+        fields.append(StructField("proba", ArrayType(DoubleType(), False), True))
+    from pyspark.sql.types import StructType
+
+    def run(batches):
+        ids, lab, mat, sq = bc.value
+        for b in batches:
+            if len(b) == 0:
+                continue
+            qm = _prep(_stack(b[features]), metric)
+            top = _local_topk(np.arange(len(b), dtype=np.int64), qm, ids, lab, mat, sq, k, metric)
+            if classes is None:                      # majority, ties → nearest
+                extra = {"pred": _vote_rows(top, k)["pred"].to_numpy(np.int32)}
+            else:                                    # fractions; pred = first maximal class
+                fr = np.vstack(_class_fractions(top, classes)["proba"].to_numpy())
+                extra = {"pred": np.asarray(classes, dtype=np.int32)[np.argmax(fr, axis=1)], "proba": list(fr)}
+            yield b.assign(**extra)
+
+    return df.mapInPandas(run, StructType(fields))
+
+
 def knn_lsh_topk(query: DataFrame, train: DataFrame, k: int = 5, bucket_length: float = 0.5,
                  num_tables: int = 8, max_distance: float = 2.0, id_col: str = "row_id",
                  features: str = "features", label: str = "label", seed: int = 42) -> DataFrame:

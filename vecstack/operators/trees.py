@@ -200,12 +200,14 @@ class TreeEnsemble:
         return out.select(key, F.col("tree").cast("long").alias("tree"), "node", vote.alias("vote"))
 
     def predict(self, df: DataFrame, features: str = "features", key: str = "row_id") -> DataFrame:
-        """M6 / M8: hard majority over trees, ties → the vote of the lowest tree id (``(key, pred)``).
+        """M6 / M8: hard majority over trees, ties → the vote of the lowest tree id (``(key, pred)``)."""
+        return self.predict_column(df.select(key, features), features).select(key, "pred")
 
-        Narrow: per row, every class gets (count of its votes, −first tree voting for it) and
-        the largest pair wins."""
+    def predict_column(self, df: DataFrame, features: str = "features", out: str = "pred") -> DataFrame:
+        """``df`` with the hard-majority class appended (narrow: per row, every class gets
+        (count of its votes, −first tree voting for it) and the largest pair wins)."""
         classes = sorted(set(int(v) for v in self.nodes["pred"].unique()))
-        v = self.vote_array(df.select(key, features), features)
+        v = self.vote_array(df, features)
         cls = F.array(*[F.lit(c).cast("long") for c in classes])
         big = F.lit(1 << 40)
 
@@ -216,7 +218,7 @@ class TreeEnsemble:
 
         per_class = F.zip_with(cls, F.array_repeat(F.col("votes"), len(classes)), score)
         best = F.array_max(F.filter(per_class, lambda s: s["n"] > 0))
-        return v.select(key, best["c"].cast("int").alias("pred"))
+        return v.withColumn(out, best["c"].cast("int")).drop("votes")
 
 
 def _tree_view(cur: DataFrame, target) -> DataFrame:
