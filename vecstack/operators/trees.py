@@ -30,13 +30,14 @@ computed on the fly from the label.  Nothing is copied per tree.
    (gain desc, feature rank, threshold asc); gain ≤ 1e-12 makes a leaf;
 6. rows move to children by a narrow array transform of ``nd`` that reads the
    level's splits from dense constant arrays indexed by ``t·2^L + (node − 2^L)``
-   (size trees × 2^level, checked) — no join, no shuffle.
+   (size trees × 2^level ≤ 1M, checked; one JSON literal folded to a constant) — no join, no shuffle.
 
 Prediction walks all trees the same way (one array transform per level).
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -50,7 +51,7 @@ from vecstack.operators.sampling import n_features
 MIN_GAIN = 1e-12
 GAIN_DECIMALS = 12           # gains are compared after rounding (stable tie order)
 BROADCAST_ROWS = 4_000_000   # node / split tables above this size are shuffled, not broadcast
-DENSE_MAX = 4_000_000        # largest per-level lookup array (trees × 2^level) held as a constant
+DENSE_MAX = 1_000_000        # largest per-level lookup array (trees × 2^level): ≤ 8 MiB per task
 
 
 @dataclass
@@ -82,14 +83,12 @@ def _value(x, decimals):
 
 
 def _lit_array(vals, kind: str):
-    """A constant array built from one SQL literal (one JVM call; folded by the optimizer)."""
+    """A constant array from one JSON string literal (one JVM call, parsed by the JSON reader
+    and folded to a literal by the optimizer; shortest-repr doubles round-trip exactly)."""
     if len(vals) == 0:
         return F.array().cast(f"array<{kind}>")
-    if kind == "double":
-        body = ",".join("%.17e" % float(v) for v in vals)
-    else:
-        body = ",".join(str(int(v)) for v in vals)
-    return F.expr(f"array({body})").cast(f"array<{kind}>")
+    items = [float(v) for v in vals] if kind == "double" else [int(v) for v in vals]
+    return F.from_json(F.lit(json.dumps({"a": items})), f"a array<{kind}>")["a"]
 
 
 def _dense(n_trees: int, width: int, entries, fill, kind: str):
