@@ -22,6 +22,16 @@ LOGIT_CLIP = 1e-12      # probabilities are clipped to [1e-12, 1 - 1e-12]
 TEMPERATURE = 1.15      # P ** (1 / 1.15) soft temperature
 
 
+def const_array(vals, kind: str = "double") -> Column:
+    """A constant ``array<kind>`` from one JSON string literal: one JVM call whatever the length,
+    folded to a literal by the optimizer (shortest-repr doubles round-trip exactly)."""
+    import json
+    if len(vals) == 0:
+        return F.array().cast(f"array<{kind}>")
+    items = [float(v) for v in vals] if kind == "double" else [int(v) for v in vals]
+    return F.from_json(F.lit(json.dumps({"a": items})), f"a array<{kind}>")["a"]
+
+
 def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

@@ -37,7 +37,6 @@ Prediction walks all trees the same way (one array transform per level).
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -46,6 +45,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vecstack.functions.arrays import const_array
 from vecstack.operators.sampling import n_features
 
 MIN_GAIN = 1e-12
@@ -83,12 +83,7 @@ def _value(x, decimals):
 
 
 def _lit_array(vals, kind: str):
-    """A constant array from one JSON string literal (one JVM call, parsed by the JSON reader
-    and folded to a literal by the optimizer; shortest-repr doubles round-trip exactly)."""
-    if len(vals) == 0:
-        return F.array().cast(f"array<{kind}>")
-    items = [float(v) for v in vals] if kind == "double" else [int(v) for v in vals]
-    return F.from_json(F.lit(json.dumps({"a": items})), f"a array<{kind}>")["a"]
+    return const_array(vals, kind)
 
 
 def _dense(n_trees: int, width: int, entries, fill, kind: str):
