@@ -121,7 +121,7 @@ def _walk(nd, x, feats, thrs, level: int, dec, keep_leaves: bool):
 
 @dataclass
 class TreeEnsemble:
-    nodes: pd.DataFrame                  # tree, node, is_leaf, feature, threshold, pred, n, depth
+    nodes: pd.DataFrame                  # tree, node, is_leaf, feature, threshold, pred, n, depth, searched
     params: TreeParams
     classes: list = field(default_factory=list)
 
@@ -132,7 +132,13 @@ class TreeEnsemble:
     def nodes_frame(self, spark) -> DataFrame:
         pdf = self.nodes.copy()
         return spark.createDataFrame(pdf, "tree long, node long, is_leaf boolean, feature long, threshold double, "
-                                          "pred long, n double, depth long")
+                                          "pred long, n double, depth long, searched boolean")
+
+    def searched_features(self, spark, d: int) -> DataFrame:
+        """R5 for this ensemble: the candidate features of every node whose split was searched."""
+        nd = self.nodes[self.nodes["searched"]][["tree", "node"]].astype("int64")
+        m = n_features(self.params.max_features, d)
+        return candidate_features(spark.createDataFrame(nd, "tree long, node long"), d, m, self.params.seed)
 
     def vote_array(self, df: DataFrame, features: str = "features", trees: list[int] | None = None,
                    out: str = "votes") -> DataFrame:
@@ -285,7 +291,8 @@ def grow(rows: DataFrame, n_trees: int, params: TreeParams, d: int, classes=None
         prev.unpersist()
     if global_ths is not None:
         global_ths.unpersist()
-    nodes = pd.DataFrame(out_rows, columns=["tree", "node", "is_leaf", "feature", "threshold", "pred", "n", "depth"])
+    nodes = pd.DataFrame(out_rows, columns=["tree", "node", "is_leaf", "feature", "threshold", "pred", "n", "depth",
+                                            "searched"])
     return TreeEnsemble(nodes.sort_values(["tree", "node"]).reset_index(drop=True), params,
                         list(classes) if classes is not None else [])
 
@@ -300,7 +307,7 @@ def _node_summaries(stats: pd.DataFrame, depth: int, p: TreeParams):
         pure = int((g["cnt"] > 0).sum()) <= 1
         leaf = depth >= p.max_depth or n < p.min_samples_split or pure or n < 2 * p.min_samples_leaf
         rows.append({"tree": int(t), "node": int(nd), "is_leaf": bool(leaf), "feature": -1,
-                     "threshold": float("nan"), "pred": pred, "n": n, "depth": depth})
+                     "threshold": float("nan"), "pred": pred, "n": n, "depth": depth, "searched": not leaf})
         if not leaf:
             open_nodes.append((int(t), int(nd)))
     return rows, open_nodes

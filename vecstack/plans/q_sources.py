@@ -146,26 +146,6 @@ def q_subsample(spark, sf):
     return s.select(big("round").alias("round"), "row_id")
 
 
-# R5 ------------------------------------------------------------------------
-@register("feature_subset", f"""
-WITH e AS ({EMB}), d AS (SELECT max(len(f)) AS d FROM e),
-nodes AS (SELECT DISTINCT label AS tree, nd.range AS node FROM e, range(1, 8) nd),
-c AS (SELECT tree, node, ft.range AS feature FROM nodes, d, range(d.d) ft),
-k AS (SELECT tree, node, feature, row_number() OVER (PARTITION BY tree, node ORDER BY
-        {sql_hash("'42:feat:' || tree::VARCHAR || ':' || node::VARCHAR || ':' || feature::VARCHAR")}, feature) AS frank
-      FROM c)
-SELECT tree::BIGINT AS tree, node::BIGINT AS node, feature::BIGINT AS feature, frank::BIGINT AS frank
-FROM k, d WHERE frank <= floor(sqrt(d.d))""")
-def q_feature_subset(spark, sf):
-    df = labelled_vectors(spark, sf)
-    d = df.agg(F.max(F.size("features"))).first()[0]
-    nodes = (df.select(F.col("label").alias("tree")).distinct()
-               .withColumn("node", F.explode(F.sequence(F.lit(1), F.lit(7)))))
-    fs = R.feature_subset(nodes, d, "sqrt", seed=SEED)
-    return fs.select(big("tree").alias("tree"), big("node").alias("node"), big("feature").alias("feature"),
-                     big("frank").alias("frank"))
-
-
 # J4 ------------------------------------------------------------------------
 @register("fold_anti_join", FOLDS3_SQL + """
 SELECT f.range::BIGINT AS train_fold, k.row_id FROM k, range(3) f WHERE k.fold <> f.range""")

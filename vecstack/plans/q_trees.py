@@ -23,8 +23,8 @@ from vecstack.sources.tables import LINEITEM_FEATURES, labelled_vectors, lineite
 DEC = 9
 TREE_P = T.TreeParams(max_depth=2, min_samples_split=20, min_samples_leaf=5, max_features=None,
                       n_thresholds=16, decimals=DEC)
-STUMP_P = T.TreeParams(max_depth=1, min_samples_split=20, min_samples_leaf=5, max_features=None,
-                       n_thresholds=16, decimals=DEC)
+FOREST_P = T.TreeParams(max_depth=2, min_samples_split=20, min_samples_leaf=5, max_features="sqrt",
+                        n_thresholds=16, decimals=DEC)
 BOOST = dict(n_estimators=3, lr=0.15, max_depth=1, min_samples_split=10, min_samples_leaf=5, n_thresholds=8,
              subsample_rate=0.6, max_features=None, decimals=DEC)
 
@@ -33,19 +33,34 @@ def _fr(q):
     return "[" + ", ".join("%.17e" % f for f in T.quantile_fractions(q)) + "]::DOUBLE[]"
 
 
-def grow_sql(base: str, xl: str, depth: int, q: int, min_split: int, min_leaf: int, p: str = "t") -> str:
+def grow_sql(base: str, xl: str, depth: int, q: int, min_split: int, min_leaf: int, p: str = "t",
+             sqrt_features: bool = False) -> str:
     """CTEs (each preceded by a comma) ending in ``{p}_nodes(tree, node, is_leaf, feature,
-    threshold, pred, n, depth)``; ``base(tree, row_id, label, w)``, ``xl(row_id, dim, v)``."""
-    s = [f"{p}_a0 AS (SELECT tree, row_id, label, w, 1 AS node FROM {base})"]
+    threshold, pred, n, depth)``; ``base(tree, row_id, label, w)``, ``xl(row_id, dim, v)``.
+    With ``sqrt_features`` each open node searches the floor(√d) features of smallest hash
+    (``{p}_cf{L}``), and gain ties are broken by that hash rank."""
+    s = [f"{p}_a0 AS (SELECT tree, row_id, label, w, 1 AS node FROM {base})",
+         f"{p}_dd AS (SELECT max(dim) + 1 AS d FROM {xl})"]
+    h = sql_hash("'42:feat:' || tree::VARCHAR || ':' || node::VARCHAR || ':' || dim::VARCHAR")
     for L in range(depth + 1):
+        if sqrt_features:
+            cf = f"""{p}_cf{L} AS (SELECT tree, node, dim, frank FROM (
+                  SELECT tree, node, dim, row_number() OVER (PARTITION BY tree, node ORDER BY {h}, dim) AS frank
+                  FROM (SELECT o.tree, o.node, unnest(range(dd.d)) AS dim FROM {p}_o{L} o, {p}_dd dd))
+                  WHERE frank <= (SELECT floor(sqrt(d)) FROM {p}_dd)),"""
+            wjoin = f"JOIN {p}_cf{L} c ON c.tree = a.tree AND c.node = a.node AND c.dim = x.dim"
+            rank = f"(SELECT frank FROM {p}_cf{L} c WHERE c.tree = g.tree AND c.node = g.node AND c.dim = g.dim)"
+        else:
+            cf, wjoin, rank = "", "", "g.dim + 1"
         s.append(f"""{p}_s{L} AS (SELECT tree, node, label, sum(w) AS cnt, min(row_id) AS first FROM {p}_a{L} GROUP BY 1, 2, 3),
 {p}_n{L} AS (SELECT tree, node, sum(cnt) AS n, count(*) FILTER (WHERE cnt > 0) AS k FROM {p}_s{L} GROUP BY 1, 2),
 {p}_m{L} AS (SELECT tree, node, label AS pred FROM {p}_s{L}
              QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY cnt DESC, first) = 1),
 {p}_o{L} AS (SELECT tree, node FROM {p}_n{L}
              WHERE {L} < {depth} AND n >= {min_split} AND k > 1 AND n >= {2 * min_leaf}),
+{cf}
 {p}_w{L} AS (SELECT a.tree, a.node, a.label, a.w, x.dim, x.v FROM {p}_a{L} a JOIN {p}_o{L} o USING (tree, node)
-             JOIN {xl} x ON x.row_id = a.row_id),
+             JOIN {xl} x ON x.row_id = a.row_id {wjoin}),
 {p}_rep{L} AS (SELECT tree, node, dim, v, unnest(range(w)) AS _i FROM {p}_w{L}),
 {p}_q{L} AS (SELECT tree, node, dim, list_transform(quantile_cont(v, {_fr(q)}), lambda z: round(z, {DEC})) AS qs
              FROM {p}_rep{L} GROUP BY 1, 2, 3),
@@ -64,8 +79,9 @@ def grow_sql(base: str, xl: str, depth: int, q: int, min_split: int, min_leaf: i
                      - nl / (nl + nr) * (CASE WHEN nl > 0 THEN 1 - sl / (nl * nl) ELSE 0 END)
                      - nr / (nl + nr) * (CASE WHEN nr > 0 THEN 1 - sr / (nr * nr) ELSE 0 END), 12) AS gain
               FROM {p}_g{L} WHERE nl >= {min_leaf} AND nr >= {min_leaf}),
-{p}_b{L} AS (SELECT tree, node, dim AS feature, t AS threshold FROM {p}_gg{L} WHERE gain > 1e-12
-             QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY gain DESC, dim, t) = 1),
+{p}_gr{L} AS (SELECT g.*, {rank} AS frank FROM {p}_gg{L} g),
+{p}_b{L} AS (SELECT tree, node, dim AS feature, t AS threshold FROM {p}_gr{L} WHERE gain > 1e-12
+             QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY gain DESC, frank, t) = 1),
 {p}_nd{L} AS (SELECT n.tree, n.node, b.feature IS NULL AS is_leaf, coalesce(b.feature, -1) AS feature,
                      b.threshold, m.pred, n.n, {L} AS depth
               FROM {p}_n{L} n JOIN {p}_m{L} m USING (tree, node) LEFT JOIN {p}_b{L} b USING (tree, node)),
@@ -174,12 +190,13 @@ u AS (SELECT tt.range AS tree, tr.row_id, tr.label,
              {sql_hash("'42:boot:' || tt.range::VARCHAR || ':' || tr.row_id::VARCHAR")} / 4294967296.0::DOUBLE AS u
       FROM tr, range(3) tt),
 base AS (SELECT tree, row_id, label, w FROM (SELECT u.tree, u.row_id, u.label, count(cdf.c) AS w
-         FROM u LEFT JOIN cdf ON cdf.c <= u.u GROUP BY 1, 2, 3) WHERE w > 0)""" + grow_sql("base", "xl", 1, 16, 20, 5)
+         FROM u LEFT JOIN cdf ON cdf.c <= u.u GROUP BY 1, 2, 3) WHERE w > 0)""" + grow_sql(
+    "base", "xl", 2, 16, 20, 5, sqrt_features=True)
 
 
 def _forest(spark, sf):
     tr, va = split(spark, sf)
-    ens = T.fit_forest(tr, n_estimators=3, sample_ratio=0.35, bootstrap=True, min_rows=1000, params=STUMP_P)
+    ens = T.fit_forest(tr, n_estimators=3, sample_ratio=0.35, bootstrap=True, min_rows=1000, params=FOREST_P)
     return ens, tr, va
 
 
@@ -189,14 +206,14 @@ def q_forest_fit(spark, sf):
     return nodes_out(ens, spark)
 
 
-@register("stack_votes", _FOREST_SQL + apply_sql("t_nodes", "va", "xl", 1) + """
+@register("stack_votes", _FOREST_SQL + apply_sql("t_nodes", "va", "xl", 2) + """
 SELECT row_id, tree::BIGINT AS tree, vote::BIGINT AS vote FROM ap_leaf""")
 def q_stack_votes(spark, sf):
     ens, _, va = _forest(spark, sf)
     return ens.apply(va).select("row_id", big("tree").alias("tree"), big("vote").alias("vote"))
 
 
-@register("forest_predict", _FOREST_SQL + apply_sql("t_nodes", "va", "xl", 1) + """,
+@register("forest_predict", _FOREST_SQL + apply_sql("t_nodes", "va", "xl", 2) + """,
 vv AS (SELECT row_id, vote, count(*) AS c, min(tree) AS first FROM ap_leaf GROUP BY 1, 2)
 SELECT row_id, vote::BIGINT AS pred FROM vv
 QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY c DESC, first) = 1""")
@@ -205,13 +222,26 @@ def q_forest_predict(spark, sf):
     return ens.predict(va).select("row_id", big("pred").alias("pred"))
 
 
-@register("model_apply_join", _FOREST_SQL + apply_sql("t_nodes", "e", "xl", 1) + """
+@register("model_apply_join", _FOREST_SQL + apply_sql("t_nodes", "e", "xl", 2) + """
 SELECT row_id, tree::BIGINT AS tree, node::BIGINT AS node FROM ap_leaf""")
 def q_model_apply(spark, sf):
     ens, _, _ = _forest(spark, sf)
     return ens.apply(labelled_vectors(spark, sf)).select("row_id", big("tree").alias("tree"), big("node").alias("node"))
 
 
+# R5 ------------------------------------------------------------------------
+@register("feature_subset", _FOREST_SQL + """
+SELECT tree::BIGINT AS tree, node::BIGINT AS node, dim::BIGINT AS feature, frank::BIGINT AS frank FROM (
+""" + " UNION ALL ".join(f"SELECT * FROM t_cf{L}" for L in range(3)) + ")")
+def q_feature_subset(spark, sf):
+    """The √d candidate features (hash rank per node) of every node the forest searched."""
+    ens, tr, _ = _forest(spark, sf)
+    d = tr.agg(F.max(F.size("features"))).first()[0]
+    fs = ens.searched_features(spark, d)
+    return fs.select(big("tree").alias("tree"), big("node").alias("node"), big("feature").alias("feature"),
+                     big("frank").alias("frank"))
+
+
 # M9 ------------------------------------------------------------------------
 @register("forest_proba")
 def q_forest_proba(spark, sf):
