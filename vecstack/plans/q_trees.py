@@ -26,7 +26,7 @@ TREE_P = T.TreeParams(max_depth=2, min_samples_split=20, min_samples_leaf=5, max
 FOREST_P = T.TreeParams(max_depth=2, min_samples_split=20, min_samples_leaf=5, max_features="sqrt",
                         n_thresholds=16, decimals=DEC)
 BOOST = dict(n_estimators=3, lr=0.15, max_depth=1, min_samples_split=10, min_samples_leaf=5, n_thresholds=8,
-             subsample_rate=0.6, max_features=None, decimals=DEC)
+             subsample_rate=0.6, max_features="sqrt", decimals=DEC)
 
 
 def _fr(q):
@@ -266,7 +266,8 @@ bw AS (SELECT sub.round * nk.nk + cl.k AS tree, sub.row_id, (sub.label = cl.c)::
        FROM sub, cl, nk),
 ok AS (SELECT tree FROM bw GROUP BY tree HAVING count(DISTINCT label) = 2),
 base AS (SELECT bw.* FROM bw JOIN ok USING (tree))""" + grow_sql(
-    "base", "xl", BOOST["max_depth"], BOOST["n_thresholds"], BOOST["min_samples_split"], BOOST["min_samples_leaf"])
+    "base", "xl", BOOST["max_depth"], BOOST["n_thresholds"], BOOST["min_samples_split"], BOOST["min_samples_leaf"],
+    sqrt_features=True)
 
 
 def _boost(spark, sf):
