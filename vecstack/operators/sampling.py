@@ -22,12 +22,12 @@ BROADCAST_OFFSET_ROWS = 2_000_000
 
 
 def hash_rank(df: DataFrame, h: Column | str, tie: str = "row_id", groups: list[str] | None = None,
-              out: str = "rank", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+              out: str = "rank", bucket_rows: int = BUCKET_ROWS, n: int | None = None) -> DataFrame:
     """0-based rank of each row in ``(h, tie)`` order within ``groups``, exact and distributed."""
     groups = list(groups or [])
     h = F.col(h) if isinstance(h, str) else h
     df = df.withColumn("_h", h)
-    n = df.count()
+    n = df.count() if n is None else n
     b = max(1, math.ceil(n / bucket_rows))
     df = df.withColumn("_b", F.floor(F.col("_h") * F.lit(b) / F.lit(HASH_RANGE)).cast("long"))
     counts = df.groupBy(*groups, "_b").agg(F.count("*").alias("_c"))
@@ -57,7 +57,7 @@ def kfold_assign(df: DataFrame, cv: int, seed: int = 42, exact: bool = True, key
     if not exact:
         return df.withColumn(out, F.pmod(h, F.lit(cv)).cast("int"))
     n = df.count()
-    ranked = hash_rank(df, h, tie=key, out="_r")
+    ranked = hash_rank(df, h, tie=key, out="_r", n=n)
     return ranked.withColumn(out, _array_split_fold(F.col("_r"), n, cv)).drop("_r")
 
 

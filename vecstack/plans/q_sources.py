@@ -8,6 +8,7 @@ from vecstack.functions.hashing import sql_hash
 from vecstack.operators import neighbors as nb
 from vecstack.operators import sampling as R
 from vecstack.plans.registry import EMB, big, long_sql, r, register, rnd
+from vecstack.session import cut_lineage
 from vecstack.sources import files as io
 from vecstack.sources.tables import labelled_vectors, with_split
 
@@ -158,7 +159,7 @@ def q_fold_anti(spark, sf):
 # J5 ------------------------------------------------------------------------
 def oof_knn(df, cv=2, k=5, seed=SEED):
     """Out-of-fold kNN labels: each fold predicted by a kNN over the other folds."""
-    folded = R.kfold_assign(df, cv=cv, seed=seed).cache()
+    folded = cut_lineage(R.kfold_assign(df, cv=cv, seed=seed))      # read by every fold's fit
     parts = []
     for f in range(cv):
         q = folded.where(F.col("fold") == f)
