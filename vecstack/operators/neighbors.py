@@ -228,28 +228,62 @@ def knn_append(df: DataFrame, train: DataFrame, k: int = 5, metric: str = "cosin
 
 
 def knn_lsh_topk(query: DataFrame, train: DataFrame, k: int = 5, bucket_length: float = 0.5,
-                 num_tables: int = 8, max_distance: float = 2.0, id_col: str = "row_id",
-                 features: str = "features", label: str = "label", seed: int = 42) -> DataFrame:
-    """Approximate neighbours by random-projection LSH, exact re-rank of the candidates.
-
-    For unit vectors ‖a−b‖² = 2 − 2cos, so ranking by Euclidean distance is
-    ranking by cosine.  Recall < 1 by design; use :func:`knn_topk` for exact.
-    """
+                 num_tables: int = 8, metric: str = "cosine", id_col: str = "row_id",
+                 features: str = "features", label: str = "label", seed: int = 42,
+                 block_rows: int = 8192) -> DataFrame:
+    """Approximate neighbours — only rows sharing a random-projection LSH bucket in some
+    table are compared; recall < 1 by design (use :func:`knn_topk` for exact).
+
+    Candidate pairs are never emitted: rows are keyed by ``(table, bucket)``; a bucket with
+    more than ``block_rows`` train rows is split into train sub-blocks (its queries are
+    replicated across that bucket's sub-blocks only), every ``(table, bucket, sub-block)``
+    meets in one ``cogroup`` task that emits its local top-k (exact scores), and the
+    candidates are de-duplicated across tables and merged per query by ``row_number``."""
     from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-
-    def vec(df, idn):
-        return df.select(F.col(id_col).cast("long").alias(idn), F.col(label).cast("int").alias("lab"),
-                         array_to_vector(F.col(features)).alias("v"))
-
-    qv, tv = vec(query, "q_id"), vec(train, "t_id")
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    def keyed(df, idn, with_label):
+        cols = [F.col(id_col).cast("long").alias(idn), F.col(features).alias("f")]
+        if with_label:
+            cols.append(F.col(label).cast("int").alias("t_label"))
+        out = df.select(*cols)
+        if metric == "cosine":                    # unit vectors: Euclidean buckets ≡ cosine buckets
+            out = out.withColumn("f", F.zip_with("f", F.array_repeat(
+                F.sqrt(F.aggregate("f", F.lit(0.0), lambda acc, x: acc + x * x)) + F.lit(NORM_EPS),
+                F.size("f")), lambda x, n: x / n))
+        return out.withColumn("v", array_to_vector("f"))
+
+    tv, qv = keyed(train, "t_id", True), keyed(query, "q_id", False)
     lsh = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket_length,
                                       numHashTables=num_tables, seed=seed).fit(tv)
-    pairs = lsh.approxSimilarityJoin(qv, tv, max_distance, distCol="dist").select(
-        F.col("datasetA.q_id").alias("q_id"), F.col("datasetB.t_id").alias("t_id"),
-        F.col("datasetB.lab").alias("t_label"), F.col("dist").alias("score"))
-    w = Window.partitionBy("q_id").orderBy(F.col("score").asc(), F.col("t_id"))
-    return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+    def buckets(df):
+        h = lsh.transform(df).withColumn("hb", F.transform("h", lambda vv: vector_to_array(vv)[0].cast("long")))
+        return h.select("*", F.posexplode("hb").alias("tbl", "bucket")).drop("v", "h", "hb")
+
+    tb, qb = buckets(tv), buckets(qv)
+    sizes = tb.groupBy("tbl", "bucket").agg(F.count("*").alias("n"))      # one row per bucket
+    sizes = sizes.select("tbl", "bucket", F.greatest(F.lit(1), F.ceil(F.col("n") / block_rows))
+                         .cast("long").alias("nsub"))
+    tb = tb.join(sizes, ["tbl", "bucket"]).withColumn("sub", F.pmod(F.xxhash64("t_id"), F.col("nsub")))
+    qb = qb.join(sizes, ["tbl", "bucket"]) \
+           .withColumn("sub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nsub") - 1)))
+    keys = ["tbl", "bucket", "sub"]
+
+    def pair(qp: pd.DataFrame, tp: pd.DataFrame) -> pd.DataFrame:
+        t_mat = _stack(tp["f"])
+        t_sq = (t_mat * t_mat).sum(axis=1) if len(t_mat) else np.zeros(0)
+        mtr = "cosine" if metric == "cosine" else "euclidean"
+        return _local_topk(qp["q_id"].to_numpy(np.int64), _stack(qp["f"]), tp["t_id"].to_numpy(np.int64),
+                           tp["t_label"].to_numpy(np.int32), t_mat, t_sq, k, mtr)
+
+    cand = (qb.select(*keys, "q_id", "f").groupBy(*keys)
+              .cogroup(tb.select(*keys, "t_id", "t_label", "f").groupBy(*keys))
+              .applyInPandas(pair, NEIGHBOR_SCHEMA))
+    cand = cand.groupBy("q_id", "t_id").agg(F.first("t_label").alias("t_label"), F.first("score").alias("score"))
+    order = F.col("score").desc() if metric == "cosine" else F.col("score").asc()
+    w = Window.partitionBy("q_id").orderBy(order, F.col("t_id"))            # ≤ tables × sub-blocks × k rows
+    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 def majority_vote(neigh: DataFrame, key: str = "q_id", vote: str = "t_label",
