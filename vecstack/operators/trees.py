@@ -176,26 +176,8 @@ class TreeEnsemble:
         """``(key, tree, node, vote)`` — the leaf of every row in every tree.
 
         One narrow array transform per level over all trees at once."""
-        trees = sorted(trees if trees is not None else self.tree_ids)
-        nd = self.nodes[self.nodes["tree"].isin(trees)]
-        T = (max(trees) + 1) if trees else 1
-        depth = int(nd["depth"].max()) if len(nd) else 0
-        dec = self.params.decimals
-        cur = df.select(F.col(key), F.col(features).alias("_x"),
-                        _lit_array([1 if t in set(trees) else 0 for t in range(T)], "bigint").alias("_nd"))
-        internal = nd[~nd["is_leaf"]]
-        for level in range(depth):
-            lv = internal[internal["depth"] == level]
-            base = 1 << level
-            feats = _dense(T, base, {(int(r.tree), int(r.node) - base): int(r.feature) for r in lv.itertuples()},
-                           -1, "bigint")
-            thrs = _dense(T, base, {(int(r.tree), int(r.node) - base): float(r.threshold) for r in lv.itertuples()},
-                          0.0, "double")
-            cur = cur.withColumn("_nd", _walk(F.col("_nd"), F.col("_x"), feats, thrs, level, dec, True))
-        width = 1 << (depth + 1)
-        preds = _dense(T, width, {(int(r.tree), int(r.node)): int(r.pred)
-                                  for r in nd[nd["is_leaf"]].itertuples()}, -1, "bigint")
-        out = cur.select(F.col(key), F.posexplode("_nd").alias("tree", "node")).where(F.col("node") > 0)
+        walked, preds, width = self._walk_frame(df.select(key, features), features, trees)
+        out = walked.select(F.col(key), F.posexplode("_nd").alias("tree", "node")).where(F.col("node") > 0)
         vote = F.element_at(preds, (F.col("tree") * width + F.col("node") + 1).cast("int"))
         return out.select(key, F.col("tree").cast("long").alias("tree"), "node", vote.alias("vote"))
 
