@@ -51,9 +51,37 @@ def get_spark(master: str | None = None, app: str = "vecstack",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``vecstack`` importable in every Python worker (``mapInPandas`` / ``applyInPandas``
+    functions reference it): the package is zipped once and added with ``addPyFile``, which
+    Spark distributes to the executors — no reliance on the workers' working directory."""
+    import zipfile
+
+    import vecstack
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(vecstack.__file__))
+    fd, path = tempfile.mkstemp(prefix="vecstack-pkg-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder of the session.
 
