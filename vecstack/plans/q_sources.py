@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from vecstack.functions.hashing import sql_hash
@@ -71,12 +73,27 @@ MANIFEST_PARAMS = {"pca_var": 0.95, "hog": {"cell_size": 7, "bins": 8}, "directi
                    "zonal": {"grid": [4, 4]}, "dtype": "float32"}
 
 
-@register("write_manifest")
+def _manifest_sql() -> str:
+    p = MANIFEST_PARAMS
+    return (f"SELECT {p['pca_var']}::DOUBLE AS pca_var, '{json.dumps(p['hog'])}' AS hog, "
+            f"'{json.dumps(p['directional'])}' AS directional, '{json.dumps(p['zonal'])}' AS zonal, "
+            f"'{p['dtype']}' AS dtype, ((SELECT (count(*) > 0)::INTEGER FROM embeddings) + "
+            f"(SELECT (count(*) > 0)::INTEGER FROM lineitem))::BIGINT AS n_sources, 40::BIGINT AS sha1_len")
+
+
+@register("write_manifest", _manifest_sql())
 def q_write_manifest(spark, sf):
+    """Manifest written and read back — checked on its parameters, the number of recorded
+    source fingerprints and their length (the SHA-1 values depend on the file paths)."""
     path = io.scratch_path(spark, "manifest")
-    m = io.manifest_frame(spark, _sources(sf), MANIFEST_PARAMS, build_seconds=0.0)
+    sources = _sources(sf)
+    m = io.manifest_frame(spark, sources, MANIFEST_PARAMS, build_seconds=0.0)
     io.write_manifest(m, path)
-    return io.read_manifest(spark, path).drop("created_s")
+    back = io.read_manifest(spark, path)
+    sha = [F.col(f"{n}_sha1") for n in sources]
+    return back.select("pca_var", "hog", "directional", "zonal", "dtype",
+                       F.lit(len(sources)).cast("bigint").alias("n_sources"),
+                       F.least(*[F.length(c) for c in sha]).cast("bigint").alias("sha1_len"))
 
 
 @register("file_fingerprint")
