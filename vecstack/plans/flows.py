@@ -9,7 +9,6 @@ lineage and a lost executor recomputes from that table, not from the source.
 
 from __future__ import annotations
 
-import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -189,9 +188,3 @@ def hybrid_stack_eval(train: DataFrame, val: DataFrame, cfg: HybridConfig):
     pv = SP.apply_overrides(pv, SP.PAIR_RULES, proba="proba", pred="pred0", out="pred", classes=classes)
     pv = cut_lineage(pv.select("row_id", "label", "pred0", "pred", "proba"))
     return pv, ev.classification_report(pv)
-
-
-def timed(fn, *a, **kw):
-    t0 = time.time()
-    out = fn(*a, **kw)
-    return out, time.time() - t0
