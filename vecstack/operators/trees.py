@@ -330,13 +330,13 @@ def candidate_features(open_df: DataFrame, d: int, m: int, seed: int) -> DataFra
 GAIN_SCHEMA = "tree long, node long, feature long, frank long, j long, t double, nl double, nr double, gain double"
 
 
-def _thresholds(ex: DataFrame, p: TreeParams, fr, open_nodes, node_sizes) -> DataFrame:
-    """A3 per ``(tree, node, feature)``: exact percentiles for bounded nodes, sketch for large ones."""
+def exact_percentiles(src: DataFrame, fr, group: list[str]) -> DataFrame:
+    """Linear-interpolated percentiles at fractions ``fr`` of ``x`` (repeated ``w`` times) per
+    ``(tree, node, feature)``, computed with NumPy per bounded ``group`` (callers only use it for
+    groups within ``exact_max_rows``): ``(tree, node, feature, q array<double>)``."""
     fr_arr = np.asarray(fr, dtype=np.float64)
 
     def pct(pdf: pd.DataFrame) -> pd.DataFrame:
-        # one (tree, node, chunk of ≤ 16 features) group of a bounded node: linear-interpolated
-        # percentiles of each feature's values repeated by their multiplicity, vectorised
         w = pdf["w"].to_numpy(np.int64)
         f = np.repeat(pdf["feature"].to_numpy(np.int64), w)
         x = np.repeat(pdf["x"].to_numpy(np.float64), w)
@@ -350,10 +350,15 @@ def _thresholds(ex: DataFrame, p: TreeParams, fr, open_nodes, node_sizes) -> Dat
         return pd.DataFrame({"tree": int(pdf["tree"].iloc[0]), "node": int(pdf["node"].iloc[0]),
                              "feature": feats, "q": list(q)})
 
+    return src.groupBy(*group).applyInPandas(pct, "tree long, node long, feature long, q array<double>")
+
+
+def _thresholds(ex: DataFrame, p: TreeParams, fr, open_nodes, node_sizes) -> DataFrame:
+    """A3 per ``(tree, node, feature)``: exact percentiles for bounded nodes, sketch for large ones."""
     def exact(src):
-        return (src.select("tree", "node", "feature", "x", "w", (F.col("frank") / 16).cast("long").alias("_chunk"))
-                   .groupBy("tree", "node", "_chunk")
-                   .applyInPandas(pct, "tree long, node long, feature long, q array<double>"))
+        return exact_percentiles(src.select("tree", "node", "feature", "x", "w",
+                                            (F.col("frank") / 16).cast("long").alias("_chunk")),
+                                 fr, ["tree", "node", "_chunk"])
 
     def approx(src):
         rep = src.select("tree", "node", "feature", F.explode(F.array_repeat("x", F.col("w").cast("int"))).alias("x"))
@@ -472,10 +477,14 @@ def split_candidates(df: DataFrame, params: TreeParams, features: str = "feature
     l = df.select(F.posexplode(features).alias("feature", "x"))
     if params.decimals is not None:
         l = l.withColumn("x", F.round("x", params.decimals))
-    use_approx = params.thresholds == "approx" or (
+    use_approx = params.thresholds in ("approx", "global") or (
         params.thresholds == "auto" and df.count() > params.exact_max_rows)
-    agg = F.percentile_approx("x", fr, params.approx_accuracy) if use_approx else F.percentile("x", fr)
-    q = l.groupBy("feature").agg(agg.alias("q"))
+    if use_approx:
+        q = l.groupBy("feature").agg(F.percentile_approx("x", fr, params.approx_accuracy).alias("q"))
+    else:                                   # bounded input: vectorised exact percentiles per feature
+        src = l.select(F.lit(0).cast("long").alias("tree"), F.lit(1).cast("long").alias("node"),
+                       F.col("feature").cast("long").alias("feature"), "x", F.lit(1).alias("w"))
+        q = exact_percentiles(src, fr, ["feature"]).select("feature", "q")
     if params.decimals is not None:
         q = q.withColumn("q", F.transform("q", lambda v: F.round(v, params.decimals)))
     return q.select("feature", F.explode(F.array_distinct("q")).alias("threshold"))
