@@ -21,13 +21,10 @@ def get_spark(master: str | None = None, app: str = "vecstack",
               extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with AQE on and the UI off.
 
-    ``master`` defaults to ``local[$VECSTACK_CPUS or 8]`` only when no master
-    was configured by ``spark-submit``.
+    The master is the caller's: tests and the bench pass theirs, everything else keeps what
+    ``spark-submit`` or the Spark defaults configure.
     """
     builder = SparkSession.builder.appName(app)
-    active = SparkSession.getActiveSession()
-    if active is None and master is None and "SPARK_MASTER" not in os.environ:
-        master = f"local[{os.environ.get('VECSTACK_CPUS', '8')}]"
     if master:
         builder = builder.master(master)
     conf = {
@@ -38,8 +35,7 @@ def get_spark(master: str | None = None, app: str = "vecstack",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
-    local = (master or os.environ.get("SPARK_MASTER", "")).startswith("local")
-    if local:
+    if (master or "").startswith("local"):
         # sizes for one machine; on a cluster they come from spark-submit / the cluster defaults
         conf["spark.driver.memory"] = "16g"
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
@@ -66,7 +62,7 @@ def ship_package(spark: SparkSession) -> None:
 
     import vecstack
     sc = spark.sparkContext
-    key = id(sc._jsc)
+    key = sc.applicationId
     if key in _SHIPPED:
         return
     root = os.path.dirname(os.path.abspath(vecstack.__file__))
