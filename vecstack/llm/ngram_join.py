@@ -7,7 +7,7 @@ the *probe prefix* of the larger one.
 
 1. Documents with equal probe prefix and equal size collapse into one group; only groups enter the
    inverted index, and only index keys that two groups share are kept.
-2. A first round offers every group the one group it shares most keys with (linear in the groups).
+2. A first round offers every group the few groups it shares most keys with (linear in the groups).
    Its verified links give provisional components, so that a cluster of thousands of near copies is
    joined without looking at its pairs.
 3. A second round joins the index with itself for groups of *different* components only, filtered
@@ -28,6 +28,7 @@ from vecstack.llm.common import components, cut_lineage, materialise, texts
 
 SHINGLE, NUM, DEN = 5, 75, 100
 HOT_SHARE = 0.002      # a shingle in this share of a task's texts is a candidate for "frequent"
+OFFERS = 4             # partners offered to a group in the first round; only the amount of work depends on it
 HOT_LIMIT = 1 << 17    # length of the list of frequent shingles (1 MiB); it only sets the order
 
 
@@ -196,8 +197,24 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return docs.join(reps, "doc_id").mapInPandas(run, "rep bigint, n bigint, items array<bigint>")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _plausible(pairs: DataFrame, shared: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs ``(x_gid, y_gid, ...)`` of groups whose prefixes have enough in common.
+
+    Up to the end of the prefix that ends first, all common shingles are common index keys; beyond
+    it at most the rest of that set is common.
+    """
+    side = lambda p: shared.select(F.col("gid").alias(p + "_gid"), F.col("n").alias(p + "_n"), F.col("keys").alias(p + "_keys"))
+    rest = lambda p: f"-cast(floor(-{num} * {p}_n / {den}) as bigint) - 1"
+    both = pairs.join(side("y"), "y_gid").join(side("x"), "x_gid")
+    return both.where(f"{num + den} * (size(array_intersect(x_keys, y_keys)) + greatest({rest('x')}, {rest('y')})) "
+                      f">= {num} * (x_n + y_n)").select(*pairs.columns)
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """The links among ``pairs(a, b)`` of representatives, by their whole sets."""
+    pairs = cut_lineage(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+    sets = materialise(_sets_of(docs, reps.join(wanted, "rep"), k))
     a = sets.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("items").alias("ia"))
     b = sets.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("items").alias("ib"))
     common = F.size(F.array_intersect("ia", "ib"))
@@ -217,46 +234,42 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: i
                        .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("gid").alias("gid")))
     index = materialise(shared_index(named, hot, k))
     index_end = F.expr(f"n + cast(floor(-{2 * num} * n / {num + den}) as bigint) + 1")
-    # groups that some other group may link with, or that hold several sets
-    several = reps.groupBy("gid").agg(F.count("*").alias("c"), F.min("rep").alias("head"))
-    touched = index.select("gid").distinct().join(several.select("gid", "c", "head"), "gid", "right").where("c > 1").select("gid") \
-        .union(index.select("gid").distinct()).distinct()
-    wanted = cut_lineage(reps.join(touched, "gid"))
-    items = materialise(_sets_of(named, wanted, k))
-
-    # round 1: one partner for each group, and the first set of each group for its other sets
+    shared = cut_lineage(index.groupBy("gid").agg(F.first("n").alias("n"), F.collect_list("key").alias("keys")))
+    head = reps.groupBy("gid").agg(F.min("rep").alias("head"))
+
+    # round 1: a few partners for each group, and the first set of each group for its other sets
     lead = index.groupBy("key").agg(F.min(F.struct("n", "gid")).alias("m"))
     offer = (index.join(lead, "key").where(f"gid <> m.gid and {den} * m.n >= {num} * n")
              .groupBy("gid", F.col("m.gid").alias("other")).agg(F.count("*").alias("c"))
-             .groupBy("gid").agg(F.max(F.struct("c", "other")).alias("best")))
-    head = several.select("gid", "head")
-    pairs = (offer.select("gid", F.col("best.other").alias("other")).join(head, "gid")
-             .join(head.select(F.col("gid").alias("other"), F.col("head").alias("b")), "other")
-             .select(F.col("head").alias("a"), "b")
-             .union(wanted.join(head, "gid").where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b"))))
-    pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    first = cut_lineage(_verified(pairs, items, num, den))
+             .groupBy("gid").agg(F.sort_array(F.collect_list(F.struct("c", "other")), asc=False).alias("best"))
+             .select(F.col("gid").alias("x_gid"), F.explode(F.slice("best", 1, OFFERS)).alias("best"))
+             .select("x_gid", F.col("best.other").alias("y_gid")))
+    pairs = (_plausible(offer, shared, num, den)
+             .join(head.select(F.col("gid").alias("x_gid"), F.col("head").alias("a")), "x_gid")
+             .join(head.select(F.col("gid").alias("y_gid"), F.col("head").alias("b")), "y_gid").select("a", "b")
+             .union(reps.join(head, "gid").where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b"))))
+    first = _verified(pairs, named, reps, k, num, den)
     comp = cut_lineage(components(first).withColumnRenamed("node", "rep"))
 
     # round 2: every pair of different provisional components that the filters leave
-    member = cut_lineage(wanted.join(comp, "rep", "left").select("rep", "gid", F.coalesce("component", "rep").alias("comp")))
+    member = cut_lineage(reps.join(comp, "rep", "left").select("rep", "gid", F.coalesce("component", "rep").alias("comp")))
     unit = member.select("gid", "comp").distinct()
     entries = index.join(unit, "gid")
     split = entries.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    entries = cut_lineage(entries.join(split, "key", "left_semi"))
+    entries = materialise(entries.join(split, "key", "left_semi"))
     x = entries.where(F.col("pos") < index_end).select("key", *[F.col(c).alias("x_" + c) for c in ("gid", "comp", "n", "pos")])
     y = entries.select("key", *[F.col(c).alias("y_" + c) for c in ("gid", "comp", "n", "pos")])
     found = x.join(y, "key").where(
-        f"x_comp <> y_comp and x_n <= y_n and {den} * x_n >= {num} * y_n and "
+        f"x_gid <> y_gid and x_comp <> y_comp and x_n <= y_n and {den} * x_n >= {num} * y_n and "
         f"{num + den} * (least(x_pos, y_pos) + least(x_n - x_pos, y_n - y_pos)) >= {num} * (x_n + y_n)")
-    units = found.select("x_gid", "x_comp", "y_gid", "y_comp").distinct()
+    units = _plausible(found.select("x_gid", "x_comp", "y_gid", "y_comp").distinct(), shared, num, den)
     inner = unit.select(F.col("gid").alias("x_gid"), F.col("comp").alias("x_comp")) \
         .join(unit.select(F.col("gid").alias("x_gid"), F.col("comp").alias("y_comp")), "x_gid") \
         .where("x_comp < y_comp").select("x_gid", "x_comp", F.col("x_gid").alias("y_gid"), "y_comp")
     side = lambda p, name: member.select(F.col("gid").alias(p + "_gid"), F.col("comp").alias(p + "_comp"), F.col("rep").alias(name))
-    more = (units.union(inner).join(side("x", "a"), ["x_gid", "x_comp"]).join(side("y", "b"), ["y_gid", "y_comp"])
-            .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    second = _verified(more, items, num, den)
+    more = (units.select(*inner.columns).union(inner).join(side("x", "a"), ["x_gid", "x_comp"])
+            .join(side("y", "b"), ["y_gid", "y_comp"]).select("a", "b"))
+    second = _verified(more, named, reps, k, num, den)
     star = comp.where("rep <> component").select(F.col("rep").alias("a"), F.col("component").alias("b"))
     final = components(star.union(second))
     rep_comp = (reps.select("fp_a", "fp_b", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left")
