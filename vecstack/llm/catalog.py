@@ -5,7 +5,10 @@ Each query applies its operator with the production parameters to its whole tabl
 
 from __future__ import annotations
 
-from vecstack.llm import ngram_join
+import public_tokenizers
+
+from vecstack.llm import (bpe, decontaminate, fertility, language_id, license_scan, ngram_join,
+                          paragraph_dedup, quality, secrets_scan, suffix_dedup)
 from vecstack.llm.common import read
 
 QUERIES: dict = {}
@@ -17,6 +20,63 @@ def register(fn):
     return fn
 
 
+@register
+def op1_benchmark_decontamination(spark, sf_dir):
+    """Every passage of every document that holds a benchmark item."""
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@register
+def op2_substring_dedup(spark, sf_dir):
+    """Every paragraph that occurs again, with its cluster."""
+    return paragraph_dedup.repeated_paragraphs(read(spark, sf_dir, "documents"))
+
+
+@register
+def op3_quality_classifier(spark, sf_dir):
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @register
 def op4_ngram_jaccard_join(spark, sf_dir):
     return ngram_join.jaccard_components(read(spark, sf_dir, "documents"))
+
+
+@register
+def op5_byte_bpe(spark, sf_dir):
+    return bpe.digests(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@register
+def op6_tokeniser_fertility(spark, sf_dir):
+    return fertility.judge(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@register
+def op7_language_id(spark, sf_dir):
+    """Documents: the declared language is ``lang``, the host is ``source``."""
+    return language_id.identify(read(spark, sf_dir, "documents"))
+
+
+@register
+def language_id_pages(spark, sf_dir):
+    """Pages: markup language, address suffix and host, with likelihoods learned from the documents."""
+    docs = language_id.evidence_columns(read(spark, sf_dir, "documents"), "lang", "source")
+    pages = language_id.page_documents(read(spark, sf_dir, "pages"))
+    found = language_id.identify(pages, "markup_language", "host", model=language_id.learn(docs))
+    return found.withColumnRenamed("doc_id", "page_id")
+
+
+@register
+def op8_suffix_array_dedup(spark, sf_dir):
+    return suffix_dedup.report(read(spark, sf_dir, "documents"))
+
+
+@register
+def op9_license_scan(spark, sf_dir):
+    return license_scan.report(read(spark, sf_dir, "documents"))
+
+
+@register
+def op10_secret_scan(spark, sf_dir):
+    return secrets_scan.report(read(spark, sf_dir, "documents"))

@@ -118,7 +118,7 @@ def shingle_sets(docs: DataFrame, hot, k: int = SHINGLE) -> DataFrame:
 
 
 def shared_index(docs: DataFrame, hot, k: int = SHINGLE) -> DataFrame:
-    """Entries ``(key, gid, n, pos)`` of the keys that at least two groups have.
+    """Entries ``(key, gid, n, pos, groups)`` of the keys that at least two groups have.
 
     Entries travel as arrays by key bucket; a key held by one group is dropped in its task.
     """
@@ -170,12 +170,15 @@ def shared_index(docs: DataFrame, hot, k: int = SHINGLE) -> DataFrame:
         shared[1:] |= same
         shared[:-1] |= same
         rows = np.flatnonzero(shared)
+        head = np.flatnonzero(np.concatenate([[True], ~same]))
+        count = np.repeat(np.diff(np.append(head, len(keys))), np.diff(np.append(head, len(keys))))
         for i in range(0, len(rows), 200_000):
             r = rows[i:i + 200_000]
-            yield pd.DataFrame({"key": keys[r], "gid": gids[r], "n": ns[r].astype(np.int64), "pos": poss[r].astype(np.int64)})
+            yield pd.DataFrame({"key": keys[r], "gid": gids[r], "n": ns[r].astype(np.int64), "pos": poss[r].astype(np.int64),
+                                "groups": count[r]})
 
     return (docs.select("text").mapInPandas(emit, schema).repartition("bucket")
-            .mapInPandas(keep_shared, "key bigint, gid bigint, n bigint, pos bigint"))
+            .mapInPandas(keep_shared, "key bigint, gid bigint, n bigint, pos bigint, groups bigint"))
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -234,12 +237,14 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: i
                        .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("gid").alias("gid")))
     index = materialise(shared_index(named, hot, k))
     index_end = F.expr(f"n + cast(floor(-{2 * num} * n / {num + den}) as bigint) + 1")
-    shared = cut_lineage(index.groupBy("gid").agg(F.first("n").alias("n"), F.collect_list("key").alias("keys")))
+    shared = cut_lineage(index.groupBy("gid").agg(F.first("n").alias("n"), F.collect_list("key").alias("keys"),
+                                                   (F.sum("groups") / (F.first("n") + 1)).alias("weight")))
     head = reps.groupBy("gid").agg(F.min("rep").alias("head"))
 
     # round 1: a few partners for each group, and the first set of each group for its other sets
-    lead = index.groupBy("key").agg(F.min(F.struct("n", "gid")).alias("m"))
-    offer = (index.join(lead, "key").where(f"gid <> m.gid and {den} * m.n >= {num} * n")
+    # (of a cluster of near copies, the text they come from shares most keys with most others)
+    lead = index.join(shared.select("gid", "weight"), "gid").groupBy("key").agg(F.max(F.struct("weight", "gid", "n")).alias("m"))
+    offer = (index.join(lead, "key").where(f"gid <> m.gid and {den} * m.n >= {num} * n and {den} * n >= {num} * m.n")
              .groupBy("gid", F.col("m.gid").alias("other")).agg(F.count("*").alias("c"))
              .groupBy("gid").agg(F.sort_array(F.collect_list(F.struct("c", "other")), asc=False).alias("best"))
              .select(F.col("gid").alias("x_gid"), F.explode(F.slice("best", 1, OFFERS)).alias("best"))
@@ -257,6 +262,7 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: i
     entries = index.join(unit, "gid")
     split = entries.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
     entries = materialise(entries.join(split, "key", "left_semi"))
+    entries = entries.drop("groups")
     x = entries.where(F.col("pos") < index_end).select("key", *[F.col(c).alias("x_" + c) for c in ("gid", "comp", "n", "pos")])
     y = entries.select("key", *[F.col(c).alias("y_" + c) for c in ("gid", "comp", "n", "pos")])
     found = x.join(y, "key").where(
