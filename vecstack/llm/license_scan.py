@@ -33,7 +33,8 @@ FAMILIES = [
     ("lgpl", "lesser", [r"gnu lesser general public licen[cs]e", r"lesser general public licen[cs]e"]),
     ("lgpl", "library general", [r"gnu library general public licen[cs]e", r"library general public licen[cs]e"]),
     ("gfdl", "free documentation", [r"gnu free documentation licen[cs]e"]),
-    ("gpl", "general public", [r"gnu general public licen[cs]e", r"gnu gpl", r"gnu public licen[cs]e"]),
+    ("gpl", "general public", [r"gnu general public licen[cs]e"]),
+    ("gpl", "gnu", [r"gnu gpl", r"gnu public licen[cs]e"]),
     ("apache", "apache", [r"apache licen[cs]e", r"apache software licen[cs]e"]),
     ("mit", "mit licen", [r"mit licen[cs]e", r"mit x11 licen[cs]e"]),
     ("mit", "permission is hereby granted", [r"permission is hereby granted free of charge to any person obtaining a copy"]),
@@ -76,7 +77,7 @@ FAMILIES = [
 ]
 
 #: Every signature holds one of these; a text without them is not looked at further.
-ATOMS = ["licen", "public", "reserved", "copyright", "commons", "cc", "permission", "redistribution", "bsd"]
+ATOMS = ["licen", "public", "reserved", "copyright", "commons", "cc", "permission", "redistribution", "bsd", "gpl"]
 
 #: Ways a name is used, most telling first: pattern around the name and confidence.
 TEMPLATES = [

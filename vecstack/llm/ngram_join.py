@@ -21,7 +21,7 @@ one document.  Extra columns are ignored.  An empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vecstack.llm.common import components, cut_lineage, materialise, texts
@@ -277,13 +277,17 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: i
             .join(side("y", "b"), ["y_gid", "y_comp"]).select("a", "b"))
     second = _verified(more, named, reps, k, num, den)
     star = comp.where("rep <> component").select(F.col("rep").alias("a"), F.col("component").alias("b"))
-    final = components(star.union(second))
+    # several sets under one doc_id are one document
+    own = sets.where("doc_id is not null and n > 0").join(reps.select("fp_a", "fp_b", "rep"), ["fp_a", "fp_b"]) \
+        .groupBy("doc_id").agg(F.collect_set("rep").alias("reps")).where("size(reps) > 1")
+    own = own.select(F.array_min("reps").alias("a"), F.explode("reps").alias("b"))
+    final = components(star.union(second).union(own))
     rep_comp = (reps.select("fp_a", "fp_b", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left")
                 .select("fp_a", "fp_b", F.coalesce("component", "rep").alias("component")))
-    # a doc_id whose rows hold several sets is one document: its rows share the smallest component
     out = sets.join(rep_comp, ["fp_a", "fp_b"], "left")
+    one = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("fp_a")))     # a document without text may have other rows
     return out.select("doc_id", F.col("n").alias("n_shingles"),
-                      F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "doc_id")).alias("component_id"))
+                      F.when(F.col("doc_id").isNotNull(), F.min(F.coalesce("component", "doc_id")).over(one)).alias("component_id"))
 
 
 def one_per_component(docs: DataFrame, **options) -> DataFrame:

@@ -84,8 +84,7 @@ def repeated_starts(pieces: list[bytes], length: int = LENGTH):
     whole[starts] = True
     order = suffix_array(joined)
     order = order[whole[order]]                       # equal strings stay next to each other
-    text = joined.astype(np.uint8)                    # the shift keeps bytes apart up to 253; values below are exact
-    text = np.concatenate([(joined - 2).astype(np.uint8)])
+    text = (joined - 2).astype(np.uint8)              # a whole string holds no separator
     view = np.lib.stride_tricks.sliding_window_view(text, length)
     same = np.zeros(max(0, len(order) - 1), bool)
     for i in range(0, len(same), 4096):
