@@ -23,6 +23,8 @@ from vecstack.functions.arrays import NORM_EPS, argmax_class, softmax
 from vecstack.operators.trees import TreeEnsemble, TreeParams, grow
 
 EARLY_STOP_MAR = 0.05
+ML_MAX_DEPTH = 30          # limit of the ML forest
+GBT_MARGIN_SCALE = 2.0     # a binary GBT margin is half the log-odds: p = 1 / (1 + exp(-2 margin))
 
 
 @dataclass
@@ -62,7 +64,7 @@ class BoostedOvR:
 def fit_boosting(df: DataFrame, n_estimators: int = 35, lr: float = 0.15, max_depth: int = 4,
                  min_samples_split: int = 10, min_samples_leaf: int = 5, n_thresholds: int = 8,
                  subsample_rate: float = 0.6, early_stop: bool = True, max_features="sqrt", seed: int = 42,
-                 decimals: int | None = None, thresholds: str = "auto", label: str = "label",
+                 decimals: int | None = None, thresholds: str = "exact", label: str = "label",
                  features: str = "features", key: str = "row_id") -> BoostedOvR:
     """Every (round, class) tree grown in one level-wise job over one row per data row
     (tree ``round·K + k``: weight = membership in the round's exact subsample, target =
@@ -156,8 +158,10 @@ def fit_rf_proba(df: DataFrame, num_trees: int = 250, max_depth: int = 30, min_l
     """M9: Spark ML random forest (averaged probabilities, unlike the hard-vote M7/M8)."""
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.functions import array_to_vector
+    if max_depth > ML_MAX_DEPTH:
+        raise ValueError(f"the forest grows to depth {ML_MAX_DEPTH} at most, got {max_depth}")
     data = df.select(array_to_vector(features).alias("v"), F.col(label).cast("double").alias("y"))
-    return RandomForestClassifier(featuresCol="v", labelCol="y", numTrees=num_trees, maxDepth=min(max_depth, 30),
+    return RandomForestClassifier(featuresCol="v", labelCol="y", numTrees=num_trees, maxDepth=max_depth,
                                   minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt", seed=seed,
                                   subsamplingRate=subsampling_rate).fit(data)
 
@@ -179,7 +183,7 @@ class GBTOvR:
     classes: list
 
     def predict_proba(self, df: DataFrame, features: str = "features") -> DataFrame:
-        """Softmax over the K one-vs-rest raw margins."""
+        """Softmax over the K one-vs-rest log-odds."""
         from pyspark.ml.functions import array_to_vector, vector_to_array
         out = df.withColumn("_v", array_to_vector(features))
         for k, m in enumerate(self.models):
@@ -187,7 +191,7 @@ class GBTOvR:
                    .setPredictionCol(f"_pr{k}").transform(out)
             out = out.withColumn(f"_m{k}", vector_to_array(f"_r{k}")[1]).drop(f"_r{k}", f"_pp{k}", f"_pr{k}")
         K = len(self.classes)
-        out = out.withColumn("_s", F.array(*[F.col(f"_m{k}") for k in range(K)]))
+        out = out.withColumn("_s", F.array(*[GBT_MARGIN_SCALE * F.col(f"_m{k}") for k in range(K)]))
         out = softmax(out, "_s", "proba", eps=None)
         out = out.withColumn("pred", argmax_class("proba", self.classes))
         return out.drop("_v", "_s", *[f"_m{k}" for k in range(K)])

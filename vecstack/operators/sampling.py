@@ -9,6 +9,9 @@ offsets, and only a bounded bucket is ranked locally.
 
 from __future__ import annotations
 
+import math
+import numbers
+
 import math
 
 import numpy as np
@@ -163,17 +166,23 @@ def subsample(df: DataFrame, frac: float, rounds: int, seed: int = 42, exact: bo
     return ranked.where(F.col("_r") < int(frac * n)).drop("_r")
 
 
+#: Named rules for the number of features that a node of ``d`` features looks at.
+FEATURE_RULES = {"sqrt": math.isqrt, "all": lambda d: d}
+
+
 def n_features(max_features, d: int) -> int:
-    """How many features a node considers ('sqrt', int, float, None = all)."""
-    if max_features == "sqrt":
-        return max(1, int(np.sqrt(d)))
-    if isinstance(max_features, bool) or max_features is None or max_features == "all":
-        return d
-    if isinstance(max_features, int):
-        return max(1, min(d, max_features))
-    if isinstance(max_features, float):
-        return max(1, int(d * max_features))
-    raise ValueError(max_features)
+    """Features a node looks at: a named rule (``None`` and booleans mean 'all'), a share of ``d``
+    (fraction) or a count (whole number), kept within 1..d."""
+    rule = "all" if max_features is None or isinstance(max_features, bool) else max_features
+    if isinstance(rule, str):
+        if rule not in FEATURE_RULES:
+            raise ValueError(f"max_features must be one of {sorted(FEATURE_RULES)}, a count or a share; got {rule!r}")
+        wanted = FEATURE_RULES[rule](d)
+    elif isinstance(rule, numbers.Real):
+        wanted = rule if isinstance(rule, numbers.Integral) else math.floor(rule * d)
+    else:
+        raise ValueError(f"max_features: {rule!r}")
+    return int(min(d, max(1, wanted)))
 
 
 def feature_subset(nodes: DataFrame, d: int, max_features="sqrt", seed: int = 42,

@@ -14,11 +14,10 @@ computed on the fly from the label.  Nothing is copied per tree.
 2. candidate features per open node (R5 hash ranking, or all);
 3. split candidates — per ``(tree, node, feature)`` the distinct interpolated
    percentiles at ``linspace(0, 1, q + 2)[1:-1]`` (``percentile`` with the
-   bootstrap multiplicity as frequency).  An exact percentile merges every
-   distinct value of a node into one task, so with ``thresholds='auto'`` (the
-   default) only nodes of at most ``exact_max_rows`` weighted rows use it and
-   larger nodes use the mergeable, bounded-memory ``percentile_approx`` sketch
-   over all their rows; ``'exact'`` / ``'approx'`` force one method; ``'global'``
+   bootstrap multiplicity as frequency).  They are exact at every size: nodes of
+   at most ``exact_max_rows`` weighted rows are sorted in one task, larger ones by
+   a distributed sort with running weights that finds the same values; ``'approx'``
+   asks for the mergeable ``percentile_approx`` sketch per node; ``'global'``
    computes the candidates once per feature over all training rows (sketch) and
    reuses them at every node, like MLlib's bins — one percentile pass per fit;
 4. histogram — every (row, tree) is bucketed once per candidate feature (bucket
@@ -42,7 +41,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vecstack.functions.arrays import const_array
@@ -61,8 +60,8 @@ class TreeParams:
     min_samples_leaf: int = 5
     max_features: object = "sqrt"
     n_thresholds: int = 16
-    thresholds: str = "auto"           # 'auto' | 'exact' | 'approx' (per node) | 'global' (once per feature)
-    exact_max_rows: int = 1_000_000    # 'auto': largest node (weighted rows) given exact percentiles
+    thresholds: str = "exact"          # 'exact' | 'approx' (sketch per node) | 'global' (sketch once per feature)
+    exact_max_rows: int = 1_000_000    # largest node (weighted rows) sorted in one task; larger ones give the same percentiles by a distributed sort
     decimals: int | None = None        # round values and thresholds (engine-stable comparisons)
     seed: int = 42
     approx_accuracy: int = 10_000
@@ -353,6 +352,21 @@ def exact_percentiles(src: DataFrame, fr, group: list[str]) -> DataFrame:
     return src.groupBy(*group).applyInPandas(pct, "tree long, node long, feature long, q array<double>")
 
 
+def sorted_percentiles(src: DataFrame, fr, group) -> DataFrame:
+    """The values of ``exact_percentiles`` for groups of any size: equal values are combined before
+    the shuffle, and a running weight over the sorted values finds the ranks."""
+    keys = [*group, "feature"]
+    v = src.groupBy(*keys, "x").agg(F.sum("w").alias("w")).where("w > 0")
+    run = Window.partitionBy(*keys).orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    v = v.withColumn("upto", F.sum("w").over(run)).join(v.groupBy(*keys).agg(F.sum("w").alias("n")), keys)
+    at = lambda f: F.lit(f) * (F.col("n") - 1)
+    value = lambda rank: F.min(F.when(F.col("upto") > rank, F.col("x")))
+    ends = v.groupBy(*keys).agg(F.first("n").alias("n"), *[x for j, f in enumerate(fr) for x in (
+        value(F.floor(at(f))).alias(f"l{j}"), value(F.ceil(at(f))).alias(f"h{j}"))])
+    q = [F.col(f"l{j}") + (F.col(f"h{j}") - F.col(f"l{j}")) * (at(f) - F.floor(at(f))) for j, f in enumerate(fr)]
+    return ends.select(*keys, F.array(*q).alias("q"))
+
+
 def _thresholds(ex: DataFrame, p: TreeParams, fr, open_nodes, node_sizes) -> DataFrame:
     """A3 per ``(tree, node, feature)``: exact percentiles for bounded nodes, sketch for large ones."""
     def exact(src):
@@ -373,15 +387,15 @@ def _thresholds(ex: DataFrame, p: TreeParams, fr, open_nodes, node_sizes) -> Dat
         return ex.groupBy("tree", "node", "feature").agg(F.collect_set("x").alias("q"))
     if p.thresholds == "approx":
         return approx(ex)
-    if p.thresholds == "exact" or node_sizes is None:
-        return exact(ex)
-    big = [f"{t}:{n}" for (t, n) in open_nodes if node_sizes.get((t, n), 0) > p.exact_max_rows]
+    sizes = node_sizes or {}
+    big = [f"{t}:{n}" for (t, n) in open_nodes if sizes.get((t, n), 0) > p.exact_max_rows]
     if not big:
         return exact(ex)
+    by = ["tree", "node"]
     if len(big) == len(open_nodes):
-        return approx(ex)
+        return sorted_percentiles(ex, fr, by)
     is_big = F.concat_ws(":", F.col("tree"), F.col("node")).isin(big)     # few: each holds > exact_max_rows
-    return exact(ex.where(~is_big)).unionByName(approx(ex.where(is_big)))
+    return exact(ex.where(~is_big)).unionByName(sorted_percentiles(ex.where(is_big), fr, by))
 
 
 def split_gains(ex: DataFrame, open_nodes, p: TreeParams, fr, dec, m,
@@ -465,7 +479,7 @@ def root_split_table(df: DataFrame, params: TreeParams, label: str = "label", fe
         F.col("_c.feature").alias("feature"), F.col("_c.frank").alias("frank"), "label", "w",
         _value(F.element_at("_x", (F.col("_c.feature") + 1).cast("int")), params.decimals).alias("x"))
     sizes = None
-    if params.thresholds == "auto" or params.n_thresholds <= 0:
+    if params.thresholds == "exact" or params.n_thresholds <= 0:
         sizes = {(0, 1): float(base.agg(F.sum("w")).first()[0] or 0)}
     return split_gains(ex, [(0, 1)], params, quantile_fractions(params.n_thresholds), params.decimals, m,
                        node_sizes=sizes)
@@ -477,14 +491,10 @@ def split_candidates(df: DataFrame, params: TreeParams, features: str = "feature
     l = df.select(F.posexplode(features).alias("feature", "x"))
     if params.decimals is not None:
         l = l.withColumn("x", F.round("x", params.decimals))
-    use_approx = params.thresholds in ("approx", "global") or (
-        params.thresholds == "auto" and df.count() > params.exact_max_rows)
-    if use_approx:
+    if params.thresholds in ("approx", "global"):
         q = l.groupBy("feature").agg(F.percentile_approx("x", fr, params.approx_accuracy).alias("q"))
-    else:                                   # bounded input: vectorised exact percentiles per feature
-        src = l.select(F.lit(0).cast("long").alias("tree"), F.lit(1).cast("long").alias("node"),
-                       F.col("feature").cast("long").alias("feature"), "x", F.lit(1).alias("w"))
-        q = exact_percentiles(src, fr, ["feature"]).select("feature", "q")
+    else:
+        q = sorted_percentiles(l.select(F.col("feature").cast("long").alias("feature"), "x", F.lit(1).alias("w")), fr, []).select("feature", "q")
     if params.decimals is not None:
         q = q.withColumn("q", F.transform("q", lambda v: F.round(v, params.decimals)))
     return q.select("feature", F.explode(F.array_distinct("q")).alias("threshold"))

@@ -42,6 +42,13 @@ class FeatureConfig:
                 "zonal": {"grid": list(self.zonal.grid)}, "dtype": "float32"}
 
 
+def hybrid_features(side: int = 28, cell: int = 7) -> FeatureConfig:
+    """Features of the hybrid run: signed HOG with reflected borders, the four directional
+    energies, zonal sums, and scalers that leave constant features at zero."""
+    return FeatureConfig(side=side, hog=Hog(cell=cell, bins=8, signed=True, border="reflect", name="hog"),
+                         directional=Directional(ratios=False, name="dir"), zero_variance="zero")
+
+
 def build_feature_table(df: DataFrame, cfg: FeatureConfig, is_train) -> tuple[DataFrame, dict]:
     """pixel scaler → PCA(var) ‖ HOG, directional, zonal → per-family scalers →
     concat [pca, hog, dir, zon] → final scaler → L2-normalised copy.
@@ -169,7 +176,7 @@ def hybrid_stack_eval(train: DataFrame, val: DataFrame, cfg: HybridConfig):
     GBT meta) → cross-validated isotonic calibration of the whole stack → pair
     specialists → override rules → argmax / report on validation."""
     bases = [("rf", E.RFProbaLearner(cfg.rf_trees, seed=cfg.seed)), ("knn", E.KNNProbaLearner(cfg.knn_k)),
-             ("lr", E.SoftmaxLearner(n_iter=cfg.lr_iter, solver="lbfgs"))]
+             ("lr", E.SoftmaxLearner(n_iter=cfg.lr_iter, reg=None, solver="lbfgs"))]
     meta = E.GBTLearner(cfg.gbt_iter, cfg.gbt_step, cfg.gbt_depth, seed=cfg.seed)
     classes = ev.distinct_labels(train)
 

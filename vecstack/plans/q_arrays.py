@@ -12,7 +12,7 @@ from vecstack.plans.registry import (EMB, LINEITEM_LABEL, big, explode_long, lon
 from vecstack.sources.tables import labelled_vectors, lineitem_vectors, read_table
 
 SIDE = 8            # the 64-float embedding is read as an 8×8 image
-N_PROBA = 10        # probabilities = softmax of the first 10 entries (FIXTURES)
+N_PROBA = 64        # probabilities = softmax of all entries
 
 
 def emb(spark, sf):
@@ -21,13 +21,13 @@ def emb(spark, sf):
 
 def with_proba(spark, sf):
     """``(row_id, label, p)`` — p = softmax of the first ten entries."""
-    df = emb(spark, sf).withColumn("z", F.slice("features", 1, N_PROBA))
+    df = emb(spark, sf).withColumn("z", F.col("features"))
     return A.softmax(df, "z", "p").drop("z")
 
 
 PROBA_SQL = f"""
 WITH e AS ({EMB}),
-z AS ({long_sql("SELECT * FROM e", "f[1:10]")}),
+z AS ({long_sql("SELECT * FROM e", "f")}),
 m AS (SELECT row_id, max(v) AS mx FROM z GROUP BY row_id),
 x AS (SELECT z.row_id, z.label, z.dim AS cls, exp(z.v - m.mx) AS ex FROM z JOIN m USING (row_id)),
 s AS (SELECT row_id, sum(ex) AS se FROM x GROUP BY row_id),
@@ -55,10 +55,10 @@ def q_pixel_grid(spark, sf):
 
 # P3 ------------------------------------------------------------------------
 @register("concat_features", f"""
-WITH e AS ({EMB}), l AS ({long_sql("SELECT row_id, f[57:64] || f[1:8] AS c FROM e", "c", "row_id")})
+WITH e AS ({EMB}), l AS ({long_sql("SELECT row_id, f || f[1:8] AS c FROM e", "c", "row_id")})
 SELECT row_id, dim, {r("v")} AS value FROM l""")
 def q_concat(spark, sf):
-    df = emb(spark, sf).withColumn("c", A.concat_features(F.slice("features", 57, 8), F.slice("features", 1, 8)))
+    df = emb(spark, sf).withColumn("c", A.concat_features(F.col("features"), F.slice("features", 1, 8)))
     return explode_long(df, "c")
 
 
@@ -174,11 +174,11 @@ def q_argmax(spark, sf):
 
 # P15 -----------------------------------------------------------------------
 @register("renormalize", f"""
-WITH e AS ({EMB}), l AS ({long_sql("SELECT * FROM e", "f[1:10]", "row_id")}),
+WITH e AS ({EMB}), l AS ({long_sql("SELECT * FROM e", "f", "row_id")}),
 s AS (SELECT row_id, sum(abs(v)) AS t FROM l GROUP BY row_id)
 SELECT row_id, dim, {r("abs(v) / (t + 1e-12)")} AS value FROM l JOIN s USING (row_id)""")
 def q_renormalize(spark, sf):
-    df = emb(spark, sf).withColumn("a", F.transform(F.slice("features", 1, 10), lambda x: F.abs(x)))
+    df = emb(spark, sf).withColumn("a", F.transform("features", lambda x: F.abs(x)))
     return explode_long(A.renormalize(df, "a", "n"), "n")
 
 
