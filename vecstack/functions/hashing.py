@@ -27,17 +27,6 @@ def portable_hash(*parts) -> Column:
     return F.conv(F.substring(F.md5(_key(*parts)), 1, 8), 16, 10).cast("bigint")
 
 
-def uniform(*parts) -> Column:
-    """Deterministic U[0,1) draw keyed by ``parts``."""
-    return portable_hash(*parts) / F.lit(HASH_RANGE)
-
-
-def py_hash(*parts) -> int:
-    """The same hash computed on the driver (for small metadata tables)."""
-    key = ":".join(str(p) for p in parts)
-    return int(hashlib.md5(key.encode()).hexdigest()[:8], 16)
-
-
 def sql_hash(expr: str) -> str:
     """DuckDB spelling of the hash of a VARCHAR expression."""
     return f"('0x' || substr(md5({expr}), 1, 8))::BIGINT"

@@ -1,13 +1,12 @@
 """Command-line entry points mirroring the reference's three runs, as Spark jobs.
 
   python -m vecstack.plans.cli build  --train T.csv --val V.csv --cache DIR [--side 28]
-  python -m vecstack.plans.cli train  --cache DIR [--train T.csv --val V.csv]   (stale check)
+  python -m vecstack.plans.cli train  --cache DIR --train T.csv --val V.csv   (stale check)
   python -m vecstack.plans.cli hybrid --train T.csv --val V.csv [--side 28]
 
 Inputs are labelled CSVs (header, label first, then side² pixel columns; extra
 columns ignored).  Paths are arguments; the cache lives wherever ``--cache``
-points (a shared folder on a cluster).  ``--quick`` shrinks the model settings
-for smoke runs; without it the reference's settings are used.
+points (a shared folder on a cluster).
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ import argparse
 import json
 import sys
 import time
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -24,6 +24,7 @@ from vecstack.operators.image import Directional, Hog, Zonal
 from vecstack.plans import flows as FL
 from vecstack.session import get_spark
 from vecstack.sources import files as io
+from vecstack.sources.tables import valid_rows
 
 
 def _config(side: int) -> FL.FeatureConfig:
@@ -32,13 +33,18 @@ def _config(side: int) -> FL.FeatureConfig:
                             directional=Directional(ratios=True, name="dir"), zonal=Zonal((4, 4), "zon"))
 
 
+#: Model settings of the two runs.
+PHASE3, HYBRID = FL.Phase3Config(), FL.HybridConfig()
+
+
 def load_split_csvs(spark, train_csv: str, val_csv: str, side: int):
-    """Both CSVs as one labelled frame with a ``split`` column and unique ``row_id``s."""
+    """Both CSVs as one labelled frame with a ``split`` column and unique ``row_id``s; rows with a
+    malformed cell or a missing label are rejected."""
     tr = io.read_labeled_csv(spark, train_csv, n_features=side * side)
     va = io.read_labeled_csv(spark, val_csv, n_features=side * side)
     tr = tr.withColumn("row_id", F.col("row_id") * 2).withColumn("split", F.lit("train"))
     va = va.withColumn("row_id", F.col("row_id") * 2 + 1).withColumn("split", F.lit("val"))
-    return tr.unionByName(va)
+    return tr.unionByName(va).where(valid_rows(dim=side * side))
 
 
 def _report(pv, t0: float, label: str) -> dict:
@@ -66,13 +72,8 @@ def cmd_build(a) -> dict:
 def cmd_train(a) -> dict:
     spark = get_spark()
     t0 = time.time()
-    sources = {"train": a.train, "val": a.val} if a.train and a.val else None
-    tr, va, _ = FL.read_feature_cache(spark, a.cache, sources)
-    cfg = FL.Phase3Config(calibrate_on=a.calibrate_on)
-    if a.quick:
-        cfg = FL.Phase3Config(rf_trees=3, rf_depth=3, lr_iter=10, meta_rounds=3, meta_depth=2, platt_iter=10,
-                              calibrate_on=a.calibrate_on)
-    pv, _ = FL.oof_calibrated_stack(tr, va, cfg)
+    tr, va, _ = FL.read_feature_cache(spark, a.cache, {"train": a.train, "val": a.val})
+    pv, _ = FL.oof_calibrated_stack(tr, va, replace(PHASE3, calibrate_on=a.calibrate_on))
     return _report(pv, t0, "train")
 
 
@@ -80,12 +81,9 @@ def cmd_hybrid(a) -> dict:
     spark = get_spark()
     t0 = time.time()
     df = load_split_csvs(spark, a.train, a.val, a.side)
-    table, _ = FL.build_feature_table(df, _config(a.side), F.col("split") == "train")
+    table, _ = FL.build_feature_table(df, FL.hybrid_features(a.side, max(1, a.side // 4)), F.col("split") == "train")
     tr, va = table.where("split = 'train'"), table.where("split = 'val'")
-    cfg = FL.HybridConfig()
-    if a.quick:
-        cfg = FL.HybridConfig(rf_trees=10, lr_iter=20, gbt_iter=3, stack_cv=2, calib_cv=2, spec_iter=20)
-    pv, _ = FL.hybrid_stack_eval(tr, va, cfg)
+    pv, _ = FL.hybrid_stack_eval(tr, va, HYBRID)
     return _report(pv, t0, "hybrid")
 
 
@@ -99,15 +97,13 @@ def main(argv=None):
     b.add_argument("--side", type=int, default=28)
     t = sub.add_parser("train", help="feature cache → OOF stack → Platt → temperature → report")
     t.add_argument("--cache", required=True)
-    t.add_argument("--train")
-    t.add_argument("--val")
+    t.add_argument("--train", required=True)
+    t.add_argument("--val", required=True)
     t.add_argument("--calibrate-on", dest="calibrate_on", default="train", choices=["train", "oof"])
-    t.add_argument("--quick", action="store_true")
     h = sub.add_parser("hybrid", help="CSV → features → library-model stack → isotonic → specialists")
     h.add_argument("--train", required=True)
     h.add_argument("--val", required=True)
     h.add_argument("--side", type=int, default=28)
-    h.add_argument("--quick", action="store_true")
     a = ap.parse_args(argv)
     return {"build": cmd_build, "train": cmd_train, "hybrid": cmd_hybrid}[a.cmd](a)
 
