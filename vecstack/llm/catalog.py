@@ -15,9 +15,26 @@ QUERIES: dict = {}
 ORACLES: dict = {}
 
 
-def register(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+#: Lower-case A-Z only, and the words of a text.
+_LOW = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = "regexp_extract_all({0}, '[^\\x20\\x09-\\x0D]+')"
+_SHINGLES = """CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+ WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END"""
+#: Links and the smallest item reachable, of ``sets(item, s)`` with lists of distinct shingles.
+_COMPONENTS = """x AS (SELECT item, len(s) AS n, unnest(s) AS sh FROM sets),
+links AS (SELECT a.item AS a, b.item AS b FROM x a JOIN x b ON a.sh = b.sh AND a.item <> b.item
+          GROUP BY a.item, b.item, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+reach(a, b) AS (SELECT item, item FROM sets UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+comp AS (SELECT a AS item, min(b) AS c FROM reach GROUP BY a)"""
+
+
+def register(fn=None, sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+    return add if fn is None else add(fn)
 
 
 @register
@@ -26,10 +43,20 @@ def op1_benchmark_decontamination(spark, sf_dir):
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-@register
+@register(sql=f"""
+WITH RECURSIVE lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                                generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS paragraph FROM documents),
+places AS (SELECT doc_id, paragraph, {_WORDS.format(_LOW.format("line"))} AS w FROM lines),
+kept AS (SELECT *, dense_rank() OVER (ORDER BY array_to_string(w, ' ')) AS item FROM places WHERE len(w) >= 40),
+sets AS (SELECT item, {_SHINGLES} AS s FROM (SELECT DISTINCT item, w FROM kept)),
+{_COMPONENTS},
+g AS (SELECT k.doc_id, k.paragraph, len(k.w) AS n_words, c.c FROM kept k JOIN comp c USING (item)),
+heads AS (SELECT c, count(*) AS n_copies, min((doc_id, paragraph)) AS head FROM g GROUP BY c HAVING count(*) > 1)
+SELECT doc_id, paragraph::INTEGER AS paragraph, n_words::INTEGER AS n_words, head[1]::BIGINT AS component_id,
+       n_copies::BIGINT AS n_copies, (doc_id, paragraph) <> head AS removed FROM g JOIN heads USING (c)""")
 def op2_substring_dedup(spark, sf_dir):
-    """Every paragraph that occurs again, with its cluster."""
-    return paragraph_dedup.repeated_paragraphs(read(spark, sf_dir, "documents"))
+    """Every paragraph that occurs again, with the smallest document of its cluster."""
+    return paragraph_dedup.repeated_paragraphs(read(spark, sf_dir, "documents")).drop("cluster")
 
 
 @register
@@ -37,7 +64,11 @@ def op3_quality_classifier(spark, sf_dir):
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
-@register
+@register(sql=f"""
+WITH RECURSIVE words AS (SELECT doc_id AS item, {_WORDS.format(_LOW.format("text"))} AS w FROM documents),
+sets AS (SELECT item, {_SHINGLES} AS s FROM words),
+{_COMPONENTS}
+SELECT sets.item AS doc_id, len(s)::BIGINT AS n_shingles, c AS component_id FROM sets JOIN comp USING (item)""")
 def op4_ngram_jaccard_join(spark, sf_dir):
     return ngram_join.jaccard_components(read(spark, sf_dir, "documents"))
 

@@ -74,12 +74,17 @@ class _Order:
         self.rank = np.argsort(hot, kind="stable")
         self.values = hot[self.rank]
 
-    def prefix(self, s, length):
+    def frequent(self, s):
+        """``(whether frequent, place in the list)`` of shingles."""
         import numpy as np
         if not len(self.values):
-            return s[:length]
+            return np.zeros(len(s), bool), np.zeros(len(s), np.int64)
         at = np.minimum(np.searchsorted(self.values, s), len(self.values) - 1)
-        is_hot = self.values[at] == s
+        return self.values[at] == s, at
+
+    def prefix(self, s, length):
+        import numpy as np
+        is_hot, at = self.frequent(s)
         cold = s[~is_hot]
         if len(cold) >= length:
             return cold[:length]
@@ -120,7 +125,8 @@ def shingle_sets(docs: DataFrame, hot, k: int = SHINGLE) -> DataFrame:
 def shared_index(docs: DataFrame, hot, k: int = SHINGLE) -> DataFrame:
     """Entries ``(key, gid, n, pos, groups)`` of the keys that at least two groups have.
 
-    Entries travel as arrays by key bucket; a key held by one group is dropped in its task.
+    Entries travel as arrays by key bucket; a key held by one group is dropped in its task.  The
+    frequent keys are shared for certain, so their entries are spread over all buckets.
     """
     spark = docs.sparkSession
     n_buckets = max(1024, 8 * int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -129,6 +135,8 @@ def shared_index(docs: DataFrame, hot, k: int = SHINGLE) -> DataFrame:
     def emit(parts):
         import numpy as np
         import pandas as pd
+
+        from vecstack.llm.words import mix
         order = _Order(hot.value)
         for pdf in parts:
             keys, gids, ns, poss = [], [], [], []
@@ -142,7 +150,8 @@ def shared_index(docs: DataFrame, hot, k: int = SHINGLE) -> DataFrame:
             if not keys:
                 continue
             keys, gids, ns, poss = map(np.concatenate, (keys, gids, ns, poss))
-            bucket = (keys % np.uint64(n_buckets)).astype(np.int32)
+            spread = np.where(order.frequent(keys)[0], mix(keys ^ gids), keys)
+            bucket = (spread % np.uint64(n_buckets)).astype(np.int32)
             by = np.argsort(bucket, kind="stable")
             cut = np.flatnonzero(np.diff(bucket[by])) + 1
             split = lambda x: np.split(x[by], cut)
@@ -169,6 +178,7 @@ def shared_index(docs: DataFrame, hot, k: int = SHINGLE) -> DataFrame:
         shared = np.zeros(len(keys), bool)
         shared[1:] |= same
         shared[:-1] |= same
+        shared |= _Order(hot.value).frequent(keys.view(np.uint64))[0]
         rows = np.flatnonzero(shared)
         head = np.flatnonzero(np.concatenate([[True], ~same]))
         count = np.repeat(np.diff(np.append(head, len(keys))), np.diff(np.append(head, len(keys))))
