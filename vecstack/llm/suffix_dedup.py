@@ -109,7 +109,8 @@ def _sliding_min(x, w):
 
 
 def contexts_of(data: bytes):
-    """``(hash, first, last)`` of the contexts of a text: windows start at ``first..last``."""
+    """``(anchor, first, last, same)`` of the contexts of a text: its windows start at
+    ``first..last``; ``same`` is equal for contexts of equal bytes."""
     from vecstack.llm.words import Block
     out = []
     for base in range(0, max(1, len(data) - LENGTH + 1), SEGMENT):
@@ -123,9 +124,10 @@ def contexts_of(data: bytes):
         cut = np.flatnonzero(least[1:] != least[:-1]) + 1
         first = np.concatenate([[0], cut])
         last = np.concatenate([cut, [len(least)]]) - 1
-        out.append((h[(least[first] & _POSITION).astype(np.int64)].view(np.int64), first + base, last + base))
+        anchor = (least[first] & _POSITION).astype(np.int64)
+        out.append((h[anchor].view(np.int64), first + base, last + base, b.value(first, last + LENGTH).view(np.int64)))
     if not out:
-        return tuple(np.zeros(0, np.int64) for _ in range(3))
+        return tuple(np.zeros(0, np.int64) for _ in range(4))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
@@ -140,20 +142,17 @@ def _contexts(rows: DataFrame) -> DataFrame:
 
         from vecstack.llm.words import encode
         for pdf in parts:
-            got = [(r, *contexts_of(b)) for r, b in zip(pdf["row"].tolist(), encode(pdf["text"]))]
-            n = [len(g[1]) for g in got]
+            got = [contexts_of(b) for b in encode(pdf["text"])]
+            n = [len(g[0]) for g in got]
             if sum(n):
-                yield pd.DataFrame({"row": np.repeat(np.array([g[0] for g in got], np.int64), n), "anchor": np.concatenate([g[1] for g in got]),
-                                    "first": np.concatenate([g[2] for g in got]), "last": np.concatenate([g[3] for g in got])})
+                yield pd.DataFrame({"row": np.repeat(pdf["row"].to_numpy(), n), **{
+                    c: np.concatenate([g[k] for g in got]) for k, c in enumerate(["anchor", "first", "last", "same"])}})
 
-    return rows.select("row", "text").mapInPandas(run, "row bigint, anchor bigint, first bigint, last bigint")
+    return rows.select("row", "text").mapInPandas(run, "row bigint, anchor bigint, first bigint, last bigint, same bigint")
 
 
 def _cut(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The bytes of the wanted contexts: ``(row, anchor, first, same, piece)``, ``same`` equal for
-    contexts of equal bytes."""
-    import hashlib
-
+    """The bytes of the wanted contexts: ``(row, anchor, kinds, first, piece)``."""
     def run(parts):
         import pandas as pd
 
@@ -161,18 +160,17 @@ def _cut(rows: DataFrame, wanted: DataFrame) -> DataFrame:
         for pdf in parts:
             out = []
             for r, b, list_ in zip(pdf["row"].tolist(), encode(pdf["text"]), pdf["wanted"]):
-                for w in list_:
-                    piece = b[w["first"]:w["last"] + LENGTH]
-                    out.append((r, w["anchor"], w["first"], hashlib.blake2b(piece, digest_size=16).digest(), piece))
+                out += [(r, w["anchor"], w["kinds"], w["first"], b[w["first"]:w["last"] + LENGTH]) for w in list_]
                 if len(out) >= 5000:
-                    yield pd.DataFrame(out, columns=["row", "anchor", "first", "same", "piece"])
+                    yield pd.DataFrame(out, columns=["row", "anchor", "kinds", "first", "piece"])
                     out = []
             if out:
-                yield pd.DataFrame(out, columns=["row", "anchor", "first", "same", "piece"])
+                yield pd.DataFrame(out, columns=["row", "anchor", "kinds", "first", "piece"])
 
-    by_row = wanted.groupBy("row").agg(F.collect_list(F.struct("anchor", "first", "last")).alias("wanted"))
+    by_row = wanted.groupBy("row").agg(F.collect_list(F.struct("anchor", "kinds", "first", "last")).alias("wanted"))
+    # of equal rows one is enough: their contexts occur twice as a whole
     return rows.select("row", "text").join(by_row, "row").mapInPandas(
-        run, "row bigint, anchor bigint, first bigint, same binary, piece binary")
+        run, "row bigint, anchor bigint, kinds bigint, first bigint, piece binary")
 
 
 def _compare(pieces: DataFrame) -> DataFrame:
@@ -228,16 +226,15 @@ def repeated_ranges(rows: DataFrame) -> DataFrame:
     """``(row, lo, hi)``: byte ranges made of repeated windows (they may overlap)."""
     contexts = materialise(_contexts(rows))
     shared = contexts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    pieces = materialise(_cut(rows, contexts.join(shared, "anchor")))
-    copies = pieces.groupBy("anchor", "same").agg(F.count("*").alias("n"))
-    ends = F.col("first") + F.length("piece")
-    whole = pieces.join(copies.where("n > 1").select("same"), "same", "left_semi").select("row", F.col("first").alias("lo"), ends.alias("hi"))
-    kinds = materialise(copies.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("least"))
-                        .where("least = 1 and kinds > 1").select("anchor", "kinds"))
-    different = pieces.join(kinds, "anchor").groupBy("anchor", "kinds", "same").agg(
-        F.min(F.struct("row", "first", "piece")).alias("p")).select("anchor", "kinds", "p.*")
+    contexts = materialise(contexts.join(shared, "anchor"))
+    copies = materialise(contexts.groupBy("anchor", "same").agg(F.count("*").alias("n"), F.min(F.struct("row", "first", "last")).alias("at")))
+    whole = contexts.join(copies.where("n > 1").select("anchor", "same"), ["anchor", "same"], "left_semi").select(
+        "row", F.col("first").alias("lo"), (F.col("last") + LENGTH).alias("hi"))
+    # anchors with a context that occurs once, next to other contexts
+    kinds = copies.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("least = 1 and kinds > 1")
+    pieces = materialise(_cut(rows, copies.join(kinds.select("anchor", "kinds"), "anchor").select("anchor", "kinds", "at.*")))
     large = F.col("kinds") > LARGE_GROUP
-    return whole.union(_compare(different.where(~large).drop("kinds"))).union(_compare_large(different.where(large).drop("kinds")))
+    return whole.union(_compare(pieces.where(~large).drop("kinds"))).union(_compare_large(pieces.where(large).drop("kinds")))
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
