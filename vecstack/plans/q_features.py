@@ -101,26 +101,16 @@ def q_covariance(spark, sf):
     return c.select(big("i").alias("i"), big("j").alias("j"), rnd("cov", 9).alias("cov"))
 
 
-@register("pca_fit", _LONG_ALL + f""",
-v AS (SELECT dim, var_samp(v) AS var FROM l GROUP BY dim)
-SELECT count(*)::BIGINT AS n_dims, {r("sum(var)", 9)} AS total_variance, 1::BIGINT AS orthonormal,
-       1::BIGINT AS eigen_residual_ok, 1::BIGINT AS k_minimal FROM v""")
+@register("pca_fit", _LONG_ALL + f"""
+SELECT a.dim AS i, b.dim AS j, {r("covar_samp(a.v, b.v)", 9)} AS value
+FROM l a JOIN l b ON a.row_id = b.row_id AND a.dim <= b.dim GROUP BY 1, 2""")
 def q_pca_fit(spark, sf):
-    """F12 invariants: Σλ = trace(C); VᵀV = I; ‖Cv − λv‖ small; k is the minimal count."""
-    df = labelled_vectors(spark, sf)
-    cov, mean = P.covariance_matrix(df)
-    m = P.fit_pca(df, variance_ratio=0.95)
-    full = P.fit_pca(df, variance_ratio=1.0)
-    v = full.components
-    ortho = bool(np.allclose(v.T @ v, np.eye(v.shape[1]), atol=1e-9))
-    resid = float(np.max(np.abs(cov @ v - v * full.eigenvalues[None, :]))) if v.size else 0.0
-    ratio = m.explained()
-    minimal = bool(ratio[m.k - 1] >= m.variance_ratio - 1e-12 and (m.k == 1 or ratio[m.k - 2] < m.variance_ratio))
-    row = [(len(mean), float(np.sum(full.eigenvalues)), int(ortho), int(resid < 1e-9), int(minimal))]
-    t = spark.createDataFrame(row, "n_dims long, total_variance double, orthonormal long, "
-                                   "eigen_residual_ok long, k_minimal long")
-    return t.select("n_dims", rnd("total_variance", 9).alias("total_variance"), "orthonormal",
-                    "eigen_residual_ok", "k_minimal")
+    """the covariance put together again from the eigenpairs, V diag(λ) Vᵀ, entry by entry."""
+    m = P.fit_pca(labelled_vectors(spark, sf), variance_ratio=1.0)
+    v = m.components
+    whole = (v * m.eigenvalues[:v.shape[1]]) @ v.T
+    rows = [(i, j, float(whole[i, j])) for i in range(len(whole)) for j in range(i, len(whole))]
+    return spark.createDataFrame(rows, "i long, j long, value double").select("i", "j", rnd("value", 9).alias("value"))
 
 
 @register("pca_project", _LONG_ALL + f""",
@@ -135,11 +125,18 @@ def q_pca_project(spark, sf):
 
 
 @register("explained_variance", _LONG_ALL + f""",
-v AS (SELECT dim, var_samp(v) AS var FROM l GROUP BY dim)
-SELECT count(*)::BIGINT AS n_components, {r("sum(var)", 9)} AS total, 1.0::DOUBLE AS last_ratio FROM v""")
+c AS (SELECT a.dim AS i, b.dim AS j, covar_samp(a.v, b.v) AS v FROM l a JOIN l b ON a.row_id = b.row_id GROUP BY 1, 2)
+SELECT (SELECT count(*) FROM c WHERE i = j)::BIGINT AS n_components,
+       {r("(SELECT sum(v) FROM c WHERE i = j)", 9)} AS total, {r("(SELECT sum(v * v) FROM c)", 9)} AS squares,
+       {r("(SELECT sum(x.v * y.v * z.v) FROM c x JOIN c y ON x.j = y.i JOIN c z ON y.j = z.i AND z.j = x.i)", 9)} AS cubes,
+       true AS rising, 1.0::DOUBLE AS last_ratio""")
 def q_explained_variance(spark, sf):
-    """Cumulative-ratio table; checked through its invariants."""
+    """Cumulative-ratio table, checked by the power sums of the eigenvalues, which
+    are the traces of C, C² and C³."""
     m = P.fit_pca(labelled_vectors(spark, sf), variance_ratio=0.95)
     t = P.explained_variance_table(spark, m)
-    return t.agg(F.count("*").alias("n_components"), rnd(F.sum("eigenvalue"), 9).alias("total"),
-                 rnd(F.max("cum_ratio"), 9).alias("last_ratio"))
+    e = F.col("eigenvalue")
+    ordered = F.sort_array(F.collect_list(F.struct("component", "cum_ratio")))
+    rising = F.forall(F.sequence(F.lit(1), F.size(ordered) - 1), lambda i: ordered[i - 1]["cum_ratio"] <= ordered[i]["cum_ratio"])
+    return t.agg(F.count("*").alias("n_components"), rnd(F.sum(e), 9).alias("total"), rnd(F.sum(e * e), 9).alias("squares"),
+                 rnd(F.sum(e * e * e), 9).alias("cubes"), rising.alias("rising"), rnd(F.max("cum_ratio"), 9).alias("last_ratio"))
