@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from vecstack.session import cut_lineage, ensure_checkpoint_dir, ship_package
 
-__all__ = ["components", "cut_lineage", "materialise", "read", "ship_package", "texts", "workspace"]
+__all__ = ["components", "cut_lineage", "materialise", "membership", "read", "ship_package", "texts", "workspace"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -48,6 +48,34 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+MEMBER_BITS = 30     # log2 of the largest bitmap of ``membership`` (128 MiB)
+
+
+def membership(ids: DataFrame, name: str):
+    """A test for bigint columns that is false only for values not in ``ids[name]``.
+
+    The ids are hashed into a bitmap of at least eight bits each (2^30 bits at most, so the
+    broadcast is bounded); values that pass by chance are sorted out by the join that follows.  It keeps
+    the rows of a wide table that a join would drop anyway from being shuffled."""
+    import numpy as np
+    bits = 1 << max(15, min(MEMBER_BITS, (16 * ids.count()).bit_length()))
+    place = lambda c: F.pmod(F.xxhash64(c.cast("bigint")), F.lit(bits)) + 1
+    maps = (ids.select(place(F.col(name)).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("k"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m")).collect())
+    flags = np.zeros(bits // 8, np.uint8)
+    for r in maps:
+        flags[(r["k"] - 1) * 4096:r["k"] * 4096] = np.frombuffer(bytes(r["m"]), np.uint8)
+    shared = ids.sparkSession.sparkContext.broadcast(flags)
+
+    @F.pandas_udf("boolean")
+    def test(p):
+        import pandas as pd
+        at = p.to_numpy() - 1
+        return pd.Series((shared.value[at >> 3] >> (at & 7).astype("uint8") & 1).astype(bool))
+
+    return lambda c: test(place(c))
+
+
 # ------------------------------------------------------------------ connected components
 def _contract(parts: Iterator):
     """Union-find inside one partition: any edge list becomes stars around the smallest ids."""

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecstack.llm.common import components, cut_lineage, materialise, texts
+from vecstack.llm.common import components, cut_lineage, materialise, membership, texts
 
 MIN_WORDS, SHINGLE, BANDS, ROWS, NUM, DEN = 40, 5, 20, 4, 75, 100
 _SEEDS = np.random.default_rng(7).integers(1, 1 << 63, (BANDS * ROWS, 2), dtype=np.uint64) | np.uint64(1)
@@ -81,7 +81,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, first: DataFrame, min_words: in
     """The pairs ``(a, b)`` of paragraph ids with a Jaccard similarity of 75 % or more."""
     pairs = cut_lineage(pairs.distinct())
     wanted = pairs.select(F.col("a").alias("pid")).union(pairs.select("b")).distinct().join(first, "pid")
-    places = wanted.groupBy("doc_id").agg(F.collect_list("paragraph").alias("lines"))
+    places = cut_lineage(wanted.groupBy("doc_id").agg(F.collect_list("paragraph").alias("lines")))
 
     def run(parts):
         import pandas as pd
@@ -91,7 +91,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, first: DataFrame, min_words: in
             for at in range(0, len(rows), 5000):
                 yield pd.DataFrame(rows[at:at + 5000], columns=["pid", "items"])
 
-    sets = materialise(docs.join(places, "doc_id").select("text", "lines").mapInPandas(run, "pid bigint, items array<bigint>")
+    asked = membership(places, "doc_id")
+    sets = materialise(docs.where(asked(docs["doc_id"])).join(places, "doc_id").select("text", "lines").mapInPandas(run, "pid bigint, items array<bigint>")
                        .dropDuplicates(["pid"]))
     a, b = (sets.select(F.col("pid").alias(c), F.col("items").alias("i" + c)) for c in "ab")
     got = pairs.join(a, "a").join(b, "b").select("a", "b", F.size("ia").alias("na"), F.size("ib").alias("nb"),
