@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecstack.llm.common import materialise, texts
+from vecstack.llm.common import cut_lineage, materialise, membership, texts
 
 LENGTH, GRAM = 400, 200
 SEGMENT = 1 << 20          # bytes of one text handled at once
@@ -167,9 +167,10 @@ def _cut(rows: DataFrame, wanted: DataFrame) -> DataFrame:
             if out:
                 yield pd.DataFrame(out, columns=["row", "anchor", "kinds", "first", "piece"])
 
-    by_row = wanted.groupBy("row").agg(F.collect_list(F.struct("anchor", "kinds", "first", "last")).alias("wanted"))
+    by_row = cut_lineage(wanted.groupBy("row").agg(F.collect_list(F.struct("anchor", "kinds", "first", "last")).alias("wanted")))
+    asked = membership(by_row, "row")
     # of equal rows one is enough: their contexts occur twice as a whole
-    return rows.select("row", "text").join(by_row, "row").mapInPandas(
+    return rows.where(asked(rows["row"])).select("row", "text").join(by_row, "row").mapInPandas(
         run, "row bigint, anchor bigint, kinds bigint, first bigint, piece binary")
 
 
@@ -209,13 +210,17 @@ def _compare_large(pieces: DataFrame) -> DataFrame:
         import pandas as pd
 
         from vecstack.llm.words import Block, mix
+        half = LENGTH // 2
         for pdf in parts:
-            for r, f, piece in zip(pdf["row"].tolist(), pdf["first"].tolist(), pdf["piece"]):
-                b = Block([piece], lower=False)
-                p = np.arange(len(piece) - LENGTH + 1)
-                half = LENGTH // 2
+            for i in range(0, len(pdf), 1000):
+                part = pdf.iloc[i:i + 1000]
+                b = Block(list(part["piece"]), lower=False)
+                n = np.maximum(b.sizes - LENGTH + 1, 0)
+                inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)         # start within its piece
+                p = np.repeat(b.offset[:-1], n) + inside
                 x, y = b.value(p, p + half), b.value(p + half, p + LENGTH)
-                yield pd.DataFrame({"row": r, "lo": p + f, "x": mix(x * np.uint64(3) + y).view(np.int64), "y": mix(y * np.uint64(5) ^ x).view(np.int64)})
+                yield pd.DataFrame({"row": np.repeat(part["row"].to_numpy(), n), "lo": np.repeat(part["first"].to_numpy(), n) + inside,
+                                    "x": mix(x * np.uint64(3) + y).view(np.int64), "y": mix(y * np.uint64(5) ^ x).view(np.int64)})
 
     windows = pieces.mapInPandas(run, "row bigint, lo bigint, x bigint, y bigint")
     again = windows.groupBy("x", "y").agg(F.count("*").alias("n")).where("n > 1").select("x", "y")
@@ -242,7 +247,8 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     offsets, end exclusive) and the bytes that are left."""
     rows = _rows(docs)
     ranges = materialise(repeated_ranges(rows).distinct())
-    by_row = ranges.groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+    by_row = cut_lineage(ranges.groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges")))
+    touched = membership(by_row, "row")
 
     def run(parts):
         import pandas as pd
@@ -265,7 +271,10 @@ def deduplicate(docs: DataFrame) -> DataFrame:
                     size.append(len(b))
                 yield pd.DataFrame({"doc_id": part["doc_id"], "n_bytes": size, "spans": spans, "kept": kept})
 
-    return rows.join(by_row, "row", "left").select("doc_id", "text", "ranges").mapInPandas(
+    # rows without a repeated string keep their bytes and are not shuffled
+    untouched = rows.where(~touched(rows["row"])).withColumn("ranges", F.lit(None).cast(by_row.schema["ranges"].dataType))
+    joined = rows.where(touched(rows["row"])).join(by_row, "row", "left")
+    return joined.select("doc_id", "text", "ranges").union(untouched.select("doc_id", "text", "ranges")).mapInPandas(
         run, "doc_id bigint, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary")
 
 
