@@ -9,7 +9,7 @@ from vecstack.functions import arrays as A
 from vecstack.operators import evaluate as ev
 from vecstack.plans.registry import (EMB, LINEITEM_LABEL, big, explode_long, long_sql, r,
                                      register, rnd)
-from vecstack.sources.tables import labelled_vectors, lineitem_vectors, read_table
+from vecstack.sources.tables import labelled_vectors, lineitem_labels, read_table
 
 SIDE = 8            # the 64-float embedding is read as an 8×8 image
 N_PROBA = 64        # probabilities = softmax of all entries
@@ -195,7 +195,7 @@ def q_cast_float32(spark, sf):
 @register("class_counts", f"""
 SELECT {LINEITEM_LABEL}::BIGINT AS label, count(*)::BIGINT AS n FROM lineitem GROUP BY 1""")
 def q_class_counts(spark, sf):
-    c = ev.class_counts(lineitem_vectors(spark, sf))
+    c = ev.class_counts(lineitem_labels(spark, sf))
     return c.select(big("label").alias("label"), "n")
 
 

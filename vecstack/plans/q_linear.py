@@ -11,8 +11,8 @@ from vecstack.operators import evaluate as ev
 from vecstack.operators import linear as L
 from vecstack.operators import specialists as SP
 from vecstack.plans.q_arrays import PROBA_SQL, with_proba
-from vecstack.plans.registry import EMB_TRAIN, EMB_VAL, big, explode_long, long_sql, r, register, rnd
-from vecstack.sources.tables import labelled_vectors, train_val
+from vecstack.plans.registry import EMB, big, explode_long, long_sql, r, register, rnd
+from vecstack.sources.tables import labelled_vectors
 
 LR, REG, STEPS = 0.3, 1e-4, 3
 PLATT_LR, PLATT_STEPS = 0.05, 20
@@ -20,7 +20,7 @@ PLATT_LR, PLATT_STEPS = 0.05, 20
 
 def gd_sql(steps: int, lr: float = LR, reg: float = REG) -> str:
     """Unrolled full-batch softmax GD from zero init, as chained CTEs (w{t}, b{t})."""
-    parts = [f"""WITH e AS ({EMB_TRAIN}),
+    parts = [f"""WITH e AS ({EMB}),
 x AS ({long_sql("SELECT * FROM e", "f", "row_id")}),
 cl AS (SELECT DISTINCT label AS k FROM e),
 y AS (SELECT e.row_id, cl.k, (e.label = cl.k)::DOUBLE AS t FROM e, cl),
@@ -45,8 +45,9 @@ b{t + 1} AS (SELECT r.k, b.b - {lr}::DOUBLE * avg(r.r) AS b FROM r{t} r JOIN b{t
 
 
 def _train(spark, sf):
-    tr, va = train_val(labelled_vectors(spark, sf))
-    return tr, va
+    """Fit rows and scored rows: the whole table is both."""
+    df = labelled_vectors(spark, sf)
+    return df, df
 
 
 # A6 ------------------------------------------------------------------------
@@ -77,7 +78,7 @@ def q_logreg_fit(spark, sf):
 
 # M2 ------------------------------------------------------------------------
 @register("logreg_predict", gd_sql(STEPS) + f""",
-v AS ({EMB_VAL}), vx AS ({long_sql("SELECT * FROM v", "f", "row_id")}),
+v AS ({EMB}), vx AS ({long_sql("SELECT * FROM v", "f", "row_id")}),
 vs AS (SELECT vx.row_id, w.k, sum(vx.v * w.w) AS s FROM vx JOIN w{STEPS} w ON w.j = vx.dim GROUP BY 1, 2),
 vsb AS (SELECT s.row_id, s.k, s.s + b.b AS s FROM vs s JOIN b{STEPS} b USING (k)),
 vm AS (SELECT row_id, max(s) AS mx FROM vsb GROUP BY row_id),

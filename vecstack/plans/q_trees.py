@@ -18,7 +18,7 @@ from vecstack.operators import boosting as B
 from vecstack.operators import evaluate as ev
 from vecstack.operators import trees as T
 from vecstack.plans.registry import EMB, big, long_sql, r, register, rnd
-from vecstack.sources.tables import LINEITEM_FEATURES, labelled_vectors, lineitem_vectors, train_val
+from vecstack.sources.tables import LINEITEM_FEATURES, labelled_vectors, lineitem_vectors
 
 DEC = 9
 TREE_P = T.TreeParams(max_depth=2, min_samples_split=20, min_samples_leaf=5, max_features=None,
@@ -120,13 +120,15 @@ def nodes_out(ens: T.TreeEnsemble, spark):
 
 
 _HEAD = f"""WITH RECURSIVE e AS ({EMB}),
-tr AS (SELECT * FROM e WHERE row_id % 5 <> 0),
-va AS (SELECT * FROM e WHERE row_id % 5 = 0),
+tr AS (SELECT * FROM e),
+va AS (SELECT * FROM e),
 xl AS (SELECT row_id, dim, round(v, {DEC}) AS v FROM ({long_sql("SELECT * FROM e", "f", "row_id")}))"""
 
 
 def split(spark, sf):
-    return train_val(labelled_vectors(spark, sf))
+    """Fit rows and scored rows: the whole table is both."""
+    df = labelled_vectors(spark, sf)
+    return df, df
 
 
 # A3 ------------------------------------------------------------------------
@@ -245,7 +247,7 @@ def q_feature_subset(spark, sf):
 # M9 ------------------------------------------------------------------------
 @register("forest_proba")
 def q_forest_proba(spark, sf):
-    """Rows-only: library random forest probabilities (Spark ML), validation rows."""
+    """Rows-only: library random forest probabilities (Spark ML) of every row."""
     tr, va = split(spark, sf)
     classes = ev.distinct_labels(tr)
     m = B.fit_rf_proba(tr, num_trees=25, max_depth=8, seed=42)

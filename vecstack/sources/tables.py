@@ -59,6 +59,16 @@ def train_val(df: DataFrame, key: str = "row_id", mod: int = VALIDATION_MOD) ->
     return df.where(~is_val), df.where(is_val)
 
 
+def _returnflag_code():
+    code = F.create_map(*[x for k, v in RETURNFLAG_CODES.items() for x in (F.lit(k), F.lit(v))])
+    return code[F.col("l_returnflag")].cast("int")
+
+
+def lineitem_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels of ``lineitem`` alone (one column is read)."""
+    return read_table(spark, sf_dir, "lineitem").select(_returnflag_code().alias("label"))
+
+
 def lineitem_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` as a 3-class labelled frame over its four DOUBLE measures.
 
@@ -67,8 +77,7 @@ def lineitem_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     aggregate operators (scaler, covariance, split search, class counts).
     """
     li = read_table(spark, sf_dir, "lineitem")
-    code = F.create_map(*[x for k, v in RETURNFLAG_CODES.items() for x in (F.lit(k), F.lit(v))])
     return li.select(
-        code[F.col("l_returnflag")].cast("int").alias("label"),
+        _returnflag_code().alias("label"),
         F.array(*[F.col(c).cast("double") for c in LINEITEM_FEATURES]).alias("features"),
     ).where(valid_rows(dim=len(LINEITEM_FEATURES)))
