@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from vecstack.session import cut_lineage, ensure_checkpoint_dir, ship_package
 
-__all__ = ["components", "cut_lineage", "materialise", "membership", "read", "ship_package", "texts", "workspace"]
+__all__ = ["components", "cut_lineage", "materialise", "membership", "read", "ship_package", "texts",
+           "without_ids", "workspace"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -76,6 +77,17 @@ def membership(ids: DataFrame, name: str):
     return lambda c: test(place(c))
 
 
+def without_ids(docs: DataFrame, gone: DataFrame, name: str) -> DataFrame:
+    """The rows of ``docs`` whose ``doc_id`` is not in ``gone[name]`` (rows without an id stay).
+
+    Only rows that the bitmap of ``gone`` lets pass are shuffled for the join."""
+    gone = cut_lineage(gone.select(F.col(name).alias("__gone")).distinct())
+    listed = membership(gone, "__gone")
+    apart = F.coalesce(listed(docs["doc_id"]) & docs["doc_id"].isNotNull(), F.lit(False))
+    maybe = docs.where(apart)
+    return docs.where(~apart).union(maybe.join(gone, maybe["doc_id"].cast("bigint") == gone["__gone"], "left_anti"))
+
+
 # ------------------------------------------------------------------ connected components
 def _contract(parts: Iterator):
     """Union-find inside one partition: any edge list becomes stars around the smallest ids."""

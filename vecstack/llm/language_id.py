@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecstack.llm.common import cut_lineage
+from vecstack.llm.common import cut_lineage, without_ids
 
 BUCKETS = 1 << 14            # hashed trigrams
 ALPHA = 0.5                  # pseudo-count of a bucket
@@ -198,9 +198,9 @@ def accepted(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` whose document is not rejected; rows without an id stay only if their
     text has a letter (they cannot be looked up)."""
     gone = identify(docs, **options).where("doc_id is not null").groupBy("doc_id").agg(F.max("kept").alias("any")) \
-        .where("not any").select(F.col("doc_id").alias("_gone"))
+        .where("not any")
     rest = docs.where(docs["doc_id"].isNotNull() | docs["text"].cast("string").rlike(r"\p{L}"))
-    return rest.join(gone, rest["doc_id"].cast("bigint") == gone["_gone"], "left_anti")
+    return without_ids(rest, gone, "doc_id")
 
 
 def page_documents(pages: DataFrame) -> DataFrame:
