@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from vecstack.llm.common import texts
 
-PIECES = 1 << 19     # pre-tokens kept with their ids, per Python worker (about 100 MB)
-PAIRS = 1 << 18      # adjacent-token decisions kept, per Python worker
+PIECES = 1 << 18     # pre-tokens kept with their ids, per Python worker (about 60 MB)
+PAIRS = 1 << 16      # adjacent-token decisions kept, per Python worker
 NEVER = 1 << 62
 
 
@@ -204,9 +204,27 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInPandas(run, "doc_id bigint, ids array<int>, decoded binary")
 
 
+def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``(doc_id, ids, decoded)`` of every row: ``decode`` of ``encode`` in one pass of one worker."""
+    shared = share(docs, path)
+
+    def run(parts):
+        import numpy as np
+        import pandas as pd
+        v = vocabulary(shared, pattern)
+        for pdf in parts:
+            for i in range(0, len(pdf), 500):
+                part = pdf.iloc[i:i + 500]
+                ids = [v.encode(t) for t in part["text"]]
+                yield pd.DataFrame({"doc_id": part["doc_id"], "ids": [np.array(x, np.int32) for x in ids],
+                                    "decoded": [v.decode(x) for x in ids]})
+
+    return texts(docs).mapInPandas(run, "doc_id bigint, ids array<int>, decoded binary")
+
+
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of the round trip of every row."""
-    both = decode(encode(docs, path, pattern), path, pattern)
+    both = round_trip(docs, path, pattern)
     return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))

@@ -138,7 +138,7 @@ def shared_index(docs: DataFrame, hot, k: int = SHINGLE) -> DataFrame:
 
         from vecstack.llm.words import mix
         order = _Order(hot.value)
-        for pdf in parts:
+        for pdf in (whole.iloc[i:i + 4000] for whole in parts for i in range(0, len(whole), 4000)):
             keys, gids, ns, poss = [], [], [], []
             for _, s in _sets(pdf["text"], k):
                 if len(s):
@@ -224,16 +224,36 @@ def _plausible(pairs: DataFrame, shared: DataFrame, num: int, den: int) -> DataF
                       f">= {num} * (x_n + y_n)").select(*pairs.columns)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The links among ``pairs(a, b)`` of representatives, by their whole sets."""
-    pairs = cut_lineage(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+def _compared(pairs: DataFrame, docs: DataFrame, reps: DataFrame, k: int, rest: bool = False) -> DataFrame:
+    """``pairs(a, b)`` of representatives with the sizes and the intersection of their whole sets,
+    and with ``rest`` also the shingles that only ``a`` has: ``(a, b, na, nb, i[, rest])``."""
+    pairs = cut_lineage(pairs.distinct())
     wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
     sets = materialise(_sets_of(docs, reps.join(wanted, "rep"), k))
     a = sets.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("items").alias("ia"))
     b = sets.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("items").alias("ib"))
-    common = F.size(F.array_intersect("ia", "ib"))
-    return (pairs.join(b, "b").join(a, "a").select("a", "b", "na", "nb", common.alias("i"))
-            .where(den * F.col("i") >= num * (F.col("na") + F.col("nb") - F.col("i"))).select("a", "b"))
+    both = pairs.join(b, "b").join(a, "a")
+    return both.select("a", "b", "na", "nb", F.size(F.array_intersect("ia", "ib")).alias("i"),
+                       *([F.array_except("ia", "ib").alias("rest")] if rest else []))
+
+
+def _linked(compared: DataFrame, num: int, den: int) -> DataFrame:
+    return compared.where(den * F.col("i") >= num * (F.col("na") + F.col("nb") - F.col("i"))).select("a", "b")
+
+
+def _families(compared: DataFrame) -> DataFrame:
+    """``(rep, lead, reach)``: for sets compared with the same other set ``lead``, the most that one
+    of them can have in common with another of them.
+
+    What two of them share is in ``lead`` as well, or is beyond it in both; so ``reach`` counts the
+    shingles common with ``lead`` and those beyond it that some other member has, too."""
+    best = compared.groupBy("a").agg(F.max(F.struct("i", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
+    own = compared.join(best, ["a", "b"])
+    beyond = own.select("a", "b", F.explode("rest").alias("item"))
+    again = beyond.groupBy("b", "item").agg(F.count("*").alias("n")).where("n > 1").select("b", "item")
+    extra = beyond.join(again, ["b", "item"]).groupBy("a").agg(F.count("*").alias("extra"))
+    return own.select("a", "b", "i").join(extra, "a", "left").select(
+        F.col("a").alias("rep"), F.col("b").alias("lead"), (F.col("i") + F.coalesce("extra", F.lit(0))).alias("reach"))
 
 
 def jaccard_components(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
@@ -264,29 +284,34 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: i
              .join(head.select(F.col("gid").alias("x_gid"), F.col("head").alias("a")), "x_gid")
              .join(head.select(F.col("gid").alias("y_gid"), F.col("head").alias("b")), "y_gid").select("a", "b")
              .union(reps.join(head, "gid").where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b"))))
-    first = _verified(pairs, named, reps, k, num, den)
-    comp = cut_lineage(components(first).withColumnRenamed("node", "rep"))
+    compared = materialise(_compared(pairs, named, reps, k, rest=True))
+    comp = cut_lineage(components(_linked(compared, num, den)).withColumnRenamed("node", "rep"))
 
     # round 2: every pair of different provisional components that the filters leave
-    member = cut_lineage(reps.join(comp, "rep", "left").select("rep", "gid", F.coalesce("component", "rep").alias("comp")))
-    unit = member.select("gid", "comp").distinct()
-    entries = index.join(unit, "gid")
+    member = cut_lineage(reps.join(comp, "rep", "left").join(_families(compared), "rep", "left").select(
+        "rep", "gid", F.coalesce("component", "rep").alias("comp"), F.coalesce("lead", "rep").alias("lead"), F.coalesce("reach", "n").alias("reach")))
+    # sets of one group, component and lead go together
+    unit = member.groupBy("gid", "comp", "lead").agg(F.max("reach").alias("reach"))
+    entries = index.join(unit, "gid").join(shared.select("gid", F.size("keys").alias("k")), "gid")
     split = entries.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
     entries = materialise(entries.join(split, "key", "left_semi"))
-    entries = entries.drop("groups")
-    x = entries.where(F.col("pos") < index_end).select("key", *[F.col(c).alias("x_" + c) for c in ("gid", "comp", "n", "pos")])
-    y = entries.select("key", *[F.col(c).alias("y_" + c) for c in ("gid", "comp", "n", "pos")])
+    names = ("gid", "comp", "lead", "reach", "n", "pos", "k")
+    rest = lambda c: f"-cast(floor(-{num} * {c} / {den}) as bigint) - 1"
+    x = entries.where(F.col("pos") < index_end).select("key", *[F.col(c).alias("x_" + c) for c in names])
+    y = entries.select("key", *[F.col(c).alias("y_" + c) for c in names])
     found = x.join(y, "key").where(
         f"x_gid <> y_gid and x_comp <> y_comp and x_n <= y_n and {den} * x_n >= {num} * y_n and "
-        f"{num + den} * (least(x_pos, y_pos) + least(x_n - x_pos, y_n - y_pos)) >= {num} * (x_n + y_n)")
-    units = _plausible(found.select("x_gid", "x_comp", "y_gid", "y_comp").distinct(), shared, num, den)
-    inner = unit.select(F.col("gid").alias("x_gid"), F.col("comp").alias("x_comp")) \
-        .join(unit.select(F.col("gid").alias("x_gid"), F.col("comp").alias("y_comp")), "x_gid") \
-        .where("x_comp < y_comp").select("x_gid", "x_comp", F.col("x_gid").alias("y_gid"), "y_comp")
-    side = lambda p, name: member.select(F.col("gid").alias(p + "_gid"), F.col("comp").alias(p + "_comp"), F.col("rep").alias(name))
-    more = (units.select(*inner.columns).union(inner).join(side("x", "a"), ["x_gid", "x_comp"])
-            .join(side("y", "b"), ["y_gid", "y_comp"]).select("a", "b"))
-    second = _verified(more, named, reps, k, num, den)
+        f"{num + den} * (least(x_pos, y_pos) + least(x_n - x_pos, y_n - y_pos)) >= {num} * (x_n + y_n) and "
+        f"{num + den} * (least(x_k, y_k) + greatest({rest('x_n')}, {rest('y_n')})) >= {num} * (x_n + y_n) and "
+        f"(x_lead <> y_lead or {num + den} * least(x_reach, y_reach) >= {num} * (x_n + y_n))")
+    ends = ["x_gid", "x_comp", "x_lead", "y_gid", "y_comp", "y_lead"]
+    units = _plausible(found.select(*ends).distinct(), shared, num, den)
+    u = lambda p: unit.select(F.col("gid").alias("x_gid"), F.col("comp").alias(p + "_comp"), F.col("lead").alias(p + "_lead"))
+    inner = u("x").join(u("y"), "x_gid").where("x_comp < y_comp").withColumn("y_gid", F.col("x_gid"))
+    side = lambda p, name: member.select(*[F.col(c).alias(f"{p}_{c}") for c in ("gid", "comp", "lead")], F.col("rep").alias(name))
+    more = (units.select(*ends).union(inner.select(*ends)).join(side("x", "a"), ends[:3]).join(side("y", "b"), ends[3:])
+            .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
+    second = _linked(_compared(more, named, reps, k), num, den)
     star = comp.where("rep <> component").select(F.col("rep").alias("a"), F.col("component").alias("b"))
     # several sets under one doc_id are one document
     own = sets.where("doc_id is not null and n > 0").join(reps.select("fp_a", "fp_b", "rep"), ["fp_a", "fp_b"]) \

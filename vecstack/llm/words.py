@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-BLOCK_BYTES = 1 << 21          # texts are handled in blocks of about this many bytes
+BLOCK_BYTES = 1 << 19          # texts are handled in blocks of about this many bytes
 _BASE = 0x9E3779B97F4A7C15     # odd, so that powers have an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _TABLE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
