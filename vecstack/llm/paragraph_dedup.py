@@ -27,52 +27,63 @@ MIN_WORDS, SHINGLE, BANDS, ROWS, NUM, DEN = 40, 5, 20, 4, 75, 100
 _SEEDS = np.random.default_rng(7).integers(1, 1 << 63, (BANDS * ROWS, 2), dtype=np.uint64) | np.uint64(1)
 
 
-def _paragraphs(column, k=SHINGLE, min_words=MIN_WORDS):
-    """``(text, line, words, value, shingles)`` of every paragraph of a column of texts."""
-    from vecstack.llm.words import Block, blocks, encode
-    raw = encode(column)
-    for i, j in blocks(raw):
-        b = Block(raw[i:j])
+class _Paragraphs:
+    """The paragraphs of a block of texts, as arrays: ``doc``, ``line``, ``words`` (their number),
+    ``pid`` (64-bit value of the word sequence); shingle ``k``-runs ``grams[at[p]:at[p + 1]]``."""
+
+    def __init__(self, raw: list[bytes], min_words: int, k: int = SHINGLE):
+        from vecstack.llm.words import Block, mix
+        b = Block(raw)
         start, end, doc = b.lines()
         first = np.searchsorted(b.start, start)
         count = np.searchsorted(b.start, end) - first
-        grams, _ = b.grams(k)
         line = np.arange(len(start)) - np.searchsorted(doc, np.arange(b.n))[doc]
-        for p in np.flatnonzero(count >= min_words):
-            words = b.word[first[p]:first[p] + count[p]]
-            yield i + int(doc[p]), int(line[p]), int(count[p]), words, np.unique(grams[first[p]:first[p] + count[p] - k + 1])
-
-
-def _identity(words) -> int:
-    """64-bit value of a word sequence."""
-    from vecstack.llm.words import mix
-    spread = mix(words + mix(np.arange(1, len(words) + 1, dtype=np.uint64)))
-    return int(mix(np.array([np.add.reduce(spread)], np.uint64)).view(np.int64)[0])
-
-
-def band_values(shingles):
-    """One 64-bit value per band from the minima of its rows."""
-    from vecstack.llm.words import mix
-    low = np.empty(BANDS * ROWS, np.uint64)
-    for r, (a, c) in enumerate(_SEEDS):
-        x = shingles * a + c
-        low[r] = (x ^ (x >> np.uint64(32))).min()
-    low = low.reshape(BANDS, ROWS)
-    h = np.arange(BANDS, dtype=np.uint64)
-    for r in range(ROWS):
-        h = mix(h * np.uint64(0x9E3779B97F4A7C15) ^ low[:, r])
-    return h.view(np.int64)
+        use = np.flatnonzero(count >= max(k, min_words))
+        self.doc, self.line, self.words, first = doc[use], line[use], count[use], first[use]
+        inside, at = self._runs(first, self.words)
+        place = np.arange(len(inside)) - np.repeat(at, self.words)
+        spread = mix(b.word[inside] + mix(place.astype(np.uint64) + np.uint64(1)))
+        self.pid = mix(np.add.reduceat(spread, at) if len(use) else np.zeros(0, np.uint64)).view(np.int64)
+        inside, at = self._runs(first, self.words - k + 1)
+        self.grams = b.grams(k)[0][inside]
+        self.at = np.append(at, len(inside))
+
+    @staticmethod
+    def _runs(first, n):
+        """Indices of the runs ``first[i]..first[i] + n[i]`` one after the other, and their offsets."""
+        at = np.cumsum(n) - n
+        return np.repeat(first - at, n) + np.arange(int(n.sum())), at
+
+    def bands(self):
+        """``BANDS`` 64-bit values of each paragraph from the minima of its rows."""
+        from vecstack.llm.words import mix
+        out = np.empty((len(self.pid), BANDS), np.uint64)
+        for band in range(BANDS if len(self.pid) else 0):
+            h = np.uint64(band)
+            for a, c in _SEEDS[band * ROWS:(band + 1) * ROWS]:
+                x = self.grams * a + c
+                x ^= x >> np.uint64(32)
+                h = mix(h * np.uint64(0x9E3779B97F4A7C15) ^ np.minimum.reduceat(x, self.at[:-1]))
+            out[:, band] = h
+        return out.view(np.int64)
+
+    def shingles(self, p: int):
+        return np.unique(self.grams[self.at[p]:self.at[p + 1]])
 
 
 def paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``(doc_id, paragraph, n_words, pid, bands)`` of every paragraph."""
     def run(parts):
         import pandas as pd
+
+        from vecstack.llm.words import blocks, encode
         for pdf in parts:
-            ids = pdf["doc_id"].tolist()
-            rows = [(ids[d], p, n, _identity(w), band_values(s)) for d, p, n, w, s in _paragraphs(pdf["text"], min_words=min_words)]
-            for at in range(0, len(rows), 5000):
-                yield pd.DataFrame(rows[at:at + 5000], columns=["doc_id", "paragraph", "n_words", "pid", "bands"])
+            raw, ids = encode(pdf["text"]), pdf["doc_id"].to_numpy()
+            for i, j in blocks(raw):
+                p = _Paragraphs(raw[i:j], min_words)
+                if not len(p.pid):
+                    continue
+                yield pd.DataFrame({"doc_id": ids[i:j][p.doc], "paragraph": p.line, "n_words": p.words, "pid": p.pid, "bands": list(p.bands())})
 
     return docs.mapInPandas(run, "doc_id bigint, paragraph int, n_words int, pid bigint, bands array<bigint>")
 
@@ -85,11 +96,15 @@ def _verified(pairs: DataFrame, docs: DataFrame, first: DataFrame, min_words: in
 
     def run(parts):
         import pandas as pd
+
+        from vecstack.llm.words import blocks, encode
         for pdf in parts:
-            lines = [set(map(int, x)) for x in pdf["lines"]]
-            rows = [(_identity(w), s.view(np.int64)) for d, p, _, w, s in _paragraphs(pdf["text"], min_words=min_words) if p in lines[d]]
-            for at in range(0, len(rows), 5000):
-                yield pd.DataFrame(rows[at:at + 5000], columns=["pid", "items"])
+            raw, lines = encode(pdf["text"]), [set(map(int, x)) for x in pdf["lines"]]
+            for i, j in blocks(raw):
+                p = _Paragraphs(raw[i:j], min_words)
+                rows = [x for x in range(len(p.pid)) if int(p.line[x]) in lines[i + p.doc[x]]]
+                if rows:
+                    yield pd.DataFrame({"pid": p.pid[rows], "items": [p.shingles(x).view(np.int64) for x in rows]})
 
     asked = membership(places, "doc_id")
     sets = materialise(docs.where(asked(docs["doc_id"])).join(places, "doc_id").select("text", "lines").mapInPandas(run, "pid bigint, items array<bigint>")
@@ -104,8 +119,8 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFram
     """``(doc_id, paragraph, n_words, cluster, component_id, n_copies, removed)`` of every paragraph
     that occurs again, exactly or nearly; ``component_id`` is the smallest document of the cluster."""
     docs = texts(docs).where("doc_id is not null")
-    found = paragraphs(docs, min_words)
-    places = materialise(found.select("doc_id", "paragraph", "n_words", "pid"))
+    found = materialise(paragraphs(docs, min_words))
+    places = found.select("doc_id", "paragraph", "n_words", "pid")
     distinct = found.groupBy("pid").agg(F.first("bands").alias("bands"))
     keys = materialise(distinct.select("pid", F.explode("bands").alias("key")))
     first = places.groupBy("pid").agg(F.min(F.struct("doc_id", "paragraph")).alias("at")).select("pid", "at.*")
