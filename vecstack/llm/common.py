@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from vecstack.session import cut_lineage, ensure_checkpoint_dir, ship_package
 
-__all__ = ["components", "cut_lineage", "materialise", "membership", "read", "ship_package", "texts",
+__all__ = ["components", "cut_lineage", "materialise", "read", "ship_package", "texts", "with_membership",
            "without_ids", "workspace"]
 
 
@@ -49,43 +49,37 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-MEMBER_BITS = 30     # log2 of the largest bitmap of ``membership`` (128 MiB)
+MEMBER_BITS = 30     # log2 of the largest bitmap of ``with_membership`` (128 MiB)
 
 
-def membership(ids: DataFrame, name: str):
-    """A test for bigint columns that is false only for values not in ``ids[name]``.
+def with_membership(df: DataFrame, column: str, ids: DataFrame, name: str, out: str = "__listed") -> DataFrame:
+    """``df`` with a boolean ``out`` that is false only where ``column`` is not in ``ids[name]``.
 
     The ids are hashed into a bitmap of at least eight bits each (2^30 bits at most, so the
     broadcast is bounded); values that pass by chance are sorted out by the join that follows.  It keeps
     the rows of a wide table that a join would drop anyway from being shuffled."""
-    import numpy as np
     bits = 1 << max(15, min(MEMBER_BITS, (16 * ids.count()).bit_length()))
     place = lambda c: F.pmod(F.xxhash64(c.cast("bigint")), F.lit(bits)) + 1
-    maps = (ids.select(place(F.col(name)).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("k"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m")).collect())
-    flags = np.zeros(bits // 8, np.uint8)
-    for r in maps:
-        flags[(r["k"] - 1) * 4096:r["k"] * 4096] = np.frombuffer(bytes(r["m"]), np.uint8)
-    shared = ids.sparkSession.sparkContext.broadcast(flags)
-
-    @F.pandas_udf("boolean")
-    def test(p):
-        import pandas as pd
-        at = p.to_numpy() - 1
-        return pd.Series((shared.value[at >> 3] >> (at & 7).astype("uint8") & 1).astype(bool))
-
-    return lambda c: test(place(c))
+    maps = (ids.select(place(F.col(name)).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("__k"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("__m")))
+    at = F.bitmap_bit_position("__p")
+    byte = F.conv(F.hex(F.substr(F.col("__m"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    listed = F.pmod(F.floor(byte / F.pow(F.lit(2.0), at % 8)), F.lit(2)) == 1
+    marked = df.withColumn("__p", place(df[column])).withColumn("__k", F.bitmap_bucket_number("__p"))
+    return (marked.join(F.broadcast(cut_lineage(maps)), "__k", "left")
+            .select(*[marked[c] for c in df.columns], F.coalesce(listed, F.lit(False)).alias(out)))
 
 
 def without_ids(docs: DataFrame, gone: DataFrame, name: str) -> DataFrame:
     """The rows of ``docs`` whose ``doc_id`` is not in ``gone[name]`` (rows without an id stay).
 
     Only rows that the bitmap of ``gone`` lets pass are shuffled for the join."""
-    gone = cut_lineage(gone.select(F.col(name).alias("__gone")).distinct())
-    listed = membership(gone, "__gone")
-    apart = F.coalesce(listed(docs["doc_id"]) & docs["doc_id"].isNotNull(), F.lit(False))
-    maybe = docs.where(apart)
-    return docs.where(~apart).union(maybe.join(gone, maybe["doc_id"].cast("bigint") == gone["__gone"], "left_anti"))
+    gone = cut_lineage(gone.select(F.col(name).cast("bigint").alias("__gone")).distinct())
+    marked = with_membership(docs, "doc_id", gone, "__gone")
+    apart = F.col("__listed") & F.col("doc_id").isNotNull()
+    maybe = marked.where(apart)
+    rest = maybe.join(gone, maybe["doc_id"].cast("bigint") == gone["__gone"], "left_anti")
+    return marked.where(~apart).union(rest).drop("__listed")
 
 
 # ------------------------------------------------------------------ connected components

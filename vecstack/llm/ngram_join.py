@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vecstack.llm.common import components, cut_lineage, materialise, membership, texts
+from vecstack.llm.common import components, cut_lineage, materialise, texts, with_membership
 
 SHINGLE, NUM, DEN = 5, 75, 100
 HOT_SHARE = 0.002      # a shingle in this share of a task's texts is a candidate for "frequent"
@@ -207,8 +207,8 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                                         "items": [s.view(np.int64) for _, s in keep]})
 
     reps = cut_lineage(wanted.select(F.col("rep").alias("doc_id"), "fp_a", "fp_b"))
-    asked = membership(reps, "doc_id")
-    return docs.where(asked(docs["doc_id"])).join(reps, "doc_id").mapInPandas(run, "rep bigint, n bigint, items array<bigint>")
+    asked = with_membership(docs, "doc_id", reps, "doc_id").where("__listed").drop("__listed")
+    return asked.join(reps, "doc_id").mapInPandas(run, "rep bigint, n bigint, items array<bigint>")
 
 
 def _plausible(pairs: DataFrame, shared: DataFrame, num: int, den: int) -> DataFrame:
@@ -334,9 +334,8 @@ def one_per_component(docs: DataFrame, **options) -> DataFrame:
     several = comp.groupBy("doc_id").agg(F.count("*").alias("rows"), F.first("component_id").alias("head"))
     # most rows are neither repeated nor in another document's component: those stay where they are
     several = cut_lineage(several.where("rows > 1 or head <> doc_id").select(F.col("doc_id").alias("_id"), (F.col("head") != F.col("doc_id")).alias("_gone")))
-    listed = membership(several, "_id")
-    id_ = docs["doc_id"].cast("bigint")
-    apart = F.coalesce(listed(id_) & docs["doc_id"].isNotNull(), F.lit(False))
-    maybe = docs.where(apart)
+    marked = with_membership(docs, "doc_id", several, "_id")
+    apart = F.col("__listed") & F.col("doc_id").isNotNull()
+    maybe = marked.where(apart)
     rest = maybe.join(several.where("_gone").select("_id"), maybe["doc_id"].cast("bigint") == F.col("_id"), "left_anti")
-    return docs.where(~apart).union(rest.dropDuplicates(["doc_id"]))
+    return marked.where(~apart).union(rest.dropDuplicates(["doc_id"])).drop("__listed")

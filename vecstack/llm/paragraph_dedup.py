@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecstack.llm.common import components, cut_lineage, materialise, membership, texts
+from vecstack.llm.common import components, cut_lineage, materialise, texts, with_membership
 
 MIN_WORDS, SHINGLE, BANDS, ROWS, NUM, DEN = 40, 5, 20, 4, 75, 100
 _SEEDS = np.random.default_rng(7).integers(1, 1 << 63, (BANDS * ROWS, 2), dtype=np.uint64) | np.uint64(1)
@@ -106,8 +106,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, first: DataFrame, min_words: in
                 if rows:
                     yield pd.DataFrame({"pid": p.pid[rows], "items": [p.shingles(x).view(np.int64) for x in rows]})
 
-    asked = membership(places, "doc_id")
-    sets = materialise(docs.where(asked(docs["doc_id"])).join(places, "doc_id").select("text", "lines").mapInPandas(run, "pid bigint, items array<bigint>")
+    asked = with_membership(docs, "doc_id", places, "doc_id").where("__listed").drop("__listed")
+    sets = materialise(asked.join(places, "doc_id").select("text", "lines").mapInPandas(run, "pid bigint, items array<bigint>")
                        .dropDuplicates(["pid"]))
     a, b = (sets.select(F.col("pid").alias(c), F.col("items").alias("i" + c)) for c in "ab")
     got = pairs.join(a, "a").join(b, "b").select("a", "b", F.size("ia").alias("na"), F.size("ib").alias("nb"),

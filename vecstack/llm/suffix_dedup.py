@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecstack.llm.common import cut_lineage, materialise, membership, texts
+from vecstack.llm.common import cut_lineage, materialise, texts, with_membership
 
 LENGTH, GRAM = 400, 200
 SEGMENT = 1 << 20          # bytes of one text handled at once
@@ -168,9 +168,9 @@ def _cut(rows: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pd.DataFrame(out, columns=["row", "anchor", "kinds", "first", "piece"])
 
     by_row = cut_lineage(wanted.groupBy("row").agg(F.collect_list(F.struct("anchor", "kinds", "first", "last")).alias("wanted")))
-    asked = membership(by_row, "row")
+    asked = with_membership(rows, "row", by_row, "row").where("__listed")
     # of equal rows one is enough: their contexts occur twice as a whole
-    return rows.where(asked(rows["row"])).select("row", "text").join(by_row, "row").mapInPandas(
+    return asked.select("row", "text").join(by_row, "row").mapInPandas(
         run, "row bigint, anchor bigint, kinds bigint, first bigint, piece binary")
 
 
@@ -248,7 +248,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     rows = _rows(docs)
     ranges = materialise(repeated_ranges(rows).distinct())
     by_row = cut_lineage(ranges.groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges")))
-    touched = membership(by_row, "row")
+    marked = with_membership(rows, "row", by_row, "row")
 
     def run(parts):
         import pandas as pd
@@ -272,8 +272,8 @@ def deduplicate(docs: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"doc_id": part["doc_id"], "n_bytes": size, "spans": spans, "kept": kept})
 
     # rows without a repeated string keep their bytes and are not shuffled
-    untouched = rows.where(~touched(rows["row"])).withColumn("ranges", F.lit(None).cast(by_row.schema["ranges"].dataType))
-    joined = rows.where(touched(rows["row"])).join(by_row, "row", "left")
+    untouched = marked.where("not __listed").withColumn("ranges", F.lit(None).cast(by_row.schema["ranges"].dataType))
+    joined = marked.where("__listed").join(by_row, "row", "left")
     return joined.select("doc_id", "text", "ranges").union(untouched.select("doc_id", "text", "ranges")).mapInPandas(
         run, "doc_id bigint, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary")
 
