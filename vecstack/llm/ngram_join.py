@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from vecstack.llm.common import components, cut_lineage, materialise, texts, with_membership
 
 SHINGLE, NUM, DEN = 5, 75, 100
-HOT_SHARE = 0.002      # a shingle in this share of a task's texts is a candidate for "frequent"
+HOT_SHARE = 0.002      # a shingle in this share of the texts handled at once is a candidate for "frequent"
+HOT_LEAST = 6          # ... and in this number of them
 OFFERS = 4             # partners offered to a group in the first round; only the amount of work depends on it
 HOT_LIMIT = 1 << 17    # length of the list of frequent shingles (1 MiB); it only sets the order
 
@@ -40,6 +41,15 @@ def index_length(n: int, num: int = NUM, den: int = DEN) -> int:
     return n + (-2 * num * n // (num + den)) + 1
 
 
+SLICE = 1000           # texts handled at once by a Python worker
+
+
+def _slices(parts):
+    for pdf in parts:
+        for i in range(0, len(pdf), SLICE):
+            yield pdf.iloc[i:i + SLICE]
+
+
 def _sets(column, k):
     from vecstack.llm.words import Block, blocks, encode
     raw = encode(column)
@@ -54,10 +64,10 @@ def frequent_shingles(docs: DataFrame, k: int = SHINGLE):
 
     def count(parts):
         import pandas as pd
-        for pdf in parts:
+        for pdf in _slices(parts):
             found = [s for _, s in _sets(pdf["text"], k)]
             values, n = np.unique(np.concatenate(found), return_counts=True)
-            keep = n >= max(16, HOT_SHARE * len(pdf))
+            keep = n >= max(HOT_LEAST, HOT_SHARE * len(pdf))
             yield pd.DataFrame({"key": values[keep].view(np.int64), "n": n[keep]})
 
     top = (docs.select("text").mapInPandas(count, "key bigint, n bigint").groupBy("key")
@@ -110,7 +120,7 @@ def shingle_sets(docs: DataFrame, hot, k: int = SHINGLE) -> DataFrame:
     def run(parts):
         import pandas as pd
         order = _Order(hot.value)
-        for pdf in parts:
+        for pdf in _slices(parts):
             n, a, b, g = [], [], [], []
             for _, s in _sets(pdf["text"], k):
                 n.append(len(s))
@@ -138,7 +148,7 @@ def shared_index(docs: DataFrame, hot, k: int = SHINGLE) -> DataFrame:
 
         from vecstack.llm.words import mix
         order = _Order(hot.value)
-        for pdf in (whole.iloc[i:i + 4000] for whole in parts for i in range(0, len(whole), 4000)):
+        for pdf in _slices(parts):
             keys, gids, ns, poss = [], [], [], []
             for _, s in _sets(pdf["text"], k):
                 if len(s):
@@ -196,15 +206,12 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     def run(parts):
         import numpy as np
         import pandas as pd
-        for pdf in parts:
-            rows = [(i, s) for i, s in _sets(pdf["text"], k)]
-            for at in range(0, len(rows), 2000):
-                part = rows[at:at + 2000]
-                keep = [(i, s) for i, s in part
-                        if (_signed([_fold(s, 0x51)])[0], _signed([_fold(s, 0xA7C3)])[0]) == (pdf["fp_a"].iat[i], pdf["fp_b"].iat[i])]
-                if keep:
-                    yield pd.DataFrame({"rep": [int(pdf["doc_id"].iat[i]) for i, _ in keep], "n": [len(s) for _, s in keep],
-                                        "items": [s.view(np.int64) for _, s in keep]})
+        for pdf in _slices(parts):
+            keep = [(i, s) for i, s in _sets(pdf["text"], k)
+                    if (_signed([_fold(s, 0x51)])[0], _signed([_fold(s, 0xA7C3)])[0]) == (pdf["fp_a"].iat[i], pdf["fp_b"].iat[i])]
+            if keep:
+                yield pd.DataFrame({"rep": [int(pdf["doc_id"].iat[i]) for i, _ in keep], "n": [len(s) for _, s in keep],
+                                    "items": [s.view(np.int64) for _, s in keep]})
 
     reps = cut_lineage(wanted.select(F.col("rep").alias("doc_id"), "fp_a", "fp_b"))
     asked = with_membership(docs, "doc_id", reps, "doc_id").where("__listed").drop("__listed")
