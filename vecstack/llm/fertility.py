@@ -4,7 +4,9 @@ A public sub-word vocabulary with byte fallback is run over every word of a docu
 so each worker keeps the ids of the words it has met).  Three measures follow: characters per
 token, share of byte-fallback tokens, and entropy of the tokens relative to the logarithm of their
 number.  Grouped aggregation gives each language (or script, where no language is declared) its
-quartiles over all documents; a document outside the far fences of its group is rejected.
+quartiles over all documents; a document outside the far fences of its group (three quartile
+distances beyond the quartiles) is rejected: below or above for characters per token, above for byte
+fallback, below for entropy, which cannot exceed 1.
 
 Defined results: null, empty and blank texts have no words, fail the base rules and have null
 measures; a null ``doc_id`` is carried through; every row gives one row; without a ``lang`` column,
@@ -19,8 +21,9 @@ from pyspark.sql import functions as F
 from vecstack.llm.common import cut_lineage, texts
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-FENCE = 4.0          # quartile distances beyond the quartiles
-MIN_SPREAD = {"chars_per_token": 0.25, "byte_share": 0.02, "entropy": 0.05}   # least quartile distance
+FENCE = 3.0          # quartile distances beyond the quartiles
+MIN_SPREAD = {"chars_per_token": 0.01, "byte_share": 0.005, "entropy": 0.01}   # for quartiles that (nearly) coincide
+SIDES = {"chars_per_token": ("lo", "hi"), "byte_share": ("hi",), "entropy": ("lo",)}
 WORDS_KEPT = 1 << 18
 
 #: First code point of script ranges of Unicode, in order; a range ends where the next begins.
@@ -125,13 +128,14 @@ def _base_failed():
 
 
 def bands(measured: DataFrame, fence: float = FENCE) -> DataFrame:
-    """One row per language or script: the accepted interval of each measure."""
+    """One row per language or script: the accepted interval of each measure (null: no bound)."""
     quartiles = measured.where(~_base_failed()).groupBy("band").agg(
         *[F.percentile_approx(m, [0.25, 0.5, 0.75], 10_000).alias(m) for m in MIN_SPREAD])
     cols = []
     for m, least in MIN_SPREAD.items():
         spread = F.greatest(F.col(m)[2] - F.col(m)[0], F.lit(least))
-        cols += [(F.col(m)[0] - fence * spread).alias(m + "_lo"), (F.col(m)[2] + fence * spread).alias(m + "_hi")]
+        ends = {"lo": F.col(m)[0] - fence * spread, "hi": F.col(m)[2] + fence * spread}
+        cols += [(v if k in SIDES[m] else F.lit(None).cast("double")).alias(f"{m}_{k}") for k, v in ends.items()]
     return quartiles.select("band", *cols)
 
 
@@ -141,7 +145,7 @@ def judge(docs: DataFrame, model_path: str, fence: float = FENCE) -> DataFrame:
     m = cut_lineage(measures(docs, model_path))
     inside = F.lit(True)
     for c in MIN_SPREAD:
-        inside = inside & F.coalesce(F.col(c).between(F.col(c + "_lo"), F.col(c + "_hi")), F.lit(True))
+        inside = inside & F.coalesce(F.col(c) >= F.col(c + "_lo"), F.lit(True)) & F.coalesce(F.col(c) <= F.col(c + "_hi"), F.lit(True))
     return m.join(bands(m, fence), "band", "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", _base_failed().alias("base_failed"),
         (~_base_failed() & inside).alias("kept"), "chars_per_token", "byte_share", "entropy", "band")
