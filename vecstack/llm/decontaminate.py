@@ -1,19 +1,23 @@
 """Operator 1: benchmark decontamination.
 
-The benchmark items are indexed by BM25 impacts, scaled so that an item matched by all its words
-scores 1, with block maxima over runs of items.  Every document is cut into passages (windows of
+The benchmark items, and their questions and answers as entries of their own, are indexed by BM25
+impacts with block maxima over runs of entries.  Impacts are scaled so that an entry matched by all its
+words scores 1, or more where the words that 25 % of its shingles can lose weigh so much that a match
+would miss the threshold.  Every document is cut into passages (windows of
 ``2 * S`` words every ``S`` words, ``S`` at least the longest item, so an item never falls between
-two).  Every passage is a query; all items scoring ``THRESHOLD`` or more are retrieved:
+two).  Every passage is a query; all entries scoring ``THRESHOLD`` or more are retrieved:
 
-* Terms in many items are non-essential: together they cannot reach the threshold for any item.  A
+* Terms in many entries are non-essential: together they cannot reach the threshold for any entry.  A
   vectorised pass over a block of texts adds up the essential terms and leaves only passages that
   can still reach it.
 * For these, block-max WAND walks the posting lists: a pivot whose term maxima, then block maxima,
   sum to less than the threshold is skipped with its whole block.
 
 A retrieved item is contaminating if 75 % of its five-word shingles (question and answer together;
-an item of fewer words counts as one) stand in the passage; the overlaps of the question (all but
-the last sentence) and of the answer (the shingles reaching into the last sentence) are reported.
+an item of fewer words counts as one) stand in the passage, or 75 % of those inside its question (all
+but the last sentence), or of those inside its answer, where that part has ``PART_SHINGLES`` or more.
+The score is the item's BM25 share; the overlaps of item, question and answer (here the shingles
+reaching into the last sentence) are reported.
 
 The index of one block of items (``ITEM_BYTES`` of text) is broadcast; a larger benchmark is worked
 off in several blocks, each against all documents.
@@ -39,6 +43,7 @@ THRESHOLD, OVERLAP, SHINGLE = 0.6, 0.75, 5
 K1, B = 1.2, 0.75
 ITEM_BYTES = 16 << 20
 BLOCK_ITEMS = 16
+PART_SHINGLES = 8        # a shorter question or answer says too little by itself
 _KEEP = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
 
 
@@ -67,13 +72,19 @@ class Index:
         terms = sorted({w for _, ws, _ in self.items for w in ws})
         self.ids = _Ids((w, k) for k, w in enumerate(terms))
         self.stride = max([64] + [len(ws) for _, ws, _ in self.items])
+        self.average = max(average, 1e-9)
+        self.idf = np.array([math.log(1 + (n - df[w] + 0.5) / (df[w] + 0.5)) for w in terms])
+        self.entries = [(x, lo, hi) for x in range(len(self.items)) for lo, hi in self._ranges(x)]
         postings: list[list] = [[] for _ in terms]
-        for x, (_, ws, _) in enumerate(self.items):
-            norm = K1 * (1 - B + B * len(ws) / max(average, 1e-9))
-            raw = {w: math.log(1 + (n - df[w] + 0.5) / (df[w] + 0.5)) * tf * (K1 + 1) / (tf + norm) for w, tf in Counter(ws).items()}
+        for x, (item, lo, hi) in enumerate(self.entries):
+            raw = self._impacts(self.items[item][1][lo:hi])
             whole = sum(raw.values())
-            for w, v in raw.items():
-                postings[self.ids[w]].append((x, v / whole))
+            # each shingle that is missing takes one word of the entry at most
+            lost = int((1 - OVERLAP) * max(1, hi - lo - SHINGLE + 1))
+            left = sum(sorted(raw.values())[:max(1, len(raw) - lost)]) / whole
+            scale = max(1.0, threshold / left)
+            for t, v in raw.items():
+                postings[t].append((x, scale * v / whole))
         self.post_items = [np.array([x for x, _ in p], np.int64) for p in postings]
         self.post_values = [np.array([v for _, v in p]) for p in postings]
         self.term_max = [float(v.max()) for v in self.post_values]
@@ -81,8 +92,8 @@ class Index:
         for t, (xs, vs) in enumerate(zip(self.post_items, self.post_values)):
             for x, v in zip((xs // BLOCK_ITEMS).tolist(), vs.tolist()):
                 self.blocks[t][x] = max(v, self.blocks[t].get(x, 0.0))
-        # non-essential terms: most frequent first, as long as no item gets half the threshold from them
-        self.free = np.zeros(len(self.items))
+        # non-essential terms: most frequent first, as long as no entry gets half the threshold from them
+        self.free = np.zeros(len(self.entries))
         essential = np.ones(len(terms), bool)
         for t in sorted(range(len(terms)), key=lambda t: -len(self.post_items[t])):
             after = self.free.copy()
@@ -100,6 +111,22 @@ class Index:
         self.flat_values = np.concatenate([self.post_values[t] for t in keep]) if len(keep) else np.zeros(0)
         self.shingles = [self._shingles(ws) for _, ws, _ in self.items]
 
+    def _ranges(self, item: int) -> list[tuple[int, int]]:
+        """Word ranges of an item's entries: the whole, the question and the answer if long enough."""
+        _, ws, cut = self.items[item]
+        least = PART_SHINGLES + SHINGLE - 1
+        return [(0, len(ws))] + [(lo, hi) for lo, hi in ((0, cut), (cut, len(ws))) if 0 < cut and hi - lo >= least]
+
+    def _impacts(self, ws) -> dict:
+        """BM25 impact of each term id of a word sequence."""
+        norm = K1 * (1 - B + B * len(ws) / self.average)
+        return {self.ids[w]: float(self.idf[self.ids[w]]) * tf * (K1 + 1) / (tf + norm) for w, tf in Counter(ws).items()}
+
+    def score(self, item: int, terms: set) -> float:
+        """BM25 share of a whole item that a set of term ids reaches."""
+        raw = self._impacts(self.items[item][1])
+        return sum(v for t, v in raw.items() if t in terms) / sum(raw.values())
+
     @staticmethod
     def _shingles(ws):
         k = min(SHINGLE, len(ws))
@@ -113,7 +140,7 @@ class Index:
         doc = np.repeat(np.arange(len(counts)), counts)
         chunk = base[doc] + (np.arange(len(ids)) - first[doc]) // s
         hit = np.flatnonzero(self.essential[ids])
-        n_terms, n_items = len(self.term_max), max(1, len(self.items))
+        n_terms, n_items = len(self.term_max), max(1, len(self.entries))
         chunk, term = chunk[hit], ids[hit].astype(np.int64)
         before = chunk > base[doc[hit]]                   # the passage that began one chunk earlier
         key = np.unique(np.concatenate([chunk, chunk[before] - 1]) * n_terms + np.concatenate([term, term[before]]))
@@ -127,7 +154,7 @@ class Index:
         return base, np.unique(pair // n_items)
 
     def retrieve(self, terms) -> list[tuple[int, float]]:
-        """All items scoring the threshold or more for a set of term ids, by block-max WAND."""
+        """All entries scoring the threshold or more for a set of term ids, by block-max WAND."""
         low = self.threshold - 1e-9
         lists = [[0, self.post_items[t], self.post_values[t], self.term_max[t], self.blocks[t]] for t in terms]
         out = []
@@ -164,8 +191,9 @@ class Index:
             lists = [c for c in lists if c[0] < len(c[1])]
         return out
 
-    def overlaps(self, item: int, passage: list[bytes]) -> tuple[float, float, float]:
-        """Shares of the item's shingles in the passage: all, question, answer (1 for an empty part)."""
+    def overlaps(self, item: int, passage: list[bytes]) -> tuple[bool, tuple[float, float, float]]:
+        """Whether the passage leaks the item, and the shares of the item's shingles in the passage: all,
+        question, answer (1 for an empty part)."""
         _, ws, cut = self.items[item]
         k = min(SHINGLE, len(ws))
         have = {tuple(passage[i:i + k]) for i in range(len(passage) - k + 1)}
@@ -173,7 +201,9 @@ class Index:
         ask = [f for i, f in enumerate(found) if i + k <= cut]
         reply = found[len(ask):]
         share = lambda x: sum(x) / len(x) if x else 1.0
-        return share(found), share(ask), share(reply)
+        parts = [found[lo:hi - SHINGLE + 1] for lo, hi in self._ranges(item)[1:]]
+        leak = share(found) >= OVERLAP or any(share(x) >= OVERLAP for x in parts)
+        return leak, (share(found), share(ask), share(reply))
 
     def search(self, column) -> list[tuple]:
         """``(row, item id, score, overlap, question, answer)`` of a list of texts."""
@@ -191,10 +221,10 @@ class Index:
                 lo = (p - int(base[d])) * self.stride
                 ws = lists[d][lo:lo + 2 * self.stride]
                 terms = set(map(self.ids.__getitem__, ws)) - {-1}
-                for item, score in self.retrieve(sorted(terms)):
-                    found = self.overlaps(item, ws)
-                    if found[0] >= OVERLAP and (d, item) not in best or found[0] > best.get((d, item), (9, 9))[1]:
-                        best[d, item] = (score, *found)
+                for item in sorted({self.entries[x][0] for x, _ in self.retrieve(sorted(terms))}):
+                    leak, found = self.overlaps(item, ws)
+                    if leak and found[0] > best.get((d, item), (0, -1.0))[1]:
+                        best[d, item] = (self.score(item, terms), *found)
             out += [(at + d, self.items[item][0], *v) for (d, item), v in best.items()]
         return out
 
