@@ -1,7 +1,11 @@
 """Operator 10: secret scan with dictionary-primed compression novelty.
 
-Base kinds are found by three patterns.  Beyond them, every longer string in a sensitive context
-(a line that speaks of keys, credentials, certificates ...) is a candidate: its marginal compressed
+Base kinds are found by three patterns.  Beyond them, every string of 8 or more characters in a
+sensitive context (a whole line that speaks of keys, credentials, passwords ..., the ``FOLLOWING``
+lines after it, and the body of a PEM block to its end) is a candidate if it mixes letters and digits.
+A compressor cannot tell a short random string from a rare word with a number, so those under
+``LONG`` characters also need ``CHANGES`` changes between lower case, upper case and digits; the lines
+of a PEM body need neither.  A candidate's marginal compressed
 size is measured with zstandard, primed with a dictionary of identifiers and with the text around
 the candidate.  Strings that the primed compressor cannot shorten are novel, hence secrets
 (kind ``novel``).
@@ -23,6 +27,8 @@ from vecstack.llm.common import texts
 KINDS = ("assign", "access", "hex", "novel")
 MIN_BITS = 4.0          # marginal compressed bits per character of a novel string
 CONTEXT = 200           # characters on either side that prime the compressor
+FOLLOWING = 3           # lines after a sensitive one that belong to its context
+LONG, CHANGES = 20, 3   # shorter candidates need so many changes of character class
 MASK = "[SECRET]"
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -35,7 +41,10 @@ SENSITIVE = ("password", "passwd", "secret", "token", "apikey", "api_key", "api-
              "private_key", "privatekey", "access_key", "accesskey", "access key", "authorization", "bearer",
              "client_secret", "signing_key", "encryption_key", "connection_string")
 SENSITIVE_RE = re.compile("|".join(map(re.escape, SENSITIVE)), re.ASCII | re.IGNORECASE)
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{8,}")
+RUNS = re.compile(r"[0-9]+|[a-z]+|[A-Z][a-z]+|[A-Z]+")      # a capitalised word is one run
+PEM = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY[A-Z ]*-----")
+PEM_LINE = re.compile(r"^[ \t>#*]*([A-Za-z0-9+/=]+)[ \t]*\r?$", re.MULTILINE)
 
 #: Identifiers and phrases common in code, the start of every compressor dictionary.
 IDENTIFIERS = (
@@ -49,6 +58,48 @@ IDENTIFIERS = (
     "os.environ getenv base64 sha256 md5 uuid session cookie account service endpoint region bucket version")
 
 
+def mixed(word: str) -> bool:
+    """Whether a string has letters and digits and, if short, changes its character class often."""
+    if not (any(x.isdigit() for x in word) and any(x.isalpha() for x in word)):
+        return False
+    return len(word) >= LONG or len(RUNS.findall(re.sub("[^A-Za-z0-9]", "", word))) > CHANGES
+
+
+def contexts(text: str) -> list[tuple[int, int]]:
+    """Disjoint ranges of whole lines: each sensitive line and the ``FOLLOWING`` lines after it."""
+    out, at = [], 0
+    while (m := SENSITIVE_RE.search(text, at)) is not None:
+        lo = text.rfind("\n", 0, m.start()) + 1
+        at = hi = _line_end(text, m.end())
+        for _ in range(FOLLOWING):
+            hi = _line_end(text, hi + 1)
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], hi)
+        else:
+            out.append((lo, hi))
+    return out
+
+
+def _line_end(text: str, at: int) -> int:
+    end = text.find("\n", at)
+    return len(text) if end < 0 else end
+
+
+def pem_bodies(text: str) -> list[tuple[int, int]]:
+    """Ranges of the lines after ``-----BEGIN ... PRIVATE KEY-----`` up to its end line (without one:
+    as long as the lines are base64)."""
+    out = []
+    for m in PEM.finditer(text):
+        lo = min(len(text), _line_end(text, m.end()) + 1)
+        hi, begin = text.find("-----END", lo), text.find("-----BEGIN", lo)
+        if hi < 0 or 0 <= begin < hi:
+            hi = lo
+            while hi < len(text) and PEM_LINE.fullmatch(text, hi, _line_end(text, hi)):
+                hi = min(len(text), _line_end(text, hi) + 1)
+        out.append((lo, hi))
+    return out
+
+
 class Scanner:
     """Finds the spans of one text; ``words`` extend the identifier dictionary."""
 
@@ -79,21 +130,14 @@ class Scanner:
         return 8.0 * max(0, size(around + piece) - size(around)) / (end - start)
 
     def novel(self, text: str, taken) -> list[tuple[int, int, int]]:
-        """Candidates of sensitive lines, outside the spans ``taken``, that do not compress."""
-        out, at = [], 0
-        while True:
-            m = SENSITIVE_RE.search(text, at)
-            if m is None:
-                return out
-            lo = text.rfind("\n", 0, m.start()) + 1
-            hi = text.find("\n", m.end())
-            hi = len(text) if hi < 0 else hi
-            for c in CANDIDATE.finditer(text, max(lo, m.start()), hi):
-                s, e = c.span()
-                mixed = any(x.isdigit() for x in c.group()) and any(x.isalpha() for x in c.group())
-                if mixed and all(e <= a or b <= s for a, _, b in taken) and self.novelty(text, s, e) >= self.min_bits:
-                    out.append((s, 3, e))
-            at = hi + 1
+        """Candidates of sensitive contexts, outside the spans ``taken``, that do not compress."""
+        bodies = pem_bodies(text)
+        found = {m.span(1) for lo, hi in bodies for m in PEM_LINE.finditer(text, lo, hi)}
+        for lo, hi in contexts(text):
+            found |= {c.span() for c in CANDIDATE.finditer(text, lo, hi)
+                      if mixed(c.group()) and all(c.end() <= a or b <= c.start() for a, b in bodies)}
+        return [(s, 3, e) for s, e in sorted(found)
+                if all(e <= a or b <= s for a, _, b in taken) and self.novelty(text, s, e) >= self.min_bits]
 
     def spans(self, text: str) -> list[tuple[int, int, int]]:
         base = self.base(text)
