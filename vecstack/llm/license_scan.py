@@ -8,7 +8,7 @@ that comes before it is suppressed, so "gnu lesser general public license versio
 count as a rule for its parts.  The phrase rules of ``BASE`` are counted by themselves and never
 suppressed.
 
-The number of rules comes from ``FAMILIES`` times ``TEMPLATES``.  Nothing is shuffled.
+The rules are ``SPDX`` ids after their tag, ``FAMILIES`` times ``TEMPLATES``, and ``SHORT`` names.  Nothing is shuffled.
 
 Defined results: null or empty texts have no words, null ``first_word`` and ``last_word``, empty
 label strings and score 0; a null ``doc_id`` is carried through; every row gives one row.  Extra
@@ -36,7 +36,8 @@ FAMILIES = [
     ("gpl", "general public", [r"gnu general public licen[cs]e"]),
     ("gpl", "gnu", [r"gnu gpl", r"gnu public licen[cs]e"]),
     ("apache", "apache", [r"apache licen[cs]e", r"apache software licen[cs]e"]),
-    ("mit", "mit licen", [r"mit licen[cs]e", r"mit x11 licen[cs]e"]),
+    ("mit", "mit licen", [r"mit licen[cs]e"]),
+    ("mit", "mit x11", [r"mit x11 licen[cs]e"]),
     ("mit", "permission is hereby granted", [r"permission is hereby granted free of charge to any person obtaining a copy"]),
     ("bsd-3-clause", "bsd", [r"bsd 3 clause(?: licen[cs]e)?", r"3 clause bsd(?: licen[cs]e)?", r"new bsd licen[cs]e", r"modified bsd licen[cs]e", r"revised bsd licen[cs]e"]),
     ("bsd-2-clause", "bsd", [r"bsd 2 clause(?: licen[cs]e)?", r"2 clause bsd(?: licen[cs]e)?", r"simplified bsd licen[cs]e", r"freebsd licen[cs]e"]),
@@ -76,8 +77,23 @@ FAMILIES = [
     ("copyright", "copyright", [r"copyright(?: c)? (?:19|20)[0-9][0-9]"]),
 ]
 
+#: SPDX ids as words, after the tag: label and expression.
+_REST = r"(?: only| or later)?"
+SPDX = [("agpl", r"agpl [13] 0" + _REST), ("lgpl", r"lgpl (?:2 0|2 1|3 0)" + _REST), ("gfdl", r"gfdl 1 [123]" + _REST),
+        ("gpl", r"gpl [123] 0" + _REST), ("apache", r"apache (?:1 0|1 1|2 0)"), ("mit", r"mit(?: 0)?"), ("isc", r"isc"),
+        ("bsd-3-clause", r"bsd 3 clause"), ("bsd-2-clause", r"bsd 2 clause"), ("bsd", r"0bsd"), ("mpl", r"mpl (?:1 0|1 1|2 0)"),
+        ("epl", r"epl [12] 0"), ("cddl", r"cddl 1 [01]"), ("cpl", r"cpl 1 0"), ("zlib", r"zlib"), ("boost", r"bsl 1 0"),
+        ("unlicense", r"unlicense"), ("artistic", r"artistic [12] 0"), ("eupl", r"eupl 1 [012]"), ("osl", r"osl [123] [01]"),
+        ("wtfpl", r"wtfpl"), ("ofl", r"ofl 1 [01]"), ("psf", r"psf 2 0"), ("odbl", r"odbl 1 0"), ("cc0", r"cc0 1 0")]
+
+#: Short names: label, keyword, expression.
+SHORT = [("agpl", "agpl", r"agpl ?v?[13](?: 0)?"), ("lgpl", "lgpl", r"lgpl ?v?[23](?: [01])?"), ("gpl", "gpl", r"gpl ?v?[123](?: 0)?"),
+         ("apache", "apache", r"apache ?v?2(?: 0)?"), ("mpl", "mpl", r"mpl ?v?[12](?: [01])?"), ("mit", "under mit", r"under mit"),
+         ("mit", "under the mit", r"under the mit"), ("mit", "mit licensed", r"mit licensed"), ("bsd", "under bsd", r"under bsd")]
+
 #: Every signature holds one of these; a text without them is not looked at further.
-ATOMS = ["licen", "public", "reserved", "copyright", "commons", "cc", "permission", "redistribution", "bsd", "gpl"]
+ATOMS = ["licen", "public", "reserved", "copyright", "commons", "cc", "permission", "redistribution", "bsd", "gpl",
+         "apache", "mit", "mpl"]
 
 #: Ways a name is used, most telling first: pattern around the name and confidence.
 TEMPLATES = [
@@ -93,13 +109,21 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def rules() -> list[dict]:
-    """All rules in order of priority: telling templates first, then the order of the families."""
-    out = []
+    """All rules in order of priority: SPDX ids, telling templates in the order of the families, short names."""
+    out: list[dict] = []
+
+    def add(label, keyword, sure, regex):
+        out.append({"priority": len(out), "label": label, "keyword": keyword, "confidence": sure, "regex": rf"(?<![^ ]){regex}(?![^ ])"})
+
+    for label, name in SPDX:
+        for spelled in ("license", "licence"):
+            add(label, f"spdx {spelled} identifier", 1.0, f"spdx {spelled} identifier (?:{name})")
     for around, sure in TEMPLATES:
         for label, keyword, names in FAMILIES:
             for name in names:
-                out.append({"priority": len(out), "label": label, "keyword": keyword, "confidence": sure,
-                            "regex": r"(?<![^ ])" + around.format(f"(?:{name})", _VERSION) + r"(?![^ ])"})
+                add(label, keyword, sure, around.format(f"(?:{name})", _VERSION))
+    for label, keyword, name in SHORT:
+        add(label, keyword, 0.7, name)
     return out
 
 
