@@ -20,7 +20,7 @@ def emb(spark, sf):
 
 
 def with_proba(spark, sf):
-    """``(row_id, label, p)`` — p = softmax of the first ten entries."""
+    """``(row_id, label, p)`` — p = softmax of all ``N_PROBA`` entries."""
     df = emb(spark, sf).withColumn("z", F.col("features"))
     return A.softmax(df, "z", "p").drop("z")
 

@@ -10,7 +10,7 @@ from vecstack.operators import calibrate as C
 from vecstack.operators import evaluate as ev
 from vecstack.operators import linear as L
 from vecstack.operators import specialists as SP
-from vecstack.plans.q_arrays import PROBA_SQL, with_proba
+from vecstack.plans.q_arrays import N_PROBA, PROBA_SQL, with_proba
 from vecstack.plans.registry import EMB, big, explode_long, long_sql, r, register, rnd
 from vecstack.sources.tables import labelled_vectors
 
@@ -114,8 +114,8 @@ g(i, k, a, b) AS (SELECT 0, k, 1.0::DOUBLE, 0.0::DOUBLE FROM (SELECT DISTINCT k
    FROM g JOIN zt ON zt.k = g.k WHERE g.i < {steps} GROUP BY g.i, g.k, g.a, g.b)"""
 
 
-def _classes10():
-    return list(range(10))
+def _classes():
+    return list(range(N_PROBA))
 
 
 @register("platt_gradient", _ZT + f"""
@@ -123,22 +123,22 @@ SELECT k::BIGINT AS cls, {r("avg((1 / (1 + exp(-z)) - t) * z)", 9)} AS grad_a,
        {r("avg(1 / (1 + exp(-z)) - t)", 9)} AS grad_b FROM zt GROUP BY k""")
 def q_platt_gradient(spark, sf):
     df = with_proba(spark, sf)
-    zt = C._z_t(df, "p", "label", _classes10())
-    ga, gb = C.platt_gradient(zt, np.ones(10), np.zeros(10))
-    t = spark.createDataFrame([(k, float(ga[k]), float(gb[k])) for k in range(10)], "cls long, ga double, gb double")
+    zt = C._z_t(df, "p", "label", _classes())
+    ga, gb = C.platt_gradient(zt, np.ones(N_PROBA), np.zeros(N_PROBA))
+    t = spark.createDataFrame([(k, float(ga[k]), float(gb[k])) for k in _classes()], "cls long, ga double, gb double")
     return t.select("cls", rnd("ga", 9).alias("grad_a"), rnd("gb", 9).alias("grad_b"))
 
 
 @register("mean_abs_residual", PROBA_SQL + f"""
 SELECT {r("avg(abs((label = cls)::DOUBLE - p))", 9)} AS mar FROM p""")
 def q_mar(spark, sf):
-    return C.mean_abs_residual(with_proba(spark, sf), "p", "label", _classes10()).select(rnd("mar", 9).alias("mar"))
+    return C.mean_abs_residual(with_proba(spark, sf), "p", "label", _classes()).select(rnd("mar", 9).alias("mar"))
 
 
 @register("platt_fit", _platt_sql(PLATT_STEPS) + f"""
 SELECT k::BIGINT AS cls, {r("a", 9)} AS a, {r("b", 9)} AS b FROM g WHERE i = {PLATT_STEPS}""")
 def q_platt_fit(spark, sf):
-    m = C.fit_platt(with_proba(spark, sf), _classes10(), proba="p", max_iter=PLATT_STEPS, lr=PLATT_LR)
+    m = C.fit_platt(with_proba(spark, sf), _classes(), proba="p", max_iter=PLATT_STEPS, lr=PLATT_LR)
     return m.to_frame(spark).select("cls", rnd("a", 9).alias("a"), rnd("b", 9).alias("b"))
 
 
@@ -149,7 +149,7 @@ cs AS (SELECT row_id, sum(s) AS ss FROM c GROUP BY row_id)
 SELECT c.row_id, c.k::BIGINT AS cls, {r("c.s / (cs.ss + 1e-12)", 9)} AS p FROM c JOIN cs USING (row_id)""")
 def q_platt_transform(spark, sf):
     df = with_proba(spark, sf)
-    m = C.fit_platt(df, _classes10(), proba="p", max_iter=PLATT_STEPS, lr=PLATT_LR)
+    m = C.fit_platt(df, _classes(), proba="p", max_iter=PLATT_STEPS, lr=PLATT_LR)
     out = m.transform(df, "p", "pc")
     return explode_long(out, "pc", dim="cls", value="p", decimals=9)
 
@@ -197,5 +197,5 @@ def q_specialist_override(spark, sf):
     df = df.withColumn("p35", sigmoid(F.lit(10.0) * F.col("features")[10])) \
            .withColumn("p79", sigmoid(F.lit(10.0) * F.col("features")[11]))
     out = SP.apply_overrides(df, SP.PAIR_RULES, proba="p", pred="pred", out="final",
-                             classes=list(range(10)), scores={(3, 5): "p35", (7, 9): "p79"})
+                             classes=_classes(), scores={(3, 5): "p35", (7, 9): "p79"})
     return out.select("row_id", big("pred").alias("pred"), big("final").alias("final"))
