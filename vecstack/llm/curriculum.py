@@ -67,7 +67,7 @@ class Schedule:
         found = None
         for t, _, w, slope, before in reversed(self.pieces):
             y = need - F.lit(float(before))
-            root = F.sqrt(F.lit(float(w * w)) + F.lit(float(2 * slope)) * y)
+            root = F.sqrt(F.greatest(F.lit(0.0), F.lit(float(w * w)) + F.lit(float(2 * slope)) * y))
             at = F.when(y <= 0, F.lit(float(t))).otherwise(F.lit(float(t)) + 2 * y / (F.lit(float(w)) + root))
             found = at if found is None else F.when(need < F.lit(float(last)), at).otherwise(found)
             last = before
@@ -153,7 +153,7 @@ def assign(docs: DataFrame, schedules: Sequence[Schedule] = SCHEDULES, cap: int
     goal = F.floor(F.col("target") + 0.5)
     taken = lambda p: F.least(F.greatest(goal - (F.col("start") + p * F.col("source_size")), F.lit(0)), F.col("size"))
     passes = F.filter(F.transform(F.sequence(F.lit(0), F.lit(cap - 1)), lambda p: F.struct(
-        ((F.col("start") + p * F.col("source_size")) / goal).alias("x"), taken(p).alias("words"))), lambda s: s["words"] > 0)
+        F.try_divide(F.col("start") + p * F.col("source_size"), goal).alias("x"), taken(p).alias("words"))), lambda s: s["words"] > 0)
     whole = {r["kind"]: float(r["t"]) for r in plan.groupBy("kind").agg(F.sum("target").alias("t")).collect()}   # a row a schedule
 
     def pick(x):
