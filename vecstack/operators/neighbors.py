@@ -6,11 +6,10 @@ Exact top-k is an all-pairs problem; it is never materialised as pair rows.
   8 bytes ≤ ``broadcast_limit_bytes``), the train matrix is shipped once per
   executor and every query partition runs a BLAS block product and a local
   top-k in ``mapInPandas`` (no shuffle of the query side).
-* **block path** — otherwise both sides are hashed into blocks of at most
-  ~``block_rows`` rows; each (query block, train block) pair meets in one
-  ``cogroup`` task that emits only its local top-k per query; a
-  ``row_number`` over ``q_id`` merges the B·k candidates per query.  Task
-  memory is bounded by the block size, not by the data size.
+* **pivot path** — otherwise the train rows are partitioned around pivots and a
+  query meets only the blocks that the triangle inequality cannot rule out
+  (``operators/pivots.py``).  Task memory is bounded by the block size, not by
+  the data size.
 
 Order of ties: higher score first, then the smaller train id (the reference's
 ``argpartition`` order is unspecified).
@@ -18,8 +17,6 @@ Order of ties: higher score first, then the smaller train id (the reference's
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -108,7 +105,7 @@ def knn_topk(query: DataFrame, train: DataFrame, k: int = 5, metric: str = "cosi
     q = query.select(F.col(id_col).cast("long").alias("q_id"), F.col(features).alias("qf"))
     if _fits_broadcast(t, broadcast_limit_bytes):
         return _knn_broadcast(spark, q, t, k, metric)
-    return _knn_blocks(q, t, k, metric, t.count(), block_rows)
+    return _knn_pivots(q, t, k, metric, block_rows)
 
 
 def _sides(query, train, id_col, features, label):
@@ -165,26 +162,9 @@ def _knn_broadcast(spark, q, t, k, metric, reduce=None, schema=NEIGHBOR_SCHEMA):
     return q.mapInPandas(run, schema)
 
 
-def _knn_blocks(q, t, k, metric, n_t, block_rows):
-    n_q = q.count()
-    nb_t = max(1, math.ceil(n_t / block_rows))
-    nb_q = max(1, math.ceil(n_q / block_rows))
-    tb = t.withColumn("tb", F.pmod(F.xxhash64("t_id"), F.lit(nb_t))) \
-          .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nb_q - 1)).cast("array<long>")))
-    qb = q.withColumn("qb", F.pmod(F.xxhash64("q_id"), F.lit(nb_q))) \
-          .withColumn("tb", F.explode(F.sequence(F.lit(0), F.lit(nb_t - 1)).cast("array<long>")))
-
-    def pair(qp: pd.DataFrame, tp: pd.DataFrame) -> pd.DataFrame:
-        t_mat = _prep(_stack(tp["tf"]), metric)
-        t_sq = (t_mat * t_mat).sum(axis=1) if len(t_mat) else np.zeros(0)
-        q_mat = _prep(_stack(qp["qf"]), metric)
-        return _local_topk(qp["q_id"].to_numpy(np.int64), q_mat, tp["t_id"].to_numpy(np.int64),
-                           tp["t_label"].to_numpy(np.int32), t_mat, t_sq, k, metric)
-
-    cand = qb.groupBy("qb", "tb").cogroup(tb.groupBy("qb", "tb")).applyInPandas(pair, NEIGHBOR_SCHEMA)
-    order = F.col("score").desc() if metric == "cosine" else F.col("score").asc()
-    w = Window.partitionBy("q_id").orderBy(order, F.col("t_id"))
-    return (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
+def _knn_pivots(q, t, k, metric, block_rows):
+    from vecstack.operators.pivots import pivot_topk
+    return pivot_topk(q, t, k, metric, t.count(), block_rows)
 
 
 def knn_append(df: DataFrame, train: DataFrame, k: int = 5, metric: str = "cosine", classes=None,
@@ -193,7 +173,7 @@ def knn_append(df: DataFrame, train: DataFrame, k: int = 5, metric: str = "cosin
     """``df`` with ``pred`` (majority label, ties → nearest) or, when ``classes`` is given,
     ``proba`` (neighbour-class fractions) and ``pred`` = its first maximal class, appended in place — one narrow stage, every input
     column passed through, no join back.  ``None`` when the train side is too large to ship
-    (callers then use the relational block path)."""
+    (callers then use the pivot path)."""
     t = train.select(F.col(id_col).cast("long").alias("t_id"), F.col(label).cast("int").alias("t_label"),
                      F.col(features).alias("tf"))
     if not _fits_broadcast(t, broadcast_limit_bytes):
@@ -301,13 +281,13 @@ def knn_classify(query: DataFrame, train: DataFrame, k: int = 5, metric: str = "
     """M3: ``(row_id, pred)`` — majority label among the k nearest (ties → nearest).
 
     With a broadcastable train side the vote happens inside the top-k task (one narrow
-    stage); otherwise the block top-k is merged and voted relationally (A5)."""
+    stage); otherwise the pivot partitions' top-k is voted relationally (A5)."""
     q, t = _sides(query, train, id_col, features, label)
     if _fits_broadcast(t, broadcast_limit_bytes):
         out = _knn_broadcast(query.sparkSession, q, t, k, metric, lambda top: _vote_rows(top, k),
                              "q_id long, pred int, votes long")
     else:
-        out = majority_vote(_knn_blocks(q, t, k, metric, t.count(), block_rows))
+        out = majority_vote(_knn_pivots(q, t, k, metric, block_rows))
     return out.select(F.col("q_id").alias(id_col), F.col("pred").cast("int").alias("pred"))
 
 
@@ -320,7 +300,7 @@ def knn_proba(query: DataFrame, train: DataFrame, classes, k: int = 5, metric: s
         out = _knn_broadcast(query.sparkSession, q, t, k, metric, lambda top: _class_fractions(top, classes),
                              "q_id long, proba array<double>")
         return out.select(F.col("q_id").alias(id_col), "proba")
-    nb = _knn_blocks(q, t, k, metric, t.count(), block_rows)
+    nb = _knn_pivots(q, t, k, metric, block_rows)
     cnt = F.count("*")
     agg = nb.groupBy("q_id").agg(
         *[(F.sum((F.col("t_label") == int(c)).cast("double")) / cnt).alias(f"_p{i}")

@@ -1,10 +1,12 @@
 """Folds, bootstrap weights, subsamples and feature subsets.
 
 Every draw is the portable MD5 hash of (seed, purpose, keys), so it does not
-depend on partitioning, retries or executor count.  Exact ranks ("the i-th row
-in hash order") are computed without a single-partition window: rows are cut
-into hash-range buckets (hash order = bucket order), bucket sizes give
-offsets, and only a bounded bucket is ranked locally.
+depend on partitioning, retries or executor count.  Exact sizes come from cut-offs:
+a histogram of the hash (combined before the shuffle) tells which hash range holds
+the last row of a fold or a sample, only the keys in that range are ranked, and
+every row then finds its side by comparing its own hash — rows are never moved.
+Where each row's own rank is wanted (:func:`hash_rank`), hash-range buckets give
+offsets and a bounded bucket is ranked locally.
 """
 
 from __future__ import annotations
@@ -12,13 +14,11 @@ from __future__ import annotations
 import math
 import numbers
 
-import math
-
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vecstack.functions.hashing import HASH_RANGE, portable_hash
+from vecstack.operators.ranges import rows_at
 
 BUCKET_ROWS = 1_000_000         # target rows per rank bucket
 BROADCAST_OFFSET_ROWS = 2_000_000
@@ -43,33 +43,67 @@ def hash_rank(df: DataFrame, h: Column | str, tie: str = "row_id", groups: list[
     return ranked.drop("_h", "_b", "_off")
 
 
-def _array_split_fold(rank: Column, n: int, cv: int) -> Column:
-    """Fold of the ``rank``-th row when n rows are cut into cv near-equal chunks,
-    the first ``n % cv`` chunks one row longer (NumPy ``array_split``)."""
+RANGE_BITS = 16                 # upper bits of a hash that name its range
+
+
+def rank_cutoffs(keyed: DataFrame, ranks: list[int], groups: list[str] | None = None) -> dict:
+    """``{group: {rank: (hash, key)}}``: who stands at the given 0-based ranks of ``keyed(groups, h, key)`` in ``(h, key)`` order."""
+    groups = list(groups or [])
+    ranks = sorted({r for r in ranks if r >= 0})
+    if not ranks:
+        return {}
+    rows = keyed.select(*groups, F.shiftright("h", 32 - RANGE_BITS).alias("_rng"), F.struct("h", "key").alias("at")).withColumn("_g", F.lit(0))
+    out: dict = {}
+    for r in rows_at(rows, [*groups, "_g"], "_rng", "at", ranks).collect():              # one row for each group and rank
+        out.setdefault(tuple(r[g] for g in groups), {})[int(r["rank"])] = (int(r["at"]["h"]), r["at"]["key"])
+    return out
+
+
+def _chunk_ends(n: int, cv: int) -> list[int]:
+    """Last ranks of all but the last of ``cv`` near-equal chunks of ``n`` rows, the longer ones first."""
     q, rem = divmod(n, cv)
-    big_rows = rem * (q + 1)
-    return F.when(rank < big_rows, F.floor(rank / (q + 1))) \
-        .otherwise(F.lit(rem) + F.floor((rank - big_rows) / max(q, 1))).cast("int")
+    return [f * q + min(f, rem) - 1 for f in range(1, cv)]
+
+
+def _beyond(h: Column, key: Column, ends: list) -> Column:
+    """How many of the ``(hash, key)`` ends (None: before the first row) lie before a row."""
+    at = [F.lit(1) if e is None else ((h > e[0]) | ((h == e[0]) & (key > e[1]))).cast("int") for e in ends]
+    return sum(at, F.lit(0)).cast("int")
 
 
 def kfold_assign(df: DataFrame, cv: int, seed: int = 42, exact: bool = True, key: str = "row_id",
                  out: str = "fold") -> DataFrame:
-    """Shuffled, unstratified k-fold.  ``exact``: chunk sizes equal ``array_split``
-    of the hash order; otherwise ``pmod(hash, cv)`` (sizes only approximately equal)."""
+    """Shuffled, unstratified k-fold.  ``exact``: chunks of the hash order whose sizes differ by one
+    row at most, found by their cut-offs; otherwise ``pmod(hash, cv)`` (sizes only approximately equal)."""
     h = portable_hash(F.lit(seed), F.lit("fold"), F.col(key))
     if not exact:
         return df.withColumn(out, F.pmod(h, F.lit(cv)).cast("int"))
-    n = df.count()
-    ranked = hash_rank(df, h, tie=key, out="_r", n=n)
-    return ranked.withColumn(out, _array_split_fold(F.col("_r"), n, cv)).drop("_r")
+    ends = _chunk_ends(df.count(), cv)
+    found = rank_cutoffs(df.select(h.alias("h"), F.col(key).alias("key")), ends).get((), {})
+    return df.withColumn(out, _beyond(h, F.col(key), [found.get(r) for r in ends]))
 
 
 def stratified_kfold(df: DataFrame, cv: int, seed: int = 42, label: str = "label", key: str = "row_id",
-                     out: str = "fold") -> DataFrame:
-    """R2: within each class, rows in hash order are dealt round-robin to the folds."""
+                     out: str = "fold", deal: str = "turns") -> DataFrame:
+    """R2: folds with near-equal numbers of rows of every class.
+
+    ``deal='turns'``: within each class, rows in hash order go to the folds in turn (every row is ranked);
+    ``'chunks'``: within each class, near-equal chunks of the hash order, found by their cut-offs (rows are not moved)."""
     h = portable_hash(F.lit(seed), F.lit("strat"), F.col(key))
-    ranked = hash_rank(df, h, tie=key, groups=[label], out="_r")
-    return ranked.withColumn(out, (F.col("_r") % cv).cast("int")).drop("_r")
+    if deal == "turns":
+        ranked = hash_rank(df, h, tie=key, groups=[label], out="_r")
+        return ranked.withColumn(out, (F.col("_r") % cv).cast("int")).drop("_r")
+    if deal != "chunks":
+        raise ValueError(f"deal must be 'turns' or 'chunks', got {deal!r}")
+    sizes = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}              # one row a class
+    ends = {c: _chunk_ends(n, cv) for c, n in sizes.items()}
+    found = rank_cutoffs(df.select(F.col(label).alias("_c"), h.alias("h"), F.col(key).alias("key")),
+                         [r for e in ends.values() for r in e], ["_c"])
+    fold = F.lit(None).cast("int")
+    for c, e in ends.items():
+        mine = found.get((c,), {})
+        fold = F.when(F.col(label).eqNullSafe(F.lit(c)), _beyond(h, F.col(key), [mine.get(r) for r in e])).otherwise(fold)
+    return df.withColumn(out, fold)
 
 
 def fold_train_rows(folded: DataFrame, cv: int, fold: str = "fold") -> DataFrame:
@@ -129,11 +163,10 @@ def subsample_cutoffs(df: DataFrame, frac: float, rounds: int, seed: int = 42, k
     m = int(frac * n)
     if m <= 0:
         return [None] * rounds
-    t = df.select(key).withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))))
-    t = t.withColumn("_hh", portable_hash(F.lit(seed), F.lit("sub"), F.col("round"), F.col(key)))
-    last = hash_rank(t, "_hh", tie=key, groups=["round"], out="_r").where(F.col("_r") == m - 1)
-    got = {int(r["round"]): (int(r["_hh"]), int(r[key])) for r in last.collect()}      # one row per round
-    return [got.get(r) for r in range(rounds)]
+    t = df.select(F.col(key).alias("key"), F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("round"))
+    t = t.withColumn("h", portable_hash(F.lit(seed), F.lit("sub"), F.col("round"), F.col("key")))
+    got = rank_cutoffs(t, [m - 1], ["round"])
+    return [got.get((r,), {}).get(m - 1) for r in range(rounds)]
 
 
 def subsample_membership(df: DataFrame, frac: float, rounds: int, seed: int = 42, key: str = "row_id",
@@ -161,9 +194,8 @@ def subsample(df: DataFrame, frac: float, rounds: int, seed: int = 42, exact: bo
     h = portable_hash(F.lit(seed), F.lit("sub"), F.col("round"), F.col(key))
     if not exact:
         return t.where(h / F.lit(HASH_RANGE) < F.lit(frac))
-    n = df.count()
-    ranked = hash_rank(t, h, tie=key, groups=["round"], out="_r")
-    return ranked.where(F.col("_r") < int(frac * n)).drop("_r")
+    member = subsample_membership(df, frac, rounds, seed, key)
+    return df.withColumn("round", F.explode(F.filter(F.sequence(F.lit(0), F.lit(rounds - 1)), lambda r: F.element_at(member, r + 1) == 1)))
 
 
 #: Named rules for the number of features that a node of ``d`` features looks at.

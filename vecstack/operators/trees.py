@@ -16,7 +16,9 @@ computed on the fly from the label.  Nothing is copied per tree.
    percentiles at ``linspace(0, 1, q + 2)[1:-1]`` (``percentile`` with the
    bootstrap multiplicity as frequency).  They are exact at every size: nodes of
    at most ``exact_max_rows`` weighted rows are sorted in one task, larger ones by
-   a distributed sort with running weights that finds the same values; ``'approx'``
+   range-partitioned selection that finds the same values (``operators/ranges.py``);
+   ``n_thresholds <= 0`` takes every distinct value, at any size, by a prefix scan of
+   class counts over value ranges; ``'approx'``
    asks for the mergeable ``percentile_approx`` sketch per node; ``'global'``
    computes the candidates once per feature over all training rows (sketch) and
    reuses them at every node, like MLlib's bins — one percentile pass per fit;
@@ -45,6 +47,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vecstack.functions.arrays import const_array
+from vecstack.operators.ranges import running_sums, values_at, with_range
 from vecstack.operators.sampling import n_features
 
 MIN_GAIN = 1e-12
@@ -352,23 +355,14 @@ def exact_percentiles(src: DataFrame, fr, group: list[str]) -> DataFrame:
     return src.groupBy(*group).applyInPandas(pct, "tree long, node long, feature long, q array<double>")
 
 
-def sorted_percentiles(src: DataFrame, fr, group) -> DataFrame:
-    """The values of ``exact_percentiles`` for groups of any size: equal values are combined before
-    the shuffle, and a running weight over the sorted values finds the ranks."""
-    keys = [*group, "feature"]
-    v = src.groupBy(*keys, "x").agg(F.sum("w").alias("w")).where("w > 0")
-    run = Window.partitionBy(*keys).orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    v = v.withColumn("upto", F.sum("w").over(run)).join(v.groupBy(*keys).agg(F.sum("w").alias("n")), keys)
-    at = lambda f: F.lit(f) * (F.col("n") - 1)
-    value = lambda rank: F.min(F.when(F.col("upto") > rank, F.col("x")))
-    ends = v.groupBy(*keys).agg(F.first("n").alias("n"), *[x for j, f in enumerate(fr) for x in (
-        value(F.floor(at(f))).alias(f"l{j}"), value(F.ceil(at(f))).alias(f"h{j}"))])
-    q = [F.col(f"l{j}") + (F.col(f"h{j}") - F.col(f"l{j}")) * (at(f) - F.floor(at(f))) for j, f in enumerate(fr)]
-    return ends.select(*keys, F.array(*q).alias("q"))
+def sorted_percentiles(src: DataFrame, fr, group, n_keys: int | None = None) -> DataFrame:
+    """The values of ``exact_percentiles`` for groups of any size, by range-partitioned selection."""
+    return values_at(src, [*group, "feature"], "x", "w", list(fr), n_keys)
 
 
-def _thresholds(ex: DataFrame, p: TreeParams, fr, open_nodes, node_sizes) -> DataFrame:
-    """A3 per ``(tree, node, feature)``: exact percentiles for bounded nodes, sketch for large ones."""
+def _thresholds(ex: DataFrame, p: TreeParams, fr, open_nodes, node_sizes, m: int) -> DataFrame:
+    """A3 per ``(tree, node, feature)``: percentiles sorted in one task for bounded nodes, by range-partitioned
+    selection for larger ones; ``'approx'`` takes a sketch."""
     def exact(src):
         return exact_percentiles(src.select("tree", "node", "feature", "x", "w",
                                             (F.col("frank") / 16).cast("long").alias("_chunk")),
@@ -378,13 +372,6 @@ def _thresholds(ex: DataFrame, p: TreeParams, fr, open_nodes, node_sizes) -> Dat
         rep = src.select("tree", "node", "feature", F.explode(F.array_repeat("x", F.col("w").cast("int"))).alias("x"))
         return rep.groupBy("tree", "node", "feature").agg(F.percentile_approx("x", fr, p.approx_accuracy).alias("q"))
 
-    if p.n_thresholds <= 0:
-        # every distinct value of the node is a candidate: only for bounded nodes
-        too_big = [k for k in open_nodes if (node_sizes or {}).get(k, 0) > p.exact_max_rows]
-        if too_big or node_sizes is None:
-            raise ValueError("n_thresholds <= 0 (all distinct values) needs every node within exact_max_rows "
-                             f"({p.exact_max_rows}); use n_thresholds > 0 for larger nodes")
-        return ex.groupBy("tree", "node", "feature").agg(F.collect_set("x").alias("q"))
     if p.thresholds == "approx":
         return approx(ex)
     sizes = node_sizes or {}
@@ -393,9 +380,35 @@ def _thresholds(ex: DataFrame, p: TreeParams, fr, open_nodes, node_sizes) -> Dat
         return exact(ex)
     by = ["tree", "node"]
     if len(big) == len(open_nodes):
-        return sorted_percentiles(ex, fr, by)
+        return sorted_percentiles(ex, fr, by, len(big) * m)
     is_big = F.concat_ws(":", F.col("tree"), F.col("node")).isin(big)     # few: each holds > exact_max_rows
-    return exact(ex.where(~is_big)).unionByName(sorted_percentiles(ex.where(is_big), fr, by))
+    return exact(ex.where(~is_big)).unionByName(sorted_percentiles(ex.where(is_big), fr, by, len(big) * m))
+
+
+def every_value_gains(ex: DataFrame, p: TreeParams, n_keys: int, best_only: bool) -> DataFrame:
+    """A3 + A4 with every distinct value of a node as a candidate, for nodes of any size: class counts per value,
+    and their running sums (a prefix scan over value ranges) as the left side of each split."""
+    keys = ["tree", "node", "feature", "frank"]
+    labels = sorted(r["label"] for r in ex.select("label").distinct().collect())             # one row a class
+    names = [f"c{i}" for i in range(len(labels))]
+    count = lambda v: F.sum(F.when(F.col("label") == v, F.col("w")).otherwise(0)).cast("double")
+    rows = with_range(ex.where("w > 0"), keys, "x", n_keys=n_keys).groupBy(*keys, "rng", "x").agg(*[count(v).alias(c) for c, v in zip(names, labels)])
+    rows = running_sums(rows.withColumn("one", F.lit(1).cast("bigint")), keys, "rng", "x", [*names, "one"])
+    total = lambda cols: sum(cols, F.lit(0.0))
+    left = [F.col(f"upto_{c}") for c in names]
+    right = [F.col(f"all_{c}") - F.col(f"upto_{c}") for c in names]
+    rows = rows.select(*keys, (F.col("upto_one") - 1).alias("j"), F.col("x").alias("t"), total(left).alias("nl"), total(right).alias("nr"),
+                       total([c * c for c in left]).alias("sl"), total([c * c for c in right]).alias("sr"),
+                       total([F.col(f"all_{c}") * F.col(f"all_{c}") for c in names]).alias("sp"))
+    rows = rows.where((F.col("nl") >= float(p.min_samples_leaf)) & (F.col("nr") >= float(p.min_samples_leaf)))
+    gini = lambda n, s: F.when(F.col(n) > 0, 1 - F.col(s) / (F.col(n) * F.col(n))).otherwise(0.0)
+    n = F.col("nl") + F.col("nr")
+    gain = (1 - F.col("sp") / (n * n)) - F.col("nl") / n * gini("nl", "sl") - F.col("nr") / n * gini("nr", "sr")
+    rows = rows.select(*keys, "j", "t", "nl", "nr", F.round(gain, GAIN_DECIMALS).alias("gain"))
+    if not best_only:
+        return rows
+    first = F.max(F.struct("gain", (-F.col("frank")).alias("o"), (-F.col("t")).alias("u"), "feature", "frank", "j", "t", "nl", "nr")).alias("b")
+    return rows.groupBy("tree", "node").agg(first).select("tree", "node", *[F.col(f"b.{c}").alias(c) for c in ("feature", "frank", "j", "t", "nl", "nr", "gain")])
 
 
 def split_gains(ex: DataFrame, open_nodes, p: TreeParams, fr, dec, m,
@@ -404,16 +417,16 @@ def split_gains(ex: DataFrame, open_nodes, p: TreeParams, fr, dec, m,
     ``(tree, node, feature, frank, j, t, nl, nr, gain)`` candidates, or only the
     best one per node (gain desc, feature rank, threshold asc)."""
     n_open = len(open_nodes)
+    if p.n_thresholds <= 0:
+        return every_value_gains(ex, p, n_open * m, best_only)
     # A3: split candidates per (tree, node, feature) (or given, e.g. global per feature)
     if ths is None:
-        ths = _thresholds(ex, p, fr, open_nodes, node_sizes)
+        ths = _thresholds(ex, p, fr, open_nodes, node_sizes, m)
         q = F.col("q") if dec is None else F.transform("q", lambda v: F.round(v, dec))
         ths = ths.select("tree", "node", "feature", F.array_sort(F.array_distinct(q)).alias("ths"))
     # A4: histogram of buckets (bucket = #thresholds < x) per class, map-side combined
     # bucket = #thresholds < x, unrolled over the at most q thresholds (codegen, no lambda)
-    q_max = max(len(fr), 1) if p.n_thresholds > 0 else None
-    bucket = (sum((F.coalesce(F.get(F.col("ths"), j) < F.col("x"), F.lit(False)).cast("int") for j in range(q_max)),
-                  F.lit(0)) if q_max is not None else F.size(F.filter("ths", lambda t: t < F.col("x"))))
+    bucket = sum((F.coalesce(F.get(F.col("ths"), j) < F.col("x"), F.lit(False)).cast("int") for j in range(max(len(fr), 1))), F.lit(0))
     hist = (ex.join(_bc(ths, n_open * m), ["tree", "node", "feature"])
               .withColumn("b", bucket)
               .groupBy("tree", "node", "feature", "frank", "ths", "b", "label").agg(F.sum("w").alias("c")))
@@ -479,7 +492,7 @@ def root_split_table(df: DataFrame, params: TreeParams, label: str = "label", fe
         F.col("_c.feature").alias("feature"), F.col("_c.frank").alias("frank"), "label", "w",
         _value(F.element_at("_x", (F.col("_c.feature") + 1).cast("int")), params.decimals).alias("x"))
     sizes = None
-    if params.thresholds == "exact" or params.n_thresholds <= 0:
+    if params.thresholds == "exact" and params.n_thresholds > 0:
         sizes = {(0, 1): float(base.agg(F.sum("w")).first()[0] or 0)}
     return split_gains(ex, [(0, 1)], params, quantile_fractions(params.n_thresholds), params.decimals, m,
                        node_sizes=sizes)
@@ -488,13 +501,14 @@ def root_split_table(df: DataFrame, params: TreeParams, label: str = "label", fe
 def split_candidates(df: DataFrame, params: TreeParams, features: str = "features") -> DataFrame:
     """A3: ``(feature, threshold)`` — distinct interpolated percentiles of every feature."""
     fr = quantile_fractions(params.n_thresholds)
+    d = len(df.select(features).first()[0])
     l = df.select(F.posexplode(features).alias("feature", "x"))
     if params.decimals is not None:
         l = l.withColumn("x", F.round("x", params.decimals))
     if params.thresholds in ("approx", "global"):
         q = l.groupBy("feature").agg(F.percentile_approx("x", fr, params.approx_accuracy).alias("q"))
     else:
-        q = sorted_percentiles(l.select(F.col("feature").cast("long").alias("feature"), "x", F.lit(1).alias("w")), fr, []).select("feature", "q")
+        q = sorted_percentiles(l.select(F.col("feature").cast("long").alias("feature"), "x", F.lit(1).alias("w")), fr, [], d).select("feature", "q")
     if params.decimals is not None:
         q = q.withColumn("q", F.transform("q", lambda v: F.round(v, params.decimals)))
     return q.select("feature", F.explode(F.array_distinct("q")).alias("threshold"))

@@ -14,6 +14,7 @@ from vecstack.plans.registry import EMB, big, long_sql, r, register, rnd
 from vecstack.sources.tables import labelled_vectors, train_val
 
 K = 5
+PIVOT_BLOCK = 256     # train rows of a block in the pruned queries (their tables are small)
 
 
 def split(spark, sf):
@@ -90,6 +91,24 @@ def q_knn_euclid(spark, sf):
     return _nb_out(nb.knn_topk(va, tr, k=K, metric="euclidean"))
 
 
+def _pruned(spark, sf, metric):
+    """The validation rows against the train side on the path for train sides too large to ship."""
+    tr, va = split(spark, sf)
+    return _nb_out(nb.knn_topk(va, tr, k=K, metric=metric, broadcast_limit_bytes=0, block_rows=PIVOT_BLOCK))
+
+
+@register("knn_cosine_pruned", knn_sql("cosine") + f"""
+SELECT q_id, t_id, t_label::BIGINT AS t_label, rank::BIGINT AS rank, {r("score")} AS score FROM nb""")
+def q_knn_cosine_pruned(spark, sf):
+    return _pruned(spark, sf, "cosine")
+
+
+@register("knn_euclid_pruned", knn_sql("euclidean") + f"""
+SELECT q_id, t_id, t_label::BIGINT AS t_label, rank::BIGINT AS rank, {r("score")} AS score FROM nb""")
+def q_knn_euclid_pruned(spark, sf):
+    return _pruned(spark, sf, "euclidean")
+
+
 @register("knn_lsh")
 def q_knn_lsh(spark, sf):
     """Approximate (rows-only check; recall is asserted in pytest)."""

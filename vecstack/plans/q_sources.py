@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from vecstack.functions.hashing import sql_hash
 from vecstack.operators import neighbors as nb
 from vecstack.operators import sampling as R
+from vecstack.plans.flows import FeatureConfig
 from vecstack.plans.registry import EMB, big, long_sql, r, register, rnd
 from vecstack.session import cut_lineage
 from vecstack.sources import files as io
-from vecstack.sources.tables import labelled_vectors, with_split
+from vecstack.sources.tables import labelled_vectors, read_table, with_split
 
 D = 64
 SEED = 42
@@ -69,43 +70,84 @@ def _sources(sf):
     return {"train": f"{sf.rstrip('/')}/embeddings.parquet", "val": f"{sf.rstrip('/')}/lineitem.parquet"}
 
 
-MANIFEST_PARAMS = {"pca_var": 0.95, "hog": {"cell_size": 7, "bins": 8}, "directional": {"dims": 6},
-                   "zonal": {"grid": [4, 4]}, "dtype": "float32"}
+#: The build parameters that a manifest records (those of the default feature build).
+MANIFEST_PARAMS = FeatureConfig().manifest_params()
+
+
+def _contents(spark, sf):
+    """The two sources as tables whose contents a manifest records: integers and text, so that every engine shows them alike."""
+    emb = read_table(spark, sf, "embeddings").select(
+        "vec_id", "label", F.array_join(F.transform("embedding", lambda x: F.round(x.cast("double") * 1e6).cast("bigint")), ",").alias("v"))
+    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"))
+    return {"train": emb, "val": li}
+
+
+_CONTENT_COLUMNS = {
+    "train": ("embeddings", ("vec_id", "label", "array_to_string(list_transform(embedding, lambda x: round(x::DOUBLE * 1e6)::BIGINT), ',')")),
+    "val": ("lineitem", ("l_orderkey", "l_linenumber", "l_returnflag", "round(l_extendedprice * 100)::BIGINT"))}
+
+
+def _content_sql(name: str, table: str | None = None, label: str = "label") -> str:
+    """``(n_rows, fingerprint)`` of the contents of a source."""
+    of, cols = _CONTENT_COLUMNS[name]
+    shown = ", ".join(f"coalesce('=' || ({label if c == 'label' else c})::VARCHAR, '')" for c in cols)
+    part = lambda at: f"coalesce(sum(('0x' || substr(m, {at}, 15))::BIGINT::HUGEINT), 0)::HUGEINT::VARCHAR"
+    return (f"SELECT count(*)::BIGINT AS n_rows, md5(count(*)::VARCHAR || ':' || {part(1)} || ':' || {part(16)}) AS fingerprint "
+            f"FROM (SELECT md5(concat_ws('|', {shown})) AS m FROM {table or of})")
 
 
 def _manifest_sql() -> str:
     p = MANIFEST_PARAMS
-    return (f"SELECT {p['pca_var']}::DOUBLE AS pca_var, '{json.dumps(p['hog'])}' AS hog, "
+    return (f"WITH t AS ({_content_sql('train')}), v AS ({_content_sql('val')}) "
+            f"SELECT {p['pca_var']}::DOUBLE AS pca_var, '{json.dumps(p['hog'])}' AS hog, "
             f"'{json.dumps(p['directional'])}' AS directional, '{json.dumps(p['zonal'])}' AS zonal, "
-            f"'{p['dtype']}' AS dtype, ((SELECT (count(*) > 0)::INTEGER FROM embeddings) + "
-            f"(SELECT (count(*) > 0)::INTEGER FROM lineitem))::BIGINT AS n_sources, 40::BIGINT AS sha1_len")
+            f"'{p['dtype']}' AS dtype, 2::BIGINT AS n_sources, 40::BIGINT AS sha1_len, t.n_rows AS train_rows, "
+            f"t.fingerprint AS train_content, v.n_rows AS val_rows, v.fingerprint AS val_content FROM t, v")
 
 
 @register("write_manifest", _manifest_sql())
 def q_write_manifest(spark, sf):
-    """Manifest written and read back — checked on its parameters, the number of recorded
-    source fingerprints and their length (the SHA-1 values depend on the file paths)."""
+    """Manifest of the contents of two tables and of their files, written and read back (the files' SHA-1s
+    depend on how they were written: only their number and length are shown)."""
     path = io.scratch_path(spark, "manifest")
     sources = _sources(sf)
-    m = io.manifest_frame(spark, sources, MANIFEST_PARAMS, build_seconds=0.0)
+    m = io.manifest_frame(spark, sources, MANIFEST_PARAMS, build_seconds=0.0, tables=_contents(spark, sf))
     io.write_manifest(m, path)
     back = io.read_manifest(spark, path)
     sha = [F.col(f"{n}_sha1") for n in sources]
     return back.select("pca_var", "hog", "directional", "zonal", "dtype",
                        F.lit(len(sources)).cast("bigint").alias("n_sources"),
-                       F.least(*[F.length(c) for c in sha]).cast("bigint").alias("sha1_len"))
+                       F.least(*[F.length(c) for c in sha]).cast("bigint").alias("sha1_len"),
+                       *[c for n in sources for c in (big(f"{n}_rows").alias(f"{n}_rows"), F.col(f"{n}_content"))])
 
 
 @register("file_fingerprint")
 def q_fingerprint(spark, sf):
-    fp = io.file_fingerprints(spark, f"{sf.rstrip('/')}/*.parquet")
-    return fp.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "length", "sha1")
+    """The files of every given table, with the rows that Spark reads from each of the labelled table's files."""
+    fp = io.file_fingerprints(spark, [f"{sf.rstrip('/')}/embeddings.parquet", f"{sf.rstrip('/')}/lineitem.parquet"])
+    held = None
+    for t in ("embeddings", "lineitem"):
+        rows = read_table(spark, sf, t).groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count("*").alias("n_rows"))
+        held = rows if held is None else held.union(rows)
+    return fp.join(held, "path", "left").select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "length", "sha1",
+                                                F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
 
 
-@register("stale_check")
+_CHANGED = "CASE WHEN vec_id % 97 = 3 THEN label + 1 ELSE label END"
+
+
+@register("stale_check", f"""
+WITH t AS ({_content_sql('train')}), v AS ({_content_sql('val')}), c AS ({_content_sql('train', label=_CHANGED)})
+SELECT 'train' AS source, t.n_rows AS recorded_rows, c.n_rows AS current_rows, t.fingerprint AS recorded, c.fingerprint AS current,
+       t.fingerprint <> c.fingerprint AS stale FROM t, c
+UNION ALL SELECT 'val', n_rows, n_rows, fingerprint, fingerprint, false FROM v""")
 def q_stale(spark, sf):
-    m = io.manifest_frame(spark, _sources(sf), MANIFEST_PARAMS, build_seconds=0.0)
-    return io.stale_check(spark, m, _sources(sf))
+    """A manifest of two tables, checked after some labels of the first one have changed."""
+    now = _contents(spark, sf)
+    m = io.manifest_frame(spark, _sources(sf), MANIFEST_PARAMS, build_seconds=0.0, tables=now)
+    now["train"] = now["train"].withColumn("label", F.expr(_CHANGED))
+    s = io.stale_tables(m, now)
+    return s.select("source", big("recorded_rows").alias("recorded_rows"), big("current_rows").alias("current_rows"), "recorded", "current", "stale")
 
 
 # R1 ------------------------------------------------------------------------
@@ -131,6 +173,15 @@ def q_strat(spark, sf):
     return k.select("row_id", big("fold").alias("fold"))
 
 
+@register("stratified_kfold_chunks", f"""
+WITH e AS ({EMB})
+SELECT row_id, (ntile(5) OVER (PARTITION BY label ORDER BY {sql_hash("'42:strat:' || row_id::VARCHAR")}, row_id) - 1)::BIGINT AS fold FROM e""")
+def q_strat_chunks(spark, sf):
+    """R2 by cut-offs: the rows stay where they are."""
+    k = R.stratified_kfold(labelled_vectors(spark, sf), cv=5, seed=SEED, deal="chunks")
+    return k.select("row_id", big("fold").alias("fold"))
+
+
 # R3 ------------------------------------------------------------------------
 BOOT_SQL = f"""
 WITH RECURSIVE e AS ({EMB}),

@@ -17,7 +17,7 @@ from vecstack.functions.hashing import sql_hash
 from vecstack.operators import boosting as B
 from vecstack.operators import evaluate as ev
 from vecstack.operators import trees as T
-from vecstack.plans.registry import EMB, big, long_sql, r, register, rnd
+from vecstack.plans.registry import EMB, LINEITEM_LABEL, big, long_sql, r, register, rnd
 from vecstack.sources.tables import LINEITEM_FEATURES, labelled_vectors, lineitem_vectors
 
 DEC = 9
@@ -159,6 +159,28 @@ def q_best_split(spark, sf):
                     rnd("gain", 9).alias("gain"))
 
 
+_OFF_HALF = 2e-13          # gains have 12 decimals: keeps the cut to 9 from meeting a half, which engines round differently
+_LI_CLASSES = " UNION ALL ".join(f"SELECT {i} AS dim, round({c}, {DEC}) AS v, {LINEITEM_LABEL} AS label FROM lineitem"
+                                 for i, c in enumerate(LINEITEM_FEATURES))
+
+
+@register("split_every_value", f"""
+WITH l AS ({_LI_CLASSES}),
+c AS (SELECT dim, v, label, count(*)::DOUBLE AS n FROM l GROUP BY ALL),
+k AS (SELECT DISTINCT label FROM l),
+g AS (SELECT d.dim, d.v, k.label, coalesce(c.n, 0) AS n FROM (SELECT DISTINCT dim, v FROM l) d CROSS JOIN k LEFT JOIN c USING (dim, v, label)),
+w AS (SELECT dim, v, sum(n) OVER (PARTITION BY dim, label ORDER BY v) AS le, sum(n) OVER (PARTITION BY dim, label) AS al FROM g),
+a AS (SELECT dim, v, sum(le) AS nl, sum(al - le) AS nr, sum(le * le) AS sl, sum((al - le) * (al - le)) AS sr, sum(al * al) AS sp FROM w GROUP BY ALL)
+SELECT dim::BIGINT AS feature, {r("v")} AS threshold, nl::BIGINT AS n_left, nr::BIGINT AS n_right,
+       {r("round((1 - sp / ((nl + nr) * (nl + nr))) - nl / (nl + nr) * (1 - sl / (nl * nl)) - nr / (nl + nr) * (1 - sr / (nr * nr)), 12) + {_OFF_HALF}", 9)} AS gain
+FROM a WHERE nl >= 5 AND nr >= 5""")
+def q_split_every_value(spark, sf):
+    """Every distinct value of every measure as a cut, with the rows and the gain of its two sides."""
+    g = T.root_split_table(lineitem_vectors(spark, sf), T.TreeParams(n_thresholds=0, max_features=None, decimals=DEC))
+    return g.select(big("feature").alias("feature"), rnd("t").alias("threshold"), big("nl").alias("n_left"), big("nr").alias("n_right"),
+                    rnd(F.col("gain") + _OFF_HALF, 9).alias("gain"))
+
+
 # M5 / M6 ---------------------------------------------------------------------
 _TREE_SQL = _HEAD + ",\nbase AS (SELECT 0 AS tree, row_id, label, 1 AS w FROM tr)" + grow_sql("base", "xl", 2, 16, 20, 5)
 
