@@ -93,8 +93,13 @@ def fit_boosting(df: DataFrame, n_estimators: int = 35, lr: float = 0.15, max_de
     params = TreeParams(max_depth=max_depth, min_samples_split=min_samples_split,
                         min_samples_leaf=min_samples_leaf, max_features=max_features,
                         n_thresholds=n_thresholds, decimals=decimals, seed=seed, thresholds=thresholds)
-    ens = grow(base, n_estimators * K, params, d, [0, 1], weights=w, target=target, active=active,
-               label=label, features=features, key=key)
+    if thresholds == "hist":
+        from vecstack.operators.histogram import fit_hist
+        ens = fit_hist(base, n_estimators * K, params, d, classes, mem, n_estimators, K, one_vs_rest=True, active=active,
+                       label=label, features=features, key=key)
+    else:
+        ens = grow(base, n_estimators * K, params, d, [0, 1], weights=w, target=target, active=active,
+                   label=label, features=features, key=key)
     model = BoostedOvR(ens, classes, lr, n_estimators, n_estimators)
     if early_stop and len(ens.nodes):
         model.rounds_used = stop_round(model, df, label, features, key)

@@ -63,7 +63,7 @@ class TreeParams:
     min_samples_leaf: int = 5
     max_features: object = "sqrt"
     n_thresholds: int = 16
-    thresholds: str = "exact"          # 'exact' | 'approx' (sketch per node) | 'global' (sketch once per feature)
+    thresholds: str = "exact"          # 'exact' | 'approx' (sketch per node) | 'global' (sketch once per feature) | 'hist' (binned once)
     exact_max_rows: int = 1_000_000    # largest node (weighted rows) sorted in one task; larger ones give the same percentiles by a distributed sort
     decimals: int | None = None        # round values and thresholds (engine-stable comparisons)
     seed: int = 42
@@ -520,6 +520,9 @@ def fit_tree(df: DataFrame, params: TreeParams | None = None, label: str = "labe
     from vecstack.operators.evaluate import distinct_labels
     params = params or TreeParams()
     d = len(df.select(features).first()[0])
+    if params.thresholds == "hist":
+        from vecstack.operators.histogram import fit_hist
+        return fit_hist(df, 1, params, d, distinct_labels(df, label), label=label, features=features)
     return grow(df, 1, params, d, distinct_labels(df, label), label=label, features=features)
 
 
@@ -538,4 +541,7 @@ def fit_forest(df: DataFrame, n_estimators: int = 60, sample_ratio: float = 0.30
     else:
         frac = min(1.0, max(min_rows, int(sample_ratio * n)) / max(n, 1))
         w = subsample_membership(df, frac, n_estimators, seed=params.seed, n=n)
+    if params.thresholds == "hist":
+        from vecstack.operators.histogram import fit_hist
+        return fit_hist(df, n_estimators, params, d, distinct_labels(df, label), w, n_estimators, label=label, features=features)
     return grow(df, n_estimators, params, d, distinct_labels(df, label), weights=w, label=label, features=features)

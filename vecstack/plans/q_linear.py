@@ -14,34 +14,38 @@ from vecstack.plans.q_arrays import N_PROBA, PROBA_SQL, with_proba
 from vecstack.plans.registry import EMB, big, explode_long, long_sql, r, register, rnd
 from vecstack.sources.tables import labelled_vectors
 
-LR, REG, STEPS = 0.3, 1e-4, 3
-PLATT_LR, PLATT_STEPS = 0.05, 20
+LR, REG, STEPS = 0.3, 1e-4, 400
+PLATT_LR, PLATT_STEPS = 0.05, 200
 
 
-def gd_sql(steps: int, lr: float = LR, reg: float = REG) -> str:
-    """Unrolled full-batch softmax GD from zero init, as chained CTEs (w{t}, b{t})."""
-    parts = [f"""WITH e AS ({EMB}),
-x AS ({long_sql("SELECT * FROM e", "f", "row_id")}),
+_GD_HEAD = f"""e AS ({EMB}),
+x AS MATERIALIZED ({long_sql("SELECT * FROM e", "f", "row_id")}),
 cl AS (SELECT DISTINCT label AS k FROM e),
-y AS (SELECT e.row_id, cl.k, (e.label = cl.k)::DOUBLE AS t FROM e, cl),
+y AS MATERIALIZED (SELECT e.row_id, cl.k, (e.label = cl.k)::DOUBLE AS t FROM e, cl),
 nn AS (SELECT count(*)::DOUBLE AS n FROM e),
-dims AS (SELECT DISTINCT dim AS j FROM x),
-w0 AS (SELECT j, k, 0.0::DOUBLE AS w FROM dims, cl),
-b0 AS (SELECT k, 0.0::DOUBLE AS b FROM cl)"""]
-    for t in range(steps):
-        parts.append(f"""
-s{t} AS (SELECT x.row_id, w.k, sum(x.v * w.w) AS s FROM x JOIN w{t} w ON w.j = x.dim GROUP BY 1, 2),
-sb{t} AS (SELECT s.row_id, s.k, s.s + b.b AS s FROM s{t} s JOIN b{t} b USING (k)),
-m{t} AS (SELECT row_id, max(s) AS mx FROM sb{t} GROUP BY row_id),
-e{t} AS (SELECT s.row_id, s.k, exp(s.s - m.mx) AS ex FROM sb{t} s JOIN m{t} m USING (row_id)),
-z{t} AS (SELECT row_id, sum(ex) AS se FROM e{t} GROUP BY row_id),
-r{t} AS (SELECT q.row_id, q.k, q.ex / (z.se + 1e-12) - y.t AS r FROM e{t} q JOIN z{t} z USING (row_id)
-         JOIN y ON y.row_id = q.row_id AND y.k = q.k),
-g{t} AS (SELECT x.dim AS j, r.k, sum(x.v * r.r) AS g FROM x JOIN r{t} r USING (row_id) GROUP BY 1, 2),
-w{t + 1} AS (SELECT w.j, w.k, w.w - {lr}::DOUBLE * (g.g / nn.n + {reg}::DOUBLE * w.w) AS w
-           FROM w{t} w JOIN g{t} g ON g.j = w.j AND g.k = w.k, nn),
-b{t + 1} AS (SELECT r.k, b.b - {lr}::DOUBLE * avg(r.r) AS b FROM r{t} r JOIN b{t} b USING (k) GROUP BY r.k, b.b)""")
-    return ",".join(parts)
+dims AS (SELECT DISTINCT dim AS j FROM x UNION ALL SELECT -1)"""
+
+
+def _residuals(weights: str) -> str:
+    """``rr(row_id, k, r)``: softmax residuals at ``weights(j, k, w)``, the intercept at ``j = -1``."""
+    return f"""sc AS (SELECT x.row_id, w.k, sum(x.v * w.w) AS s FROM x JOIN {weights} w ON w.j = x.dim GROUP BY 1, 2),
+sb AS (SELECT sc.row_id, sc.k, sc.s + b.w AS s FROM sc JOIN {weights} b ON b.k = sc.k AND b.j = -1),
+ex AS (SELECT row_id, k, exp(s - max(s) OVER (PARTITION BY row_id)) AS ex FROM sb),
+rr AS (SELECT ex.row_id, ex.k, ex.ex / (sum(ex.ex) OVER (PARTITION BY ex.row_id) + 1e-12) - y.t AS r FROM ex
+       JOIN y ON y.row_id = ex.row_id AND y.k = ex.k)"""
+
+
+def gd_sql(steps: int, lr: float = LR, reg: float = REG) -> str:
+    """Full-batch softmax gradient descent from zero, as a recursive CTE ``w(i, j, k, w)`` (intercepts at ``j = -1``)."""
+    return f"""WITH RECURSIVE {_GD_HEAD},
+w(i, j, k, w) AS (SELECT 0, j, k, 0.0::DOUBLE FROM dims, cl
+  UNION ALL
+  SELECT z.i, z.j, z.k, z.w FROM (
+    WITH {_residuals("w")},
+    g AS (SELECT x.dim AS j, rr.k, sum(x.v * rr.r) / any_value(n) AS g FROM x JOIN rr USING (row_id), nn GROUP BY 1, 2
+          UNION ALL SELECT -1, k, avg(r) FROM rr GROUP BY k)
+    SELECT w.i + 1 AS i, w.j, w.k, w.w - {lr}::DOUBLE * (g.g + CASE WHEN w.j >= 0 THEN {reg}::DOUBLE * w.w ELSE 0 END) AS w
+    FROM w JOIN g ON g.j = w.j AND g.k = w.k WHERE w.i < {steps}) z)"""
 
 
 def _train(spark, sf):
@@ -51,9 +55,9 @@ def _train(spark, sf):
 
 
 # A6 ------------------------------------------------------------------------
-@register("softmax_gradient", gd_sql(1) + f"""
-SELECT j AS dim, k::BIGINT AS cls, {r("g / n", 9)} AS grad FROM g0, nn
-UNION ALL SELECT -1, k::BIGINT, {r("avg(r)", 9)} FROM r0 GROUP BY k""")
+@register("softmax_gradient", f"""WITH {_GD_HEAD}, w0 AS (SELECT j, k, 0.0::DOUBLE AS w FROM dims, cl), {_residuals("w0")}
+SELECT x.dim AS dim, k::BIGINT AS cls, {r("sum(v * r) / any_value(n)", 9)} AS grad FROM x JOIN rr USING (row_id), nn GROUP BY 1, 2
+UNION ALL SELECT -1, k::BIGINT, {r("avg(r)", 9)} FROM rr GROUP BY k""")
 def q_softmax_gradient(spark, sf):
     tr, _ = _train(spark, sf)
     classes = ev.distinct_labels(tr)
@@ -67,8 +71,7 @@ def q_softmax_gradient(spark, sf):
 
 # M1 ------------------------------------------------------------------------
 @register("logreg_fit", gd_sql(STEPS) + f"""
-SELECT j AS dim, k::BIGINT AS cls, {r("w", 9)} AS weight FROM w{STEPS}
-UNION ALL SELECT -1, k::BIGINT, {r("b", 9)} FROM b{STEPS}""")
+SELECT j AS dim, k::BIGINT AS cls, {r("w", 9)} AS weight FROM w WHERE i = {STEPS}""")
 def q_logreg_fit(spark, sf):
     tr, _ = _train(spark, sf)
     m = L.fit_softmax_gd(tr, lr=LR, n_iter=STEPS, reg=REG, init="zeros")
@@ -78,9 +81,10 @@ def q_logreg_fit(spark, sf):
 
 # M2 ------------------------------------------------------------------------
 @register("logreg_predict", gd_sql(STEPS) + f""",
+fin AS (SELECT j, k, w FROM w WHERE i = {STEPS}),
 v AS ({EMB}), vx AS ({long_sql("SELECT * FROM v", "f", "row_id")}),
-vs AS (SELECT vx.row_id, w.k, sum(vx.v * w.w) AS s FROM vx JOIN w{STEPS} w ON w.j = vx.dim GROUP BY 1, 2),
-vsb AS (SELECT s.row_id, s.k, s.s + b.b AS s FROM vs s JOIN b{STEPS} b USING (k)),
+vs AS (SELECT vx.row_id, w.k, sum(vx.v * w.w) AS s FROM vx JOIN fin w ON w.j = vx.dim GROUP BY 1, 2),
+vsb AS (SELECT s.row_id, s.k, s.s + b.w AS s FROM vs s JOIN fin b ON b.k = s.k AND b.j = -1),
 vm AS (SELECT row_id, max(s) AS mx FROM vsb GROUP BY row_id),
 ve AS (SELECT s.row_id, s.k, exp(s.s - m.mx) AS ex FROM vsb s JOIN vm m USING (row_id)),
 vz AS (SELECT row_id, sum(ex) AS se FROM ve GROUP BY row_id),

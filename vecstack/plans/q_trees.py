@@ -10,6 +10,8 @@ on both engines (``decimals=9``).
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -21,25 +23,34 @@ from vecstack.plans.registry import EMB, LINEITEM_LABEL, big, long_sql, r, regis
 from vecstack.sources.tables import LINEITEM_FEATURES, labelled_vectors, lineitem_vectors
 
 DEC = 9
-TREE_P = T.TreeParams(max_depth=2, min_samples_split=20, min_samples_leaf=5, max_features=None,
+# The reference's settings: a tree of depth 8; 25 trees of depth 8 on 35 % of the rows; 25 rounds of depth-5 trees.
+TREE_P = T.TreeParams(max_depth=8, min_samples_split=20, min_samples_leaf=5, max_features=None,
                       n_thresholds=16, decimals=DEC)
-FOREST_P = T.TreeParams(max_depth=2, min_samples_split=20, min_samples_leaf=5, max_features="sqrt",
-                        n_thresholds=16, decimals=DEC)
-BOOST = dict(n_estimators=3, lr=0.15, max_depth=1, min_samples_split=10, min_samples_leaf=5, n_thresholds=8,
+FOREST_P = T.TreeParams(max_depth=8, min_samples_split=20, min_samples_leaf=5, max_features="sqrt",
+                        n_thresholds=20, decimals=DEC)
+TREES = 25
+BOOST = dict(n_estimators=25, lr=0.25, max_depth=5, min_samples_split=10, min_samples_leaf=5, n_thresholds=10,
              subsample_rate=0.6, max_features="sqrt", decimals=DEC)
 
 
+def _binned(p: T.TreeParams) -> T.TreeParams:
+    """The same settings with the candidates of a feature found once (histogram engine)."""
+    return dataclasses.replace(p, thresholds="hist")
+
+
 def _fr(q):
     return "[" + ", ".join("%.17e" % f for f in T.quantile_fractions(q)) + "]::DOUBLE[]"
 
 
 def grow_sql(base: str, xl: str, depth: int, q: int, min_split: int, min_leaf: int, p: str = "t",
-             sqrt_features: bool = False) -> str:
+             sqrt_features: bool = False, once: bool = False) -> str:
     """CTEs (each preceded by a comma) ending in ``{p}_nodes(tree, node, is_leaf, feature,
     threshold, pred, n, depth)``; ``base(tree, row_id, label, w)``, ``xl(row_id, dim, v)``.
     With ``sqrt_features`` each open node searches the floor(√d) features of smallest hash
-    (``{p}_cf{L}``), and gain ties are broken by that hash rank."""
-    s = [f"{p}_a0 AS (SELECT tree, row_id, label, w, 1 AS node FROM {base})",
+    (``{p}_cf{L}``), and gain ties are broken by that hash rank.  With ``once`` the candidates of a feature
+    are its percentiles over all of ``{xl}``, at every node."""
+    s = [f"""{p}_gt AS (SELECT DISTINCT dim, unnest(list_transform(quantile_cont(v, {_fr(q)}), lambda z: round(z, {DEC}))) AS t FROM {xl} GROUP BY dim)""",
+         f"{p}_a0 AS (SELECT tree, row_id, label, w, 1 AS node FROM {base})",
          f"{p}_dd AS (SELECT max(dim) + 1 AS d FROM {xl})"]
     h = sql_hash("'42:feat:' || tree::VARCHAR || ':' || node::VARCHAR || ':' || dim::VARCHAR")
     for L in range(depth + 1):
@@ -52,6 +63,11 @@ def grow_sql(base: str, xl: str, depth: int, q: int, min_split: int, min_leaf: i
             rank = f"(SELECT frank FROM {p}_cf{L} c WHERE c.tree = g.tree AND c.node = g.node AND c.dim = g.dim)"
         else:
             cf, wjoin, rank = "", "", "g.dim + 1"
+        cand = ("""{p}_th{L} AS (SELECT DISTINCT tree, node, dim, t FROM {p}_w{L} JOIN {p}_gt USING (dim)),""" if once else
+                f"""{{p}}_rep{{L}} AS (SELECT tree, node, dim, v, unnest(range(w)) AS _i FROM {{p}}_w{{L}}),
+{{p}}_q{{L}} AS (SELECT tree, node, dim, list_transform(quantile_cont(v, {_fr(q)}), lambda z: round(z, {DEC})) AS qs
+             FROM {{p}}_rep{{L}} GROUP BY 1, 2, 3),
+{{p}}_th{{L}} AS (SELECT DISTINCT tree, node, dim, unnest(qs) AS t FROM {{p}}_q{{L}}),""")
         s.append(f"""{p}_s{L} AS (SELECT tree, node, label, sum(w) AS cnt, min(row_id) AS first FROM {p}_a{L} GROUP BY 1, 2, 3),
 {p}_n{L} AS (SELECT tree, node, sum(cnt) AS n, count(*) FILTER (WHERE cnt > 0) AS k FROM {p}_s{L} GROUP BY 1, 2),
 {p}_m{L} AS (SELECT tree, node, label AS pred FROM {p}_s{L}
@@ -61,10 +77,7 @@ def grow_sql(base: str, xl: str, depth: int, q: int, min_split: int, min_leaf: i
 {cf}
 {p}_w{L} AS (SELECT a.tree, a.node, a.label, a.w, x.dim, x.v FROM {p}_a{L} a JOIN {p}_o{L} o USING (tree, node)
              JOIN {xl} x ON x.row_id = a.row_id {wjoin}),
-{p}_rep{L} AS (SELECT tree, node, dim, v, unnest(range(w)) AS _i FROM {p}_w{L}),
-{p}_q{L} AS (SELECT tree, node, dim, list_transform(quantile_cont(v, {_fr(q)}), lambda z: round(z, {DEC})) AS qs
-             FROM {p}_rep{L} GROUP BY 1, 2, 3),
-{p}_th{L} AS (SELECT DISTINCT tree, node, dim, unnest(qs) AS t FROM {p}_q{L}),
+{cand.format(p=p, L=L)}
 {p}_lc{L} AS (SELECT th.tree, th.node, th.dim, th.t, x.label, sum(x.w) AS lk FROM {p}_th{L} th
               JOIN {p}_w{L} x ON x.tree = th.tree AND x.node = th.node AND x.dim = th.dim AND x.v <= th.t
               GROUP BY 1, 2, 3, 4, 5),
@@ -172,7 +185,7 @@ g AS (SELECT d.dim, d.v, k.label, coalesce(c.n, 0) AS n FROM (SELECT DISTINCT di
 w AS (SELECT dim, v, sum(n) OVER (PARTITION BY dim, label ORDER BY v) AS le, sum(n) OVER (PARTITION BY dim, label) AS al FROM g),
 a AS (SELECT dim, v, sum(le) AS nl, sum(al - le) AS nr, sum(le * le) AS sl, sum((al - le) * (al - le)) AS sr, sum(al * al) AS sp FROM w GROUP BY ALL)
 SELECT dim::BIGINT AS feature, {r("v")} AS threshold, nl::BIGINT AS n_left, nr::BIGINT AS n_right,
-       {r("round((1 - sp / ((nl + nr) * (nl + nr))) - nl / (nl + nr) * (1 - sl / (nl * nl)) - nr / (nl + nr) * (1 - sr / (nr * nr)), 12) + {_OFF_HALF}", 9)} AS gain
+       {r("round((1 - sp / ((nl + nr) * (nl + nr))) - nl / (nl + nr) * (1 - sl / (nl * nl)) - nr / (nl + nr) * (1 - sr / (nr * nr)), 12) + 2e-13", 9)} AS gain
 FROM a WHERE nl >= 5 AND nr >= 5""")
 def q_split_every_value(spark, sf):
     """Every distinct value of every measure as a cut, with the rows and the gain of its two sides."""
@@ -182,7 +195,8 @@ def q_split_every_value(spark, sf):
 
 
 # M5 / M6 ---------------------------------------------------------------------
-_TREE_SQL = _HEAD + ",\nbase AS (SELECT 0 AS tree, row_id, label, 1 AS w FROM tr)" + grow_sql("base", "xl", 2, 16, 20, 5)
+_TREE_BASE = _HEAD + ",\nbase AS (SELECT 0 AS tree, row_id, label, 1 AS w FROM tr)"
+_TREE_SQL = _TREE_BASE + grow_sql("base", "xl", TREE_P.max_depth, 16, 20, 5)
 
 
 def _tree(spark, sf):
@@ -196,7 +210,13 @@ def q_tree_fit(spark, sf):
     return nodes_out(ens, spark)
 
 
-@register("tree_predict", _TREE_SQL + apply_sql("t_nodes", "va", "xl", 2) + """
+@register("tree_fit_hist", _TREE_BASE + grow_sql("base", "xl", TREE_P.max_depth, 16, 20, 5, once=True) + "\n" + nodes_select("t_nodes"))
+def q_tree_fit_hist(spark, sf):
+    """M5 by the histogram engine: all features at every node, the larger sibling by subtraction."""
+    return nodes_out(T.fit_tree(labelled_vectors(spark, sf), _binned(TREE_P)), spark)
+
+
+@register("tree_predict", _TREE_SQL + apply_sql("t_nodes", "va", "xl", TREE_P.max_depth) + """
 SELECT row_id, node::BIGINT AS node, vote::BIGINT AS pred FROM ap_leaf""")
 def q_tree_predict(spark, sf):
     ens, va = _tree(spark, sf)
@@ -205,22 +225,22 @@ def q_tree_predict(spark, sf):
 
 
 # M7 / M8 / U1 / J6 -------------------------------------------------------------
-_FOREST_SQL = _HEAD + f""",
+_FOREST_BASE = _HEAD + f""",
 lam AS (SELECT greatest(1000, floor(0.35::DOUBLE * count(*)))::DOUBLE / count(*) AS lam FROM tr),
 cdf(k, p, c) AS (SELECT 0, exp(-lam), exp(-lam) FROM lam
                  UNION ALL SELECT k + 1, p * (lam / (k + 1)), c + p * (lam / (k + 1)) FROM cdf, lam
                  WHERE NOT (c >= 1 - 1e-15 OR k + 1 > 10 * lam + 50)),
 u AS (SELECT tt.range AS tree, tr.row_id, tr.label,
              {sql_hash("'42:boot:' || tt.range::VARCHAR || ':' || tr.row_id::VARCHAR")} / 4294967296.0::DOUBLE AS u
-      FROM tr, range(3) tt),
+      FROM tr, range({TREES}) tt),
 base AS (SELECT tree, row_id, label, w FROM (SELECT u.tree, u.row_id, u.label, count(cdf.c) AS w
-         FROM u LEFT JOIN cdf ON cdf.c <= u.u GROUP BY 1, 2, 3) WHERE w > 0)""" + grow_sql(
-    "base", "xl", 2, 16, 20, 5, sqrt_features=True)
+         FROM u LEFT JOIN cdf ON cdf.c <= u.u GROUP BY 1, 2, 3) WHERE w > 0)"""
+_FOREST_SQL = _FOREST_BASE + grow_sql("base", "xl", FOREST_P.max_depth, 20, 20, 5, sqrt_features=True)
 
 
-def _forest(spark, sf):
+def _forest(spark, sf, params=FOREST_P):
     tr, va = split(spark, sf)
-    ens = T.fit_forest(tr, n_estimators=3, sample_ratio=0.35, bootstrap=True, min_rows=1000, params=FOREST_P)
+    ens = T.fit_forest(tr, n_estimators=TREES, sample_ratio=0.35, bootstrap=True, min_rows=1000, params=params)
     return ens, tr, va
 
 
@@ -230,14 +250,21 @@ def q_forest_fit(spark, sf):
     return nodes_out(ens, spark)
 
 
-@register("stack_votes", _FOREST_SQL + apply_sql("t_nodes", "va", "xl", 2) + """
+@register("forest_fit_hist", _FOREST_BASE + grow_sql("base", "xl", FOREST_P.max_depth, 20, 20, 5, sqrt_features=True, once=True) + "\n" + nodes_select("t_nodes"))
+def q_forest_fit_hist(spark, sf):
+    """M7 by the histogram engine."""
+    ens, _, _ = _forest(spark, sf, _binned(FOREST_P))
+    return nodes_out(ens, spark)
+
+
+@register("stack_votes", _FOREST_SQL + apply_sql("t_nodes", "va", "xl", FOREST_P.max_depth) + """
 SELECT row_id, tree::BIGINT AS tree, vote::BIGINT AS vote FROM ap_leaf""")
 def q_stack_votes(spark, sf):
     ens, _, va = _forest(spark, sf)
     return ens.apply(va).select("row_id", big("tree").alias("tree"), big("vote").alias("vote"))
 
 
-@register("forest_predict", _FOREST_SQL + apply_sql("t_nodes", "va", "xl", 2) + """,
+@register("forest_predict", _FOREST_SQL + apply_sql("t_nodes", "va", "xl", FOREST_P.max_depth) + """,
 vv AS (SELECT row_id, vote, count(*) AS c, min(tree) AS first FROM ap_leaf GROUP BY 1, 2)
 SELECT row_id, vote::BIGINT AS pred FROM vv
 QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY c DESC, first) = 1""")
@@ -246,7 +273,7 @@ def q_forest_predict(spark, sf):
     return ens.predict(va).select("row_id", big("pred").alias("pred"))
 
 
-@register("model_apply_join", _FOREST_SQL + apply_sql("t_nodes", "e", "xl", 2) + """
+@register("model_apply_join", _FOREST_SQL + apply_sql("t_nodes", "e", "xl", FOREST_P.max_depth) + """
 SELECT row_id, tree::BIGINT AS tree, node::BIGINT AS node FROM ap_leaf""")
 def q_model_apply(spark, sf):
     ens, _, _ = _forest(spark, sf)
@@ -256,7 +283,7 @@ def q_model_apply(spark, sf):
 # R5 ------------------------------------------------------------------------
 @register("feature_subset", _FOREST_SQL + """
 SELECT tree::BIGINT AS tree, node::BIGINT AS node, dim::BIGINT AS feature, frank::BIGINT AS frank FROM (
-""" + " UNION ALL ".join(f"SELECT * FROM t_cf{L}" for L in range(3)) + ")")
+""" + " UNION ALL ".join(f"SELECT * FROM t_cf{L}" for L in range(FOREST_P.max_depth + 1)) + ")")
 def q_feature_subset(spark, sf):
     """The √d candidate features (hash rank per node) of every node the forest searched."""
     ens, tr, _ = _forest(spark, sf)
@@ -278,7 +305,7 @@ def q_forest_proba(spark, sf):
 
 
 # M10 / M11 -----------------------------------------------------------------
-_BOOST_SQL = _HEAD + f""",
+_BOOST_BASE = _HEAD + f""",
 cl AS (SELECT label AS c, (dense_rank() OVER (ORDER BY label) - 1) AS k FROM (SELECT DISTINCT label FROM tr)),
 nk AS (SELECT count(*) AS nk FROM cl),
 ntr AS (SELECT count(*) AS n FROM tr),
@@ -289,14 +316,15 @@ sub AS (SELECT rd.range AS round, tr.row_id, tr.label FROM tr, range({BOOST["n_e
 bw AS (SELECT sub.round * nk.nk + cl.k AS tree, sub.row_id, (sub.label = cl.c)::INTEGER AS label, 1 AS w
        FROM sub, cl, nk),
 ok AS (SELECT tree FROM bw GROUP BY tree HAVING count(DISTINCT label) = 2),
-base AS (SELECT bw.* FROM bw JOIN ok USING (tree))""" + grow_sql(
-    "base", "xl", BOOST["max_depth"], BOOST["n_thresholds"], BOOST["min_samples_split"], BOOST["min_samples_leaf"],
-    sqrt_features=True)
+base AS (SELECT bw.* FROM bw JOIN ok USING (tree))"""
+_BOOST_GROW = dict(base="base", xl="xl", depth=BOOST["max_depth"], q=BOOST["n_thresholds"], min_split=BOOST["min_samples_split"],
+                   min_leaf=BOOST["min_samples_leaf"], sqrt_features=True)
+_BOOST_SQL = _BOOST_BASE + grow_sql(**_BOOST_GROW)
 
 
-def _boost(spark, sf):
+def _boost(spark, sf, thresholds="exact"):
     tr, va = split(spark, sf)
-    return B.fit_boosting(tr, seed=42, **BOOST), va
+    return B.fit_boosting(tr, seed=42, thresholds=thresholds, **BOOST), va
 
 
 @register("boost_fit", _BOOST_SQL + "\n" + nodes_select("t_nodes"))
@@ -305,6 +333,13 @@ def q_boost_fit(spark, sf):
     return nodes_out(m.ensemble, spark)
 
 
+@register("boost_fit_hist", _BOOST_BASE + grow_sql(**_BOOST_GROW, once=True) + "\n" + nodes_select("t_nodes"))
+def q_boost_fit_hist(spark, sf):
+    """M10 by the histogram engine: every (round, class) tree grown together."""
+    m, _ = _boost(spark, sf, "hist")
+    return nodes_out(m.ensemble, spark)
+
+
 @register("boost_proba", _BOOST_SQL + apply_sql("t_nodes", "va", "xl", BOOST["max_depth"]) + f""",
 sc AS (SELECT row_id, tree % (SELECT nk FROM nk) AS k, sum(vote) AS v FROM ap_leaf GROUP BY 1, 2),
 grid AS (SELECT va.row_id, cl.k, {BOOST["lr"]}::DOUBLE * coalesce(sc.v, 0) AS s FROM va CROSS JOIN cl
