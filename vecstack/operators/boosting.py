@@ -18,9 +18,10 @@ import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from vecstack.functions.arrays import NORM_EPS, argmax_class, softmax
-from vecstack.operators.trees import TreeEnsemble, TreeParams, grow
+from vecstack.operators.trees import TreeEnsemble, TreeParams, grow, row_chunks
 
 EARLY_STOP_MAR = 0.05
 ML_MAX_DEPTH = 30          # limit of the ML forest
@@ -43,22 +44,27 @@ class BoostedOvR:
                       proba: str = "proba", pred: str = "pred") -> DataFrame:
         """Class scores lr · Σ votes of the used rounds, softmax (÷ Σ + 1e-12), first-max class.
 
-        Narrow per row: the tree walk yields every tree's 0/1 vote in one array; the K class
-        scores are one fold over it (tree t votes for class t mod K)."""
-        K = len(self.classes)
-        trees = self.used_trees()
-        if trees:
-            v = self.ensemble.vote_array(df, features, trees, out="_votes")
-            zero = F.array_repeat(F.lit(0.0), K)
-            idx = F.arrays_zip(F.sequence(F.lit(0), F.size("_votes") - 1).alias("t"), F.col("_votes").alias("v"))
-            acc = F.aggregate(idx, zero, lambda a, e: F.transform(
-                a, lambda s, k: s + F.when((e["t"] % K == k) & (e["v"] > 0), F.lit(self.lr) * e["v"])
-                .otherwise(F.lit(0.0))))
-            out = v.withColumn("_s", acc).drop("_votes")
-        else:
-            out = df.withColumn("_s", F.array_repeat(F.lit(0.0), K))
-        out = softmax(out, "_s", proba, eps=NORM_EPS)
-        return out.withColumn(pred, argmax_class(proba, self.classes)).drop("_s")
+        Narrow: a batch of rows walks all trees at once, and tree t votes for class t mod K."""
+        K, lr, classes = len(self.classes), self.lr, np.asarray(self.classes, np.int64)
+        used = self.used_trees()
+        shared = df.sparkSession.sparkContext.broadcast((self.ensemble.tables(used), np.array(used, np.int64) % max(K, 1)))
+        schema = StructType([*df.schema.fields, StructField(proba, ArrayType(DoubleType(), False)), StructField(pred, IntegerType())])
+
+        def run(parts):
+            tables, of = shared.value
+            for pdf in parts:
+                p = [np.zeros((0, K))]
+                for x in row_chunks(pdf[features], tables.n_trees):
+                    s = np.zeros((len(x), K))
+                    if tables.n_trees:
+                        won = tables.votes(x) > 0
+                        s = lr * np.stack([won[:, of == k].sum(axis=1) for k in range(K)], axis=1)
+                    e = np.exp(s - s.max(axis=1, keepdims=True))
+                    p.append(e / (e.sum(axis=1, keepdims=True) + NORM_EPS))
+                p = np.concatenate(p)
+                yield pdf.assign(**{proba: list(p), pred: classes[p.argmax(axis=1)].astype(np.int32) if len(p) else np.zeros(0, np.int32)})
+
+        return df.mapInPandas(run, schema)
 
 
 def fit_boosting(df: DataFrame, n_estimators: int = 35, lr: float = 0.15, max_depth: int = 4,
@@ -125,30 +131,33 @@ def stop_round_from_votes(model: BoostedOvR, df: DataFrame, label: str = "label"
                           key: str = "row_id") -> int:
     """The stop round from running vote sums over all training rows.
 
-    Narrow: the walk gives every row's vote array; each partition scores it per round with
+    Narrow: a batch of rows walks all trees; each partition scores the votes per round with
     NumPy (cumulative lr·votes → softmax → mean|Y − P|) and emits R partial sums; one
     ``groupBy(round)`` finishes.  Nothing per (row, round, class) is shuffled."""
     K, R, lr = len(model.classes), model.n_rounds, model.lr
     cls = np.asarray(model.classes)
-    v = model.ensemble.vote_array(df.select(label, features), features, out="_votes").select(label, "_votes")
+    trees = model.ensemble.tree_ids
+    shared = df.sparkSession.sparkContext.broadcast((model.ensemble.tables(trees), np.array(trees, np.int64)))
 
     def partial(batches):
+        tables, ids = shared.value
         tot, n = np.zeros(R), 0
         for b in batches:
-            if len(b) == 0:
-                continue
-            raw = np.vstack(b["_votes"].to_numpy())[:, :R * K]            # equal lengths: one per tree id
-            V = np.zeros((len(b), R * K))
-            V[:, :raw.shape[1]] = raw == 1
-            S = lr * np.cumsum(V.reshape(len(b), R, K), axis=1)          # scores after round r
-            E = np.exp(S - S.max(axis=2, keepdims=True))
-            P = E / (E.sum(axis=2, keepdims=True) + NORM_EPS)
-            Y = (b[label].to_numpy()[:, None] == cls[None, :]).astype(np.float64)
-            tot += np.abs(Y[:, None, :] - P).mean(axis=2).sum(axis=0)
-            n += len(b)
+            lab = b[label].to_numpy()
+            for x in row_chunks(b[features], R * K):
+                V = np.zeros((len(x), R * K))
+                V[:, ids] = tables.votes(x) == 1
+                S = lr * np.cumsum(V.reshape(len(x), R, K), axis=1)          # scores after round r
+                E = np.exp(S - S.max(axis=2, keepdims=True))
+                P = E / (E.sum(axis=2, keepdims=True) + NORM_EPS)
+                Y = (lab[:len(x), None] == cls[None, :]).astype(np.float64)
+                lab = lab[len(x):]
+                tot += np.abs(Y[:, None, :] - P).mean(axis=2).sum(axis=0)
+                n += len(x)
         if n:
             yield pd.DataFrame({"round": np.arange(R), "s": tot, "n": np.full(R, n)})
 
+    v = df.select(label, features)
     parts = v.mapInPandas(partial, "round long, s double, n long")
     mar = parts.groupBy("round").agg((F.sum("s") / F.sum("n")).alias("mar")).orderBy("round").collect()
     for r in mar:                                  # P after round r is P_{r+1}

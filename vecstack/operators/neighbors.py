@@ -21,6 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from vecstack.functions.arrays import NORM_EPS
 
@@ -174,24 +175,34 @@ def knn_append(df: DataFrame, train: DataFrame, k: int = 5, metric: str = "cosin
     ``proba`` (neighbour-class fractions) and ``pred`` = its first maximal class, appended in place — one narrow stage, every input
     column passed through, no join back.  ``None`` when the train side is too large to ship
     (callers then use the pivot path)."""
-    t = train.select(F.col(id_col).cast("long").alias("t_id"), F.col(label).cast("int").alias("t_label"),
-                     F.col(features).alias("tf"))
+    shipped = ship_train(train, metric, features, label, id_col, broadcast_limit_bytes)
+    return None if shipped is None else append_shipped(df, shipped, k, metric, classes, features)
+
+
+def ship_train(train: DataFrame, metric: str, features: str = "features", label: str = "label", id_col: str = "row_id",
+               broadcast_limit_bytes: int = 256 << 20, fold: str | None = None):
+    """The train side as arrays in every task (``None``: it is too large), with each row's fold if asked for."""
+    t = train.select(F.col(id_col).cast("long").alias("t_id"), F.col(label).cast("int").alias("t_label"), F.col(features).alias("tf"),
+                     (F.col(fold) if fold else F.lit(-1)).cast("int").alias("fold"))
     if not _fits_broadcast(t, broadcast_limit_bytes):
         return None
     pdf = t.toPandas()                      # bounded by the size check above
-    t_ids = pdf["t_id"].to_numpy(np.int64)
-    t_lab = pdf["t_label"].to_numpy(np.int32)
-    t_mat = _prep(_stack(pdf["tf"]), metric)
-    t_sq = (t_mat * t_mat).sum(axis=1) if len(t_mat) else np.zeros(0)
-    bc = df.sparkSession.sparkContext.broadcast((t_ids, t_lab, t_mat, t_sq))
-    from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField
+    return train.sparkSession.sparkContext.broadcast(
+        (pdf["t_id"].to_numpy(np.int64), pdf["t_label"].to_numpy(np.int32), _prep(_stack(pdf["tf"]), metric), pdf["fold"].to_numpy(np.int64)))
+
+
+def append_shipped(df: DataFrame, shipped, k: int, metric: str, classes=None, features: str = "features", without: int | None = None) -> DataFrame:
+    """``df`` with the vote (or class fractions) of each row's neighbours among the shipped rows, those of the fold ``without`` left out."""
     fields = list(df.schema.fields) + [StructField("pred", IntegerType(), True)]
     if classes is not None:
         fields.append(StructField("proba", ArrayType(DoubleType(), False), True))
-    from pyspark.sql.types import StructType
 
     def run(batches):
-        ids, lab, mat, sq = bc.value
+        ids, lab, mat, fold = shipped.value
+        if without is not None:
+            use = fold != without
+            ids, lab, mat = ids[use], lab[use], mat[use]
+        sq = (mat * mat).sum(axis=1) if len(mat) else np.zeros(0)
         for b in batches:
             if len(b) == 0:
                 continue

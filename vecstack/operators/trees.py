@@ -45,6 +45,7 @@ import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from vecstack.functions.arrays import const_array
 from vecstack.operators.ranges import running_sums, values_at, with_range
@@ -187,9 +188,25 @@ class TreeEnsemble:
         """M6 / M8: hard majority over trees, ties → the vote of the lowest tree id (``(key, pred)``)."""
         return self.predict_column(df.select(key, features), features).select(key, "pred")
 
+    def tables(self, trees: list[int] | None = None) -> "Tables":
+        return Tables(self, sorted(trees if trees is not None else self.tree_ids))
+
     def predict_column(self, df: DataFrame, features: str = "features", out: str = "pred") -> DataFrame:
-        """``df`` with the hard-majority class appended (narrow: per row, every class gets
-        (count of its votes, −first tree voting for it) and the largest pair wins)."""
+        """``df`` with the hard-majority class appended (narrow: a batch of rows walks all trees at once; ties go
+        to the class of the lowest tree among them)."""
+        shared = df.sparkSession.sparkContext.broadcast(self.tables())
+        schema = StructType([*df.schema.fields, StructField(out, IntegerType())])
+
+        def run(parts):
+            for pdf in parts:
+                pred = [shared.value.majority(shared.value.votes(x)) for x in row_chunks(pdf[features], shared.value.n_trees)]
+                yield pdf.assign(**{out: np.concatenate(pred).astype(np.int32) if pred else np.zeros(0, np.int32)})
+
+        return df.mapInPandas(run, schema)
+
+    def predict_column_sql(self, df: DataFrame, features: str = "features", out: str = "pred") -> DataFrame:
+        """The same by column functions (per row, every class gets (count of its votes, −first tree voting
+        for it) and the largest pair wins)."""
         classes = sorted(set(int(v) for v in self.nodes["pred"].unique()))
         v = self.vote_array(df, features)
         cls = F.array(*[F.lit(c).cast("long") for c in classes])
@@ -205,6 +222,50 @@ class TreeEnsemble:
         return v.withColumn(out, best["c"].cast("int")).drop("votes")
 
 
+class Tables:
+    """Trees as dense arrays over (tree, heap node), for walking whole batches of rows."""
+
+    def __init__(self, ensemble: TreeEnsemble, trees: list[int]):
+        nd = ensemble.nodes[ensemble.nodes["tree"].isin(trees)]
+        self.depth = int(nd["depth"].max()) if len(nd) else 0
+        self.n_trees, self.decimals = len(trees), ensemble.params.decimals
+        if len(trees) << (self.depth + 1) > 16 * DENSE_MAX:
+            raise ValueError(f"{len(trees)} trees of depth {self.depth} exceed the lookup bound {16 * DENSE_MAX}")
+        shape = (max(1, len(trees)), 1 << (self.depth + 1))
+        self.feature, self.threshold, self.pred = np.full(shape, -1, np.int32), np.zeros(shape), np.full(shape, -1, np.int64)
+        at = (nd["tree"].map({t: i for i, t in enumerate(trees)}).to_numpy(np.int64), nd["node"].to_numpy(np.int64))
+        leaf = nd["is_leaf"].to_numpy(bool)
+        self.feature[at] = np.where(leaf, -1, nd["feature"].to_numpy())
+        self.threshold[at] = np.where(leaf, 0.0, nd["threshold"].to_numpy(float))
+        self.pred[at] = nd["pred"].to_numpy(np.int64)
+
+    def votes(self, x: np.ndarray) -> np.ndarray:
+        """``rows × trees``: the class of the leaf of every row in every tree."""
+        if self.decimals is not None:
+            x = np.round(x, self.decimals)
+        tree, row = np.arange(self.n_trees)[None, :], np.arange(len(x))[:, None]
+        at = np.ones((len(x), self.n_trees), np.int64)
+        for _ in range(self.depth):
+            f = self.feature[tree, at]
+            at = np.where(f >= 0, 2 * at + (x[row, f] > self.threshold[tree, at]), at)
+        return self.pred[tree, at]
+
+    @staticmethod
+    def majority(votes: np.ndarray) -> np.ndarray:
+        classes = np.unique(votes)
+        same = votes[:, :, None] == classes[None, None, :]
+        count, first = same.sum(axis=1), same.argmax(axis=1)
+        best = np.where(count == count.max(axis=1, keepdims=True), first, votes.shape[1])
+        return classes[best.argmin(axis=1)]
+
+
+def row_chunks(features, n_trees: int):
+    """Feature rows of a batch as matrices whose walk stays small."""
+    step = max(1, 2_000_000 // max(n_trees, 1))
+    for i in range(0, len(features), step):
+        yield np.vstack([np.asarray(v, float) for v in features.iloc[i:i + step]])
+
+
 def _tree_view(cur: DataFrame, target) -> DataFrame:
     """``(_k, _x, tree, node, w, label)`` for every (row, tree) still in a node with weight > 0."""
     v = cur.select("_k", "_x", "_lab", F.posexplode(F.arrays_zip("_nd", "_w")).alias("tree", "s"))
@@ -545,3 +606,22 @@ def fit_forest(df: DataFrame, n_estimators: int = 60, sample_ratio: float = 0.30
         from vecstack.operators.histogram import fit_hist
         return fit_hist(df, n_estimators, params, d, distinct_labels(df, label), w, n_estimators, label=label, features=features)
     return grow(df, n_estimators, params, d, distinct_labels(df, label), weights=w, label=label, features=features)
+
+
+def fit_forest_folds(folded: DataFrame, cv: int, classes: list, n_estimators: int, sample_ratio: float, min_rows: int, params: TreeParams,
+                     sizes: list, label: str = "label", features: str = "features", fold: str = "fold") -> list:
+    """M7 for all folds at once: the forests without fold ``0 … cv - 1`` and the forest of all rows are one ensemble of the histogram
+    engine, in which a row has weight 0 in the trees of its own fold.  ``sizes[f]``: rows that forest ``f`` learns from; ``classes[f]``: its classes."""
+    from vecstack.operators.histogram import fit_hist
+    from vecstack.operators.sampling import bootstrap_rate, bootstrap_weight_array
+    d = len(folded.select(features).first()[0])
+    own = [F.transform(bootstrap_weight_array(n_estimators, bootstrap_rate(n, sample_ratio, min_rows), params.seed),
+                       lambda w, f=f: F.when(F.col(fold) == f, 0).otherwise(w)) for f, n in enumerate(sizes)]
+    total = n_estimators * len(own)
+    every = sorted({c for cs in classes for c in cs})
+    ens = fit_hist(folded, total, params, d, every, F.concat(*own), total, name_of=lambda t: t % n_estimators, label=label, features=features)
+    out = []
+    for f in range(len(own)):
+        nodes = ens.nodes[ens.nodes["tree"] // n_estimators == f].assign(tree=lambda x: x["tree"] % n_estimators)
+        out.append(TreeEnsemble(nodes.reset_index(drop=True), params, list(classes[f])))
+    return out

@@ -98,6 +98,7 @@ def read_feature_cache(spark, path: str, sources: dict | None = None):
 
 
 # ---------------------------------------------------------------- M21
+# The numbers below and in HybridConfig are the reference's settings (fixed values).
 @dataclass
 class Phase3Config:
     rf_trees: int = 25
@@ -117,6 +118,7 @@ class Phase3Config:
     platt_iter: int = 200
     platt_lr: float = 0.05
     temperature: float = 1.15
+    thresholds: str = "hist"         # split candidates of forest and meta trees: 'hist' once per feature, 'exact' per node
     calibrate_on: str = "train"      # 'train': in-sample stack probabilities (faithful); 'oof': out-of-fold
     seed: int = 42
 
@@ -127,11 +129,11 @@ def oof_calibrated_stack(train: DataFrame, val: DataFrame, cfg: Phase3Config):
     ``calibrate_on='oof'``) → temperature → argmax.  Returns
     ``(predictions (row_id, label, pred, proba), report)``."""
     rf = E.ForestLearner(cfg.rf_trees, cfg.rf_ratio,
-                         T.TreeParams(max_depth=cfg.rf_depth, n_thresholds=cfg.rf_thresholds, seed=cfg.seed))
+                         T.TreeParams(max_depth=cfg.rf_depth, n_thresholds=cfg.rf_thresholds, seed=cfg.seed, thresholds=cfg.thresholds))
     bases = [("rf", rf), ("knn", E.KNNLearner(cfg.knn_k)),
              ("lr", E.SoftmaxLearner(cfg.lr_rate, cfg.lr_iter, 1e-4, cfg.lr_solver))]
     meta = E.BoostLearner(cfg.meta_rounds, cfg.meta_lr, cfg.meta_depth, n_thresholds=cfg.meta_thresholds,
-                          subsample_rate=cfg.meta_subsample, seed=cfg.seed)
+                          subsample_rate=cfg.meta_subsample, seed=cfg.seed, thresholds=cfg.thresholds)
     stack, _ = fit_stacking(train, bases, meta, cv=cfg.cv, passthrough=True, seed=cfg.seed)
     if cfg.calibrate_on == "oof":
         # calibration rows predicted by stacks that never saw them: cv stacks on the other folds

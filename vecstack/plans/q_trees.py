@@ -299,7 +299,7 @@ def q_forest_proba(spark, sf):
     """Rows-only: library random forest probabilities (Spark ML) of every row."""
     tr, va = split(spark, sf)
     classes = ev.distinct_labels(tr)
-    m = B.fit_rf_proba(tr, num_trees=25, max_depth=8, seed=42)
+    m = B.fit_rf_proba(tr, seed=42)                 # 250 trees of depth 30
     out = B.rf_predict_proba(m, va, classes)
     return out.select("row_id", big("pred").alias("pred"), rnd(F.array_max("proba")).alias("p_max"))
 
@@ -365,6 +365,6 @@ def q_boost_proba(spark, sf):
 def q_gbt(spark, sf):
     """Rows-only: one-vs-rest Spark ML GBT, softmax over raw margins."""
     tr, va = split(spark, sf)
-    m = B.fit_gbt_ovr(tr, max_iter=10, step_size=0.05, max_depth=4, subsampling_rate=0.9)
+    m = B.fit_gbt_ovr(tr)                           # 250 rounds of depth-4 trees for each class
     out = m.predict_proba(va)
     return out.select("row_id", big("pred").alias("pred"), rnd(F.array_max("proba")).alias("p_max"))
