@@ -69,6 +69,7 @@ class Vocabulary:
         self.halves = lru_cache(PAIRS)(self._halves)
         self.edge = lru_cache(PAIRS)(self._edge)
         self.pieces = _Pieces(self.encode_piece)
+        self.trips = _Trips(self)
 
     def merged(self, data: bytes, below: int = NEVER) -> list[int]:
         """The definition: merge the adjacent pair of lowest rank until none (``below``) is left."""
@@ -204,27 +205,54 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInPandas(run, "doc_id bigint, ids array<int>, decoded binary")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """``(doc_id, ids, decoded)`` of every row: ``decode`` of ``encode`` in one pass of one worker."""
+class _Trips(dict):
+    """Decimal ids and decoded bytes of pre-tokens, each encoded and decoded once."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
+        self.vocabulary, self.older = vocabulary, {}
+
+    def renew(self):
+        """Start anew, but keep what comes up again."""
+        self.older = dict(self)
+        self.clear()
+
+    def __missing__(self, piece: str):
+        if piece in self.older:
+            self[piece] = trip = self.older.pop(piece)
+            return trip
+        v = self.vocabulary
+        ids = v.encode_piece(piece.encode("utf-8"))
+        trip = " ".join(map(str, ids)).encode(), v.decode(ids)
+        if len(piece) <= 64:
+            self[piece] = trip
+        return trip
+
+
+def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of every row: ids encoded, then decoded.
+
+    Pre-tokens are encoded apart from each other, so each one's ids and their bytes are found once, and a text's
+    are put together from them; the digests are taken where the ids are."""
     shared = share(docs, path)
 
     def run(parts):
-        import numpy as np
+        import hashlib
+
         import pandas as pd
         v = vocabulary(shared, pattern)
+        trips = v.trips
+        sha = lambda b: hashlib.sha256(b).hexdigest()
         for pdf in parts:
-            for i in range(0, len(pdf), 500):
-                part = pdf.iloc[i:i + 500]
-                ids = [v.encode(t) for t in part["text"]]
-                yield pd.DataFrame({"doc_id": part["doc_id"], "ids": [np.array(x, np.int32) for x in ids],
-                                    "decoded": [v.decode(x) for x in ids]})
-
-    return texts(docs).mapInPandas(run, "doc_id bigint, ids array<int>, decoded binary")
-
-
-def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of the round trip of every row."""
-    both = round_trip(docs, path, pattern)
-    return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
-                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-                       F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+            n, coded, decoded = [], [], []
+            for t in pdf["text"]:
+                if len(trips) > PIECES // 2:
+                    trips.renew()
+                found = list(map(trips.__getitem__, v.split(t)))
+                ids = b" ".join([x for x, _ in found])
+                n.append(ids.count(b" ") + 1 if ids else 0)
+                coded.append(sha(ids))
+                decoded.append(sha(b"".join([x for _, x in found])))
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_tokens": n, "ids_sha256": coded, "decoded_sha256": decoded})
+
+    return texts(docs).mapInPandas(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
