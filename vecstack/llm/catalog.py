@@ -49,16 +49,32 @@ def op1_benchmark_decontamination(spark, sf_dir):
 WITH RECURSIVE lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
                                 generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS paragraph FROM documents),
 places AS (SELECT doc_id, paragraph, {_WORDS.format(_LOW.format("line"))} AS w FROM lines),
-kept AS (SELECT *, dense_rank() OVER (ORDER BY array_to_string(w, ' ')) AS item FROM places WHERE len(w) >= 40),
+begun AS (SELECT *, coalesce(sum(len(w)) OVER (PARTITION BY doc_id ORDER BY paragraph ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM places),
+kept AS (SELECT *, dense_rank() OVER (ORDER BY array_to_string(w, ' ')) AS item FROM begun WHERE len(w) >= 25),
 sets AS (SELECT item, {_SHINGLES} AS s FROM (SELECT DISTINCT item, w FROM kept)),
 {_COMPONENTS},
-g AS (SELECT k.doc_id, k.paragraph, len(k.w) AS n_words, c.c FROM kept k JOIN comp c USING (item)),
-heads AS (SELECT c, count(*) AS n_copies, min((doc_id, paragraph)) AS head FROM g GROUP BY c HAVING count(*) > 1)
-SELECT doc_id, paragraph::INTEGER AS paragraph, n_words::INTEGER AS n_words, head[1]::BIGINT AS component_id,
-       n_copies::BIGINT AS n_copies, (doc_id, paragraph) <> head AS removed FROM g JOIN heads USING (c)""")
+words AS (SELECT doc_id, {_WORDS.format(_LOW.format("text"))} AS w FROM documents),
+each AS (SELECT doc_id, w, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM words),
+hashed AS (SELECT doc_id, w, i, ('0x' || substr(md5(word), 1, 8))::BIGINT AS h FROM each),
+near AS (SELECT *, min(h) OVER (o ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS lo, min(h) OVER (o ROWS BETWEEN 1 FOLLOWING AND 5 FOLLOWING) AS hi
+         FROM hashed WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+pieces AS (SELECT doc_id, i AS start, array_to_string(w[i + 1:i + 25], ' ') AS item FROM near
+           WHERE i + 25 <= len(w) AND (lo IS NULL OR h < lo) AND (hi IS NULL OR h <= hi)),
+every AS (SELECT 'l' || c.c AS cluster, k.doc_id, k.start, len(k.w) AS n FROM kept k JOIN comp c USING (item)
+          UNION ALL SELECT 'w' || item, doc_id, start, 25 FROM pieces),
+units AS (SELECT *, start + n AS ends, min((doc_id, start)) OVER (PARTITION BY cluster) AS head, count(*) OVER (PARTITION BY cluster) AS copies FROM every),
+placed AS (SELECT doc_id, start, ends, head[1] AS component_id, (doc_id, start) <> head AS removed FROM units WHERE copies > 1),
+cut AS (SELECT *, max(ends) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach,
+               coalesce(max(CASE WHEN removed THEN ends END) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS gone
+        FROM placed WINDOW o AS (PARTITION BY doc_id ORDER BY start, ends, removed)),
+spans AS (SELECT *, sum(CASE WHEN reach IS NULL OR start > reach THEN 1 ELSE 0 END)
+                    OVER (PARTITION BY doc_id ORDER BY start, ends, removed ROWS UNBOUNDED PRECEDING) AS span FROM cut)
+SELECT doc_id, min(start)::INTEGER AS first_word, (max(ends) - min(start))::INTEGER AS n_words, count(*)::BIGINT AS n_units,
+       min(component_id)::BIGINT AS component_id, sum(CASE WHEN removed THEN greatest(0, ends - greatest(start, gone)) ELSE 0 END)::BIGINT AS n_removed
+FROM spans GROUP BY doc_id, span""")
 def op2_substring_dedup(spark, sf_dir):
-    """Every paragraph that occurs again, with the smallest document of its cluster."""
-    return paragraph_dedup.repeated_paragraphs(read(spark, sf_dir, "documents")).drop("cluster")
+    """Every span of repeated lines and windows, with the smallest document of its clusters."""
+    return paragraph_dedup.repeated_spans(read(spark, sf_dir, "documents"))
 
 
 @register
@@ -153,7 +169,8 @@ def op12_hard_negatives(spark, sf_dir):
 
 
 @register(sql=r"""
-WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+'))::BIGINT AS size,
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+'))::BIGINT AS size,
                   ('0x' || substr(md5(concat_ws(':', 'curriculum', doc_id::VARCHAR, md5(coalesce(text, '')))), 1, 15))::BIGINT AS h FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS n, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS number FROM d GROUP BY source),
 w AS (SELECT *, number % 3 AS kind, 3 * n AS most, [5, 2, 1][1 + number % 3] AS w FROM s),

@@ -1,34 +1,43 @@
 """Operator 2: substring dedup over paragraphs by MinHash banding.
 
-A paragraph is a newline-split line of at least ``MIN_WORDS`` words.  Identical paragraphs collapse
-first; each distinct one gets ``BANDS`` bands of ``ROWS`` minima over its five-word shingles (at a
-Jaccard similarity of 0.75 a pair shares a band with probability 1 - (1 - 0.75^4)^20 > 0.999).
-Paragraphs that collide in a band are joined, verified by their whole shingle sets, and clustered by
-connected components; all occurrences but the first of a cluster are removals.
-
-A first round verifies every paragraph against the first one of each of its buckets; a second round
-forms the pairs that still lie in different components, so a bucket of thousands of copies costs no
-pairs and no colliding pair goes unverified.
-
-Defined results: null and empty texts have no paragraphs; rows with a null ``doc_id`` are left out;
-repeated rows are repeated occurrences; ties go to the smallest ``(doc_id, paragraph)``.  Extra columns
+Two kinds of units are looked for.  *Lines*: newline-split lines of at least ``MIN_WORDS`` words.  *Windows*: ``WINDOW``
+words from each anchor on, whatever the newlines; an anchor is a word whose hash is the smallest among the
+``REACH`` words on either side, so a passage has the same anchors wherever it stands, inside longer lines or
+across lines (a passage of 50 words nearly always holds a whole window).
+
+Identical lines collapse first; each distinct one gets ``BANDS`` bands of ``ROWS`` minima over its five-word shingles (at a
+Jaccard similarity of 0.75 a pair shares a band with probability 1 - (1 - 0.75^4)^20 > 0.999).  Lines that collide in a
+band are verified by their whole shingle sets and clustered by connected components.  A first round verifies every line
+against the first one of each of its buckets.  Buckets that still hold several components are compared whole, each distinct
+set of lines once, in a task that emits only links that join components (one product of 0/1 matrices over the shingles
+that several of the lines have); large buckets are cut into blocks, and all pairs of blocks meet.
+Windows cluster by identity: near copies are a matter of the lines.
+
+All occurrences but the first of a cluster are removals.  The units of a document that touch or overlap are one span.
+
+Defined results: null and empty texts have no units; rows with a null ``doc_id`` are left out;
+repeated rows are repeated occurrences; ties go to the smallest ``(doc_id, place)``.  Extra columns
 are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vecstack.llm.common import components, cut_lineage, materialise, texts, with_membership
 
-MIN_WORDS, SHINGLE, BANDS, ROWS, NUM, DEN = 40, 5, 20, 4, 75, 100
+MIN_WORDS, SHINGLE, BANDS, ROWS, NUM, DEN = 25, 5, 20, 4, 75, 100
+WINDOW, REACH = 25, 5
+GROUP = 4000           # lines of one block in a comparison of a bucket
 _SEEDS = np.random.default_rng(7).integers(1, 1 << 63, (BANDS * ROWS, 2), dtype=np.uint64) | np.uint64(1)
 
 
 class _Paragraphs:
-    """The paragraphs of a block of texts, as arrays: ``doc``, ``line``, ``words`` (their number),
+    """The paragraphs of a block of texts, as arrays: ``doc``, ``line``, ``start`` (word of the text), ``words`` (their number),
     ``pid`` (64-bit value of the word sequence); shingle ``k``-runs ``grams[at[p]:at[p + 1]]``."""
 
     def __init__(self, raw: list[bytes], min_words: int, k: int = SHINGLE):
@@ -40,6 +49,7 @@ class _Paragraphs:
         line = np.arange(len(start)) - np.searchsorted(doc, np.arange(b.n))[doc]
         use = np.flatnonzero(count >= max(k, min_words))
         self.doc, self.line, self.words, first = doc[use], line[use], count[use], first[use]
+        self.start = first - b.first[self.doc]
         inside, at = self._runs(first, self.words)
         place = np.arange(len(inside)) - np.repeat(at, self.words)
         spread = mix(b.word[inside] + mix(place.astype(np.uint64) + np.uint64(1)))
@@ -72,7 +82,7 @@ class _Paragraphs:
 
 
 def paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``(doc_id, paragraph, n_words, pid, bands)`` of every paragraph."""
+    """``(doc_id, paragraph, start, n_words, pid, bands)`` of every paragraph."""
     def run(parts):
         import pandas as pd
 
@@ -83,15 +93,24 @@ def paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                 p = _Paragraphs(raw[i:j], min_words)
                 if not len(p.pid):
                     continue
-                yield pd.DataFrame({"doc_id": ids[i:j][p.doc], "paragraph": p.line, "n_words": p.words, "pid": p.pid, "bands": list(p.bands())})
+                yield pd.DataFrame({"doc_id": ids[i:j][p.doc], "paragraph": p.line, "start": p.start, "n_words": p.words, "pid": p.pid, "bands": list(p.bands())})
 
-    return docs.mapInPandas(run, "doc_id bigint, paragraph int, n_words int, pid bigint, bands array<bigint>")
+    return docs.mapInPandas(run, "doc_id bigint, paragraph int, start int, n_words int, pid bigint, bands array<bigint>")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, first: DataFrame, min_words: int) -> DataFrame:
     """The pairs ``(a, b)`` of paragraph ids with a Jaccard similarity of 75 % or more."""
     pairs = cut_lineage(pairs.distinct())
-    wanted = pairs.select(F.col("a").alias("pid")).union(pairs.select("b")).distinct().join(first, "pid")
+    sets = _sets_of(pairs.select(F.col("a").alias("pid")).union(pairs.select("b")).distinct(), docs, first, min_words)
+    a, b = (sets.select(F.col("pid").alias(c), F.col("items").alias("i" + c)) for c in "ab")
+    got = pairs.join(a, "a").join(b, "b").select("a", "b", F.size("ia").alias("na"), F.size("ib").alias("nb"),
+                                                 F.size(F.array_intersect("ia", "ib")).alias("i"))
+    return got.where(f"{DEN} * i >= {NUM} * (na + nb - i)").select("a", "b")
+
+
+def _sets_of(pids: DataFrame, docs: DataFrame, first: DataFrame, min_words: int) -> DataFrame:
+    """``(pid, items)``: the shingles of the paragraphs ``pids(pid)``."""
+    wanted = pids.join(first, "pid")
     places = cut_lineage(wanted.groupBy("doc_id").agg(F.collect_list("paragraph").alias("lines")))
 
     def run(parts):
@@ -107,20 +126,84 @@ def _verified(pairs: DataFrame, docs: DataFrame, first: DataFrame, min_words: in
                     yield pd.DataFrame({"pid": p.pid[rows], "items": [p.shingles(x).view(np.int64) for x in rows]})
 
     asked = with_membership(docs, "doc_id", places, "doc_id").where("__listed").drop("__listed")
-    sets = materialise(asked.join(places, "doc_id").select("text", "lines").mapInPandas(run, "pid bigint, items array<bigint>")
+    return materialise(asked.join(places, "doc_id").select("text", "lines").mapInPandas(run, "pid bigint, items array<bigint>")
                        .dropDuplicates(["pid"]))
-    a, b = (sets.select(F.col("pid").alias(c), F.col("items").alias("i" + c)) for c in "ab")
-    got = pairs.join(a, "a").join(b, "b").select("a", "b", F.size("ia").alias("na"), F.size("ib").alias("nb"),
-                                                 F.size(F.array_intersect("ia", "ib")).alias("i"))
-    return got.where(f"{DEN} * i >= {NUM} * (na + nb - i)").select("a", "b")
+
+
+class _Set:
+    """Lines of a bucket as arrays: ``pid``, component ``root``, set sizes and a 0/1 matrix over the shingles that several have."""
+
+    def __init__(self, pid, comp, items):
+        self.pid, self.root = pid, comp.copy()
+        self.size = np.array([len(x) for x in items], np.float32)
+        flat = np.concatenate(items) if len(items) else np.zeros(0, np.int64)
+        _, code, count = np.unique(flat, return_inverse=True, return_counts=True)
+        held = np.flatnonzero(count > 1)                        # the others are in no intersection
+        place = np.full(len(count), -1)
+        place[held] = np.arange(len(held))
+        self.row, self.col = np.repeat(np.arange(len(items)), self.size.astype(np.int64)), place[code]
+        self.row, self.col = self.row[self.col >= 0], self.col[self.col >= 0]
+        self.width = len(held)
+
+    def common(self, i, j, a, b):
+        """Sizes of the intersections of the lines ``i..j`` with the lines ``a..b``."""
+        out = np.zeros((j - i, b - a), np.float32)
+        for s in range(0, self.width, 2048):
+            x, y = (np.zeros((n, min(2048, self.width - s)), np.float32) for n in (j - i, b - a))
+            for m, lo, hi in ((x, i, j), (y, a, b)):
+                use = (self.row >= lo) & (self.row < hi) & (self.col >= s) & (self.col < s + m.shape[1])
+                m[self.row[use] - lo, self.col[use] - s] = 1
+            out += x @ y.T
+        return out
+
+    def links(self, halves: int | None):
+        """Links ``(pid, pid)`` that join components; with ``halves`` only those from the first ``halves`` lines to the others."""
+        n = len(self.pid)
+        out = []
+        rows, cols = (n, (0, n)) if halves is None else (halves, (halves, n))
+        for i in range(0, rows, 512):
+            j = min(rows, i + 512)
+            both = self.common(i, j, *cols)
+            near = DEN * both >= NUM * (self.size[i:j, None] + self.size[None, cols[0]:cols[1]] - both)
+            for r in range(j - i):
+                other = cols[0] + np.flatnonzero(near[r] & (self.root[cols[0]:cols[1]] != self.root[i + r]))
+                for root in np.unique(self.root[other]):
+                    out.append((self.pid[i + r], self.pid[other[self.root[other] == root][0]]))
+                if len(other):
+                    merged = np.append(np.unique(self.root[other]), self.root[i + r])
+                    self.root[np.isin(self.root, merged)] = merged.min()
+        return out
+
+
+def _bucket_links(rest: DataFrame, docs: DataFrame, first: DataFrame, min_words: int) -> DataFrame:
+    """Links ``(a, b)`` between the components of each bucket of ``rest(key, pid, comp)``, all its lines compared."""
+    groups = rest.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.xxhash64("pid").cast("decimal(38,0)")).alias("s"),
+                                     F.sum(F.xxhash64("pid", F.lit(1)).cast("decimal(38,0)")).alias("t"))
+    groups = cut_lineage(groups.groupBy("n", "s", "t").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("n") / GROUP).cast("int").alias("parts")))
+    member = cut_lineage(rest.join(groups, "key"))
+    sets = _sets_of(member.select("pid").distinct(), docs, first, min_words)
+    own = F.pmod(F.xxhash64("pid"), F.col("parts")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    member = member.withColumn("own", own).withColumn("with", other)
+    member = member.select("key", "pid", "comp", "own", F.least("own", "with").alias("x"), F.greatest("own", "with").alias("y"))
+
+    def run(pdf):
+        import pandas as pd
+        x, y = pdf["x"].iat[0], pdf["y"].iat[0]
+        pdf = pdf.sort_values(["own", "pid"])
+        s = _Set(pdf["pid"].to_numpy(np.int64), pdf["comp"].to_numpy(np.int64), [np.asarray(i, np.int64) for i in pdf["items"]])
+        found = s.links(None if x == y else int((pdf["own"] == x).sum()))
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+    return member.join(sets, "pid").groupBy("key", "x", "y").applyInPandas(run, "a bigint, b bigint").distinct()
 
 
 def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``(doc_id, paragraph, n_words, cluster, component_id, n_copies, removed)`` of every paragraph
+    """``(doc_id, paragraph, start, n_words, cluster, component_id, n_copies, removed)`` of every paragraph
     that occurs again, exactly or nearly; ``component_id`` is the smallest document of the cluster."""
     docs = texts(docs).where("doc_id is not null")
     found = materialise(paragraphs(docs, min_words))
-    places = found.select("doc_id", "paragraph", "n_words", "pid")
+    places = found.select("doc_id", "paragraph", "start", "n_words", "pid")
     distinct = found.groupBy("pid").agg(F.first("bands").alias("bands"))
     keys = materialise(distinct.select("pid", F.explode("bands").alias("key")))
     first = places.groupBy("pid").agg(F.min(F.struct("doc_id", "paragraph")).alias("at")).select("pid", "at.*")
@@ -132,19 +215,97 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFram
     # pairs of one bucket in different components, not yet compared
     rest = keys.join(comp, "pid", "left").select("key", "lead", "pid", F.coalesce("component", "pid").alias("comp"))
     open_ = rest.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    rest = rest.where("pid <> lead").join(open_, "key", "left_semi")
-    side = lambda c: rest.select("key", F.col("pid").alias(c), F.col("comp").alias(c + "_comp"))
-    more = side("a").join(side("b"), "key").where("a < b and a_comp <> b_comp").select("a", "b")
+    rest = cut_lineage(rest.join(open_, "key", "left_semi").select("key", "pid", "comp"))
     star = comp.where("pid <> component").select(F.col("pid").alias("a"), F.col("component").alias("b"))
-    final = components(star.union(_verified(more, docs, first, min_words))).withColumnRenamed("node", "pid")
-    placed = places.join(final, "pid", "left").select("doc_id", "paragraph", "n_words", F.coalesce("component", "pid").alias("cluster"))
+    final = components(star.union(_bucket_links(rest, docs, first, min_words))).withColumnRenamed("node", "pid")
+    placed = places.join(final, "pid", "left").select("doc_id", "paragraph", "start", "n_words", F.coalesce("component", "pid").alias("cluster"))
     heads = placed.groupBy("cluster").agg(F.count("*").alias("n_copies"), F.min(F.struct("doc_id", "paragraph")).alias("head")) \
         .where("n_copies > 1")
     return placed.join(heads, "cluster").select(
-        "doc_id", "paragraph", "n_words", "cluster", F.col("head.doc_id").alias("component_id"), "n_copies",
+        "doc_id", "paragraph", "start", "n_words", "cluster", F.col("head.doc_id").alias("component_id"), "n_copies",
         (F.struct("doc_id", "paragraph") != F.col("head")).alias("removed"))
 
 
+# ------------------------------------------------------------------ windows and spans
+_HASHES: dict = {}
+_LOWER = bytes(range(0x41)) + bytes(range(0x61, 0x7B)) + bytes(range(0x5B, 0x100))
+
+
+def _word_hashes(b):
+    """32 bits of the MD5 of every (lower-cased) word of a block; each distinct word is hashed once."""
+    values, first, at = np.unique(b.word, return_index=True, return_inverse=True)
+    if len(_HASHES) > 1 << 20:
+        _HASHES.clear()
+    raw, out = b.raw.tobytes(), np.empty(len(values), np.int64)
+    for i, v in enumerate(values.tolist()):
+        h = _HASHES.get(v)
+        if h is None:
+            w = first[i]
+            h = _HASHES[v] = int(hashlib.md5(raw[b.start[w]:b.end[w]].translate(_LOWER)).hexdigest()[:8], 16)
+        out[i] = h
+    return out[at]
+
+
+def _anchors(b):
+    """Words whose hash is below those of the ``REACH`` words before and not above those of the ``REACH`` words after, in
+    their text, and that have a whole window."""
+    h, n = _word_hashes(b), len(b.word)
+    keep = np.arange(n) + WINDOW <= b.first[b.doc + 1]
+    for o in range(1, REACH + 1):
+        same = b.doc[o:] == b.doc[:-o]
+        keep[o:] &= ~same | (h[o:] < h[:-o])
+        keep[:-o] &= ~same | (h[:-o] <= h[o:])
+    return np.flatnonzero(keep)
+
+
+def windows(docs: DataFrame) -> DataFrame:
+    """``(doc_id, start, a, b)``: the windows of every text with two 64-bit values of their words."""
+    def run(parts):
+        import pandas as pd
+
+        from vecstack.llm.words import Block, blocks, encode, mix
+        place = np.arange(WINDOW, dtype=np.uint64)
+        for pdf in parts:
+            raw, ids = encode(pdf["text"]), pdf["doc_id"].to_numpy()
+            for i, j in blocks(raw):
+                b = Block(raw[i:j])
+                at = _anchors(b)
+                words = b.word[at[:, None] + np.arange(WINDOW)]
+                value = lambda salt: mix((mix(words + mix(place * np.uint64(2) + np.uint64(salt)))).sum(axis=1, dtype=np.uint64)).view(np.int64)
+                yield pd.DataFrame({"doc_id": ids[i:j][b.doc[at]], "start": at - b.first[b.doc[at]], "a": value(1), "b": value(1 << 32)})
+
+    return docs.mapInPandas(run, "doc_id bigint, start int, a bigint, b bigint")
+
+
+def repeated_windows(docs: DataFrame) -> DataFrame:
+    """``(doc_id, start, n_words, component_id, removed)`` of every window that occurs again."""
+    found = materialise(windows(texts(docs).where("doc_id is not null")))
+    again = found.groupBy("a", "b").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "start")).alias("head")).where("n > 1")
+    again = materialise(again.select("a", "b", F.col("head.doc_id").alias("component_id"), F.col("head.start").alias("head_start")))
+    maybe = with_membership(found, "a", again, "a").where("__listed").drop("__listed")
+    return maybe.join(again, ["a", "b"]).select("doc_id", "start", F.lit(WINDOW).alias("n_words"), "component_id",
+                                               ((F.col("doc_id") != F.col("component_id")) | (F.col("start") != F.col("head_start"))).alias("removed"))
+
+
+def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``(doc_id, first_word, n_words, n_units, component_id, n_removed)`` of every maximal span of repeated units.
+
+    ``component_id``: the smallest document of the clusters of its units; ``n_removed``: its words in units that
+    are not the first of their cluster."""
+    columns = ("doc_id", "start", "n_words", "component_id", "removed")
+    units = repeated_paragraphs(docs, min_words).select(*columns).union(repeated_windows(docs).select(*columns))
+    units = units.withColumn("end", F.col("start") + F.col("n_words"))
+    order = Window.partitionBy("doc_id").orderBy("start", "end", "removed")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    removed_end = F.coalesce(F.max(F.when(F.col("removed"), F.col("end"))).over(before), F.lit(0))
+    units = units.withColumn("fresh", F.coalesce(F.col("start") > F.max("end").over(before), F.lit(True)).cast("int")) \
+        .withColumn("cut", F.when(F.col("removed"), F.greatest(F.lit(0), F.col("end") - F.greatest(F.col("start"), removed_end))).otherwise(0))
+    units = units.withColumn("span", F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return units.groupBy("doc_id", "span").agg(F.min("start").alias("first_word"), F.max("end").alias("end"), F.count("*").alias("n_units"),
+                                               F.min("component_id").alias("component_id"), F.sum("cut").alias("n_removed")) \
+        .select("doc_id", "first_word", (F.col("end") - F.col("first_word")).alias("n_words"), "n_units", "component_id", F.col("n_removed").cast("bigint").alias("n_removed"))
+
+
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``(doc_id, text)`` with every removal cut out (its line goes)."""
     gone = repeated_paragraphs(docs, min_words).where("removed").groupBy("doc_id").agg(F.collect_set("paragraph").alias("gone"))
