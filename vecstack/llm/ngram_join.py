@@ -10,7 +10,9 @@ the *probe prefix* of the larger one.
 2. A first round offers every group the few groups it shares most keys with (linear in the groups).
    Its verified links give provisional components, so that a cluster of thousands of near copies is
    joined without looking at its pairs.
-3. A second round joins the index with itself for groups of *different* components only, filtered
+3. Sets that share most with the same other set (near copies that are too far apart to link) are compared
+   whole, in blocks of one task each, which emit only links that join components.
+4. A last round joins the index with itself for groups of *different* components and leads only, filtered
    by size and by position, expands the groups into members and verifies those.  Pairs that the
    components already join are never formed; no other pair is left out, so the result is exact.
 
@@ -30,6 +32,7 @@ SHINGLE, NUM, DEN = 5, 75, 100
 HOT_SHARE = 0.002      # a shingle in this share of the texts handled at once is a candidate for "frequent"
 HOT_LEAST = 6          # ... and in this number of them
 OFFERS = 4             # partners offered to a group in the first round; only the amount of work depends on it
+FAMILY = 4000          # sets of one block of a family; only the amount of work depends on it
 HOT_LIMIT = 1 << 17    # length of the list of frequent shingles (1 MiB); it only sets the order
 
 
@@ -172,32 +175,41 @@ def shared_index(docs: DataFrame, hot, k: int = SHINGLE) -> DataFrame:
     def keep_shared(parts):
         import numpy as np
         import pandas as pd
-        got = [[], [], [], []]
+        order = _Order(hot.value)
+
+        def flush(got):
+            keys, gids, ns, poss = map(np.concatenate, got)
+            by = np.lexsort((gids, keys))
+            keys, gids, ns, poss = keys[by], gids[by], ns[by], poss[by]
+            new = np.ones(len(keys), bool)
+            new[1:] = (keys[1:] != keys[:-1]) | (gids[1:] != gids[:-1])     # copies within a group
+            keys, gids, ns, poss = keys[new], gids[new], ns[new], poss[new]
+            same = keys[1:] == keys[:-1]
+            shared = np.zeros(len(keys), bool)
+            shared[1:] |= same
+            shared[:-1] |= same
+            shared |= order.frequent(keys.view(np.uint64))[0]
+            rows = np.flatnonzero(shared)
+            head = np.flatnonzero(np.concatenate([[True], ~same]))
+            count = np.repeat(np.diff(np.append(head, len(keys))), np.diff(np.append(head, len(keys))))
+            for i in range(0, len(rows), 200_000):
+                r = rows[i:i + 200_000]
+                yield pd.DataFrame({"key": keys[r], "gid": gids[r], "n": ns[r].astype(np.int64), "pos": poss[r].astype(np.int64),
+                                    "groups": count[r]})
+
+        at, got = None, [[], [], [], []]                    # one bucket at a time
         for pdf in parts:
-            for out, c in zip(got, ("keys", "gids", "ns", "poss")):
-                out += list(pdf[c])
-        if not got[0]:
-            return
-        keys, gids, ns, poss = map(np.concatenate, got)
-        by = np.lexsort((gids, keys))
-        keys, gids, ns, poss = keys[by], gids[by], ns[by], poss[by]
-        new = np.ones(len(keys), bool)
-        new[1:] = (keys[1:] != keys[:-1]) | (gids[1:] != gids[:-1])     # copies within a group
-        keys, gids, ns, poss = keys[new], gids[new], ns[new], poss[new]
-        same = keys[1:] == keys[:-1]
-        shared = np.zeros(len(keys), bool)
-        shared[1:] |= same
-        shared[:-1] |= same
-        shared |= _Order(hot.value).frequent(keys.view(np.uint64))[0]
-        rows = np.flatnonzero(shared)
-        head = np.flatnonzero(np.concatenate([[True], ~same]))
-        count = np.repeat(np.diff(np.append(head, len(keys))), np.diff(np.append(head, len(keys))))
-        for i in range(0, len(rows), 200_000):
-            r = rows[i:i + 200_000]
-            yield pd.DataFrame({"key": keys[r], "gid": gids[r], "n": ns[r].astype(np.int64), "pos": poss[r].astype(np.int64),
-                                "groups": count[r]})
-
-    return (docs.select("text").mapInPandas(emit, schema).repartition("bucket")
+            for row in zip(pdf["bucket"], pdf["keys"], pdf["gids"], pdf["ns"], pdf["poss"]):
+                if row[0] != at and got[0]:
+                    yield from flush(got)
+                    got = [[], [], [], []]
+                at = row[0]
+                for out, x in zip(got, row[1:]):
+                    out.append(x)
+        if got[0]:
+            yield from flush(got)
+
+    return (docs.select("text").mapInPandas(emit, schema).repartition("bucket").sortWithinPartitions("bucket")
             .mapInPandas(keep_shared, "key bigint, gid bigint, n bigint, pos bigint, groups bigint"))
 
 
@@ -231,36 +243,43 @@ def _plausible(pairs: DataFrame, shared: DataFrame, num: int, den: int) -> DataF
                       f">= {num} * (x_n + y_n)").select(*pairs.columns)
 
 
-def _compared(pairs: DataFrame, docs: DataFrame, reps: DataFrame, k: int, rest: bool = False) -> DataFrame:
-    """``pairs(a, b)`` of representatives with the sizes and the intersection of their whole sets,
-    and with ``rest`` also the shingles that only ``a`` has: ``(a, b, na, nb, i[, rest])``."""
+def _compared(pairs: DataFrame, docs: DataFrame, reps: DataFrame, k: int) -> DataFrame:
+    """``pairs(a, b)`` of representatives with the sizes and the intersection of their whole sets: ``(a, b, na, nb, i)``."""
     pairs = cut_lineage(pairs.distinct())
     wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
     sets = materialise(_sets_of(docs, reps.join(wanted, "rep"), k))
     a = sets.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("items").alias("ia"))
     b = sets.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("items").alias("ib"))
     both = pairs.join(b, "b").join(a, "a")
-    return both.select("a", "b", "na", "nb", F.size(F.array_intersect("ia", "ib")).alias("i"),
-                       *([F.array_except("ia", "ib").alias("rest")] if rest else []))
+    return both.select("a", "b", "na", "nb", F.size(F.array_intersect("ia", "ib")).alias("i"))
 
 
 def _linked(compared: DataFrame, num: int, den: int) -> DataFrame:
     return compared.where(den * F.col("i") >= num * (F.col("na") + F.col("nb") - F.col("i"))).select("a", "b")
 
 
-def _families(compared: DataFrame) -> DataFrame:
-    """``(rep, lead, reach)``: for sets compared with the same other set ``lead``, the most that one
-    of them can have in common with another of them.
+def _leads(compared: DataFrame) -> DataFrame:
+    """``(rep, lead)``: of the sets that a set was compared with, the one it shares most with."""
+    return compared.groupBy("a").agg(F.max(F.struct("i", "b")).alias("m")).select(F.col("a").alias("rep"), F.col("m.b").alias("lead"))
+
+
+def _family_links(member: DataFrame, docs: DataFrame, reps: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Links ``(a, b)`` that join components of the sets ``member(rep, comp, lead)`` with the same lead, all of them compared.
+
+    The whole sets of a family meet once, in blocks of ``FAMILY`` sets (all pairs of blocks); pairs never become rows."""
+    several = member.groupBy("lead").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).where("lo < hi")
+    family = cut_lineage(member.join(several.select("lead", F.ceil(F.col("n") / FAMILY).cast("int").alias("parts")), "lead"))
+    sets = materialise(_sets_of(docs, reps.join(family.select("rep").distinct(), "rep"), k))
+    family = family.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")) \
+        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    family = family.select("lead", "rep", "comp", "own", F.least("own", "with").alias("x"), F.greatest("own", "with").alias("y"))
+
+    def run(parts):
+        from vecstack.llm.sets import group_links
+        yield from group_links(parts, ["lead", "x", "y"], "rep", num, den)
 
-    What two of them share is in ``lead`` as well, or is beyond it in both; so ``reach`` counts the
-    shingles common with ``lead`` and those beyond it that some other member has, too."""
-    best = compared.groupBy("a").agg(F.max(F.struct("i", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
-    own = compared.join(best, ["a", "b"])
-    beyond = own.select("a", "b", F.explode("rest").alias("item"))
-    again = beyond.groupBy("b", "item").agg(F.count("*").alias("n")).where("n > 1").select("b", "item")
-    extra = beyond.join(again, ["b", "item"]).groupBy("a").agg(F.count("*").alias("extra"))
-    return own.select("a", "b", "i").join(extra, "a", "left").select(
-        F.col("a").alias("rep"), F.col("b").alias("lead"), (F.col("i") + F.coalesce("extra", F.lit(0))).alias("reach"))
+    met = family.join(sets.select("rep", "items"), "rep").repartition("lead", "x", "y").sortWithinPartitions("lead", "x", "y")
+    return met.mapInPandas(run, "a bigint, b bigint")
 
 
 def jaccard_components(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
@@ -291,30 +310,34 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: i
              .join(head.select(F.col("gid").alias("x_gid"), F.col("head").alias("a")), "x_gid")
              .join(head.select(F.col("gid").alias("y_gid"), F.col("head").alias("b")), "y_gid").select("a", "b")
              .union(reps.join(head, "gid").where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b"))))
-    compared = materialise(_compared(pairs, named, reps, k, rest=True))
+    compared = materialise(_compared(pairs, named, reps, k))
     comp = cut_lineage(components(_linked(compared, num, den)).withColumnRenamed("node", "rep"))
 
     # round 2: every pair of different provisional components that the filters leave
-    member = cut_lineage(reps.join(comp, "rep", "left").join(_families(compared), "rep", "left").select(
-        "rep", "gid", F.coalesce("component", "rep").alias("comp"), F.coalesce("lead", "rep").alias("lead"), F.coalesce("reach", "n").alias("reach")))
+    member = cut_lineage(reps.join(comp, "rep", "left").join(_leads(compared), "rep", "left").select(
+        "rep", "gid", F.coalesce("component", "rep").alias("comp"), F.coalesce("lead", "rep").alias("lead")))
+    # sets with the same lead meet as a family; the joined index is for pairs with different leads
+    inside = _family_links(member.select("rep", "comp", "lead"), named, reps, k, num, den)
+    known = comp.where("rep <> component").select(F.col("rep").alias("a"), F.col("component").alias("b"))
+    comp = cut_lineage(components(known.union(inside)).withColumnRenamed("node", "rep"))
+    member = cut_lineage(member.drop("comp").join(comp, "rep", "left").withColumn("comp", F.coalesce("component", "rep")).drop("component"))
     # sets of one group, component and lead go together
-    unit = member.groupBy("gid", "comp", "lead").agg(F.max("reach").alias("reach"))
+    unit = member.select("gid", "comp", "lead").distinct()
     entries = index.join(unit, "gid").join(shared.select("gid", F.size("keys").alias("k")), "gid")
     split = entries.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
     entries = materialise(entries.join(split, "key", "left_semi"))
-    names = ("gid", "comp", "lead", "reach", "n", "pos", "k")
+    names = ("gid", "comp", "lead", "n", "pos", "k")
     rest = lambda c: f"-cast(floor(-{num} * {c} / {den}) as bigint) - 1"
     x = entries.where(F.col("pos") < index_end).select("key", *[F.col(c).alias("x_" + c) for c in names])
     y = entries.select("key", *[F.col(c).alias("y_" + c) for c in names])
     found = x.join(y, "key").where(
         f"x_gid <> y_gid and x_comp <> y_comp and x_n <= y_n and {den} * x_n >= {num} * y_n and "
         f"{num + den} * (least(x_pos, y_pos) + least(x_n - x_pos, y_n - y_pos)) >= {num} * (x_n + y_n) and "
-        f"{num + den} * (least(x_k, y_k) + greatest({rest('x_n')}, {rest('y_n')})) >= {num} * (x_n + y_n) and "
-        f"(x_lead <> y_lead or {num + den} * least(x_reach, y_reach) >= {num} * (x_n + y_n))")
+        f"{num + den} * (least(x_k, y_k) + greatest({rest('x_n')}, {rest('y_n')})) >= {num} * (x_n + y_n) and x_lead <> y_lead")
     ends = ["x_gid", "x_comp", "x_lead", "y_gid", "y_comp", "y_lead"]
     units = _plausible(found.select(*ends).distinct(), shared, num, den)
     u = lambda p: unit.select(F.col("gid").alias("x_gid"), F.col("comp").alias(p + "_comp"), F.col("lead").alias(p + "_lead"))
-    inner = u("x").join(u("y"), "x_gid").where("x_comp < y_comp").withColumn("y_gid", F.col("x_gid"))
+    inner = u("x").join(u("y"), "x_gid").where("x_comp < y_comp and x_lead <> y_lead").withColumn("y_gid", F.col("x_gid"))
     side = lambda p, name: member.select(*[F.col(c).alias(f"{p}_{c}") for c in ("gid", "comp", "lead")], F.col("rep").alias(name))
     more = (units.select(*ends).union(inner.select(*ends)).join(side("x", "a"), ends[:3]).join(side("y", "b"), ends[3:])
             .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))

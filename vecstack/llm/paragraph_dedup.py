@@ -6,7 +6,7 @@ words from each anchor on, whatever the newlines; an anchor is a word whose hash
 across lines (a passage of 50 words nearly always holds a whole window).
 
 Identical lines collapse first; each distinct one gets ``BANDS`` bands of ``ROWS`` minima over its five-word shingles (at a
-Jaccard similarity of 0.75 a pair shares a band with probability 1 - (1 - 0.75^4)^20 > 0.999).  Lines that collide in a
+Jaccard similarity of 0.75 a pair shares a band with probability 1 - (1 - 0.75^4)^16 > 0.997).  Lines that collide in a
 band are verified by their whole shingle sets and clustered by connected components.  A first round verifies every line
 against the first one of each of its buckets.  Buckets that still hold several components are compared whole, each distinct
 set of lines once, in a task that emits only links that join components (one product of 0/1 matrices over the shingles
@@ -29,8 +29,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vecstack.llm.common import components, cut_lineage, materialise, texts, with_membership
+from vecstack.llm.sets import group_links
 
-MIN_WORDS, SHINGLE, BANDS, ROWS, NUM, DEN = 25, 5, 20, 4, 75, 100
+MIN_WORDS, SHINGLE, BANDS, ROWS, NUM, DEN = 25, 5, 16, 4, 75, 100
 WINDOW, REACH = 25, 5
 GROUP = 4000           # lines of one block in a comparison of a bucket
 _SEEDS = np.random.default_rng(7).integers(1, 1 << 63, (BANDS * ROWS, 2), dtype=np.uint64) | np.uint64(1)
@@ -130,51 +131,6 @@ def _sets_of(pids: DataFrame, docs: DataFrame, first: DataFrame, min_words: int)
                        .dropDuplicates(["pid"]))
 
 
-class _Set:
-    """Lines of a bucket as arrays: ``pid``, component ``root``, set sizes and a 0/1 matrix over the shingles that several have."""
-
-    def __init__(self, pid, comp, items):
-        self.pid, self.root = pid, comp.copy()
-        self.size = np.array([len(x) for x in items], np.float32)
-        flat = np.concatenate(items) if len(items) else np.zeros(0, np.int64)
-        _, code, count = np.unique(flat, return_inverse=True, return_counts=True)
-        held = np.flatnonzero(count > 1)                        # the others are in no intersection
-        place = np.full(len(count), -1)
-        place[held] = np.arange(len(held))
-        self.row, self.col = np.repeat(np.arange(len(items)), self.size.astype(np.int64)), place[code]
-        self.row, self.col = self.row[self.col >= 0], self.col[self.col >= 0]
-        self.width = len(held)
-
-    def common(self, i, j, a, b):
-        """Sizes of the intersections of the lines ``i..j`` with the lines ``a..b``."""
-        out = np.zeros((j - i, b - a), np.float32)
-        for s in range(0, self.width, 2048):
-            x, y = (np.zeros((n, min(2048, self.width - s)), np.float32) for n in (j - i, b - a))
-            for m, lo, hi in ((x, i, j), (y, a, b)):
-                use = (self.row >= lo) & (self.row < hi) & (self.col >= s) & (self.col < s + m.shape[1])
-                m[self.row[use] - lo, self.col[use] - s] = 1
-            out += x @ y.T
-        return out
-
-    def links(self, halves: int | None):
-        """Links ``(pid, pid)`` that join components; with ``halves`` only those from the first ``halves`` lines to the others."""
-        n = len(self.pid)
-        out = []
-        rows, cols = (n, (0, n)) if halves is None else (halves, (halves, n))
-        for i in range(0, rows, 512):
-            j = min(rows, i + 512)
-            both = self.common(i, j, *cols)
-            near = DEN * both >= NUM * (self.size[i:j, None] + self.size[None, cols[0]:cols[1]] - both)
-            for r in range(j - i):
-                other = cols[0] + np.flatnonzero(near[r] & (self.root[cols[0]:cols[1]] != self.root[i + r]))
-                for root in np.unique(self.root[other]):
-                    out.append((self.pid[i + r], self.pid[other[self.root[other] == root][0]]))
-                if len(other):
-                    merged = np.append(np.unique(self.root[other]), self.root[i + r])
-                    self.root[np.isin(self.root, merged)] = merged.min()
-        return out
-
-
 def _bucket_links(rest: DataFrame, docs: DataFrame, first: DataFrame, min_words: int) -> DataFrame:
     """Links ``(a, b)`` between the components of each bucket of ``rest(key, pid, comp)``, all its lines compared."""
     groups = rest.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.xxhash64("pid").cast("decimal(38,0)")).alias("s"),
@@ -187,15 +143,11 @@ def _bucket_links(rest: DataFrame, docs: DataFrame, first: DataFrame, min_words:
     member = member.withColumn("own", own).withColumn("with", other)
     member = member.select("key", "pid", "comp", "own", F.least("own", "with").alias("x"), F.greatest("own", "with").alias("y"))
 
-    def run(pdf):
-        import pandas as pd
-        x, y = pdf["x"].iat[0], pdf["y"].iat[0]
-        pdf = pdf.sort_values(["own", "pid"])
-        s = _Set(pdf["pid"].to_numpy(np.int64), pdf["comp"].to_numpy(np.int64), [np.asarray(i, np.int64) for i in pdf["items"]])
-        found = s.links(None if x == y else int((pdf["own"] == x).sum()))
-        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+    def run(parts):
+        yield from group_links(parts, ["key", "x", "y"], "pid", NUM, DEN)
 
-    return member.join(sets, "pid").groupBy("key", "x", "y").applyInPandas(run, "a bigint, b bigint").distinct()
+    met = member.join(sets, "pid").repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+    return met.mapInPandas(run, "a bigint, b bigint").distinct()
 
 
 def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -227,23 +179,28 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFram
 
 
 # ------------------------------------------------------------------ windows and spans
-_HASHES: dict = {}
+_SLOTS = 21            # log2 of the words whose hashes a worker keeps (32 MB)
 _LOWER = bytes(range(0x41)) + bytes(range(0x61, 0x7B)) + bytes(range(0x5B, 0x100))
+_KEPT: list = []
 
 
 def _word_hashes(b):
-    """32 bits of the MD5 of every (lower-cased) word of a block; each distinct word is hashed once."""
-    values, first, at = np.unique(b.word, return_index=True, return_inverse=True)
-    if len(_HASHES) > 1 << 20:
-        _HASHES.clear()
-    raw, out = b.raw.tobytes(), np.empty(len(values), np.int64)
-    for i, v in enumerate(values.tolist()):
-        h = _HASHES.get(v)
-        if h is None:
-            w = first[i]
-            h = _HASHES[v] = int(hashlib.md5(raw[b.start[w]:b.end[w]].translate(_LOWER)).hexdigest()[:8], 16)
-        out[i] = h
-    return out[at]
+    """32 bits of the MD5 of every (lower-cased) word of a block; words seen before are looked up by their value."""
+    if not _KEPT:
+        _KEPT.extend([np.full(1 << _SLOTS, (1 << 64) - 1, np.uint64), np.zeros(1 << _SLOTS, np.int64)])
+    values, hashes = _KEPT
+    slot = (b.word >> np.uint64(64 - _SLOTS)).astype(np.int64)
+    out = hashes[slot]
+    miss = np.flatnonzero(values[slot] != b.word)
+    if len(miss):
+        raw = b.raw.tobytes()
+        new, first, at = np.unique(b.word[miss], return_index=True, return_inverse=True)
+        words = [raw[s:e].translate(_LOWER) for s, e in zip(b.start[miss[first]].tolist(), b.end[miss[first]].tolist())]
+        found = np.array([int(hashlib.md5(w).hexdigest()[:8], 16) for w in words], np.int64)
+        out[miss] = found[at]
+        slot = (new >> np.uint64(64 - _SLOTS)).astype(np.int64)
+        values[slot], hashes[slot] = new, found
+    return out
 
 
 def _anchors(b):
