@@ -24,13 +24,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecstack.llm.common import cut_lineage, without_ids
+from vecstack.llm.common import batches_of, cut_lineage, without_ids
 
 BUCKETS = 1 << 14            # hashed trigrams
 ALPHA = 0.5                  # pseudo-count of a bucket
 EVIDENCE_TRIGRAMS = 60.0     # a text counts as this many independent trigrams at most
 HOST_MASS = 20.0             # pseudo-documents of the parent's distribution
 MIN_POSTERIOR = 0.5
+SLICE = 1000                 # texts handed to a Python worker at once
 MAX_MODEL_BYTES = 256 << 20  # of the broadcast likelihoods (BUCKETS x languages)
 
 _FOLD = np.arange(256, dtype=np.uint8)       # bytes of ASCII letters in lower case, other ASCII as space
@@ -100,8 +101,9 @@ def learn(docs: DataFrame) -> Likelihoods:
             at = np.flatnonzero(n)
             yield pd.DataFrame({"language": name, "bucket": at.astype(np.int32), "n": n[at]})
 
-    counted = cut_lineage(docs.where("declared is not null").select("declared", "text").mapInPandas(count, schema)
-                          .groupBy("language", "bucket").agg(F.sum("n").alias("n")))
+    with batches_of(docs.sparkSession, SLICE):
+        counted = cut_lineage(docs.where("declared is not null").select("declared", "text").mapInPandas(count, schema)
+                              .groupBy("language", "bucket").agg(F.sum("n").alias("n")))
     languages = [r["language"] for r in counted.select("language").distinct().orderBy("language").collect()]
     if len(languages) * BUCKETS * 4 > MAX_MODEL_BYTES:
         raise ValueError(f"{len(languages)} declared languages: the model would pass {MAX_MODEL_BYTES} bytes")
@@ -173,7 +175,8 @@ def identify(docs: DataFrame, declared: str | None = "lang", host: str | None =
     if not names:
         return docs.select("doc_id", F.lit(None).cast("string").alias("language"), F.lit(None).cast("double").alias("posterior"),
                            F.lit(None).cast("string").alias("text_language"), F.lit(False).alias("kept"))
-    scores = cut_lineage(text_scores(docs, model))
+    with batches_of(docs.sparkSession, SLICE):
+        scores = cut_lineage(text_scores(docs, model))
     agree = scores.where("declared is not null and guess is not null").agg(F.avg((F.col("declared") == F.col("guess")).cast("double"))).first()[0]
     trust = min(0.99, max(0.5, agree if agree is not None else 0.5))
     other = (1 - trust) / max(1, len(names) - 1)

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vecstack.llm.common import components, cut_lineage, materialise, texts, with_membership
+from vecstack.llm.common import batches_of, components, cut_lineage, marked, materialise, texts, with_membership
 
 SHINGLE, NUM, DEN = 5, 75, 100
 HOT_SHARE = 0.002      # a shingle in this share of the texts handled at once is a candidate for "frequent"
@@ -286,7 +286,11 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: i
     """``(doc_id, n_shingles, component_id)``, one row for each row of ``docs(doc_id, text)``."""
     if 2 * num < den:
         raise ValueError("the prefixes are laid out for thresholds of one half or more")
-    docs = texts(docs)
+    with batches_of(docs.sparkSession, SLICE):         # every Python step below is run inside
+        return _components_of(texts(docs), k, num, den)
+
+
+def _components_of(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     named = docs.where("doc_id is not null")
     hot = frequent_shingles(named, k)
     sets = cut_lineage(shingle_sets(docs, hot, k))
@@ -357,15 +361,14 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: i
 
 
 def one_per_component(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose document is the smallest of its component, each once.
-
-    Rows with a null ``doc_id`` are kept."""
+    """The rows of ``docs`` whose document is the smallest of its component, each once (of rows sharing a ``doc_id`` the one
+    of the smallest text, an empty or null one last, then of the smallest other columns).  Rows with a null ``doc_id`` are kept."""
     comp = cut_lineage(jaccard_components(docs, **options).where("doc_id is not null"))
     several = comp.groupBy("doc_id").agg(F.count("*").alias("rows"), F.first("component_id").alias("head"))
     # most rows are neither repeated nor in another document's component: those stay where they are
-    several = cut_lineage(several.where("rows > 1 or head <> doc_id").select(F.col("doc_id").alias("_id"), (F.col("head") != F.col("doc_id")).alias("_gone")))
-    marked = with_membership(docs, "doc_id", several, "_id")
-    apart = F.col("__listed") & F.col("doc_id").isNotNull()
-    maybe = marked.where(apart)
-    rest = maybe.join(several.where("_gone").select("_id"), maybe["doc_id"].cast("bigint") == F.col("_id"), "left_anti")
-    return marked.where(~apart).union(rest.dropDuplicates(["doc_id"])).drop("__listed")
+    several = cut_lineage(several.where("rows > 1 or head <> doc_id").select(F.col("doc_id").alias("id"), (F.col("head") != F.col("doc_id")).alias("gone")))
+    rows = marked(docs, docs["doc_id"], several, "id")
+    apart = F.col("listed") & F.col("value").isNotNull()
+    rest = rows.where(apart).join(several.where("gone").select("id"), F.col("value") == F.col("id"), "left_anti")
+    one = rest.groupBy("value").agg(F.min_by("row", F.struct(F.coalesce(F.col("row.text").cast("string"), F.lit("")) == "", F.col("row.text"), F.to_json("row"))).alias("row")).select("row")
+    return rows.where(~apart).select("row").union(one).select("row.*")

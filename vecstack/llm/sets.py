@@ -23,8 +23,8 @@ class SetBlock:
     def common(self, i, j, a, b):
         """Sizes of the intersections of the sets ``i..j`` with the sets ``a..b``."""
         out = np.zeros((j - i, b - a), np.float32)
-        for s in range(0, self.width, 2048):
-            x, y = (np.zeros((n, min(2048, self.width - s)), np.float32) for n in (j - i, b - a))
+        for s in range(0, self.width, 1024):
+            x, y = (np.zeros((n, min(1024, self.width - s)), np.float32) for n in (j - i, b - a))
             for m, lo, hi in ((x, i, j), (y, a, b)):
                 use = (self.row >= lo) & (self.row < hi) & (self.col >= s) & (self.col < s + m.shape[1])
                 m[self.row[use] - lo, self.col[use] - s] = 1
@@ -51,7 +51,8 @@ class SetBlock:
 
 
 SMALL = 32             # groups up to this size are compared many at a time
-_CHUNK = 1 << 21       # numbers of the pairs compared at once
+GATHER = 4000          # sets gathered for that
+_CHUNK = 1 << 19       # numbers of the pairs compared at once
 
 
 def small_links(group, comp, pid, items, num: int, den: int) -> list:
@@ -126,7 +127,7 @@ def group_links(parts, keys: list[str], name: str, num: int, den: int):
         last = np.ones(len(kept), bool)
         for k in keys:
             last &= (kept[k] == kept[k].iat[-1]).to_numpy()
-        if len(kept) >= 20_000 and not last.all():
+        if len(kept) >= GATHER and not last.all():
             yield flush(kept[~last])                            # the last group may go on in the next batch
             kept = kept[last]
     if kept is not None and len(kept):
