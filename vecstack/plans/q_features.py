@@ -106,13 +106,24 @@ SELECT a.dim AS i, b.dim AS j, {r("covar_samp(a.v, b.v)", 9)} AS value
 FROM l a JOIN l b ON a.row_id = b.row_id AND a.dim <= b.dim GROUP BY 1, 2""")
 def q_pca_fit(spark, sf):
     """the covariance put together again from the eigenpairs, V diag(λ) Vᵀ, entry by entry."""
-    m = P.fit_pca(labelled_vectors(spark, sf), variance_ratio=1.0)
+    return _put_together(spark, P.fit_pca(labelled_vectors(spark, sf), variance_ratio=1.0))
+
+
+def _put_together(spark, m):
     v = m.components
     whole = (v * m.eigenvalues[:v.shape[1]]) @ v.T
     rows = [(i, j, float(whole[i, j])) for i in range(len(whole)) for j in range(i, len(whole))]
     return spark.createDataFrame(rows, "i long, j long, value double").select("i", "j", rnd("value", 9).alias("value"))
 
 
+@register("pca_fit_iterative", _LONG_ALL + f"""
+SELECT a.dim AS i, b.dim AS j, {r("covar_samp(a.v, b.v)", 9)} AS value
+FROM l a JOIN l b ON a.row_id = b.row_id AND a.dim <= b.dim GROUP BY 1, 2""")
+def q_pca_fit_iterative(spark, sf):
+    """F12 on the path for any number of dimensions: the eigenpairs of distributed products give the covariance again."""
+    return _put_together(spark, P.fit_pca_iterative(labelled_vectors(spark, sf), variance_ratio=1.0))
+
+
 @register("pca_project", _LONG_ALL + f""",
 mu AS (SELECT dim, avg(v) AS m FROM l GROUP BY dim)
 SELECT l.row_id, {r("sum((l.v - mu.m) * (l.v - mu.m))", 9)} AS sq_norm FROM l JOIN mu USING (dim) GROUP BY 1""")

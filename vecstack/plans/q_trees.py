@@ -273,6 +273,23 @@ def q_forest_predict(spark, sf):
     return ens.predict(va).select("row_id", big("pred").alias("pred"))
 
 
+@register("pipeline_reloaded", _FOREST_SQL + apply_sql("t_nodes", "va", "xl", FOREST_P.max_depth) + """,
+vv AS (SELECT row_id, vote, count(*) AS c, min(tree) AS first FROM ap_leaf GROUP BY 1, 2)
+SELECT row_id, vote::BIGINT AS pred FROM vv
+QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY c DESC, first) = 1""")
+def q_pipeline_reloaded(spark, sf):
+    """A pipeline with a forest is fitted, saved, read back and applied."""
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from vecstack.operators.stages import ForestStage
+    from vecstack.sources.files import scratch_path
+    df, _ = split(spark, sf)
+    forest = ForestStage(n_estimators=TREES, sample_ratio=0.35, max_depth=FOREST_P.max_depth, n_thresholds=FOREST_P.n_thresholds, decimals=DEC)
+    path = scratch_path(spark, "pipeline")
+    Pipeline(stages=[forest]).fit(df).write().overwrite().save(path)
+    return PipelineModel.load(path).transform(df).select("row_id", big("pred").alias("pred"))
+
+
 @register("model_apply_join", _FOREST_SQL + apply_sql("t_nodes", "e", "xl", FOREST_P.max_depth) + """
 SELECT row_id, tree::BIGINT AS tree, node::BIGINT AS node FROM ap_leaf""")
 def q_model_apply(spark, sf):
