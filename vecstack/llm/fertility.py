@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vecstack.llm.common import cut_lineage, texts
+from vecstack.operators.ranges import values_at
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 FENCE = 3.0          # quartile distances beyond the quartiles
@@ -127,14 +128,23 @@ def _base_failed():
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
 
+BANDS_BROADCAST = 100_000     # languages and scripts whose bounds may travel to every task
+
+
 def bands(measured: DataFrame, fence: float = FENCE) -> DataFrame:
-    """One row per language or script: the accepted interval of each measure (null: no bound)."""
-    quartiles = measured.where(~_base_failed()).groupBy("band").agg(
-        *[F.percentile_approx(m, [0.25, 0.5, 0.75], 10_000).alias(m) for m in MIN_SPREAD])
+    """One row per language or script: the accepted interval of each measure (null: no bound).
+
+    The quartiles are exact (linear between ranks), whatever the partitions."""
+    good = measured.where(~_base_failed())
+    long = good.select("band", F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("x")) for m in MIN_SPREAD])).alias("v")) \
+        .select("band", "v.measure", "v.x", F.lit(1).cast("bigint").alias("w")).where("x is not null")
+    n_keys = len(MIN_SPREAD) * good.select("band").distinct().count()
+    found = values_at(long, ["band", "measure"], "x", "w", [0.25, 0.75], n_keys)
+    quartiles = found.groupBy("band").agg(*[F.first(F.when(F.col("measure") == m, F.col("q")), ignorenulls=True).alias(m) for m in MIN_SPREAD])
     cols = []
     for m, least in MIN_SPREAD.items():
-        spread = F.greatest(F.col(m)[2] - F.col(m)[0], F.lit(least))
-        ends = {"lo": F.col(m)[0] - fence * spread, "hi": F.col(m)[2] + fence * spread}
+        spread = F.greatest(F.col(m)[1] - F.col(m)[0], F.lit(least))
+        ends = {"lo": F.col(m)[0] - fence * spread, "hi": F.col(m)[1] + fence * spread}
         cols += [(v if k in SIDES[m] else F.lit(None).cast("double")).alias(f"{m}_{k}") for k, v in ends.items()]
     return quartiles.select("band", *cols)
 
@@ -146,6 +156,8 @@ def judge(docs: DataFrame, model_path: str, fence: float = FENCE) -> DataFrame:
     inside = F.lit(True)
     for c in MIN_SPREAD:
         inside = inside & F.coalesce(F.col(c) >= F.col(c + "_lo"), F.lit(True)) & F.coalesce(F.col(c) <= F.col(c + "_hi"), F.lit(True))
-    return m.join(bands(m, fence), "band", "left").select(
+    limits = cut_lineage(bands(m, fence))
+    limits = F.broadcast(limits) if limits.count() <= BANDS_BROADCAST else limits
+    return m.join(limits, "band", "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", _base_failed().alias("base_failed"),
         (~_base_failed() & inside).alias("kept"), "chars_per_token", "byte_share", "entropy", "band")

@@ -132,18 +132,38 @@ def word_sequence(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.translate(text, _UPPER, _LOWER), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
 
 
+_MARK = "\x01"         # never in a sequence of words
+BLOCK = 64             # detections suppressed together
+
+
 def _places(words: Column, regex: Column) -> Column:
-    """``array<struct<start, n>>``: word intervals of the matches of ``regex`` in ``words``."""
-    between = F.split(words, regex, -1)
+    """``array<struct<start, n>>``: word intervals of the matches of ``regex`` in ``words``, in time linear in the text:
+    the first word of every match is marked, and the marked words are found by their place."""
     match = F.regexp_extract_all(words, regex, F.lit(0))
-    blanks = lambda s: F.length(s) - F.length(F.replace(s, F.lit(" ")))
-    both = F.arrays_zip(between.alias("b"), match.alias("m"))
-    state = F.aggregate(
-        F.slice(both, F.lit(1), F.size(match)),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,n:int>>").alias("out")),
-        lambda a, x: F.struct((a["at"] + blanks(x["b"]) + blanks(x["m"])).alias("at"),
-                              F.concat(a["out"], F.array(F.struct((a["at"] + blanks(x["b"])).alias("start"), (blanks(x["m"]) + 1).alias("n")))).alias("out")))
-    return state["out"]
+    marked = F.split(F.regexp_replace(words, regex, F.lit(_MARK + "$0")), " ", -1)
+    starts = F.filter(F.transform(marked, lambda w, i: F.when(F.startswith(w, F.lit(_MARK)), i)), lambda i: i.isNotNull())
+    n = F.transform(match, lambda m: F.length(m) - F.length(F.replace(m, F.lit(" "))) + 1)
+    return F.transform(F.arrays_zip(starts.alias("s"), n.alias("n")), lambda x: F.struct(x["s"].cast("int").alias("start"), x["n"].cast("int").alias("n")))
+
+
+def _uncontained(ordered: Column, found: str) -> Column:
+    """The detections that do not end inside an earlier one of ``ordered`` (by start, the longer first).
+
+    They are taken in blocks of ``BLOCK``; each begins with the last end of the blocks before, so the time stays
+    near linear in the detections."""
+    end = lambda h: h["start"] - h["shorter"]
+    blocks = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(ordered) - 1) / BLOCK).cast("int"))),
+                         lambda b: F.slice(ordered, b * BLOCK + 1, BLOCK))
+    before = F.aggregate(
+        blocks, F.struct(F.lit(-1).alias("m"), F.array().cast("array<int>").alias("out")),
+        lambda a, x: F.struct(F.greatest(a["m"], F.array_max(F.transform(x, end))).alias("m"), F.concat(a["out"], F.array(a["m"])).alias("out")))["out"]
+    kept = lambda block, last: F.aggregate(
+        block, F.struct(last.alias("end"), F.array().cast(found).alias("out")),
+        lambda a, h: F.when(end(h) <= a["end"], a).otherwise(F.struct(
+            end(h).alias("end"),
+            F.concat(a["out"], F.array(F.struct(h["start"].alias("start"), (-h["shorter"]).alias("n"), h["priority"].alias("priority"),
+                                                h["label"].alias("label"), h["confidence"].alias("confidence")))).alias("out"))))["out"]
+    return F.flatten(F.transform(F.arrays_zip(blocks.alias("block"), before.alias("last")), lambda x: kept(x["block"], x["last"])))
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -171,12 +191,7 @@ def scan(docs: DataFrame) -> DataFrame:
         _places(F.col("_w"), r["regex"]),
         lambda x: F.struct(x["start"], x["n"], r["priority"].alias("priority"), r["label"].alias("label"), r["confidence"].alias("confidence")))))
     ordered = F.array_sort(F.transform(hits, lambda h: F.struct(h["start"], (-h["n"]).alias("shorter"), h["priority"], h["label"], h["confidence"])))
-    kept = F.aggregate(
-        ordered, F.struct(F.lit(-1).alias("end"), F.array().cast(found).alias("out")),
-        lambda a, h: F.when(h["start"] - h["shorter"] <= a["end"], a).otherwise(F.struct(
-            (h["start"] - h["shorter"]).alias("end"),
-            F.concat(a["out"], F.array(F.struct(h["start"].alias("start"), (-h["shorter"]).alias("n"), h["priority"].alias("priority"),
-                                                h["label"].alias("label"), h["confidence"].alias("confidence")))).alias("out"))))["out"]
+    kept = F.transform(F.array(ordered), lambda o: _uncontained(o, found))[0]      # a lambda's argument is evaluated once
     return seq.select("doc_id", F.col("_n").cast("bigint").alias("n_words"),
                       F.when(gate, base).otherwise(F.array().cast(place)).alias("base"),
                       F.when(gate, kept).otherwise(F.array().cast(found)).alias("detections"))
