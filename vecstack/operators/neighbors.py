@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from vecstack.functions.arrays import NORM_EPS
+from vecstack.session import cut_lineage
 
 NEIGHBOR_SCHEMA = "q_id long, t_id long, t_label int, score double, rank int"
 
@@ -218,18 +219,24 @@ def append_shipped(df: DataFrame, shipped, k: int, metric: str, classes=None, fe
     return df.mapInPandas(run, StructType(fields))
 
 
+LSH_SAMPLE = 200               # queries whose exact neighbours tell how many buckets to probe
+LSH_RECALL = 0.93              # recall asked for on that sample
+
+
 def knn_lsh_topk(query: DataFrame, train: DataFrame, k: int = 5, bucket_length: float = 0.5,
                  num_tables: int = 8, metric: str = "cosine", id_col: str = "row_id",
                  features: str = "features", label: str = "label", seed: int = 42,
-                 block_rows: int = 8192) -> DataFrame:
-    """Approximate neighbours — only rows sharing a random-projection LSH bucket in some
-    table are compared; recall < 1 by design (use :func:`knn_topk` for exact).
-
-    Candidate pairs are never emitted: rows are keyed by ``(table, bucket)``; a bucket with
-    more than ``block_rows`` train rows is split into train sub-blocks (its queries are
-    replicated across that bucket's sub-blocks only), every ``(table, bucket, sub-block)``
-    meets in one ``cogroup`` task that emits its local top-k (exact scores), and the
-    candidates are de-duplicated across tables and merged per query by ``row_number``."""
+                 block_rows: int = 8192, recall: float = LSH_RECALL) -> DataFrame:
+    """Approximate neighbours by multi-probe random-projection LSH, ``k`` rows for every query (fewer only if
+    the train side has fewer).
+
+    In each table a query looks into its own bucket and ``p`` buckets on either side; ``p`` grows (0, 1, 2, 4, …) until the rows found
+    for a hash sample of at most ``LSH_SAMPLE`` queries reach ``recall`` against their exact neighbours.  Queries that still have fewer
+    than ``k`` rows are searched exactly (:func:`knn_topk`).
+
+    Candidate pairs are never emitted: rows are keyed by ``(table, bucket)``; a bucket with more than ``block_rows`` train rows is split, and
+    so are its visiting queries, every ``(table, bucket, train part, query part)`` meets in one ``cogroup`` task that emits its local top-k
+    (exact scores), and the candidates are de-duplicated across tables and merged per query by ``row_number``."""
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
@@ -245,6 +252,8 @@ def knn_lsh_topk(query: DataFrame, train: DataFrame, k: int = 5, bucket_length:
         return out.withColumn("v", array_to_vector("f"))
 
     tv, qv = keyed(train, "t_id", True), keyed(query, "q_id", False)
+    if tv.isEmpty():
+        return query.sparkSession.createDataFrame([], NEIGHBOR_SCHEMA)
     lsh = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket_length,
                                       numHashTables=num_tables, seed=seed).fit(tv)
 
@@ -252,29 +261,53 @@ def knn_lsh_topk(query: DataFrame, train: DataFrame, k: int = 5, bucket_length:
         h = lsh.transform(df).withColumn("hb", F.transform("h", lambda vv: vector_to_array(vv)[0].cast("long")))
         return h.select("*", F.posexplode("hb").alias("tbl", "bucket")).drop("v", "h", "hb")
 
-    tb, qb = buckets(tv), buckets(qv)
-    sizes = tb.groupBy("tbl", "bucket").agg(F.count("*").alias("n"))      # one row per bucket
-    sizes = sizes.select("tbl", "bucket", F.greatest(F.lit(1), F.ceil(F.col("n") / block_rows))
-                         .cast("long").alias("nsub"))
-    tb = tb.join(sizes, ["tbl", "bucket"]).withColumn("sub", F.pmod(F.xxhash64("t_id"), F.col("nsub")))
-    qb = qb.join(sizes, ["tbl", "bucket"]) \
-           .withColumn("sub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nsub") - 1)))
-    keys = ["tbl", "bucket", "sub"]
+    tb = buckets(tv)
+    t_parts = tb.groupBy("tbl", "bucket").agg(F.ceil(F.count("*") / block_rows).cast("long").alias("t_parts"))      # one row per bucket
+    keys = ["tbl", "bucket", "tp", "qp"]
+    every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    part = lambda c, n: F.pmod(F.xxhash64(c), F.col(n))
 
     def pair(qp: pd.DataFrame, tp: pd.DataFrame) -> pd.DataFrame:
         t_mat = _stack(tp["f"])
         t_sq = (t_mat * t_mat).sum(axis=1) if len(t_mat) else np.zeros(0)
-        mtr = "cosine" if metric == "cosine" else "euclidean"
         return _local_topk(qp["q_id"].to_numpy(np.int64), _stack(qp["f"]), tp["t_id"].to_numpy(np.int64),
-                           tp["t_label"].to_numpy(np.int32), t_mat, t_sq, k, mtr)
-
-    cand = (qb.select(*keys, "q_id", "f").groupBy(*keys)
-              .cogroup(tb.select(*keys, "t_id", "t_label", "f").groupBy(*keys))
-              .applyInPandas(pair, NEIGHBOR_SCHEMA))
-    cand = cand.groupBy("q_id", "t_id").agg(F.first("t_label").alias("t_label"), F.first("score").alias("score"))
+                           tp["t_label"].to_numpy(np.int32), t_mat, t_sq, k, metric)
+
+    def search(queries, probes: int):
+        qb = buckets(queries).withColumn("bucket", F.explode(F.sequence(F.col("bucket") - probes, F.col("bucket") + probes)))
+        asked = qb.groupBy("tbl", "bucket").agg(F.ceil(F.count("*") / block_rows).cast("long").alias("q_parts"))
+        plan = asked.join(t_parts, ["tbl", "bucket"])                     # buckets that hold both
+        q = qb.join(plan, ["tbl", "bucket"]).withColumn("qp", part("q_id", "q_parts")).withColumn("tp", every("t_parts"))
+        t = tb.join(plan, ["tbl", "bucket"]).withColumn("tp", part("t_id", "t_parts")).withColumn("qp", every("q_parts"))
+        cand = (q.select(*keys, "q_id", "f").groupBy(*keys).cogroup(t.select(*keys, "t_id", "t_label", "f").groupBy(*keys))
+                .applyInPandas(pair, NEIGHBOR_SCHEMA))
+        cand = cand.groupBy("q_id", "t_id").agg(F.first("t_label").alias("t_label"), F.first("score").alias("score"))
+        return _ranked(cand, k, metric)
+
+    sample = query.join(F.broadcast(query.select(id_col).orderBy(F.xxhash64(F.lit(seed), id_col)).limit(LSH_SAMPLE)), id_col)
+    exact = knn_topk(sample, train, k, metric, id_col, features, label, block_rows=block_rows)
+    worst = exact.groupBy("q_id").agg((F.min("score") if metric == "cosine" else F.max("score")).alias("worst"), F.count("*").alias("n")).collect()  # LSH_SAMPLE rows
+    worst = query.sparkSession.createDataFrame([tuple(r) for r in worst], "q_id long, worst double, n long")
+    total = worst.agg(F.sum("n")).first()[0] or 0
+    good = F.col("score") >= F.col("worst") - 1e-9 if metric == "cosine" else F.col("score") <= F.col("worst") + 1e-9
+    qs = keyed(sample, "q_id", False)
+    probes = 0
+    while total and search(qs, probes).join(F.broadcast(worst), "q_id").where(good).count() < recall * total and probes < 1 << 20:
+        probes = max(1, 2 * probes)
+    found = cut_lineage(search(qv, probes))
+    short = query.join(found.groupBy(F.col("q_id").alias(id_col)).agg(F.count("*").alias("_n")), id_col, "left").where("_n is null or _n < %d" % k)
+    short = short.select(*query.columns)
+    if short.isEmpty():
+        return found
+    rest = knn_topk(short, train, k, metric, id_col, features, label, block_rows=block_rows)
+    return found.join(short.select(F.col(id_col).cast("long").alias("q_id")).distinct(), "q_id", "left_anti").unionByName(rest)
+
+
+def _ranked(cand: DataFrame, k: int, metric: str) -> DataFrame:
+    """The ``k`` best candidates of each query with their rank."""
     order = F.col("score").desc() if metric == "cosine" else F.col("score").asc()
-    w = Window.partitionBy("q_id").orderBy(order, F.col("t_id"))            # ≤ tables × sub-blocks × k rows
-    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    w = Window.partitionBy("q_id").orderBy(order, F.col("t_id"))
+    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("q_id", "t_id", "t_label", "score", "rank")
 
 
 def majority_vote(neigh: DataFrame, key: str = "q_id", vote: str = "t_label",
