@@ -118,7 +118,7 @@ class _LearnerStage(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWri
         self._setDefault(featuresCol="features", labelCol="label", outputCol="features", **self.settings)
         self._set(**values)
 
-    def set(self, **values):                                # noqa: A003
+    def with_settings(self, **values):
         """The stage with other settings (a copy)."""
         return self.copy({getattr(self, k): v for k, v in values.items()})
 

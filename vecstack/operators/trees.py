@@ -615,8 +615,12 @@ def fit_forest_folds(folded: DataFrame, cv: int, classes: list, n_estimators: in
     from vecstack.operators.histogram import fit_hist
     from vecstack.operators.sampling import bootstrap_rate, bootstrap_weight_array
     d = len(folded.select(features).first()[0])
-    own = [F.transform(bootstrap_weight_array(n_estimators, bootstrap_rate(n, sample_ratio, min_rows), params.seed),
-                       lambda w, f=f: F.when(F.col(fold) == f, 0).otherwise(w)) for f, n in enumerate(sizes)]
+
+    def weights(f: int, n: int):
+        drawn = bootstrap_weight_array(n_estimators, bootstrap_rate(n, sample_ratio, min_rows), params.seed)
+        return F.transform(drawn, lambda w: F.when(F.col(fold) == f, 0).otherwise(w))
+
+    own = [weights(f, n) for f, n in enumerate(sizes)]
     total = n_estimators * len(own)
     every = sorted({c for cs in classes for c in cs})
     ens = fit_hist(folded, total, params, d, every, F.concat(*own), total, name_of=lambda t: t % n_estimators, label=label, features=features)
