@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from vecstack.session import cut_lineage, ensure_checkpoint_dir, ship_package
 
-__all__ = ["batches_of", "components", "cut_lineage", "marked", "materialise", "read", "ship_package", "texts", "with_membership",
+__all__ = ["batches_of", "components", "cut_lineage", "fresh", "materialise", "own_columns", "read", "ship_package", "texts", "with_membership",
            "without_ids", "workspace"]
 
 
@@ -67,39 +67,51 @@ def batches_of(spark: SparkSession, rows: int):
 MEMBER_BITS = 30     # log2 of the largest bitmap of ``with_membership`` (128 MiB)
 
 
-def marked(df: DataFrame, value: Column, ids: DataFrame, name: str) -> DataFrame:
-    """``(row STRUCT, value, listed)``: the whole rows of ``df`` in one column, so that none of their names can clash, and a
-    boolean that is false only where ``value`` is not in ``ids[name]``.
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, lengthened until no column of ``df`` is called like them."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
+def own_columns(df: DataFrame) -> list[Column]:
+    """The columns of ``df`` by name, whatever the names."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def with_membership(df: DataFrame, column: str, ids: DataFrame, name: str, out: str = "__listed") -> DataFrame:
+    """``df`` (without a column ``out``) with a boolean ``out`` that is false only where ``column`` is not in ``ids[name]``.
 
     The ids are hashed into a bitmap of at least eight bits each (2^30 bits at most, so the
     broadcast is bounded); values that pass by chance are sorted out by the join that follows.  It keeps
     the rows of a wide table that a join would drop anyway from being shuffled."""
+    p, k, m, _ = fresh(df, "__p", "__k", "__m", out)
     bits = 1 << max(15, min(MEMBER_BITS, (16 * ids.count()).bit_length()))
     place = lambda c: F.pmod(F.xxhash64(c.cast("bigint")), F.lit(bits)) + 1
-    maps = (ids.select(place(F.col(name)).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("k"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m")))
-    at = F.bitmap_bit_position("p")
-    byte = F.conv(F.hex(F.substr(F.col("m"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    maps = (ids.select(place(F.col(name)).alias(p)).groupBy(F.bitmap_bucket_number(p).alias(k))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(p)).alias(m)))
+    at = F.bitmap_bit_position(p)
+    byte = F.conv(F.hex(F.substr(F.col(m), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     listed = F.pmod(F.floor(byte / F.pow(F.lit(2.0), at % 8)), F.lit(2)) == 1
-    rows = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), value.cast("bigint").alias("value"))
-    rows = rows.withColumn("p", place(F.col("value"))).withColumn("k", F.bitmap_bucket_number("p"))
-    return rows.join(F.broadcast(cut_lineage(maps)), "k", "left").select("row", "value", F.coalesce(listed, F.lit(False)).alias("listed"))
-
-
-def with_membership(df: DataFrame, column: str, ids: DataFrame, name: str, out: str = "__listed") -> DataFrame:
-    """``df`` (a frame of our own, without a column ``out``) with ``out``: false only where ``column`` is not in ``ids[name]``."""
-    return marked(df, df[column], ids, name).select("row.*", F.col("listed").alias(out))
+    marked = df.withColumn(p, place(df[column])).withColumn(k, F.bitmap_bucket_number(p))
+    return marked.join(F.broadcast(cut_lineage(maps)), k, "left").select(*own_columns(df), F.coalesce(listed, F.lit(False)).alias(out))
 
 
 def without_ids(docs: DataFrame, gone: DataFrame, name: str) -> DataFrame:
     """The rows of ``docs`` whose ``doc_id`` is not in ``gone[name]`` (rows without an id stay).
 
     Only rows that the bitmap of ``gone`` lets pass are shuffled for the join."""
-    gone = cut_lineage(gone.select(F.col(name).cast("bigint").alias("gone")).distinct())
-    rows = marked(docs, docs["doc_id"], gone, "gone")
-    apart = F.col("listed") & F.col("value").isNotNull()
-    rest = rows.where(apart).join(gone, F.col("value") == F.col("gone"), "left_anti")
-    return rows.where(~apart).union(rest).select("row.*")
+    listed, out = fresh(docs, "__listed", "__gone")
+    gone = cut_lineage(gone.select(F.col(name).cast("bigint").alias(out)).distinct())
+    marked = with_membership(docs, "doc_id", gone, out, listed)
+    apart = F.col(listed) & F.col("doc_id").isNotNull()
+    rest = marked.where(apart).join(gone, F.col("doc_id").cast("bigint") == F.col(out), "left_anti")
+    return marked.where(~apart).union(rest).select(*own_columns(docs))
 
 
 # ------------------------------------------------------------------ connected components

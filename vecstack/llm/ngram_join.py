@@ -26,7 +26,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vecstack.llm.common import batches_of, components, cut_lineage, marked, materialise, texts, with_membership
+from vecstack.llm.common import (batches_of, components, cut_lineage, fresh, materialise, own_columns, texts,
+                                 with_membership)
 
 SHINGLE, NUM, DEN = 5, 75, 100
 HOT_SHARE = 0.002      # a shingle in this share of the texts handled at once is a candidate for "frequent"
@@ -366,9 +367,12 @@ def one_per_component(docs: DataFrame, **options) -> DataFrame:
     comp = cut_lineage(jaccard_components(docs, **options).where("doc_id is not null"))
     several = comp.groupBy("doc_id").agg(F.count("*").alias("rows"), F.first("component_id").alias("head"))
     # most rows are neither repeated nor in another document's component: those stay where they are
-    several = cut_lineage(several.where("rows > 1 or head <> doc_id").select(F.col("doc_id").alias("id"), (F.col("head") != F.col("doc_id")).alias("gone")))
-    rows = marked(docs, docs["doc_id"], several, "id")
-    apart = F.col("listed") & F.col("value").isNotNull()
-    rest = rows.where(apart).join(several.where("gone").select("id"), F.col("value") == F.col("id"), "left_anti")
-    one = rest.groupBy("value").agg(F.min_by("row", F.struct(F.coalesce(F.col("row.text").cast("string"), F.lit("")) == "", F.col("row.text"), F.to_json("row"))).alias("row")).select("row")
-    return rows.where(~apart).select("row").union(one).select("row.*")
+    listed, own, gone, row = fresh(docs, "__listed", "__id", "__gone", "__row")
+    several = cut_lineage(several.where("rows > 1 or head <> doc_id").select(F.col("doc_id").alias(own), (F.col("head") != F.col("doc_id")).alias(gone)))
+    rows = with_membership(docs, "doc_id", several, own, listed)
+    apart = F.col(listed) & F.col("doc_id").isNotNull()
+    rest = rows.where(apart).join(several.where(F.col(gone)).select(own), F.col("doc_id").cast("bigint") == F.col(own), "left_anti")
+    whole = F.struct(*own_columns(docs)).alias(row)
+    first = F.struct(F.coalesce(F.col("text").cast("string"), F.lit("")) == "", F.col("text"), F.to_json(F.struct(*own_columns(docs))))
+    one = rest.groupBy("doc_id").agg(F.min_by(whole, first).alias(row)).select(F.col(row + ".*"))
+    return rows.where(~apart).select(*own_columns(docs)).union(one)
