@@ -54,6 +54,7 @@ from vecstack.operators.sampling import n_features
 MIN_GAIN = 1e-12
 GAIN_DECIMALS = 12           # gains are compared after rounding (stable tie order)
 BROADCAST_ROWS = 4_000_000   # node / split tables above this size are shuffled, not broadcast
+EXACT_VALUES = 1 << 20       # values that one task sorts for the percentiles of a node, unless a single feature has more
 DENSE_MAX = 1_000_000        # largest per-level lookup array (trees × 2^level): ≤ 8 MiB per task
 
 
@@ -424,9 +425,12 @@ def sorted_percentiles(src: DataFrame, fr, group, n_keys: int | None = None) ->
 def _thresholds(ex: DataFrame, p: TreeParams, fr, open_nodes, node_sizes, m: int) -> DataFrame:
     """A3 per ``(tree, node, feature)``: percentiles sorted in one task for bounded nodes, by range-partitioned
     selection for larger ones; ``'approx'`` takes a sketch."""
+    largest = max((v for v in (node_sizes or {}).values() if v <= p.exact_max_rows), default=0)
+    together = int(min(16, max(1, EXACT_VALUES // max(largest, 1))))          # features of a node sorted in one task
+
     def exact(src):
         return exact_percentiles(src.select("tree", "node", "feature", "x", "w",
-                                            (F.col("frank") / 16).cast("long").alias("_chunk")),
+                                            (F.col("frank") / together).cast("long").alias("_chunk")),
                                  fr, ["tree", "node", "_chunk"])
 
     def approx(src):
