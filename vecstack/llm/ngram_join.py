@@ -10,11 +10,12 @@ the *probe prefix* of the larger one.
 2. A first round offers every group the few groups it shares most keys with (linear in the groups).
    Its verified links give provisional components, so that a cluster of thousands of near copies is
    joined without looking at its pairs.
-3. Sets that share most with the same other set (near copies that are too far apart to link) are compared
-   whole, in blocks of one task each, which emit only links that join components.
-4. A last round joins the index with itself for groups of *different* components and leads only, filtered
-   by size and by position, expands the groups into members and verifies those.  Pairs that the
-   components already join are never formed; no other pair is left out, so the result is exact.
+3. Sets that a chain of comparisons connects, each of which found half of the union or more in common, are a
+   clan (near copies, also those too far apart to link).  The sets of a clan are compared whole, in blocks of one task
+   each, which emit only links that join components.
+4. A last round goes through the index for sets of *different* clans.  The entries of a key meet inside tasks, in
+   blocks as well; pairs that size, position and a sketch of both whole sets do not rule out are the only rows, and
+   are verified.  The filters are bounds, so no pair is left out and the result is exact.
 
 Defined results: null, empty and blank texts have an empty set and no link; rows with a null
 ``doc_id`` come back with a null component and link with nothing; rows repeating a ``doc_id`` are
@@ -33,7 +34,9 @@ SHINGLE, NUM, DEN = 5, 75, 100
 HOT_SHARE = 0.002      # a shingle in this share of the texts handled at once is a candidate for "frequent"
 HOT_LEAST = 6          # ... and in this number of them
 OFFERS = 4             # partners offered to a group in the first round; only the amount of work depends on it
-FAMILY = 4000          # sets of one block of a family; only the amount of work depends on it
+FAMILY = 4000          # sets of one block of a clan; only the amount of work depends on it
+KEY_BLOCK = 4000       # entries of one block of a key; only the amount of work depends on it
+SKETCHES = 1 << 10, 1 << 15    # fewest and most bits of a sketch; only the amount of work depends on it
 HOT_LIMIT = 1 << 17    # length of the list of frequent shingles (1 MiB); it only sets the order
 
 
@@ -119,21 +122,52 @@ def _signed(xs):
     return np.array(xs, np.uint64).view(np.int64)
 
 
+def _sketch(s) -> bytes:
+    """Parities of the numbers of shingles in about ``len(s)`` classes (a power of two): two sets differ in at least as many
+    shingles as their sketches in bits, also when the longer one is folded to the length of the other."""
+    import numpy as np
+
+    from vecstack.llm.words import mix
+    bits = min(SKETCHES[1], max(SKETCHES[0], 1 << max(0, len(s) - 1).bit_length()))
+    return np.packbits(np.bincount((mix(s) % np.uint64(bits)).astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes()
+
+
+def _differing(sketches, i, j):
+    """Differing bits of the sketches ``i`` and ``j``, the longer one of a pair folded; no length is over twice the other."""
+    import numpy as np
+    size = np.array([len(x) for x in sketches])
+    out = np.zeros(len(i), np.int64)
+    least = np.minimum(size[i], size[j])
+    for w in np.unique(least):
+        of = np.flatnonzero(least == w)
+        rows, at = np.unique(np.concatenate([i[of], j[of]]), return_inverse=True)
+        bits = np.zeros((len(rows), w // 8), np.uint64)
+        for r, m in enumerate(rows):
+            bits[r] = np.bitwise_xor.reduce(np.frombuffer(sketches[m], np.uint64).reshape(-1, w // 8), axis=0)
+        step = (1 << 24) // int(w)
+        for s in range(0, len(of), step):
+            part = of[s:s + step]
+            a, b = at[s:s + len(part)], at[len(of) + s:len(of) + s + len(part)]
+            out[part] = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def shingle_sets(docs: DataFrame, hot, k: int = SHINGLE) -> DataFrame:
-    """``(doc_id, n, fp_a, fp_b, gid)``: set size, set fingerprint, group of (prefix, size)."""
+    """``(doc_id, n, fp_a, fp_b, gid, sketch)``: set size, set fingerprint, group of (prefix, size), sketch of the set."""
     def run(parts):
         import pandas as pd
         order = _Order(hot.value)
         for pdf in _slices(parts):
-            n, a, b, g = [], [], [], []
+            n, a, b, g, bits = [], [], [], [], []
             for _, s in _sets(pdf["text"], k):
                 n.append(len(s))
                 a.append(_fold(s, 0x51))
                 b.append(_fold(s, 0xA7C3))
                 g.append(_fold(order.prefix(s, probe_length(len(s))), 2 * len(s) + 1) if len(s) else 0)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n": n, "fp_a": _signed(a), "fp_b": _signed(b), "gid": _signed(g)})
+                bits.append(_sketch(s))
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n": n, "fp_a": _signed(a), "fp_b": _signed(b), "gid": _signed(g), "sketch": bits})
 
-    return docs.mapInPandas(run, "doc_id bigint, n bigint, fp_a bigint, fp_b bigint, gid bigint")
+    return docs.mapInPandas(run, "doc_id bigint, n bigint, fp_a bigint, fp_b bigint, gid bigint, sketch binary")
 
 
 def shared_index(docs: DataFrame, hot, k: int = SHINGLE) -> DataFrame:
@@ -259,30 +293,100 @@ def _linked(compared: DataFrame, num: int, den: int) -> DataFrame:
     return compared.where(den * F.col("i") >= num * (F.col("na") + F.col("nb") - F.col("i"))).select("a", "b")
 
 
-def _leads(compared: DataFrame) -> DataFrame:
-    """``(rep, lead)``: of the sets that a set was compared with, the one it shares most with."""
-    return compared.groupBy("a").agg(F.max(F.struct("i", "b")).alias("m")).select(F.col("a").alias("rep"), F.col("m.b").alias("lead"))
-
+def _clans(compared: DataFrame) -> DataFrame:
+    """``(rep, clan)``: sets connected by comparisons that found half of the union or more in common; other sets are not listed."""
+    alike = compared.where("2 * i >= na + nb - i").select("a", "b")
+    return components(alike).select(F.col("node").alias("rep"), F.col("component").alias("clan"))
 
-def _family_links(member: DataFrame, docs: DataFrame, reps: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Links ``(a, b)`` that join components of the sets ``member(rep, comp, lead)`` with the same lead, all of them compared.
 
-    The whole sets of a family meet once, in blocks of ``FAMILY`` sets (all pairs of blocks); pairs never become rows."""
-    several = member.groupBy("lead").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).where("lo < hi")
-    family = cut_lineage(member.join(several.select("lead", F.ceil(F.col("n") / FAMILY).cast("int").alias("parts")), "lead"))
-    sets = materialise(_sets_of(docs, reps.join(family.select("rep").distinct(), "rep"), k))
-    family = family.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")) \
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    """``rows`` of groups of ``parts`` blocks, each row once for every pair ``(x, y)`` of blocks that its own block (``own``) is in."""
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")) \
         .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    family = family.select("lead", "rep", "comp", "own", F.least("own", "with").alias("x"), F.greatest("own", "with").alias("y"))
+    return rows.withColumn("x", F.least("own", "with")).withColumn("y", F.greatest("own", "with")).drop("parts", "with")
+
+
+def _clan_links(member: DataFrame, docs: DataFrame, reps: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Links ``(a, b)`` that join components of the sets ``member(rep, comp, clan)`` of one clan, all of them compared.
+
+    The whole sets of a clan meet once, in blocks of ``FAMILY`` sets (all pairs of blocks); pairs never become rows."""
+    several = member.groupBy("clan").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).where("lo < hi")
+    family = cut_lineage(member.join(several.select("clan", F.ceil(F.col("n") / FAMILY).cast("int").alias("parts")), "clan")
+                         .select("clan", "rep", "comp", "parts").distinct())
+    sets = materialise(_sets_of(docs, reps.join(family.select("rep"), "rep"), k))
 
     def run(parts):
         from vecstack.llm.sets import group_links
-        yield from group_links(parts, ["lead", "x", "y"], "rep", num, den)
+        yield from group_links(parts, ["clan", "x", "y"], "rep", num, den)
 
-    met = family.join(sets.select("rep", "items"), "rep").repartition("lead", "x", "y").sortWithinPartitions("lead", "x", "y")
+    by = ["clan", "x", "y"]
+    met = _in_blocks(family).join(sets.select("rep", "items"), "rep").repartition(*by).sortWithinPartitions(*by)
     return met.mapInPandas(run, "a bigint, b bigint")
 
 
+_ENTRY = "key bigint, gid bigint, rep bigint, clan bigint, n bigint, pos bigint, k bigint"
+
+
+def _met(entries: DataFrame, num: int, den: int, sketched: bool = False) -> DataFrame:
+    """What entries of one key and different clans leave after the filters, of ``entries(key, gid, rep, clan, n, pos, k, parts)``.
+
+    Without sketches these are the entries that meet a possible partner; with the column ``sketch`` the pairs ``(a, b)``
+    themselves.  The entries of a key are compared inside tasks, in blocks of ``KEY_BLOCK`` (all pairs of blocks)."""
+    by = ["key", "x", "y"]
+
+    def run(parts):
+        import numpy as np
+        import pandas as pd
+
+        from vecstack.llm.sets import pairs_between, whole_groups
+        for pdf in whole_groups(parts, by):
+            pdf = pdf.reset_index(drop=True)
+            key, clan, n, pos, k, rep, own, x, y = (pdf[c].to_numpy(np.int64) for c in ("key", "clan", "n", "pos", "k", "rep", "own", "x", "y"))
+            new = (key[1:] != key[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+            group = np.concatenate([[0], np.cumsum(new)])
+            index_end = n + -2 * num * n // (num + den) + 1
+            rest = -(-num * n // den) - 1
+            met, pairs = np.zeros(len(pdf), bool), []
+            for i, j in pairs_between(group, clan):
+                ni, nj, both = n[i], n[j], n[i] + n[j]
+                ok = (den * np.minimum(ni, nj) >= num * np.maximum(ni, nj)) & ((own[i] != own[j]) | (x[i] == y[i]))
+                ok &= (num + den) * (np.minimum(pos[i], pos[j]) + np.minimum(ni - pos[i], nj - pos[j])) >= num * both
+                ok &= (num + den) * (np.minimum(k[i], k[j]) + np.maximum(rest[i], rest[j])) >= num * both
+                # the key is in the index prefix of the smaller set; of equal sets, of either
+                ok &= ((ni <= nj) & (pos[i] < index_end[i])) | ((nj <= ni) & (pos[j] < index_end[j]))
+                i, j, both = i[ok], j[ok], both[ok]
+                if sketched:
+                    near = (num + den) * _differing(pdf["sketch"], i, j) <= (den - num) * both
+                    a, b = rep[i[near]], rep[j[near]]
+                    pairs.append(np.stack([np.maximum(a, b), np.minimum(a, b)], axis=1))
+                else:
+                    met[i] = met[j] = True
+            if sketched and pairs:
+                yield pd.DataFrame(np.unique(np.concatenate(pairs), axis=0), columns=["a", "b"])
+            elif met.any():
+                yield pdf.loc[met, ["key", "gid", "rep", "clan", "n", "pos", "k"]]
+
+    rows = _in_blocks(entries).repartition(*by).sortWithinPartitions(*by, "clan")
+    return rows.mapInPandas(run, "a bigint, b bigint" if sketched else _ENTRY)
+
+
+def _between_clans(member: DataFrame, index: DataFrame, shared: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs ``(a, b)`` of sets ``member(rep, gid, n, clan)`` of different clans that the filters do not rule out."""
+    blocks = F.ceil(F.col("c") / KEY_BLOCK).cast("int").alias("parts")
+    unit = cut_lineage(member.groupBy("gid").agg(F.min("clan").alias("lo"), F.max("clan").alias("hi"), F.count("*").alias("c")))
+    keys = index.select("key", "gid").join(unit, "gid").groupBy("key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("c").alias("c"))
+    entries = (index.join(keys.where("lo < hi").select("key", blocks), "key").join(member.select("gid", "rep", "clan"), "gid")
+               .join(shared.select("gid", F.size("keys").cast("bigint").alias("k")), "gid")
+               .select("key", "gid", "rep", "clan", "n", "pos", "k", "parts"))
+    # sets of one group have all of their prefix in common, whether or not another group shares a key of it
+    same = member.join(unit.where("lo < hi").select("gid", blocks), "gid").select(
+        F.col("gid").alias("key"), "gid", "rep", "clan", "n", F.lit(0).cast("bigint").alias("pos"), F.col("n").alias("k"), "parts")
+    left = materialise(_met(entries.union(same), num, den).distinct())
+    keys = left.groupBy("key").agg(F.count("*").alias("c")).select("key", blocks)
+    sketches = sets.select(F.col("doc_id").alias("rep"), "gid", "sketch").join(left.select("rep", "gid").distinct(), ["rep", "gid"]).distinct()
+    return _met(left.join(keys, "key").join(sketches, ["rep", "gid"]), num, den, sketched=True)
+
+
 def jaccard_components(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
     """``(doc_id, n_shingles, component_id)``, one row for each row of ``docs(doc_id, text)``."""
     if 2 * num < den:
@@ -298,7 +402,6 @@ def _components_of(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     reps = cut_lineage(sets.where("doc_id is not null and n > 0").groupBy("fp_a", "fp_b")
                        .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("gid").alias("gid")))
     index = materialise(shared_index(named, hot, k))
-    index_end = F.expr(f"n + cast(floor(-{2 * num} * n / {num + den}) as bigint) + 1")
     shared = cut_lineage(index.groupBy("gid").agg(F.first("n").alias("n"), F.collect_list("key").alias("keys"),
                                                    (F.sum("groups") / (F.first("n") + 1)).alias("weight")))
     head = reps.groupBy("gid").agg(F.min("rep").alias("head"))
@@ -318,41 +421,17 @@ def _components_of(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     compared = materialise(_compared(pairs, named, reps, k))
     comp = cut_lineage(components(_linked(compared, num, den)).withColumnRenamed("node", "rep"))
 
-    # round 2: every pair of different provisional components that the filters leave
-    member = cut_lineage(reps.join(comp, "rep", "left").join(_leads(compared), "rep", "left").select(
-        "rep", "gid", F.coalesce("component", "rep").alias("comp"), F.coalesce("lead", "rep").alias("lead")))
-    # sets with the same lead meet as a family; the joined index is for pairs with different leads
-    inside = _family_links(member.select("rep", "comp", "lead"), named, reps, k, num, den)
-    known = comp.where("rep <> component").select(F.col("rep").alias("a"), F.col("component").alias("b"))
-    comp = cut_lineage(components(known.union(inside)).withColumnRenamed("node", "rep"))
-    member = cut_lineage(member.drop("comp").join(comp, "rep", "left").withColumn("comp", F.coalesce("component", "rep")).drop("component"))
-    # sets of one group, component and lead go together
-    unit = member.select("gid", "comp", "lead").distinct()
-    entries = index.join(unit, "gid").join(shared.select("gid", F.size("keys").alias("k")), "gid")
-    split = entries.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    entries = materialise(entries.join(split, "key", "left_semi"))
-    names = ("gid", "comp", "lead", "n", "pos", "k")
-    rest = lambda c: f"-cast(floor(-{num} * {c} / {den}) as bigint) - 1"
-    x = entries.where(F.col("pos") < index_end).select("key", *[F.col(c).alias("x_" + c) for c in names])
-    y = entries.select("key", *[F.col(c).alias("y_" + c) for c in names])
-    found = x.join(y, "key").where(
-        f"x_gid <> y_gid and x_comp <> y_comp and x_n <= y_n and {den} * x_n >= {num} * y_n and "
-        f"{num + den} * (least(x_pos, y_pos) + least(x_n - x_pos, y_n - y_pos)) >= {num} * (x_n + y_n) and "
-        f"{num + den} * (least(x_k, y_k) + greatest({rest('x_n')}, {rest('y_n')})) >= {num} * (x_n + y_n) and x_lead <> y_lead")
-    ends = ["x_gid", "x_comp", "x_lead", "y_gid", "y_comp", "y_lead"]
-    units = _plausible(found.select(*ends).distinct(), shared, num, den)
-    u = lambda p: unit.select(F.col("gid").alias("x_gid"), F.col("comp").alias(p + "_comp"), F.col("lead").alias(p + "_lead"))
-    inner = u("x").join(u("y"), "x_gid").where("x_comp < y_comp and x_lead <> y_lead").withColumn("y_gid", F.col("x_gid"))
-    side = lambda p, name: member.select(*[F.col(c).alias(f"{p}_{c}") for c in ("gid", "comp", "lead")], F.col("rep").alias(name))
-    more = (units.select(*ends).union(inner.select(*ends)).join(side("x", "a"), ends[:3]).join(side("y", "b"), ends[3:])
-            .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
-    second = _linked(_compared(more, named, reps, k), num, den)
+    # sets of one clan meet whole; then every pair of different clans that the filters leave
+    member = cut_lineage(reps.join(comp, "rep", "left").join(_clans(compared), "rep", "left").select(
+        "rep", "gid", "n", F.coalesce("component", "rep").alias("comp"), F.coalesce("clan", "rep").alias("clan")))
+    inside = cut_lineage(_clan_links(member.select("rep", "comp", "clan"), named, reps, k, num, den))
+    second = _linked(_compared(_between_clans(member, index, shared, sets, num, den), named, reps, k), num, den)
     star = comp.where("rep <> component").select(F.col("rep").alias("a"), F.col("component").alias("b"))
     # several sets under one doc_id are one document
     own = sets.where("doc_id is not null and n > 0").join(reps.select("fp_a", "fp_b", "rep"), ["fp_a", "fp_b"]) \
         .groupBy("doc_id").agg(F.collect_set("rep").alias("reps")).where("size(reps) > 1")
     own = own.select(F.array_min("reps").alias("a"), F.explode("reps").alias("b"))
-    final = components(star.union(second).union(own))
+    final = components(star.union(inside).union(second).union(own))
     rep_comp = (reps.select("fp_a", "fp_b", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left")
                 .select("fp_a", "fp_b", F.coalesce("component", "rep").alias("component")))
     out = sets.join(rep_comp, ["fp_a", "fp_b"], "left")

@@ -18,6 +18,8 @@ class SetBlock:
         place[held] = np.arange(len(held))
         self.row, self.col = np.repeat(np.arange(len(items)), self.size.astype(np.int64)), place[code]
         self.row, self.col = self.row[self.col >= 0], self.col[self.col >= 0]
+        by = np.argsort(self.col, kind="stable")
+        self.row, self.col = self.row[by].astype(np.int32), self.col[by].astype(np.int32)
         self.width = len(held)
 
     def common(self, i, j, a, b):
@@ -25,9 +27,11 @@ class SetBlock:
         out = np.zeros((j - i, b - a), np.float32)
         for s in range(0, self.width, 1024):
             x, y = (np.zeros((n, min(1024, self.width - s)), np.float32) for n in (j - i, b - a))
+            at = slice(*np.searchsorted(self.col, [s, s + 1024]))
+            row, col = self.row[at], self.col[at] - s
             for m, lo, hi in ((x, i, j), (y, a, b)):
-                use = (self.row >= lo) & (self.row < hi) & (self.col >= s) & (self.col < s + m.shape[1])
-                m[self.row[use] - lo, self.col[use] - s] = 1
+                use = (row >= lo) & (row < hi)
+                m[row[use] - lo, col[use]] = 1
             out += x @ y.T
         return out
 
@@ -121,6 +125,13 @@ def group_links(parts, keys: list[str], name: str, num: int, den: int):
             found += SetBlock(pid[at], comp[at], [items[i] for i in at]).links(num, den, None if x == y else int((own == x).sum()))
         return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
+    for pdf in whole_groups(parts, keys):
+        yield flush(pdf)
+
+
+def whole_groups(parts, keys: list[str]):
+    """Batches sorted by ``keys``, put together until about ``GATHER`` rows of whole groups are there."""
+    import pandas as pd
     kept = None
     for pdf in parts:
         kept = pdf if kept is None else pd.concat([kept, pdf], ignore_index=True)
@@ -128,7 +139,24 @@ def group_links(parts, keys: list[str], name: str, num: int, den: int):
         for k in keys:
             last &= (kept[k] == kept[k].iat[-1]).to_numpy()
         if len(kept) >= GATHER and not last.all():
-            yield flush(kept[~last])                            # the last group may go on in the next batch
+            yield kept[~last]                                   # the last group may go on in the next batch
             kept = kept[last]
     if kept is not None and len(kept):
-        yield flush(kept)
+        yield kept
+
+
+def pairs_between(group, part):
+    """Arrays ``(i, j)`` of all pairs of rows of one ``group`` and different ``part``, some at a time; rows are sorted by both."""
+    n = len(group)
+    if not n:
+        return
+    new = group[1:] != group[:-1]
+    end = lambda starts: np.append(np.flatnonzero(starts) + 1, n)[np.concatenate([[0], np.cumsum(starts)])]
+    after, stop = end(new | (part[1:] != part[:-1])), end(new)
+    count = stop - after
+    at = np.cumsum(count)
+    for lo, hi in zip(*_cuts(at)):
+        c = count[lo:hi]
+        i = np.repeat(np.arange(lo, hi), c)
+        if len(i):
+            yield i, after[i] + np.arange(len(i)) - np.repeat(np.cumsum(c) - c, c)
